@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,6 @@ class Params:
         return [f"s{k}" for k in range(self.coordinates // 64)]
 
 
-@lru_cache(2)
 def _permutations(universe: int, coordinates: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The first permutation, and every circular shift of the second: row p holds its values from position p on."""
     rng = np.random.default_rng(seed)
@@ -51,9 +49,9 @@ def _permutations(universe: int, coordinates: int, seed: int) -> tuple[np.ndarra
     return spread, np.lib.stride_tricks.sliding_window_view(np.concatenate([shifted, shifted[:coordinates]]), coordinates)
 
 
-def signature(shingles: np.ndarray, p: Params) -> np.ndarray:
+def signature(shingles: np.ndarray, p: Params, permutations: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """All coordinates: the least value over the shingles' rows of the shifted permutation."""
-    spread, shifts = _permutations(p.universe, p.coordinates, p.seed)
+    spread, shifts = permutations
     at = spread[(shingles >> np.uint64(40)).astype(np.int64) % p.universe]
     out = np.full(p.coordinates, p.universe, np.uint32)
     for k in range(0, len(at), 128):
@@ -78,7 +76,7 @@ def _sketches(signatures: np.ndarray) -> np.ndarray:
 
 def _sign(p: Params):
     def run(batches):
-        hasher = WordHasher()
+        hasher, permutations = WordHasher(), _permutations(p.universe, p.coordinates, p.seed)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             for first, parts in text_groups(texts):
@@ -89,7 +87,7 @@ def _sign(p: Params):
                     if len(words):
                         digest = xxhash.xxh3_128_digest(words.tobytes())
                         key.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
-                        rows.append(signature(shingles, p))
+                        rows.append(signature(shingles, p, permutations))
                     else:
                         key.append((None, None))
                         rows.append(np.zeros(p.coordinates, np.uint32))

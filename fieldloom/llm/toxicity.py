@@ -1,4 +1,4 @@
-"""Toxicity by non-negative positive-unlabelled learning over the presence of selected words."""
+"""Toxicity by non-negative positive-unlabelled learning over the presence of selected words and word beginnings."""
 
 from __future__ import annotations
 
@@ -16,37 +16,50 @@ from .common import materialise
 @dataclass(frozen=True)
 class Params:
     """Bounds of the fit. At most `most_positive` confirmed toxic and `most_unlabelled` other texts are taken, those of the smallest hash
-    of doc_id, and at most `most_words` words from them: the words of at least `least_texts` toxic texts whose share there
-    differs most from their share among the unlabelled texts. `prior`: share of toxic texts; None: as among the labels.
+    of doc_id, each text once, and at most `most_words` features from them: those of at least `least_texts` toxic texts, `least_lift`
+    times as common there as among the unlabelled texts, with shares `least_z` standard errors apart, the furthest first. `prior`: share of toxic texts; None: as among the labels.
     """
 
     most_positive: int = 4000
     most_unlabelled: int = 12000
     most_words: int = 2000
     least_texts: int = 5
+    least_lift: float = 3.0
+    least_z: float = 5.0
     prior: float | None = None
-    steps: int = 400
-    rate: float = 0.05
-    decay: float = 1e-4
+    steps: int = 600
+    rate: float = 0.1
+    decay: float = 1e-5
     threshold: float = 0.7
 
 
+#: Lengths in bytes of the word beginnings that are features beside whole words; stems are shared by many words.
+BEGINNINGS = (4, 5, 6, 7)
+
+
+def features(text: bytes) -> set[bytes]:
+    """Whole words, lower-cased in A-Z and marked by a space behind, and the beginnings of longer ones."""
+    words = set(text.lower().split())
+    out = {w + b" " for w in words}
+    for n in BEGINNINGS:
+        out.update([w[:n] for w in words if len(w) >= n])
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
-    words: dict[bytes, int]
+    numbers: dict[bytes, int]
     weights: np.ndarray
     bias: float
 
     def score(self, text: bytes) -> float:
-        found = {self.words[w] for w in self._known.intersection(text.lower().split())}
+        """Only words whose beginning or whole is known are looked at closely; the sum runs in a fixed order."""
+        words = set(text.lower().split())
+        found = {n for n in map(self.numbers.get, [w + b" " for w in words]) if n is not None}
+        for size in BEGINNINGS:
+            found.update(n for n in map(self.numbers.get, {w[:size] for w in words if len(w) >= size}) if n is not None)
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[sorted(found)].sum(), -30, 30))))
 
-    @property
-    def _known(self) -> frozenset:
-        if not hasattr(self, "_known_words"):
-            object.__setattr__(self, "_known_words", frozenset(self.words))
-        return self._known_words
-
 
 def fold_of(doc_id: str = "doc_id"):
     """crc32 of the id as text, mod 3; 1 is held out."""
@@ -109,21 +122,32 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     positive = known.where("toxic = 1").orderBy(chosen, "doc_id").limit(p.most_positive).select("doc_id", F.lit(1).alias("pos"))
     other = docs.where("doc_id is not null").where(fold_of() != 1).select("doc_id").orderBy(chosen, "doc_id").limit(p.most_unlabelled).select("doc_id", F.lit(0).alias("pos"))
     sample = materialise(positive.union(other), "sample")  # at most most_positive + most_unlabelled ids
-    texts = docs.join(F.broadcast(sample), "doc_id").select("pos", F.monotonically_increasing_id().alias("n"), F.array_distinct(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("words"))
-    texts = materialise(texts, "sampled_texts")
+
+    def read(batches):
+        for batch in batches:
+            found = [sorted(features(t.as_py() or b"")) for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["pos", "found"])
+
+    texts = materialise(docs.join(F.broadcast(sample), "doc_id").select("pos", "text").distinct().mapInArrow(read, "pos int, found array<binary>"), "sampled_texts")
     totals = dict(texts.groupBy("pos").count().collect())
     if not totals.get(1) or not totals.get(0):
         return Model({}, np.zeros(0), -30.0)
-    counts = texts.select("pos", F.explode("words").alias("w")).where("w <> ''").groupBy("w").agg(F.sum("pos").alias("p"), F.sum(1 - F.col("pos")).alias("u"))
-    gap = F.abs(F.col("p") / totals[1] - F.col("u") / totals[0]) / F.sqrt((F.col("p") + F.col("u")) / (totals[0] + totals[1]))
-    words = [r["w"] for r in counts.where(F.col("p") >= p.least_texts).orderBy(gap.desc(), "w").limit(p.most_words).collect()]
-    number = {w: k for k, w in enumerate(words)}
+    counts = texts.select("pos", F.explode("found").alias("w")).groupBy("w").agg(F.sum("pos").alias("p"), F.sum(1 - F.col("pos")).alias("u"))
+    here, there = F.col("p") / totals[1], F.col("u") / totals[0]
+    z = (here - there) / F.sqrt((F.col("p") + F.col("u")) / (totals[0] + totals[1]) * (1 / totals[0] + 1 / totals[1]))
+    known_words = counts.where((F.col("p") >= p.least_texts) & (here >= p.least_lift * there) & (z >= p.least_z)).orderBy(z.desc(), "w").limit(p.most_words).select("w")
+    numbers = {bytes(r["w"]): k for k, r in enumerate(known_words.collect())}
+
+    def number(batches):
+        for batch in batches:
+            own = [[numbers[w] for w in words if w in numbers] for words in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], names=["pos", "own"])
+
     rows = {0: [], 1: []}
-    kept = texts.select("pos", F.array_intersect("words", F.array(*map(F.lit, words))) if words else F.array().cast("array<string>"))
-    for pos, found in kept.toLocalIterator():
-        rows[pos].append([number[w] for w in found or ()])
-    weights, bias = fit_nnpu(Presence(rows[1], len(words)), Presence(rows[0], len(words)), prior, p)
-    return Model({w.encode(): k for k, w in enumerate(words)}, weights, bias)
+    for pos, own in texts.mapInArrow(number, "pos int, own array<int>").toLocalIterator():
+        rows[pos].append(own)
+    weights, bias = fit_nnpu(Presence(rows[1], len(numbers)), Presence(rows[0], len(numbers)), prior, p)
+    return Model(numbers, weights, bias)
 
 
 def with_scores(docs: DataFrame, model: Model, name: str = "__toxicity") -> DataFrame:
