@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,26 +21,27 @@ class Params:
     """Two texts are linked if `percent` of the union of their shingles is shared.
 
     `bands` bands of `rows` coordinates out of `coordinates`: a pair at the limit of 0.75 misses every band with a chance
-    of 2e-5. All coordinates make a sketch of one bit each; pairs whose sketches differ in over `most_differing`
-    bits are left out before the full comparison (a pair at the limit: under 1e-6).
+    of 2e-5. All coordinates make a sketch of two bits each; pairs whose sketches differ in over `most_differing` coordinates
+    are left out before the full comparison (a pair at the limit: 4e-6).
     """
 
     shingle: int = 5
     percent: int = 75
     bands: int = 56
     rows: int = 6
-    coordinates: int = 512
+    coordinates: int = 1024
     universe: int = 1 << 18
     seed: int = 11
 
     @property
     def most_differing(self) -> int:
-        p = (1 - self.percent / 100) / 2
-        return int(self.coordinates * p + 5 * (self.coordinates * p * (1 - p)) ** 0.5)
+        p = (1 - self.percent / 100) * 3 / 4  # two random values agree in both bits once in four times
+        return int(self.coordinates * p + 4.5 * (self.coordinates * p * (1 - p)) ** 0.5)
 
     @property
     def sketch(self) -> list[str]:
-        return [f"s{k}" for k in range(self.coordinates // 64)]
+        """Columns of the first bits, then those of the second."""
+        return [f"{plane}{k}" for plane in "st" for k in range(self.coordinates // 64)]
 
 
 def _permutations(universe: int, coordinates: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,9 +71,10 @@ def _band_hashes(signatures: np.ndarray, p: Params) -> np.ndarray:
 
 
 def _sketches(signatures: np.ndarray) -> np.ndarray:
-    """(texts, coordinates / 64) of int64: one bit of each coordinate."""
-    bits = (mixed_bits(signatures.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+    """(texts, coordinates / 32) of int64: a plane of one bit of each coordinate, and one of another."""
+    mixed = mixed_bits(signatures.astype(np.uint64) + np.uint64(1))
+    planes = [np.packbits(((mixed >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64) for k in (0, 1)]
+    return np.concatenate(planes, axis=1)
 
 
 def _sign(p: Params):
@@ -126,7 +129,9 @@ def _sets(p: Params):
 
 def _alike(p: Params, a: str, b: str):
     """Sizes and sketches leave the pair possible."""
-    differing = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in p.sketch[1:]), F.bit_count(F.col(f"{a}.{p.sketch[0]}").bitwiseXOR(F.col(f"{b}.{p.sketch[0]}"))))
+    half = len(p.sketch) // 2
+    apart = lambda c: F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))
+    differing = reduce(lambda x, y: x + y, (F.bit_count(apart(x).bitwiseOR(apart(y))) for x, y in zip(p.sketch[:half], p.sketch[half:])))
     na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     return (100 * F.least(na, nb) >= p.percent * F.greatest(na, nb)) & (differing <= p.most_differing)
 
