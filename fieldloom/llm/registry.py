@@ -163,7 +163,7 @@ SELECT doc_id, n_tokens::BIGINT AS n_tokens, source AS source_class, lang AS lan
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_licence_scan": licences.licence_sql(),
-        "op2_mix_sources": _mix_sql(12),
+        "op2_mix_sources": _mix_sql(30),
         "op4_chat_format": chat.CHAT_SQL,
         "op10_url_filter": _OP10_SQL,
     }
