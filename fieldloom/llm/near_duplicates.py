@@ -171,14 +171,14 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     wide = signed.where("k1 is not null").join(copies, ["k1", "k2"]).where("doc_id = copy_of")
     wide = wide.dropDuplicates(["k1", "k2"])
 
-    banded = wide.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("h"))
+    banded = wide.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "h"))
     bucket = Window.partitionBy("h")
     salted = F.xxhash64("rep", F.pmod("h", F.lit(3)))
     met = banded.select(
-        "h", "rep", F.min("rep").over(bucket).alias("first"), F.max("rep").over(bucket).alias("last"), F.min(F.struct(salted.alias("salted"), "rep")).over(bucket)["rep"].alias("other")
+        "h", "band", "rep", F.min("rep").over(bucket).alias("first"), F.max("rep").over(bucket).alias("last"), F.min(F.struct(salted.alias("salted"), "rep")).over(bucket)["rep"].alias("other")
     ).where("first <> last")
-    met = materialise(met.select("h", "rep", "first", "other"), "buckets")
-    reps = signed.where("k1 is not null").select(F.col("doc_id").alias("rep"), "n_shingles", *p.sketch)
+    met = materialise(met.select("h", "band", "rep", "first", "other"), "buckets")
+    reps = signed.where("k1 is not null").select(F.col("doc_id").alias("rep"), "n_shingles", "bands", *p.sketch)
     features = materialise(reps.join(met.select("rep").distinct(), "rep", "left_semi").distinct(), "features")
 
     def pair(a: str, b: str) -> DataFrame:
@@ -189,11 +189,12 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     near = _confirmed(documents, stars, p)
     labels = materialise(connected_components(near), "labels")
 
-    # Members of a bucket that are not yet in one component.
-    tagged = met.select("h", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h", "rep", F.coalesce("component", "rep").alias("part"))
+    # Members of a bucket that are not yet in one component. A pair comes from the first band that it shares, and from that one only.
+    tagged = met.select("h", "band", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h", "band", "rep", F.coalesce("component", "rep").alias("part"))
     tagged = tagged.select("*", F.min("part").over(bucket).alias("lo"), F.max("part").over(bucket).alias("hi")).where("lo <> hi")
-    full = materialise(tagged.select("h", "rep", "part").join(features, "rep"), "apart")
-    rest = full.alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part")) & _alike(p, "a", "b"))
+    full = materialise(tagged.select("h", "band", "rep", "part").join(features, "rep"), "apart")
+    first_shared = F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), F.lit(True)) == F.col("a.band") + 1
+    rest = full.alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part")) & _alike(p, "a", "b") & first_shared)
     rest = rest.select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
     more = _confirmed(documents, rest, p)
     linked = connected_components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
