@@ -194,3 +194,25 @@ def test_sinks(spark, tmp_path):
     assert readers.csv(spark, path, schemas.COLLECTED).count() == 1
     old, new = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "c")], "k int, v string")
     assert rows(writers.upserted(old, new, ["k"])) == [(1, "a"), (2, "c")]
+
+
+def test_average_precision_of_a_small_grid(spark):
+    from fieldloom.operators import measuring
+
+    box = "scan_id int, frame int, class int, pos int, x1 int, y1 int, x2 int, y2 int, score double"
+    truth = spark.createDataFrame([(0, 1, 0, 1, 0, 0, 10, 10, 0.0), (0, 2, 0, 2, 0, 0, 10, 10, 0.0)], box)
+    found = spark.createDataFrame([(0, 1, 0, 3, 0, 0, 10, 10, 0.9), (0, 1, 0, 4, 0, 0, 10, 9, 0.8), (0, 2, 0, 5, 0, 0, 10, 10, 0.7)], box)
+    hits = measuring.greedy_hits(truth, found, ["scan_id", "frame"], [0.5])
+    assert [r.hit for r in hits.orderBy("pos").collect()] == [1, 0, 1]
+    got = measuring.recall_point_precision(hits, truth).first().ap
+    assert math.isclose(got, (51 * 1.0 + 50 * 2 / 3) / 101)
+
+
+def test_ellipsoid(spark):
+    from fieldloom.operators import measuring
+
+    rng = np.random.default_rng(1)
+    u = rng.normal(size=(200, 3))
+    p = u / np.linalg.norm(u, axis=1)[:, None] * [3, 2, 1] + [5, 1, -2]
+    got = measuring.ellipsoids(spark.createDataFrame([(0, *map(float, r)) for r in p], "g int, x double, y double, z double"), ["g"]).first()
+    assert np.allclose([got.cx, got.cy, got.cz, got.rx, got.ry, got.rz], [5, 1, -2, 3, 2, 1])
