@@ -126,6 +126,36 @@ FROM whole w LEFT JOIN fits f ON f.page_id = w.page_id AND f.r = 1
 """
 
 
+_OP3_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM worded)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reached(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT links.v, reached.root FROM reached JOIN links ON links.u = reached.doc_id),
+components AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept,
+       CASE WHEN len(w) = 0 THEN w.doc_id ELSE min(w.doc_id) OVER (PARTITION BY array_to_string(w, ' ')) END AS copy_of
+FROM worded w LEFT JOIN sizes USING (doc_id) JOIN components USING (doc_id)
+"""
+
+
+#: The checksum is taken byte by byte with the usual table, which the first part builds from its polynomial.
+_OP5_SQL = """
+WITH codes AS (SELECT list_transform(range(256), lambda k: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k)) AS code),
+sized AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)), lambda c, b: xor(c >> 8, code[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM documents, codes),
+placed AS (SELECT *, CAST(sum(size) OVER w - size AS BIGINT) AS begins, row_number() OVER w AS place FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING)),
+cut AS (SELECT *, CAST(begins * 16 // (SELECT sum(size) FROM sized) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard, begins FROM cut
+"""
+
+
 def _mix_sql(rounds: int = 30) -> str:
     """Raking unrolled: factors of one dimension after another, as many half-steps as the operator takes at most."""
     share = {d: "CASE {d} " + " ".join(f"WHEN '{v}' THEN {w!r}" for v, w in s.items()) + " ELSE {rest!r} END" for d, s in MIX.shares.items()}
@@ -164,6 +194,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_licence_scan": licences.licence_sql(),
         "op2_mix_sources": _mix_sql(30),
+        "op3_near_duplicates": _OP3_SQL,
         "op4_chat_format": chat.CHAT_SQL,
+        "op5_byte_shards": _OP5_SQL,
         "op10_url_filter": _OP10_SQL,
     }
