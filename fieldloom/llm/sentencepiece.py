@@ -49,7 +49,7 @@ _BASE = 0x9FB21C651E98DF25
 class Encoder:
     """Encodes words in batches. A word is a run of marks with what follows up to the next mark; no piece of the vocabulary spans two."""
 
-    def __init__(self, vocabulary: Vocabulary, most_cached: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, most_cached: int = 150_000):
         v = vocabulary
         self.v = v
         self.longest = max(map(len, v.pieces), default=1)
@@ -62,6 +62,7 @@ class Encoder:
         self.first[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
         self.most_alike = int(np.bincount(top).max(initial=1))
         self.unknown_score = (v.scores.min() if len(v.scores) else 0.0) - UNKNOWN_PENALTY
+        self.shared = np.array(range(len(v.names)), dtype=object)  # one int object for each id, however many words hold it
         self.cache: dict[str, tuple[int, ...]] = {}
         self.most_cached = most_cached
 
@@ -133,12 +134,12 @@ class Encoder:
         rows, start, piece = rows[order], start[order], piece[order]
         ends = np.searchsorted(rows, np.arange(len(words) + 1)).tolist()
         unknown = set(rows[piece < 0].tolist())
-        piece, start = piece.tolist(), start.tolist()
+        raw, piece = piece, self.shared[np.maximum(piece, 0)].tolist()
         out = []
         for r in range(len(words)):
             own = piece[ends[r] : ends[r + 1]]
             if r in unknown:
-                own = [t for p, s in zip(own, start[ends[r] : ends[r + 1]]) for t in ([p] if p >= 0 else self._bytes(words[r][s]))]
+                own = [t for p, s in zip(raw[ends[r] : ends[r + 1]].tolist(), start[ends[r] : ends[r + 1]].tolist()) for t in ([p] if p >= 0 else self._bytes(words[r][s]))]
             out.append(tuple(own))
         return out
 
