@@ -171,13 +171,13 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
 def build_index(embeddings: DataFrame, params: Params = Params()) -> DataFrame:
     """(shard, node, links, v, ids) for each distinct vector: its place in the graph of its shard, its out-neighbours' places, and the smallest vec_ids that have it.
 
-    Equal vectors share a node with the k + 1 smallest of their ids, so that no other copy can be among a query's k nearest;
-    they are found in salted groups first. Vectors of one length are dealt to shards by hash; a node's links may be empty.
+    Equal vectors share a node with the k + 1 smallest of their different ids, so that no other copy can be among a query's k nearest;
+    repeated rows are folded before ids are ranked, and ids are ranked in salted groups first. Vectors of one length are dealt to shards by hash; a node's links may be empty.
     """
     p = params
     usable = usable_vectors(embeddings).withColumn("key", F.xxhash64("v"))
     near = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("vec_id"))
-    few = usable.select("key", "vec_id", "v", "dim").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
+    few = usable.select("key", "vec_id", "v", "dim").distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
     few = few.withColumn("r", near("key", "v", "salt")).where(f"r <= {p.k + 1}").withColumn("r", near("key", "v")).where(f"r <= {p.k + 1}")
     distinct = materialise(few.groupBy("key", "v", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
     shards = distinct.groupBy("dim").agg(F.ceil(F.count("*") / p.shard_rows).cast("long").alias("shards"))
@@ -219,7 +219,7 @@ def search_index(index: DataFrame, queries: DataFrame, params: Params = Params()
                 for query, q, row in zip(asked["query_id"].iloc[low : low + p.batch].tolist(), part, found):
                     row = row[row >= 0]
                     exact = np.sqrt(((points[row] - q) ** 2).sum(axis=1))
-                    best = sorted((s, i) for s, n in zip(exact.tolist(), row.tolist()) for i in ids[n] if i != query)[: p.k]
+                    best = sorted({(s, i) for s, n in zip(exact.tolist(), row.tolist()) for i in ids[n] if i != query})[: p.k]
                     for s, i in best:
                         out["query_id"].append(query)
                         out["vec_id"].append(i)

@@ -156,6 +156,23 @@ def test_graph_search_edges(spark):
     assert graph_search.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_graph_search_folds_repeated_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 8)).astype(np.float32)
+    x[40:] = x[39]
+    once = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").coalesce(1)
+    df = once.union(once)
+    for _ in range(12):
+        df = df.union(once.where("vec_id = 39"))
+    by = collections.defaultdict(list)
+    for r in sorted(graph_search.nearest(df, F.lit(True)).collect(), key=lambda r: r.rank):
+        by[r.query_id].append(r.vec_id)
+    y = x.astype(np.float64)
+    for q in range(60):
+        d = np.sqrt(((y - y[q]) ** 2).sum(axis=1))
+        assert by[q] == [k for k in np.lexsort((np.arange(60), d)).tolist() if k != q][:10]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return sentencepiece.load_vocabulary(registry.VOCABULARY)
