@@ -135,13 +135,19 @@ def window_tracks(detections: DataFrame, by: list[str], params: WindowTracker =
 
 @dataclass(frozen=True)
 class TwoStageTracker:
-    """Strong detections are matched first, weak ones to what is left; lost tracks wait `buffer` frames."""
+    """Strong detections are matched first, weak ones to what is left, then what is still left to tracks seen only once; lost tracks wait `buffer` frames.
+
+    `fused`: overlaps with strong detections are multiplied by their scores. `alike`: a tracked and a lost track nearer than this are one.
+    """
 
     strong: float = 0.6
     weak: float = 0.1
     first_most: float = 0.8
     second_most: float = 0.5
     buffer: int = 30
+    unconfirmed_most: float = 0.7
+    alike: float = 0.15
+    fused: bool = True
 
 
 class ConstantVelocity:
@@ -228,44 +234,61 @@ def _boxed(mean: np.ndarray) -> np.ndarray:
 
 
 def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
-    """(frame, pos, track_id) of the matched detections of one scan (frame, pos, box, score)."""
-    kalman, tracks, number, out = ConstantVelocity(), [], 0, []
+    """(frame, pos, track_id) of the matched detections of one scan (frame, pos, box, score).
+
+    A track begun after the first frame is reported from its second match on, and goes if the next frame has none for it.
+    Of a tracked and a lost track in one place, the one seen over more frames stays, else the lost one.
+    """
+    kalman, tracks, number, out, first = ConstantVelocity(), [], 0, [], None
 
-    def apart(own, dets):
-        boxes = np.stack([_boxed(t["mean"]) for t in own])
-        common = overlaps(boxes, dets)
-        return 1 - common / np.maximum(_sizes(boxes)[:, None] + _sizes(dets)[None] - common, 1e-9)
+    def distance(boxes, others):
+        common = overlaps(boxes, others)
+        return 1 - common / np.maximum(_sizes(boxes)[:, None] + _sizes(others)[None] - common, 1e-9)
+
+    placed = lambda own: np.stack([_boxed(t["mean"]) for t in own])
 
     for frame, rows in pdf.sort_values(["frame", "pos", *_BOX]).groupby("frame", sort=True):
+        first = frame if first is None else first
         dets, score = rows[_BOX].to_numpy(float), rows["score"].to_numpy(float)
         for t in tracks:
-            t["mean"], t["cov"] = kalman.predict(t["mean"], t["cov"])
-        waiting = list(tracks)
+            if t["sure"]:
+                t["mean"], t["cov"] = kalman.predict(t["mean"], t["cov"])
         strong, weak = np.flatnonzero(score > p.strong), np.flatnonzero((score <= p.strong) & (score > p.weak))
-        left = list(strong)
-        for part, most, lost_too in ((strong, p.first_most, True), (weak, p.second_most, False)):
-            own = [t for t in waiting if lost_too or t["seen"] == t["before"]]
+
+        def matched(own, part, most, fused):
+            """Pairs found are taken into the tracks; the detections without one are returned."""
             if not own or not len(part):
-                continue
-            for r, c in assignment(apart(own, dets[part]), most):
+                return part
+            cost = distance(placed(own), dets[part])
+            pairs = assignment(1 - (1 - cost) * score[part] if fused else cost, most)
+            for r, c in pairs:
                 t, d = own[r], part[c]
                 t["mean"], t["cov"] = kalman.update(t["mean"], t["cov"], _measured(dets[d]))
-                t["seen"] = frame
-                waiting.remove(t)
-                if lost_too:
-                    left.remove(d)
-                out.append((frame, rows["pos"].iat[d], t["id"]))
+                t.update(seen=frame, pos=rows["pos"].iat[d], sure=True, lost=False)
+            return np.delete(part, [c for _, c in pairs])
+
+        once = [t for t in tracks if not t["sure"]]
+        left = matched([t for t in tracks if t["sure"]], strong, p.first_most, p.fused)
+        matched([t for t in tracks if t["sure"] and not t["lost"] and t["seen"] != frame], weak, p.second_most, False)
+        left = matched(once, left, p.unconfirmed_most, p.fused)
         for d in left:
             mean, cov = kalman.begin(_measured(dets[d]))
-            tracks.append({"id": number, "mean": mean, "cov": cov, "seen": frame})
-            out.append((frame, rows["pos"].iat[d], number))
+            tracks.append({"id": number, "mean": mean, "cov": cov, "start": frame, "seen": frame, "pos": rows["pos"].iat[d], "sure": frame == first, "lost": False})
             number += 1
-        tracks = [t for t in tracks if frame - t["seen"] <= p.buffer]
+        tracks = [t for t in tracks if frame - t["seen"] <= p.buffer and (t["sure"] or t["seen"] == frame)]
         for t in tracks:
-            t["before"] = frame
+            t["lost"] = t["seen"] != frame
+        here, lost = [t for t in tracks if not t["lost"]], [t for t in tracks if t["lost"]]
+        if here and lost:
+            gone = set()
+            for a, b in np.argwhere(distance(placed(here), placed(lost)) < p.alike):
+                a, b = here[a], lost[b]
+                gone.add((b if a["seen"] - a["start"] > b["seen"] - b["start"] else a)["id"])
+            tracks = [t for t in tracks if t["id"] not in gone]
+        out += [(frame, t["pos"], t["id"]) for t in tracks if t["sure"] and not t["lost"]]
     return pd.DataFrame(out, columns=["frame", "pos", "track_id"])
 
 
 def two_stage_tracks(detections: DataFrame, by: list[str], params: TwoStageTracker = TwoStageTracker()) -> DataFrame:
-    """(by, frame, pos, track_id) for the detections (by, frame, pos, x1, y1, x2, y2, score) that found a track."""
+    """(by, frame, pos, track_id) for the detections (by, frame, pos, x1, y1, x2, y2, score) of confirmed tracks."""
     return _per_scan(detections, by, "frame long, pos long, track_id long", lambda pdf: two_stage_scan(pdf, params))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,30 @@ def test_two_stage_tracker_keeps_an_id(spark):
     assert [r.track_id for r in tracking.two_stage_tracks(df, ["scan_id"]).orderBy("frame").collect()] == [0] * 6
 
 
+def _two_stage(rows, **kw):
+    pdf = pd.DataFrame([(f, k, x, 100, x + 50, 160, score) for k, (f, x, score) in enumerate(rows)], columns=["frame", "pos", "x1", "y1", "x2", "y2", "score"])
+    return [(r.frame, rows[r.pos][1], r.track_id) for r in tracking.two_stage_scan(pdf, tracking.TwoStageTracker(**kw)).itertuples()]
+
+
+def test_two_stage_tracker_confirms_tracks():
+    still = [(f, 100, 0.9) for f in range(6)]
+    assert _two_stage(still + [(3, 400, 0.9)]) == [(f, 100, 0) for f in range(6)]
+    got = _two_stage(still + [(f, 400, 0.9) for f in (2, 3, 4)])
+    assert sorted(got) == sorted([(f, 100, 0) for f in range(6)] + [(3, 400, 1), (4, 400, 1)])
+    # 1 / 3 of overlap is within 0.7 as it is, but not when multiplied by the score
+    late = [(1, 400, 0.9), (2, 425, 0.8), (3, 425, 0.8)]
+    assert (2, 425, 1) in _two_stage(still + late, fused=False)
+    assert (2, 425, 1) not in _two_stage(still + late) and (3, 425, 2) in _two_stage(still + late)
+
+
+def test_two_stage_tracker_removes_doubled_tracks():
+    come = [(f, max(100, 160 - 2 * (f - 10)), 0.9) for f in range(10, 50)]
+    longer = _two_stage([(f, 100, 0.9) for f in range(16)] + come)
+    assert {t for f, _, t in longer if f >= 16} == {1}
+    shorter = _two_stage([(f, 100, 0.9) for f in range(35)] + come)
+    assert {t for f, _, t in shorter if f >= 39} == {0} and [f for f, _, _ in shorter if f >= 35] == [f for f in range(35, 50) if f != 38]
+
+
 def test_mot_counts_a_switch(spark):
     pairs = [(0, 1, 1.0, 7.0, 0.9), (0, 2, 1.0, 8.0, 0.9), (0, 3, 1.0, None, 0.0), (0, 4, None, 9.0, 0.0)]
     df = spark.createDataFrame(pairs, "scan_id int, frame int, gt_id double, trk_id double, iou double")
