@@ -100,6 +100,11 @@ QUERIES = {
         """SELECT q.vec_id AS a, v.vec_id AS b, round(1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS distance
         FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id WHERE q.vec_id IN (SELECT item_id FROM benchmark)""",
     ),
+    "cosine_self_join": (
+        lambda s, d: M.cosine_distances(read(s, d, "embeddings")),
+        """SELECT q.vec_id AS a, v.vec_id AS b, round(1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS distance
+        FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id""",
+    ),
     "greedy_assign": (
         lambda s, d: G.greedy_assign(M.scored_pairs(_all(s, d).where("pos % 2 = 0"), _all(s, d).where("pos % 2 = 1"), FRAME), FRAME).select(*FRAME, "trk", "det", F.round("score", 6).alias("score")),
         None,

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom import schemas
-from fieldloom.operators import annotations, counting, evaluation, folds, geometry, ledger, timeseries, tracking
+from fieldloom.operators import annotations, counting, evaluation, folds, geometry, ledger, matching, timeseries, tracking
 from fieldloom.sources import readers, writers
 
 
@@ -241,3 +241,10 @@ def test_ellipsoid(spark):
     p = u / np.linalg.norm(u, axis=1)[:, None] * [3, 2, 1] + [5, 1, -2]
     got = measuring.ellipsoids(spark.createDataFrame([(0, *map(float, r)) for r in p], "g int, x double, y double, z double"), ["g"]).first()
     assert np.allclose([got.cx, got.cy, got.cz, got.rx, got.ry, got.rz], [5, 1, -2, 3, 2, 1])
+
+
+def test_cosine_distances_ask_for_every_vector(spark):
+    df = spark.createDataFrame([(k, k % 2, [1.0, float(k)]) for k in range(9)] + [(9, None, [1.0, 1.0])], "vec_id long, label int, embedding array<float>")
+    got = rows(matching.cosine_distances(df, blocks=3))
+    assert [(a, b) for a, b, _ in got] == [(a, b) for a in range(9) for b in range(9) if a != b and a % 2 == b % 2]
+    assert all(abs(d - (1 - (1 + a * b) / math.sqrt((1 + a * a) * (1 + b * b)))) < 1e-6 for a, b, d in got)
