@@ -25,10 +25,14 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; repeated rows of it are one. Rows without doc_id stay."""
+    """The document with the smallest doc_id of each group. Rows with its doc_id and one text are one, with the least
+    (lang, source, n_chars); different texts under its doc_id all stay. Rows without doc_id stay.
+    """
     kept = near_duplicates.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    with_id = docs.select(*COLUMNS).join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    with_id = docs.select(*COLUMNS).join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
+    rest = F.min(F.struct("lang", "source", "n_chars")).alias("rest")
+    one = with_id.groupBy("doc_id", F.md5("text").alias("__text")).agg(F.first("text").alias("text"), rest).select("doc_id", "text", "rest.*")
+    return one.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

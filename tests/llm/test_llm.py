@@ -373,3 +373,11 @@ def test_pipeline_is_its_stages(spark):
     assert at["near_duplicates"] == left and at["mixing"] <= left and at["sentencepiece"] == at["mixing"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == at["sentencepiece"]
     assert corpus_pipeline.STAGES[2][1](spark, docs(spark, EDGES), SF).count() == len({i for i, _ in EDGES})
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "t u v w x y z"), (2, "h i j k l m n")]
+    got = corpus_pipeline.without_near_duplicates(spark, docs(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(set(rows))
