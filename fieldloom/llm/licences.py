@@ -62,7 +62,9 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     occur. Of several templates, the best stays, then the first by name. Null and blank texts have no unit; repeated rows
     count once; a null doc_id is kept. Extra columns are ignored; an empty table gives an empty result.
 
-    Sizes are bounded before bigrams are made; only bigrams of some template of a fitting size leave a task, and the templates (given
+    A licence is found only where it fills a unit: one inside a longer line, over lines beside other text, or over several blocks is not.
+
+    Sizes are bounded before bigrams are made; only bigrams of some template of a fitting size leave a task, once for each place of a unit, and the templates (given
     by the caller, some hundred rows) are broadcast.
     """
     spark = docs.sparkSession
@@ -77,11 +79,11 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     blocks = F.when(F.col("text").rlike(r"\n[ \t\r]*\n"), F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda x, k: unit("block", k, _words(x)))).otherwise(no_units)
     whole = F.when(F.size("lines") > 1, F.array(unit("text", F.lit(0), F.flatten("lines")))).otherwise(no_units)
     fitting = F.filter(F.concat(lines, blocks, whole), lambda u: F.size(u["words"]).between(low + 1, high + 1))
-    units = words.select("doc_id", F.explode(fitting).alias("u")).select("doc_id", "u.unit", "u.position", F.col("u.words").alias("words"))
+    units = words.select("doc_id", F.explode(fitting).alias("u")).select("doc_id", "u.unit", "u.position", F.col("u.words").alias("words"), F.xxhash64("u.words").alias("of"))
     pairs = F.transform(F.expr("slice(words, 1, size(words) - 1)"), lambda x, k: F.concat(x, F.lit(" "), F.get("words", k + 1)))
-    grams = units.select("doc_id", "unit", "position", (F.size("words") - 1).alias("n"), F.explode(pairs).alias("bigram"))
-    met = grams.join(F.broadcast(known), "bigram").where("n between low and high")
-    key = ["doc_id", "unit", "position", "n", "licence", "number"]
+    grams = units.select("doc_id", "unit", "position", "of", (F.size("words") - 1).alias("n"), F.posexplode(pairs).alias("place", "bigram"))
+    key = ["doc_id", "unit", "position", "of", "n", "licence", "number"]
+    met = grams.join(F.broadcast(known), "bigram").where("n between low and high").dropDuplicates([*key, "place"])
     shared = met.groupBy(*key, "bigram", "size").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
     scored = shared.groupBy(*key, "size").agg(F.sum("shared").alias("shared")).select("*", (2.0 * F.col("shared") / (F.col("n") + F.col("size"))).alias("dice")).where(F.col("dice") >= least)
     best = scored.groupBy("doc_id", "unit", "position").agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))

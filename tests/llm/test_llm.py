@@ -381,3 +381,10 @@ def test_pipeline_keeps_different_texts_of_one_id(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "t u v w x y z"), (2, "h i j k l m n")]
     got = corpus_pipeline.without_near_duplicates(spark, docs(spark, rows), SF).collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted(set(rows))
+
+
+def test_licences_count_repeated_rows_once(spark):
+    text = "Released under some other License. Under the MIT License."
+    once = licences.licence_scan(docs(spark, [(1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
+    twice = licences.licence_scan(docs(spark, [(1, text), (1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
+    assert len(once) == 1 and once == twice
