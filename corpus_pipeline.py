@@ -36,8 +36,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample that meets the raked shares of sources, languages and topics."""
-    return registry.mixed(docs.select(*COLUMNS)).where("__draw < __probability").select(*COLUMNS)
+    """A sample that meets the raked shares of sources and languages; the texts have no topic to rake."""
+    return registry.mixed(docs.select(*COLUMNS), registry.MIX_WITHOUT_TOPIC).where("__draw < __probability").select(*COLUMNS)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,8 +33,12 @@ MIX = mixing.Targets(
 )
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix(docs, MIX, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}, mixing.token_count())
+#: The same without topics, which the texts do not have.
+MIX_WITHOUT_TOPIC = mixing.Targets({d: s for d, s in MIX.shares.items() if d != "topic"}, MIX.rounds, MIX.seed)
+
+
+def mixed(docs: DataFrame, targets: mixing.Targets = MIX) -> DataFrame:
+    return mixing.mix(docs, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}, mixing.token_count())
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -388,3 +388,10 @@ def test_licences_count_repeated_rows_once(spark):
     once = licences.licence_scan(docs(spark, [(1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
     twice = licences.licence_scan(docs(spark, [(1, text), (1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
     assert len(once) == 1 and once == twice
+
+
+def test_pipeline_does_not_mix_by_the_first_word(spark):
+    import corpus_pipeline
+
+    rows = [(k, f"{'the' if k % 3 else f'w{k}'} word and more") for k in range(90)]
+    assert corpus_pipeline.to_target_weights(spark, docs(spark, rows), SF).count() == 90
