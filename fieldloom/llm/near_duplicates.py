@@ -10,12 +10,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import WordHasher, grouped_words, materialise, mixed_bits, rows_within, shingle_set, text_groups
 from .components import connected_components
 
 
+#: Exclusive-or with one of these orders the documents of a bucket anew, for a second pivot.
+_SALTS = (0x2545F4914F6CDD1D, 0x1D8E4E27C47D124F, 0x5DEECE66D1234567)
+
+
 @dataclass(frozen=True)
 class Params:
     """Two texts are linked if `percent` of the union of their shingles is shared.
@@ -158,7 +161,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     the same are one node. A null doc_id stays alone (component null, kept). An empty table gives an empty result.
 
     Equal word sequences are folded first, so that a group of copies costs one signature in the bands. In each bucket,
-    members are compared with at most two pivots (smallest id, smallest salted hash); only members that are still in
+    members are compared with at most two pivots (smallest id, first id in another order); only members that are still in
     different components meet in pairs, those whose sizes and sketches allow a link. Every such link is confirmed on
     the full sets, so that no bucket has a cap.
     """
@@ -167,16 +170,17 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     schema = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, " + ", ".join(f"{s} long" for s in p.sketch)
     signed = materialise(documents.mapInArrow(_sign(p), schema), "signed")
 
-    copies = signed.where("k1 is not null and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_of"))
-    wide = signed.where("k1 is not null").join(copies, ["k1", "k2"]).where("doc_id = copy_of")
-    wide = wide.dropDuplicates(["k1", "k2"])
-
-    banded = wide.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "h"))
-    bucket = Window.partitionBy("h")
-    salted = F.xxhash64("rep", F.pmod("h", F.lit(3)))
-    met = banded.select(
-        "h", "band", "rep", F.min("rep").over(bucket).alias("first"), F.max("rep").over(bucket).alias("last"), F.min(F.struct(salted.alias("salted"), "rep")).over(bucket)["rep"].alias("other")
-    ).where("first <> last")
+    worded = signed.where("k1 is not null and doc_id is not null")
+    copies = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_of"))
+    # Repeated rows fold where they are read, and of a group of copies only the first meets the join, so that no key gathers a group.
+    firsts = copies.select("k1", "k2", F.col("copy_of").alias("doc_id"))
+    wide = worded.select("k1", "k2", "doc_id", "bands").dropDuplicates(["k1", "k2", "doc_id"]).join(firsts, ["k1", "k2", "doc_id"], "left_semi")
+
+    banded = materialise(wide.select("doc_id", "bands"), "distinct").select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "h"))
+    # A bucket's pivots are partial minima that are joined back, so that the members of a full bucket may be split over tasks.
+    salt = F.element_at(F.array(*(F.lit(m) for m in _SALTS)), (F.pmod("h", F.lit(len(_SALTS))) + 1).cast("int"))
+    buckets = banded.groupBy("h").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.min(F.col("rep").bitwiseXOR(salt)).alias("salted")).where("first <> last")
+    met = banded.join(buckets.select("h", "first", F.col("salted").bitwiseXOR(salt).alias("other")), "h")
     met = materialise(met.select("h", "band", "rep", "first", "other"), "buckets")
     reps = signed.where("k1 is not null").select(F.col("doc_id").alias("rep"), "n_shingles", "bands", *p.sketch)
     features = materialise(reps.join(met.select("rep").distinct(), "rep", "left_semi").distinct(), "features")
@@ -191,8 +195,9 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
 
     # Members of a bucket that are not yet in one component. A pair comes from the first band that it shares, and from that one only.
     tagged = met.select("h", "band", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h", "band", "rep", F.coalesce("component", "rep").alias("part"))
-    tagged = tagged.select("*", F.min("part").over(bucket).alias("lo"), F.max("part").over(bucket).alias("hi")).where("lo <> hi")
-    full = materialise(tagged.select("h", "band", "rep", "part").join(features, "rep"), "apart")
+    tagged = materialise(tagged, "tagged")
+    open_ = tagged.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("h")
+    full = materialise(tagged.join(open_, "h", "left_semi").join(features, "rep"), "apart")
     first_shared = F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), F.lit(True)) == F.col("a.band") + 1
     rest = full.alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part")) & _alike(p, "a", "b") & first_shared)
     rest = rest.select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
