@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import materialise
@@ -16,12 +17,15 @@ from .common import materialise
 
 @dataclass(frozen=True)
 class Params:
-    """`shard_rows`: distinct vectors of a shard, about; `degree`, `beam`, `alpha`: bounds of the graph and its pruning;
+    """`shard_rows`: distinct vectors of a shard, at most about; `most_pivots`: regions that the vectors are cut into, at most about;
+    `probes`: regions that a query visits, the nearest by their pivots; `degree`, `beam`, `alpha`: bounds of the graph and its pruning;
     `query_beam`: width of the search; `batch`: points inserted or queries searched together; `query_block`: queries
     that a task takes at once."""
 
     k: int = 10
     shard_rows: int = 4000
+    most_pivots: int = 16_384
+    probes: int = 16
     degree: int = 32
     beam: int = 48
     alpha: float = 1.2
@@ -31,13 +35,22 @@ class Params:
     seed: int = 5
 
 
-def _distances(queries: np.ndarray, points: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Squared distances of query q to points numbers[q, :]; -1 gives infinity."""
-    at = points[np.maximum(numbers, 0)]
-    gap = at - queries[:, None, :]
-    out = np.einsum("qnd,qnd->qn", gap, gap)
-    out[numbers < 0] = np.inf
-    return out
+class Points:
+    """Vectors of a shard in single precision about their mean, for comparing distances; exact distances are taken elsewhere."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.middle = vectors.mean(axis=0)
+        self.scale = max(1.0, float(np.abs(vectors).max()) / 1e15)  # squares stay within single precision
+        self.at = self.placed(vectors)
+        self.norms = np.einsum("nd,nd->n", self.at, self.at)
+
+    def placed(self, vectors: np.ndarray) -> np.ndarray:
+        return ((vectors - self.middle) / self.scale).astype(np.float32)
+
+    def apart(self, queries: np.ndarray, rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Squared distances of queries[rows] to the points of these numbers."""
+        own = np.einsum("qd,qd->q", queries, queries)
+        return np.maximum(self.norms[numbers] + own[rows] - 2 * np.einsum("nd,nd->n", self.at[numbers], queries[rows]), 0)
 
 
 def _once(numbers: np.ndarray) -> np.ndarray:
@@ -51,93 +64,93 @@ def _once(numbers: np.ndarray) -> np.ndarray:
     return out
 
 
-def beam_search(queries: np.ndarray, points: np.ndarray, links: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def beam_search(queries: np.ndarray, points: Points, links: np.ndarray, entry: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The `width` best points that greedy searches from `entry` meet, nearest first (-1 where fewer), and their squared distances.
 
-    All queries advance together; in each step a query expands its nearest unexpanded point, until all points of its beam are expanded.
+    All queries advance together; in each step a query expands its nearest unexpanded point, until all points of its beam are
+    expanded. A point's distance is taken once for each query that meets it.
     """
     many = len(queries)
-    start = np.tile(entry, (many, 1))
     beam = np.full((many, width), -1, np.int64)
-    near = np.full((many, width), np.inf)
+    near = np.full((many, width), np.inf, np.float32)
     done = np.zeros((many, width), bool)
-    m = min(width, start.shape[1])
-    first = _distances(queries, points, start)
-    order = np.argsort(first, axis=1, kind="stable")[:, :m]
-    beam[:, :m], near[:, :m] = np.take_along_axis(start, order, 1), np.take_along_axis(first, order, 1)
+    met = np.zeros((many, len(points.at)), bool)
+    beam[:, 0], near[:, 0], met[:, entry] = entry, points.apart(queries, np.arange(many), np.full(many, entry)), True
     active = np.arange(many)
     while len(active):
-        b, d, e = beam[active], near[active], done[active]
-        waiting = np.where(e | (b < 0), np.inf, d)
+        waiting = np.where(done[active], np.inf, near[active])
         pick = waiting.argmin(axis=1)
         going = np.isfinite(waiting[np.arange(len(active)), pick])
-        active, b, d, e, pick = active[going], b[going], d[going], e[going], pick[going]
+        active, pick = active[going], pick[going]
         if not len(active):
             break
-        rows = np.arange(len(active))
-        e[rows, pick] = True
-        around = links[b[rows, pick]]
-        seen = (around[:, :, None] == b[:, None, :]).any(axis=2)
-        around = np.where(seen, -1, around)
-        both = np.concatenate([b, around], axis=1)
-        far = np.concatenate([d, _distances(queries[active], points, around)], axis=1)
-        open_ = np.concatenate([e, np.zeros(around.shape, bool)], axis=1)
-        order = np.argpartition(far, width - 1, axis=1)[:, :width] if far.shape[1] > width else np.argsort(far, axis=1)
-        order = np.take_along_axis(order, np.argsort(np.take_along_axis(far, order, 1), axis=1, kind="stable"), 1)
-        beam[active] = np.take_along_axis(both, order, 1)
-        near[active] = np.take_along_axis(far, order, 1)
-        done[active] = np.take_along_axis(open_, order, 1)
-        beam[active] = np.where(np.isfinite(near[active]), beam[active], -1)
+        done[active, pick] = True
+        around = links[beam[active, pick]]
+        fresh = (around >= 0) & ~met[active[:, None], around]
+        rows, columns = np.nonzero(fresh)
+        numbers = around[rows, columns]
+        met[active[rows], numbers] = True
+        far = np.full(around.shape, np.inf, np.float32)
+        far[rows, columns] = points.apart(queries, active[rows], numbers)
+        gets = np.flatnonzero((far < near[active, -1][:, None]).any(axis=1))  # other beams stay as they are
+        if not len(gets):
+            continue
+        own = active[gets]
+        both = np.concatenate([near[own], far[gets]], axis=1)
+        order = np.argpartition(both, width - 1, axis=1)[:, :width]
+        order = np.take_along_axis(order, np.argsort(np.take_along_axis(both, order, 1), axis=1, kind="stable"), 1)
+        near[own] = np.take_along_axis(both, order, 1)
+        beam[own] = np.take_along_axis(np.concatenate([beam[own], around[gets]], axis=1), order, 1)
+        done[own] = np.take_along_axis(np.concatenate([done[own], np.zeros((len(own), around.shape[1]), bool)], axis=1), order, 1)
+        beam[own] = np.where(np.isfinite(near[own]), beam[own], -1)
     return beam, near
 
 
-def robust_prune(nodes: np.ndarray, candidates: np.ndarray, points: np.ndarray, alpha: float, degree: int) -> np.ndarray:
+def robust_prune(nodes: np.ndarray, candidates: np.ndarray, points: Points, alpha: float, degree: int) -> np.ndarray:
     """Out-neighbours (nodes, degree), -1 where fewer: the nearest candidate stays, and those that are alpha times nearer to it than to the node go, until none is left."""
     candidates = _once(np.where(candidates == nodes[:, None], -1, candidates))
-    near = _distances(points[nodes], points, candidates)
+    near = np.full(candidates.shape, np.inf, np.float32)
+    rows, columns = np.nonzero(candidates >= 0)
+    near[rows, columns] = points.apart(points.at[nodes], rows, candidates[rows, columns])
     order = np.argsort(near, axis=1, kind="stable")
-    candidates, near = np.take_along_axis(candidates, order, 1), np.take_along_axis(near, order, 1)
     width = int((candidates >= 0).sum(axis=1).max(initial=0))
-    candidates, near = candidates[:, :width], near[:, :width]
-    at = points[np.maximum(candidates, 0)]
-    norms = np.einsum("ncd,ncd->nc", at, at)
+    candidates, near = np.take_along_axis(candidates, order, 1)[:, :width], np.take_along_axis(near, order, 1)[:, :width]
+    at, norms = points.at[np.maximum(candidates, 0)], points.norms[np.maximum(candidates, 0)]
+    between = np.maximum(norms[:, :, None] + norms[:, None, :] - 2 * (at @ at.transpose(0, 2, 1)), 0)
     alive = candidates >= 0
     out = np.full((len(nodes), degree), -1, np.int64)
     rows = np.arange(len(nodes))
     for k in range(degree):
         if not alive.any():
             break
-        pick = np.argmax(alive, axis=1) if width else np.zeros(len(nodes), np.int64)
+        pick = np.argmax(alive, axis=1)
         some = alive[rows, pick]
         out[some, k] = candidates[rows, pick][some]
-        chosen = at[rows, pick]
-        between = np.maximum(norms + norms[rows, pick][:, None] - 2 * np.einsum("ncd,nd->nc", at, chosen), 0)
-        alive &= ~((alpha * alpha * between <= near) & some[:, None])
+        alive &= ~((alpha * alpha * between[rows, pick] <= near) & some[:, None])
         alive[rows, pick] = False
     return out
 
 
-def build_graph(points: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+def build_graph(vectors: np.ndarray, p: Params) -> tuple[np.ndarray, int]:
     """(links, entry): points are inserted in batches that double; each is searched for, pruned, and linked back to."""
-    n = len(points)
+    points, n = Points(vectors), len(vectors)
     rng = np.random.default_rng(p.seed)
     links = np.full((n, p.degree), -1, np.int64)
-    middle = int(np.einsum("nd,nd->n", points - points.mean(axis=0), points - points.mean(axis=0)).argmin())
+    entry = int(points.norms.argmin())
     order = rng.permutation(n)
-    order = np.concatenate([[middle], order[order != middle]])
-    entry = np.array([middle], np.int64)
+    order = np.concatenate([[entry], order[order != entry]])
     for again in range(2):  # a second pass sees the whole graph
         at = 1 if not again else 0
         while at < n:
             batch = order[at : at + (min(p.batch, max(1, at)) if not again else p.batch)]
-            found, _ = beam_search(points[batch], points, links, entry, p.beam)
+            found, _ = beam_search(points.at[batch], points, links, entry, p.beam)
             links[batch] = robust_prune(batch, np.concatenate([found, links[batch]], axis=1), points, p.alpha, p.degree)
             _link_back(batch, links, points, p)
             at += len(batch)
     return links, entry
 
 
-def _link_back(batch: np.ndarray, links: np.ndarray, points: np.ndarray, p: Params) -> None:
+def _link_back(batch: np.ndarray, links: np.ndarray, points: Points, p: Params) -> None:
     source = np.repeat(batch, p.degree)
     target = links[batch].ravel()
     source, target = source[target >= 0], target[target >= 0]
@@ -168,11 +181,63 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
     return embeddings.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(ok).withColumn("dim", F.size("v"))
 
 
-def build_index(embeddings: DataFrame, params: Params = Params()) -> DataFrame:
-    """(shard, node, links, v, ids) for each distinct vector: its place in the graph of its shard, its out-neighbours' places, and the smallest vec_ids that have it.
+def _to_pivots(pivots: dict[int, np.ndarray], most: int):
+    """Adds `cells` to batches that hold vectors `v`: the numbers of the `most` nearest pivots of their length, nearest first; 0 where a length has none."""
+
+    def run(batches):
+        for batch in batches:
+            vectors = batch.column(batch.schema.get_field_index("v"))
+            cells: list = [None] * len(vectors)
+            sizes = np.asarray(vectors.value_lengths())
+            for dim in np.unique(sizes):
+                rows = np.flatnonzero(sizes == dim)
+                if int(dim) not in pivots:
+                    for r in rows:
+                        cells[r] = [0]
+                    continue
+                to = pivots[int(dim)]
+                x = vectors.filter(pa.array(sizes == dim)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), int(dim))
+                for low in range(0, len(rows), 1024):
+                    far = (to**2).sum(axis=1)[None] - 2 * (x[low : low + 1024] @ to.T)
+                    nearest = np.argsort(far, axis=1, kind="stable")[:, :most]
+                    for r, own in zip(rows[low : low + 1024], nearest):
+                        cells[r] = own.tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
+
+    return run
+
+
+def _celled(rows: DataFrame, pivots: dict[int, np.ndarray], most: int) -> DataFrame:
+    return rows.mapInArrow(_to_pivots(pivots, most), T.StructType([*rows.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
+
+
+def choose_pivots(distinct: DataFrame, params: Params) -> dict[int, np.ndarray]:
+    """Vectors by length, about one for each `shard_rows` and no more than about `most_pivots`, chosen by hash: the bounded sample that the regions come from."""
+    p = params
+    sizes = distinct.groupBy("dim").agg(F.count("*").alias("n"))
+    every = F.greatest(F.lit(p.shard_rows), F.ceil(F.sum("n").over(Window.partitionBy()) / p.most_pivots)).cast("long")
+    chosen = distinct.join(F.broadcast(sizes.select("dim", every.alias("every"))), "dim").where(F.pmod(F.xxhash64("key", F.lit(13)), "every") == 0)
+    out: dict[int, list] = {}
+    for dim, v in chosen.select("dim", "v").orderBy("dim", "key").toLocalIterator():
+        out.setdefault(dim, []).append(v)
+    return {dim: np.array(v, np.float64) for dim, v in out.items()}
+
+
+@dataclass(frozen=True)
+class Index:
+    """`nodes`: (shard, node, entry, links, v, ids) for each distinct vector; `shards`: (dim, cell, shard); `pivots`: the cells' centres by length."""
+
+    nodes: DataFrame
+    shards: DataFrame
+    pivots: dict[int, np.ndarray]
+
+
+def build_index(embeddings: DataFrame, params: Params = Params()) -> Index:
+    """A graph for each shard of the distinct vectors: a vector's place in it, its out-neighbours' places, and the smallest vec_ids that have it.
 
     Equal vectors share a node with the k + 1 smallest of their different ids, so that no other copy can be among a query's k nearest;
-    repeated rows are folded before ids are ranked, and ids are ranked in salted groups first. Vectors of one length are dealt to shards by hash; a node's links may be empty.
+    repeated rows are folded before ids are ranked, and ids are ranked in salted groups first. A vector belongs to the region of its nearest
+    pivot; a region of over `shard_rows` vectors is dealt to several shards by hash. Each shard is built by a task of its own.
     """
     p = params
     usable = usable_vectors(embeddings).withColumn("key", F.xxhash64("v"))
@@ -180,64 +245,82 @@ def build_index(embeddings: DataFrame, params: Params = Params()) -> DataFrame:
     few = usable.select("key", "vec_id", "v", "dim").distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
     few = few.withColumn("r", near("key", "v", "salt")).where(f"r <= {p.k + 1}").withColumn("r", near("key", "v")).where(f"r <= {p.k + 1}")
     distinct = materialise(few.groupBy("key", "v", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
-    shards = distinct.groupBy("dim").agg(F.ceil(F.count("*") / p.shard_rows).cast("long").alias("shards"))
-    dealt = distinct.join(F.broadcast(shards), "dim").select(F.concat_ws("/", "dim", F.pmod(F.xxhash64("key", F.lit(7)), "shards")).alias("shard"), "v", "ids")
+    pivots = choose_pivots(distinct, p)
+    placed = materialise(_celled(distinct, pivots, 1).select("key", "v", "dim", "ids", F.get("cells", F.lit(0)).alias("cell")), "placed")
+    parts = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") / p.shard_rows).cast("int").alias("parts"))  # a row for each pivot
+    name = lambda part: F.concat_ws("/", "dim", "cell", part)
+    dealt = placed.join(F.broadcast(parts), ["dim", "cell"]).select(name(F.pmod(F.xxhash64("key", F.lit(7)), "parts")).alias("shard"), "v", "ids")
+    shards = materialise(parts.select("dim", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("dim", "cell", name("part").alias("shard")).coalesce(1), "shards")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.array(pdf["v"].tolist(), np.float64)
-        links, entry = build_graph(points, p)
-        return pd.DataFrame({"shard": pdf["shard"], "node": np.arange(len(pdf)), "entry": np.arange(len(pdf)) == entry[0], "links": [row[row >= 0] for row in links], "v": pdf["v"], "ids": pdf["ids"]})
+        links, entry = build_graph(np.array(pdf["v"].tolist(), np.float64), p)
+        return pd.DataFrame({"shard": pdf["shard"], "node": np.arange(len(pdf)), "entry": np.arange(len(pdf)) == entry, "links": [row[row >= 0] for row in links], "v": pdf["v"], "ids": pdf["ids"]})
 
-    return materialise(dealt.groupBy("shard").applyInPandas(build, "shard string, node long, entry boolean, links array<long>, v array<double>, ids array<long>"), "graph")
+    tasks = min(10_000, max(1, shards.count()))
+    spread = dealt.repartitionByRange(tasks, "shard")
+    nodes = spread.groupBy("shard").applyInPandas(build, "shard string, node long, entry boolean, links array<long>, v array<double>, ids array<long>")
+    return Index(materialise(nodes, "graph"), shards, pivots)
 
 
-def search_index(index: DataFrame, queries: DataFrame, params: Params = Params()) -> DataFrame:
+def search_index(index: Index, queries: DataFrame, params: Params = Params()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each query (query_id, v, dim) among the index, itself left out; ties go to the smaller vec_id.
 
-    The query set meets every shard of its vectors' length in blocks, and each block's k nearest of a shard are merged.
+    A query visits all shards of the `probes` regions whose pivots are nearest, so that an index of up to that many regions is searched as a whole.
+    Shards that more than `query_block` queries visit are searched in blocks. An id that has several vectors counts by its nearest.
     """
     p = params
-    blocks = max(1, math.ceil(queries.count() / p.query_block))
-    shards = index.select("shard").distinct().withColumn("dim", F.split("shard", "/")[0].cast("int"))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("long")).join(shards, "dim").select(F.col("shard").alias("of_shard"), F.col("block").alias("of_block"), "query_id", F.col("v").alias("q"))
-    nodes = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
+    visits = _celled(queries, index.pivots, p.probes).select("query_id", F.col("v").alias("q"), "dim", F.explode("cells").alias("cell"))
+    asked = visits.join(F.broadcast(index.shards), ["dim", "cell"]).select(F.col("shard").alias("of_shard"), "query_id", "q")
+    asked = materialise(asked, "asked")
+    loads = asked.groupBy("of_shard").agg(F.ceil(F.count("*") / p.query_block).cast("int").alias("blocks"))
+    blocks = loads.agg(F.max("blocks")).first()[0] or 1
+    nodes = index.nodes.withColumn("block", F.lit(0))
+    asked = asked.withColumn("of_block", F.lit(0))
+    if blocks > 1:
+        spread = loads.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        nodes = nodes.drop("block").join(spread.select(F.col("of_shard").alias("shard"), "block"), "shard")
+        asked = asked.drop("of_block").join(loads, "of_shard").withColumn("of_block", F.pmod(F.xxhash64("query_id", F.lit(3)), "blocks").cast("int")).drop("blocks")
 
     def search(nodes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(nodes) and len(asked):
             nodes = nodes.sort_values("node")
-            points = np.array(nodes["v"].tolist(), np.float64)
+            vectors = np.array(nodes["v"].tolist(), np.float64)
+            points = Points(vectors)
             width = max(1, max(map(len, nodes["links"])))
             links = np.full((len(nodes), width), -1, np.int64)
             for k, row in enumerate(nodes["links"]):
                 links[k, : len(row)] = row
-            entry = np.flatnonzero(nodes["entry"].to_numpy())
+            entry = int(np.flatnonzero(nodes["entry"].to_numpy())[0])
             ids, targets = nodes["ids"].tolist(), np.array(asked["q"].tolist(), np.float64)
             for low in range(0, len(asked), p.batch):
                 part = targets[low : low + p.batch]
-                found, _ = beam_search(part, points, links, entry, p.query_beam)
+                found, _ = beam_search(points.placed(part), points, links, entry, p.query_beam)
                 for query, q, row in zip(asked["query_id"].iloc[low : low + p.batch].tolist(), part, found):
                     row = row[row >= 0]
-                    exact = np.sqrt(((points[row] - q) ** 2).sum(axis=1))
-                    best = sorted({(s, i) for s, n in zip(exact.tolist(), row.tolist()) for i in ids[n] if i != query})[: p.k]
-                    for s, i in best:
+                    exact = np.sqrt(((vectors[row] - q) ** 2).sum(axis=1))
+                    nearest_of: dict = {}
+                    for s, i in sorted((s, i) for s, n in zip(exact.tolist(), row.tolist()) for i in ids[n] if i != query):
+                        nearest_of.setdefault(i, s)
+                    for i, s in list(nearest_of.items())[: p.k]:
                         out["query_id"].append(query)
                         out["vec_id"].append(i)
                         out["score"].append(s)
         return pd.DataFrame(out)
 
     met = nodes.groupBy("shard", "block").cogroup(asked.groupBy("of_shard", "of_block")).applyInPandas(search, "query_id long, vec_id long, score double")
+    met = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return met.distinct().withColumn("rank", rank).where(f"rank <= {p.k}").select("query_id", "rank", "vec_id", "score")
+    return met.withColumn("rank", rank).where(f"rank <= {p.k}").select("query_id", "rank", "vec_id", "score")
 
 
 def nearest(embeddings: DataFrame, is_query, params: Params = Params()) -> DataFrame:
     """The k nearest other rows of each row of `embeddings` (vec_id, embedding) for which the condition `is_query` holds, by Euclidean distance.
 
     Null ids and vectors that are null, empty, zero or hold null or non-finite components take no part. Repeated
-    rows count once; equal vectors under other ids are neighbours at distance 0. An id with several vectors
-    asks with the one of the smallest hash. An empty table gives an empty result.
+    rows count once; equal vectors under other ids are neighbours at distance 0. An id with several vectors asks with the first of
+    them by hash, then by components, and is found once, at its nearest. An empty table gives an empty result.
     """
-    queries = usable_vectors(embeddings.where(is_query)).select(F.col("vec_id").alias("query_id"), "v", "dim")
-    queries = materialise(queries.dropDuplicates(["query_id"]), "queries")
+    queries = usable_vectors(embeddings.where(is_query)).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct(F.xxhash64("v").alias("h"), "v", "dim")).alias("m")).select("query_id", "m.v", "m.dim")
+    queries = materialise(queries, "queries")
     return search_index(build_index(embeddings, params), queries, params)

@@ -173,6 +173,30 @@ def test_graph_search_folds_repeated_rows(spark):
         assert by[q] == [k for k in np.lexsort((np.arange(60), d)).tolist() if k != q][:10]
 
 
+def test_graph_search_over_many_regions(spark):
+    rng = np.random.default_rng(12)
+    x = (rng.normal(size=(20, 16))[rng.integers(0, 20, 2000)] * 3 + rng.normal(size=(2000, 16))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    p = graph_search.Params(shard_rows=50, probes=12, query_block=30)
+    index = graph_search.build_index(df, p)
+    assert index.shards.count() >= 40 and len(index.pivots[16]) > p.probes
+    found = collections.defaultdict(set)
+    for r in graph_search.nearest(df, F.col("vec_id") % 20 == 0, p).collect():
+        found[r.query_id].add(r.vec_id)
+    y, hits = x.astype(np.float64), 0
+    for q in range(0, 2000, 20):
+        d = ((y - y[q]) ** 2).sum(axis=1)
+        hits += len(found[q] & {k for k in np.argsort(d, kind="stable")[:11].tolist() if k != q})
+    assert hits / 1000 >= 0.9
+
+
+def test_graph_search_finds_an_id_with_several_vectors_once(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.05]), (3, [5.0, 5.0]), (4, [1e200, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in graph_search.nearest(df, F.col("vec_id") != 4).collect())
+    assert got == [(1, 1, 2), (1, 2, 3), (1, 3, 4), (2, 1, 1), (2, 2, 3), (2, 3, 4), (3, 1, 2), (3, 2, 1), (3, 3, 4)] or got[6:8] == [(3, 1, 1), (3, 2, 2)]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return sentencepiece.load_vocabulary(registry.VOCABULARY)
