@@ -17,30 +17,61 @@ _own_root: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`, which driver and executors share; one of our own only where it is unset."""
+    """The folder in `spark.checkpoint.dir`, or else the checkpoint folder of the context, which driver and executors share.
+
+    Only a session on one machine gets a folder of its own where both are unset; a cluster without one is an error.
+    """
     global _own_root
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own_root is None:
         _own_root = "file://" + tempfile.mkdtemp(prefix="spark-fieldloom-")
     return _own_root
 
 
+#: Paths of the tables written by this application, in order.
+_written: list[str] = []
+
+
+def _filesystem(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read back: lineage is cut, nothing is computed twice, and a lost executor costs a re-read.
 
-    The folder goes when the application ends.
+    The folder goes when the application ends, or with `materialised_alone`.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/fieldloom-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _written.append(path)
+    fs, target = _filesystem(spark, path)
+    fs.deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialised_alone(spark: SparkSession, make, label: str, last: DataFrame | None = None) -> DataFrame:
+    """`make()` written as a table, after which the tables that were written for it, and that of `last`, are deleted."""
+    before = len(_written)
+    out = materialise(make(), label)
+    own = _written.pop()
+    gone, kept = _written[before:], _written[:before]
+    if last is not None and kept:
+        files = last.inputFiles()
+        gone += [p for p in kept if files and p.rsplit("/", 1)[1] in files[0]]
+    for path in gone:
+        fs, target = _filesystem(spark, path)
+        fs.delete(target, True)
+    _written[:] = [*(p for p in kept if p not in gone), own]
+    return out
+
+
 def mixed_bits(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit words whose output bits all depend on all input bits."""
     x = x ^ (x >> np.uint64(30))
@@ -72,35 +103,43 @@ class WordHasher:
         self.powers = np.cumprod(np.full(n, _BASE, np.uint64), dtype=np.uint64)
         self.inverses = np.cumprod(np.full(n, _BASE_INVERSE, np.uint64), dtype=np.uint64)
 
-    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and start offsets of the words of `data` (uint8), worked through in segments cut at white space."""
-        hashes, starts, at = [], [], 0
+    def _segments(self, data: np.ndarray):
+        """(offset, start offsets, stop offsets, prefix sums) of segments cut at white space, so that no word is cut."""
+        at = 0
         while at < len(data):
             end = min(len(data), at + self.segment)
-            while end < len(data):  # on to white space, so that no word is cut
+            while end < len(data):
                 gap = np.flatnonzero(_IS_SPACE[data[end : end + self.segment]])
                 if len(gap):
                     end += int(gap[0])
                     break
                 end = min(len(data), end + self.segment)
-            h, s = self._segment(data[at:end])
-            hashes.append(h)
-            starts.append(s + at)
+            part = data[at:end]
+            edge = np.diff(np.concatenate(([0], (~_IS_SPACE[part]).view(np.int8), [0])))
+            if len(part) > len(self.powers):
+                self._grow(len(part) * 2)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(self.codes[part] * self.powers[: len(part)], out=sums[1:])
+            yield at, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), sums
             at = end
-        if not hashes:
+
+    def _hashed(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mixed_bits((sums[stop] - sums[start]) * self.inverses[start] + (stop - start).astype(np.uint64))
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and start offsets of the words of `data` (uint8), worked through in segments."""
+        parts = [(self._hashed(sums, start, stop), start + at) for at, start, stop, sums in self._segments(data)]
+        if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(hashes), np.concatenate(starts)
-
-    def _segment(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inside = ~_IS_SPACE[data]
-        edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if len(data) > len(self.powers):
-            self._grow(len(data) * 2)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.codes[data] * self.powers[: len(data)], out=sums[1:])
-        raw = (sums[stop] - sums[start]) * self.inverses[start]
-        return mixed_bits(raw + (stop - start).astype(np.uint64)), start
+        return np.concatenate([h for h, _ in parts]), np.concatenate([s for _, s in parts])
+
+    def words_and_beginnings(self, data: np.ndarray, sizes: tuple[int, ...]):
+        """Yields (whole, hashes, start offsets): the words, then the beginnings of each size of words that are long enough, hashed as words are."""
+        for at, start, stop, sums in self._segments(data):
+            yield True, self._hashed(sums, start, stop), start + at
+            for n in sizes:
+                own = start[stop - start >= n]
+                yield False, self._hashed(sums, own, own + n), own + at
 
 
 def windows(words: np.ndarray, size: int) -> np.ndarray:

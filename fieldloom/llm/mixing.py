@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,11 +15,17 @@ from .common import WORD, materialise
 
 @dataclass(frozen=True)
 class Targets:
-    """Wanted shares of tokens, for each dimension a value's share; values not named share what is left, as one class named None."""
+    """Wanted shares of tokens, for each dimension a value's share; values not named share what is left, as one class named None.
+
+    Targets that contradict each other or the cells that there are do not settle: if factors still move by over `close` of themselves after
+    `rounds`, a warning says so, or an error if `strict`.
+    """
 
     shares: dict[str, dict[str, float]]
     rounds: int = 30
     seed: str = "mix-1"
+    close: float = 1e-4
+    strict: bool = False
 
 
 def token_count(text: str = "text") -> Column:
@@ -25,10 +33,22 @@ def token_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def topic_of(text: str = "text", topics: int = 4) -> Column:
-    """A stand-in for a topic model: t0 ... by checksum of the text's first word, lower-cased in A-Z; empty texts are t0."""
-    first = F.translate(F.coalesce(F.regexp_extract(F.col(text), WORD, 0), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.concat(F.lit("t"), F.pmod(F.conv(F.substring(F.md5(first), 1, 4), 16, 10).cast("long"), F.lit(topics)).cast("string"))
+def topic_by_words(lists: dict[str, list[str]], text: str = "text") -> Column:
+    """The topic with the most words of its list in the whole text; of equals the first by name, null where no list has a word there.
+
+    Words are those between ASCII white space, compared without regard to the case of A-Z. Lists are given by the caller, in lower case.
+    """
+    edge = r"[^\x20\x09-\x0D]"
+    every = "|".join(sorted({re.escape(w) for words in lists.values() for w in words}, key=lambda w: (-len(w), w)))
+    found = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"(?i)(?<!{edge})(?:{every})(?!{edge})"), F.lit(0))
+    found = F.transform(found, lambda w: F.translate(w, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+    def counted(topic: str) -> Column:
+        return F.struct((-F.size(F.filter(found, lambda w: w.isin(lists[topic])))).alias("less"), F.lit(topic).alias("topic"))
+
+    counts = [counted(t) for t in sorted(lists)]
+    best = F.array_min(F.array(*counts))
+    return F.when(best["less"] < 0, best["topic"])
 
 
 def uniform_draw(doc_id: str, seed: str) -> Column:
@@ -66,6 +86,12 @@ def rake(cells: DataFrame, targets: Targets) -> DataFrame:
             factors[d] = new
         if moved < 1e-10:
             break
+    else:
+        if moved > targets.close:
+            said = f"raking did not settle in {targets.rounds} rounds: a factor still moves by {moved:.1e} of itself"
+            if targets.strict:
+                raise RuntimeError(said)
+            warnings.warn(said, stacklevel=2)
     return cells.withColumn("weight", scaled())
 
 

@@ -21,9 +21,9 @@ _WHITE = b" \t\n\r\x0b\x0c"
 class Limits:
     """Rules for words, and bands of compression ratios (bytes / compressed bytes).
 
-    `bands` holds (texts under so many bytes, least ratio, greatest ratio). A text outside its band fails, and so does one of
-    which over `chunk_share` of the chunks of `chunk` bytes lie outside `chunk_band`. A last chunk of under half
-    the size is left out, unless it is the only one; a text of under one whole chunk is judged as a whole only.
+    `bands` holds (under so many bytes, least ratio, greatest ratio) for whole texts, `chunk_bands` the same for the pieces of `chunk` bytes
+    that a text is cut into, its shorter last piece included. A text outside its band fails, and so does one of which over
+    `chunk_share` of the bytes lie in pieces outside theirs.
     """
 
     least_words: int = 10
@@ -31,8 +31,15 @@ class Limits:
     window: int = 5
     level: int = 3
     chunk: int = 4096
-    chunk_band: tuple[float, float] = (1.35, 3.2)
     chunk_share: float = 0.2
+    chunk_bands: tuple[tuple[float, float, float], ...] = (
+        (100, 0.0, 2.0),
+        (300, 0.85, 2.2),
+        (600, 1.1, 2.4),
+        (1500, 1.2, 2.7),
+        (4000, 1.35, 2.9),
+        (float("inf"), 1.35, 3.2),
+    )
     bands: tuple[tuple[float, float, float], ...] = (
         (100, 0.0, 2.0),
         (300, 0.85, 2.2),
@@ -72,18 +79,20 @@ def _ratio(compressor, piece: bytes) -> float:
     return len(piece) / len(compressor.compress(piece))
 
 
+def _outside(size: int, ratio: float, bands) -> bool:
+    low, high = next((a, b) for most, a, b in bands if size < most)
+    return not low <= ratio <= high
+
+
 def compression_verdict(compressor, text: bytes, limits: Limits) -> tuple[float, float, bool]:
-    """The ratio of the whole text, the share of chunks outside their band, and whether both are within bounds."""
+    """The ratio of the whole text, the share of its bytes in pieces outside their band, and whether both are within bounds."""
     if not text:
         return 0.0, 0.0, True
     whole = _ratio(compressor, text)
-    low, high = next((a, b) for most, a, b in limits.bands if len(text) < most)
-    chunks = [text[k : k + limits.chunk] for k in range(0, len(text), limits.chunk)] if len(text) >= limits.chunk else []
-    if chunks and len(chunks[-1]) < limits.chunk // 2:
-        chunks.pop()
-    outside = [not limits.chunk_band[0] <= _ratio(compressor, c) <= limits.chunk_band[1] for c in chunks]
-    share = sum(outside) / len(outside) if outside else 0.0
-    return whole, share, low <= whole <= high and share <= limits.chunk_share
+    pieces = [text[k : k + limits.chunk] for k in range(0, len(text), limits.chunk)]
+    ratios = [whole] if len(pieces) == 1 else [_ratio(compressor, c) for c in pieces]
+    share = sum(len(c) for c, r in zip(pieces, ratios) if _outside(len(c), r, limits.chunk_bands)) / len(text)
+    return whole, share, not _outside(len(text), whole, limits.bands) and share <= limits.chunk_share
 
 
 _MEASURES = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "kept": "boolean", "ratio": "double", "bad_chunk_share": "double"}
@@ -112,7 +121,7 @@ def _measured(limits: Limits, at: int):
 
 
 def with_quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """`docs` with the measures of each text in columns `__q_n_words` ... `__q_kept`; see `quality` for what they mean. Columns of these names are replaced."""
+    """`docs` with the measures of each text in columns `__q_n_words` ... `__q_kept`; see `quality` for what they mean. Columns of these names are replaced; an empty table stays empty."""
     docs = docs.drop(*(f"__q_{m}" for m in _MEASURES))
     docs = docs.withColumn("text", F.col("text").cast("string"))
     schema = T.StructType(list(docs.schema.fields))
@@ -126,7 +135,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Words are runs of anything but ASCII white space, word_chars their code points, n_symbols the characters `#*$%&|<>`,
     n_dup_lines the lines with a word that equal an earlier line, n_repeat_words the words in runs of five found twice
-    or more. kept is false if base_failed, or if the compression ratio of the text or of too many chunks is outside its band.
+    or more. kept is false if base_failed, or if the compression ratio of the text, or of pieces with too many of its bytes, is outside its band.
     A null or empty text has zero words, so that it fails. Texts are worked through whole, in groups of half a
     megabyte; repeated rows are each judged. An empty table gives an empty result.
     """

@@ -15,6 +15,11 @@ from . import chat, graph_search, licences, mixing, near_duplicates, quality_rul
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def vocabulary(spark: SparkSession) -> sentencepiece.Vocabulary:
+    """That of the file in the setting `spark.fieldloom.vocabulary`, or else of VOCABULARY."""
+    return sentencepiece.load_vocabulary(spark.conf.get("spark.fieldloom.vocabulary", VOCABULARY))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,22 +28,24 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents"))
 
 
-#: Wanted shares: the large source and English are held back a little, topics are levelled.
+#: The topics that the texts are told apart by: small words of the four languages, of being, of place and of relation.
+TOPICS = {
+    "being": ["is", "was", "are", "be", "ist", "war", "sind", "sein", "est", "son", "sont", "fue", "es"],
+    "place": ["in", "on", "at", "from", "im", "auf", "aus", "an", "dans", "sur", "en", "sobre"],
+    "relation": ["to", "for", "with", "by", "zu", "mit", "für", "von", "pour", "par", "avec", "con", "por", "para"],
+}
+#: Wanted shares: every source by name, one of them far from its natural share; English is held back; topics are levelled.
 MIX = mixing.Targets(
     {
-        "source": {"src0": 0.3, "src1": 0.035, "src2": 0.035, "src3": 0.035},
+        "source": {f"src{k}": 0.24 if k == 0 else 0.039 for k in range(20)},
         "lang": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
-        "topic": {"t0": 0.25, "t1": 0.25, "t2": 0.25, "t3": 0.25},
+        "topic": {"being": 0.32, "place": 0.32, "relation": 0.32},
     }
 )
 
 
-#: The same without topics, which the texts do not have.
-MIX_WITHOUT_TOPIC = mixing.Targets({d: s for d, s in MIX.shares.items() if d != "topic"}, MIX.rounds, MIX.seed)
-
-
 def mixed(docs: DataFrame, targets: mixing.Targets = MIX) -> DataFrame:
-    return mixing.mix(docs, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}, mixing.token_count())
+    return mixing.mix(docs, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_by_words(TOPICS)}, mixing.token_count())
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +79,7 @@ def op6_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(table(spark, sf_dir, "documents"), sentencepiece.load_vocabulary(VOCABULARY))
+    return sentencepiece.encode(table(spark, sf_dir, "documents"), vocabulary(spark))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +173,10 @@ def _mix_sql(rounds: int = 30) -> str:
     for d, s in MIX.shares.items():
         share[d] = share[d].replace("{d}", d).replace("{rest!r}", repr(max(0.0, 1 - sum(s.values()))))
     named = {d: ", ".join(f"'{v}'" for v in s) for d, s in MIX.shares.items()}
+    words = "list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+    held = {t: f"len(list_filter({words}, lambda w: w IN ({', '.join(map(repr, own))})))" for t, own in TOPICS.items()}
+    most = f"greatest({', '.join(held.values())})"
+    topic = f"CASE WHEN {most} = 0 THEN NULL " + " ".join(f"WHEN {held[t]} = {most} THEN '{t}'" for t in sorted(held)) + " END"
     steps, before = [], "w0"
     k = 0
     for _ in range(rounds):
@@ -180,7 +191,7 @@ def _mix_sql(rounds: int = 30) -> str:
 WITH docs AS (
   SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
          CASE WHEN source IN ({named['source']}) THEN source END AS source, CASE WHEN lang IN ({named['lang']}) THEN lang END AS lang,
-         't' || (('0x' || substr(md5(translate(regexp_extract(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 1, 4))::BIGINT % 4) AS topic
+         {topic} AS topic
   FROM documents),
 cells AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY ALL),
 w0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS weight, {share['source']}::DOUBLE AS wanted_source, {share['lang']}::DOUBLE AS wanted_lang, {share['topic']}::DOUBLE AS wanted_topic FROM cells WHERE tokens > 0),
@@ -189,7 +200,7 @@ ratios AS (SELECT source, lang, topic, weight / tokens AS ratio FROM {before}),
 found AS (
   SELECT d.*, coalesce(ratio / (SELECT max(ratio) FROM ratios), 0.0) AS probability,
          ('0x' || substr(md5(doc_id || ':{MIX.seed}'), 1, 8))::BIGINT / 4294967296.0 AS draw
-  FROM docs d LEFT JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic = r.topic)
+  FROM docs d LEFT JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic IS NOT DISTINCT FROM r.topic)
 SELECT doc_id, n_tokens::BIGINT AS n_tokens, source AS source_class, lang AS lang_class, topic, round(probability, 6) AS probability, draw < probability AS kept FROM found
 """
 

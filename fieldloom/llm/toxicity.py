@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import WordHasher, materialise, text_groups
 
 
 @dataclass(frozen=True)
@@ -48,17 +48,41 @@ def features(text: bytes) -> set[bytes]:
 
 @dataclass(frozen=True)
 class Model:
+    """Features with their weights. A score is the logistic function of the bias and the weights of the features that a text holds, each once."""
+
     numbers: dict[bytes, int]
     weights: np.ndarray
     bias: float
 
-    def score(self, text: bytes) -> float:
-        """Only words whose beginning or whole is known are looked at closely; the sum runs in a fixed order."""
-        words = set(text.lower().split())
-        found = {n for n in map(self.numbers.get, [w + b" " for w in words]) if n is not None}
-        for size in BEGINNINGS:
-            found.update(n for n in map(self.numbers.get, {w[:size] for w in words if len(w) >= size}) if n is not None)
-        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[sorted(found)].sum(), -30, 30))))
+    def scorer(self):
+        """A function from many texts to their scores. Words are looked up by 64-bit hashes, and of those only with a hash whose top bits some feature shares."""
+        hasher = WordHasher()
+        one = lambda word: hasher.words(np.frombuffer(word, np.uint8))[0][0]
+        keys = np.array([one(w[:-1]) if w.endswith(b" ") else one(w) ^ _BEGINNING for w in self.numbers], np.uint64)
+        order = np.argsort(keys)
+        keys, places = keys[order], np.fromiter(self.numbers.values(), np.int64)[order]
+        near = np.zeros(1 << 16, bool)
+        near[(keys >> np.uint64(48)).astype(np.int64)] = True
+        width = max(1, len(self.weights))
+
+        def score(texts: list[bytes]) -> np.ndarray:
+            ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+            found = [np.zeros(0, np.int64)]
+            for whole, hashes, starts in hasher.words_and_beginnings(np.frombuffer(b"\n".join(texts), np.uint8), BEGINNINGS) if len(keys) else ():
+                hashes = hashes if whole else hashes ^ _BEGINNING
+                likely = np.flatnonzero(near[(hashes >> np.uint64(48)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(keys, hashes[likely]), len(keys) - 1)
+                hit = keys[at] == hashes[likely]
+                found.append(np.searchsorted(ends, starts[likely[hit]], side="right") * width + places[at[hit]])
+            once = np.unique(np.concatenate(found))
+            sums = self.bias + np.bincount(once // width, self.weights[once % width] if len(self.weights) else None, len(texts))
+            return 1 / (1 + np.exp(-np.clip(sums, -30, 30)))
+
+        return score
+
+
+#: Parts the hashes of beginnings from those of whole words.
+_BEGINNING = np.uint64(0x5851F42D4C957F2D)
 
 
 def fold_of(doc_id: str = "doc_id"):
@@ -157,9 +181,10 @@ def with_scores(docs: DataFrame, model: Model, name: str = "__toxicity") -> Data
     docs = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
+        score = model.scorer()
         for batch in batches:
-            scores = [model.score(t.as_py() or b"") for t in batch.column(at).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
+            scores = [score(parts) for _, parts in text_groups(batch.column(at).cast(pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
