@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import warnings
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import WORD, materialise
+from .common import materialise
 
 
 @dataclass(frozen=True)
@@ -28,27 +28,23 @@ class Targets:
     strict: bool = False
 
 
-def token_count(text: str = "text") -> Column:
-    """Words of a text; a null has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+def with_topics(docs: DataFrame, lists: dict[str, list[str]], default: str | None = None, text: str = "text") -> DataFrame:
+    """`docs` with `__words`, the number of words of the whole text, and `__topic`, the topic with the most words of its list there.
 
-
-def topic_by_words(lists: dict[str, list[str]], text: str = "text") -> Column:
-    """The topic with the most words of its list in the whole text; of equals the first by name, null where no list has a word there.
-
-    Words are those between ASCII white space, compared without regard to the case of A-Z. Lists are given by the caller, in lower case.
+    Of equal topics it is the first by name, and `default` where no list has a word in the text. Words lie between ASCII white space and
+    are lower-cased; lists are given by the caller, in lower case. A text is cut once, and only words of some list are told apart by topic.
     """
-    edge = r"[^\x20\x09-\x0D]"
-    every = "|".join(sorted({re.escape(w) for words in lists.values() for w in words}, key=lambda w: (-len(w), w)))
-    found = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"(?i)(?<!{edge})(?:{every})(?!{edge})"), F.lit(0))
-    found = F.transform(found, lambda w: F.translate(w, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    docs = docs.drop("__words", "__topic")
+    every = sorted({w for words in lists.values() for w in words})
+    cut = docs.withColumn("__cut", F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[\x20\x09-\x0D]"))
+    held = cut.select(*docs.columns, F.size(F.filter("__cut", lambda w: w != "")).cast("long").alias("__words"), F.filter("__cut", lambda w: w.isin(every)).alias("__held"))
 
     def counted(topic: str) -> Column:
-        return F.struct((-F.size(F.filter(found, lambda w: w.isin(lists[topic])))).alias("less"), F.lit(topic).alias("topic"))
+        return F.struct((-F.size(F.filter("__held", lambda w: w.isin(lists[topic])))).alias("less"), F.lit(topic).alias("topic"))
 
-    counts = [counted(t) for t in sorted(lists)]
-    best = F.array_min(F.array(*counts))
-    return F.when(best["less"] < 0, best["topic"])
+    none = F.struct(F.lit(0).alias("less"), F.lit(None).cast("string").alias("topic"))  # sorts before the topics without a word
+    best = F.array_min(F.array(none, *(counted(t) for t in sorted(lists))))["topic"]
+    return held.select(*docs.columns, "__words", F.coalesce(best, F.lit(default)).alias("__topic"))
 
 
 def uniform_draw(doc_id: str, seed: str) -> Column:
@@ -62,44 +58,45 @@ def classed(column: Column, shares: dict[str, float]) -> Column:
     return F.when(column.isin(*shares), column)
 
 
+#: Rounds of raking that one job takes.
+_BLOCK = 10
+
+
 def rake(cells: DataFrame, targets: Targets) -> DataFrame:
     """`cells` (a column for each dimension, tokens) with `weight`, the raked share of all tokens that a cell is to have.
 
-    Each half-step multiplies the cells by wanted / present share of one dimension. Present shares are a grouped sum with a row for
-    each class of the targets, which the caller has given as a dict, so that they pass through the driver; factors go back as a
-    literal map. Classes without tokens give up their share to the others of their dimension.
+    Each half-step multiplies the cells by wanted / present share of one dimension. The cells, as many as the product of the targets' classes
+    at most, are one partition, so that the half-steps of ten rounds are windows of one stage; between such blocks the weights go to the
+    shared folder, and only their greatest move reaches the driver. Classes without tokens give up their share to the others of their dimension.
     """
-    dims = list(targets.shares)
-    factors: dict[str, dict[str | None, float]] = {d: {} for d in dims}
-
-    def scaled(but: str | None = None) -> Column:
-        return reduce(lambda x, d: x * _looked_up(d, factors[d]), [d for d in dims if d != but], F.col("tokens").cast("double"))
-
-    for _ in range(targets.rounds):
-        moved = 0.0
-        for d in dims:
-            present = {r[d]: r["present"] for r in cells.groupBy(d).agg(F.sum(scaled(d)).alias("present")).collect() if r["present"]}
-            wanted = {v: targets.shares[d].get(v, 0.0) if v is not None else max(0.0, 1 - sum(targets.shares[d].values())) for v in present}
-            whole = sum(wanted.values()) or 1.0
-            new = {v: wanted[v] / whole / present[v] for v in present}
-            moved = max([moved, *(abs(new[v] - factors[d].get(v, 1.0)) / max(new[v], 1e-300) for v in new)])
-            factors[d] = new
+    dims, live = list(targets.shares), F.col("tokens") > 0
+    now = cells.coalesce(1).withColumn("weight", F.when(live, F.col("tokens").cast("double")).otherwise(0.0))
+    for d in dims:
+        rest = max(0.0, 1 - sum(targets.shares[d].values()))
+        wanted = reduce(lambda w, kv: w.when(F.col(d) == kv[0], F.lit(float(kv[1]))), targets.shares[d].items(), F.when(F.lit(False), F.lit(0.0))).otherwise(F.lit(rest))
+        now = now.withColumn(f"__want_{d}", F.when(live, wanted))
+        part = F.col(f"__want_{d}") / F.sum(live.cast("int")).over(Window.partitionBy(d))  # a class counts once, however many cells it has
+        now = now.withColumn("__part", part).withColumn(f"__want_{d}", F.try_divide(F.col(f"__want_{d}"), F.sum("__part").over(Window.partitionBy()))).drop("__part")
+    taken, moved = 0, 0.0
+    while taken < targets.rounds:
+        block = min(_BLOCK, targets.rounds - taken)
+        for k in range(block):
+            now = now.withColumn("__move", F.lit(0.0)) if k == block - 1 else now
+            for d in dims:
+                now = now.withColumn("__step", F.coalesce(F.try_divide(F.col(f"__want_{d}"), F.sum("weight").over(Window.partitionBy(d))), F.lit(0.0)))
+                moves = [F.greatest("__move", F.when(live, F.abs(F.col("__step") - 1)).otherwise(0.0)).alias("__move")] if k == block - 1 else []
+                now = now.select(*(c for c in now.columns if c not in ("weight", "__step", *(["__move"] if moves else []))), (F.col("weight") * F.col("__step")).alias("weight"), *moves)
+        now = materialise(now, "raked").coalesce(1)
+        moved = now.agg(F.max("__move")).first()[0] or 0.0
+        taken += block
         if moved < 1e-10:
             break
-    else:
-        if moved > targets.close:
-            said = f"raking did not settle in {targets.rounds} rounds: a factor still moves by {moved:.1e} of itself"
-            if targets.strict:
-                raise RuntimeError(said)
-            warnings.warn(said, stacklevel=2)
-    return cells.withColumn("weight", scaled())
-
-
-def _looked_up(dim: str, factor: dict) -> Column:
-    if not factor:
-        return F.lit(1.0)
-    branches = reduce(lambda w, kv: w.when(F.col(dim).eqNullSafe(F.lit(kv[0])), F.lit(float(kv[1]))), list(factor.items()), F.when(F.lit(False), F.lit(0.0)))
-    return branches.otherwise(F.lit(0.0))
+    if moved > targets.close:
+        said = f"raking did not settle in {taken} rounds: a class is still moved by {moved:.1e} of itself"
+        if targets.strict:
+            raise RuntimeError(said)
+        warnings.warn(said, stacklevel=2)
+    return now.select(*cells.columns, "weight")
 
 
 def mix(docs: DataFrame, targets: Targets, dims: dict[str, Column], tokens: Column) -> DataFrame:
@@ -116,14 +113,13 @@ def mix(docs: DataFrame, targets: Targets, dims: dict[str, Column], tokens: Colu
     docs = docs.drop("__tokens", "__cell", "__ratio", "__probability", "__draw")
     cells_bound = reduce(lambda x, d: x * (len(targets.shares[d]) + 1), targets.shares, 1)
     ready = docs.select("*", tokens.alias("__tokens"), F.struct(*(classed(dims[d], targets.shares[d]).alias(d) for d in targets.shares)).alias("__cell"))
-    cells = materialise(ready.groupBy(*(F.col(f"__cell.{d}").alias(d) for d in targets.shares)).agg(F.sum("__tokens").alias("tokens")), "cells").cache()
+    cells = materialise(ready.groupBy(*(F.col(f"__cell.{d}").alias(d) for d in targets.shares)).agg(F.sum("__tokens").alias("tokens")), "cells")
     raked = rake(cells, targets)
     total = F.lit(float(cells.agg(F.sum("tokens")).first()[0] or 0))
     ratios = raked.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") * total / F.col("tokens")).otherwise(0.0))
     greatest = ratios.agg(F.max("ratio")).first()[0] or 1.0
     ratios = ratios.select(F.to_json(F.struct(*targets.shares), {"ignoreNullFields": "false"}).alias("__key"), F.col("ratio").alias("__ratio"), (F.col("ratio") / F.lit(greatest)).alias("__probability"))
     ratios = materialise(ratios.coalesce(1), "ratios")
-    cells.unpersist()
     keyed = ready.withColumn("__key", F.to_json("__cell", {"ignoreNullFields": "false"}))
     joined = keyed.join(F.broadcast(ratios) if cells_bound <= 1_000_000 else ratios, "__key").drop("__key")
     return joined.withColumn("__draw", uniform_draw("doc_id", targets.seed))

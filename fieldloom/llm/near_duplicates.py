@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     signed = materialise(documents.mapInArrow(_sign(p), schema), "signed")
 
     worded = signed.where("k1 is not null and doc_id is not null")
-    copies = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_of"))
+    copies = materialise(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_of")), "copies")
     # Repeated rows fold where they are read, and of a group of copies only the first meets the join, so that no key gathers a group.
     firsts = copies.select("k1", "k2", F.col("copy_of").alias("doc_id"))
     wide = worded.select("k1", "k2", "doc_id", "bands").dropDuplicates(["k1", "k2", "doc_id"]).join(firsts, ["k1", "k2", "doc_id"], "left_semi")

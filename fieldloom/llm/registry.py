@@ -39,13 +39,14 @@ MIX = mixing.Targets(
     {
         "source": {f"src{k}": 0.24 if k == 0 else 0.039 for k in range(20)},
         "lang": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
-        "topic": {"being": 0.32, "place": 0.32, "relation": 0.32},
+        "topic": {"being": 0.18, "place": 0.36, "relation": 0.4},
     }
 )
 
 
 def mixed(docs: DataFrame, targets: mixing.Targets = MIX) -> DataFrame:
-    return mixing.mix(docs, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_by_words(TOPICS)}, mixing.token_count())
+    ready = mixing.with_topics(docs, TOPICS)
+    return mixing.mix(ready, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("__topic")}, F.col("__words"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +174,7 @@ def _mix_sql(rounds: int = 30) -> str:
     for d, s in MIX.shares.items():
         share[d] = share[d].replace("{d}", d).replace("{rest!r}", repr(max(0.0, 1 - sum(s.values()))))
     named = {d: ", ".join(f"'{v}'" for v in s) for d, s in MIX.shares.items()}
-    words = "list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+    words = "list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda w: lower(w))"
     held = {t: f"len(list_filter({words}, lambda w: w IN ({', '.join(map(repr, own))})))" for t, own in TOPICS.items()}
     most = f"greatest({', '.join(held.values())})"
     topic = f"CASE WHEN {most} = 0 THEN NULL " + " ".join(f"WHEN {held[t]} = {most} THEN '{t}'" for t in sorted(held)) + " END"

@@ -408,7 +408,7 @@ def test_raking_says_when_it_does_not_settle(spark):
 
 def test_topics_are_read_from_whole_texts(spark):
     rows = [(1, "Is this in on at"), (2, "x " * 5000 + "MIT Mit für"), (3, "is in"), (4, "island, inn"), (5, None), (6, "in, is")]
-    got = {r.doc_id: r.t for r in docs(spark, rows).select("doc_id", mixing.topic_by_words(registry.TOPICS).alias("t")).collect()}
+    got = {r.doc_id: r["__topic"] for r in mixing.with_topics(docs(spark, rows).withColumn("__topic", F.lit("x")), registry.TOPICS).collect()}
     assert got == {1: "place", 2: "relation", 3: "being", 4: None, 5: None, 6: "being"}
 
 
