@@ -71,3 +71,32 @@ def cleaned(annotations: DataFrame, width: Column, height: Column, scale: float
     y2 = F.least(height - 1, y1 + F.greatest(F.lit(0.0), F.col("h")))
     out = annotations.where("iscrowd = 0 and w * h > 0").withColumns({"x1": x1, "y1": y1, "x2": x2, "y2": y2}).where("x2 >= x1 and y2 >= y1")
     return out.withColumns({c: F.col(c) * scale for c in ("x1", "y1", "x2", "y2")})
+
+
+def from_tracks(tracks: DataFrame, by: list[str], width: int, height: int, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Images and annotations of tracks: an image for each frame, numbered from 1 in the order of first appearance; every annotation has category 1."""
+    first = tracks.groupBy(*by, "frame").agg(F.min(F.struct(*order)).alias("__first"))
+    images = first.select(*by, "frame", F.row_number().over(Window.partitionBy(*by).orderBy("__first")).cast("long").alias("id"))
+    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
+    notes = tracks.withColumn("__id", number.cast("long")).join(images.withColumnRenamed("id", "image_id"), [*by, "frame"])
+    notes = notes.select(*by, F.col("__id").alias("id"), "image_id", F.lit(1).alias("category_id"), F.array("x1", "y1", w, h).alias("bbox"), (w * h).alias("area"), F.lit(0).alias("iscrowd"), "score")
+    return images.withColumns({"width": F.lit(width), "height": F.lit(height), "file_name": F.concat(F.concat_ws("_", *by), F.lit("_frame_"), F.col("frame"), F.lit(".jpg"))}), notes
+
+
+def without_names(images: DataFrame, annotations: DataFrame, parts: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The images whose names hold none of the parts, and their annotations, both numbered anew from 1 in order of their ids."""
+    kept = images
+    for p in parts:
+        kept = kept.where(~F.col("file_name").contains(p))
+    kept = kept.withColumn("new_id", F.row_number().over(Window.partitionBy(*by).orderBy("id")).cast("long"))
+    linked = annotations.join(kept.select(*by, F.col("id").alias("image_id"), F.col("new_id").alias("new_image")), [*by, "image_id"])
+    linked = linked.withColumn("new_id", F.row_number().over(Window.partitionBy(*by).orderBy("id")).cast("long"))
+    return kept, linked
+
+
+def coco_rows(detections: DataFrame, factor: float) -> DataFrame:
+    """Detections as annotation rows: boxes scaled to the image's pixels as (x, y, w, h), with their area and fused score."""
+    c = lambda n: F.col(n) * factor
+    w, h = c("x2") - c("x1"), c("y2") - c("y1")
+    return detections.select("image_id", (F.col("class_pred") + 1).cast("long").alias("category_id"), F.array(c("x1"), c("y1"), w, h).alias("bbox"), (w * h).alias("area"), F.lit(0).alias("iscrowd"), (F.col("obj_conf") * F.col("class_conf")).alias("score"))

@@ -99,3 +99,36 @@ def merged_counts(parts: list[DataFrame], by: list[str], value: str) -> DataFram
     for p in parts[1:]:
         whole = whole.unionByName(p, allowMissingColumns=True)
     return whole.groupBy(*by).agg(F.sum(value).alias(value))
+
+
+def tree_filter_counts(tracks: DataFrame, slices: DataFrame, by: list[str], most_depth: float, least: int, last: int = 1535) -> DataFrame:
+    """Distinct tracks of each tree under no filter, depth, sightings, and both. Sightings are counted within the tree, before the depth filter."""
+    key = [*by, "tree_id"]
+    seen = contained(tracks, close_bounds(densify(slices, by), last), by)
+    per = seen.groupBy(*key, "track_id").agg(F.count("*").alias("n"), F.max(F.coalesce(within_depth(most_depth), F.lit(False))).alias("near"))
+    often = F.col("n") >= least
+    wanted = {"n_all": F.lit(True), "n_depth": F.col("near"), "n_seen": often, "n_both": F.col("near") & often}
+    counts = per.groupBy(*key).agg(*(F.sum(c.cast("long")).alias(n) for n, c in wanted.items()))
+    return slices.select(*key).distinct().join(counts, key, "left").select(*key, *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in wanted))
+
+
+def new_per_interval(tracks: DataFrame, by: list[str], every: int) -> DataFrame:
+    """Tracks first seen at each `every`-th frame that a scan has, by place; frames between are not looked at."""
+    frames = tracks.select(*by, "frame").distinct().withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy("frame")) - 1)
+    return new_per_frame(tracks.join(frames.where(F.col("__n") % every == 0).select(*by, "frame"), [*by, "frame"], "left_semi"), by)
+
+
+def appearance_ids(rows: DataFrame, by: list[str], ident: str, order: list[str]) -> DataFrame:
+    """Ids renumbered from 0 in the order in which they first appear."""
+    first = rows.groupBy(*by, ident).agg(F.min(F.struct(*order)).alias("__first"))
+    return first.select(*by, ident, (F.row_number().over(Window.partitionBy(*by).orderBy("__first", ident)) - 1).cast("long").alias("new_id"))
+
+
+def frame_spans(rows: DataFrame, by: list[str]) -> DataFrame:
+    """First and last frame of each group."""
+    return rows.groupBy(*by).agg(F.min("frame").alias("first_frame"), F.max("frame").alias("last_frame"))
+
+
+def every_kth(rows: DataFrame, by: list[str], order: str, k: int) -> DataFrame:
+    """Every k-th row of a group by place, from the first."""
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1).where(F.col("__n") % k == 0).drop("__n")

@@ -124,3 +124,91 @@ def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
         return pd.DataFrame(row | {"mota": [1 - (misses + extra + switches) / whole if whole else np.nan]})
 
     return pairs.groupBy(*by).applyInPandas(run, schema)
+
+
+def error_figures(rows: DataFrame, by: list[str], true: str, predicted: str) -> DataFrame:
+    """Mean and deviation (of the population) of the signed relative error; rows whose true value is 0 do not count."""
+    error = F.try_divide(F.col(true) - F.col(predicted), F.col(true))
+    return rows.groupBy(*by).agg(F.avg(error).alias("mean_error"), F.stddev_pop(error).alias("std_error"))
+
+
+def naive_error(rows: DataFrame, kind: str, true: str) -> DataFrame:
+    """The mean absolute relative error of predicting each kind's mean for all its rows."""
+    mean = rows.groupBy(kind).agg(F.avg(true).alias("__mean"))
+    error = F.try_divide(F.abs(F.col(true) - F.col("__mean")), F.col(true))
+    return rows.join(mean, kind).agg(F.avg(error).alias("naive_error"))
+
+
+def saturated_batches(values: DataFrame, batch: list[str], frame: str, value: str, share: float, limit: float) -> DataFrame:
+    """Whether all frames of a batch are saturated."""
+    return saturated(values, [*batch, frame], value, share, limit).groupBy(*batch).agg(F.every("saturated").alias("saturated"))
+
+
+def median_meter(rows: DataFrame, by: list[str], order: str, value: str, size: int) -> DataFrame:
+    """Median of the last `size` values."""
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-(size - 1), 0)
+    return rows.select(*by, order, F.percentile(value, 0.5).over(w).alias("median"))
+
+
+def valid_figures(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Mean and median of the values that are neither null nor NaN."""
+    known = F.when(~F.isnan(value), F.col(value))
+    return rows.groupBy(*by).agg(F.avg(known).alias("mean"), F.percentile(known, 0.5).alias("median"), F.count(known).alias("n"))
+
+
+def cell_average(cells: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Mean of the cells that hold a figure; -1 marks those without."""
+    return cells.groupBy(*by).agg(F.coalesce(F.avg(F.when(F.col(value) > -1, F.col(value))), F.lit(-1.0)).alias(value))
+
+
+def regression(rows: DataFrame, by: list[str], xs: list[str], y: str, intercept: bool = True, log_target: bool = False) -> DataFrame:
+    """(by, coefficients) of least squares on several columns, the intercept first; `log_target` fits log(1 + y), of which exp(x) - 1 predicts.
+
+    Sums of products are aggregated where the rows are; the equations, of as many unknowns as there are columns, are solved in Python.
+    """
+    terms = ([F.lit(1.0)] if intercept else []) + [F.col(x).cast("double") for x in xs]
+    target = F.log1p(F.col(y).cast("double")) if log_target else F.col(y).cast("double")
+    n = len(terms)
+    sums = rows.groupBy(*by).agg(F.array(*(F.sum(terms[i] * terms[j]) for i in range(n) for j in range(n))).alias("xx"), F.array(*(F.sum(t * target) for t in terms)).alias("xy"))
+
+    def solve(parts):
+        for pdf in parts:
+            out = [np.linalg.lstsq(np.reshape(xx, (n, n)), np.asarray(xy), rcond=None)[0].tolist() for xx, xy in zip(pdf["xx"], pdf["xy"])]
+            yield pdf[by].assign(coefficients=out)
+
+    kinds = dict(rows.dtypes)
+    return sums.mapInPandas(solve, ", ".join(f"{c} {kinds[c]}" for c in by) + ", coefficients array<double>")
+
+
+def box_pr_grid(truth: DataFrame, found: DataFrame, by: list[str], confs: list[float], ious: list[float]) -> DataFrame:
+    """(conf, iou, precision, recall, f1): means over the images that have boxes on both sides.
+
+    True positives are the pairs with a score and an overlap above the thresholds, so that they may outnumber the boxes. Pairs meet by
+    cells; pairs and boxes are first summed by the number of thresholds that they pass, and only those counts meet the grid.
+    """
+    from .geometry import cross_pairs, iou
+
+    spark = truth.sparkSession
+    passed = lambda c, limits: sum((F.when(c > t, 1).otherwise(0) for t in limits), F.lit(0))
+    pairs = cross_pairs(truth, found, by).select(*by, passed(F.col("b.score"), confs).alias("cs"), passed(iou("a", "b", False, False), ious).alias("os")).groupBy(*by, "cs", "os").agg(F.count("*").alias("n"))
+    predicted = found.groupBy(*by, passed(F.col("score"), confs).alias("cs")).agg(F.count("*").alias("n"))
+    size = truth.groupBy(*by).agg(F.count("*").alias("n_true"))
+    images = size.join(found.select(*by).distinct(), by)
+    grid = spark.createDataFrame([(i, float(c), j, float(o)) for i, c in enumerate(sorted(confs)) for j, o in enumerate(sorted(ious))], "ci int, conf double, oi int, iou double")
+    cells = images.join(F.broadcast(grid))
+    hits = pairs.join(F.broadcast(grid), (F.col("cs") > F.col("ci")) & (F.col("os") > F.col("oi"))).groupBy(*by, "ci", "oi").agg(F.sum("n").alias("tp"))
+    levels = F.broadcast(grid.select("ci").distinct())
+    made = predicted.join(levels, F.col("cs") > F.col("ci")).groupBy(*by, "ci").agg(F.sum("n").alias("made"))
+    rows = cells.join(hits, [*by, "ci", "oi"], "left").join(made, [*by, "ci"], "left").fillna(0, ["tp", "made"])
+    fp, fn = F.col("made") - F.col("tp"), F.col("n_true") - F.col("tp")
+    f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + fn + fp), F.lit(0.0))
+    return rows.groupBy("conf", "iou").agg(F.avg(F.col("tp") / F.greatest("made", F.lit(1))).alias("precision"), F.avg(F.col("tp") / F.col("n_true")).alias("recall"), F.avg(f1).alias("f1"))
+
+
+def eleven_point_precision(matched: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """The mean of the greatest precision at recalls of at least 0, 0.1, ... 1, from the same rows as `average_precision`."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    rows = matched.select(*by, F.sum("hit").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("tp"), F.row_number().over(w).alias("n"), "n_true")
+    recall, precision = F.col("tp") / F.col("n_true"), F.col("tp") / F.col("n")
+    best = rows.groupBy(*by).agg(*(F.coalesce(F.max(F.when(recall >= k / 10, precision)), F.lit(0.0)).alias(f"p{k}") for k in range(11)))
+    return best.select(*by, (sum((F.col(f"p{k}") for k in range(1, 11)), F.col("p0")) / 11).alias("ap"))

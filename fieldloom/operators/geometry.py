@@ -83,8 +83,8 @@ def without_covering(boxes: DataFrame, by: list[str], most: float) -> DataFrame:
 
 def best_overlaps(truth: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
     """The best overlap of each true box with the found boxes of its frame; 0 where there is none."""
-    pairs = truth.alias("a").join(found.alias("b"), by, "left")
-    return pairs.groupBy(*by, F.col("a.pos").alias("pos")).agg(F.max(F.coalesce(iou("a", "b", True, False), F.lit(0.0))).alias("best"))
+    pairs = cross_pairs(truth, found, by).groupBy(*by, F.col("a.pos").alias("pos")).agg(F.max(iou("a", "b", True, False)).alias("best"))
+    return truth.select(*by, "pos").join(pairs, [*by, "pos"], "left").select(*by, "pos", F.coalesce("best", F.lit(0.0)).alias("best"))
 
 
 def nearest_boxes(boxes: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -146,3 +146,30 @@ def non_maximum_suppression(boxes: DataFrame, by: list[str], most: float) -> Dat
         return pdf.iloc[keep]
 
     return boxes.groupBy(*by).applyInPandas(run, boxes.schema)
+
+
+def cross_pairs(left: DataFrame, right: DataFrame, by: list[str], cell: int = 128) -> DataFrame:
+    """Pairs (by, a, b) of a left and a right box of one frame that touch; each meets in one cell only, so that far boxes are never paired."""
+
+    def cells(boxes: DataFrame, name: str) -> DataFrame:
+        span = lambda lo, hi: F.sequence(F.floor(F.col(f"{name}.{lo}") / cell), F.floor(F.col(f"{name}.{hi}") / cell))
+        packed = boxes.select(*by, F.struct(*boxes.columns).alias(name))
+        return packed.select(*by, name, F.explode(span("x1", "x2")).alias("cx"), span("y1", "y2").alias("ys")).select(*by, name, "cx", F.explode("ys").alias("cy"))
+
+    both = cells(left, "a").join(cells(right, "b"), [*by, "cx", "cy"])
+    first = (F.col("cx") == F.floor(F.greatest("a.x1", "b.x1") / cell)) & (F.col("cy") == F.floor(F.greatest("a.y1", "b.y1") / cell))
+    return both.where(first).select(*by, "a", "b")
+
+
+def in_any(lat: Column, lon: Column, rings: Column) -> Column:
+    """Whether a point lies in any ring of an array."""
+    return F.exists(rings, lambda r: in_ring(lat, lon, r))
+
+
+def destination(lat: Column, lon: Column, bearing: float, metres: float, radius: float = 6_371_000.0) -> list[Column]:
+    """lat, lon of the point that lies `metres` from another in a direction in degrees."""
+    d, b = metres / radius, F.radians(F.lit(float(bearing)))
+    p, q = F.radians(lat), F.radians(lon)
+    to = F.asin(F.sin(p) * F.cos(F.lit(d)) + F.cos(p) * F.sin(F.lit(d)) * F.cos(b))
+    along = q + F.atan2(F.sin(b) * F.sin(F.lit(d)) * F.cos(p), F.cos(F.lit(d)) - F.sin(p) * F.sin(to))
+    return [F.degrees(to).alias("to_lat"), F.degrees(along).alias("to_lon")]

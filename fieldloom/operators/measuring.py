@@ -125,3 +125,31 @@ def keypoint_similarity(pairs: DataFrame, variance: float) -> DataFrame:
     """`oks` of arrays of true and found points (x, y) and an object's area: the mean of exp(-d² / (2 area (2 variance)²))."""
     each = F.zip_with("truth", "found", lambda a, b: F.exp(-(F.pow(a["x"] - b["x"], 2) + F.pow(a["y"] - b["y"], 2)) / (2 * F.col("area") * (2 * variance) ** 2)))
     return pairs.withColumn("oks", F.try_divide(F.aggregate(each, F.lit(0.0), lambda s, v: s + v), F.size("truth")))
+
+
+def with_depth_of(detections: DataFrame, pixels: DataFrame, by: list[str], most: float | None = None) -> DataFrame:
+    """`depth` of each detection: the median of its valid pixels; with `most`, detections deeper than that or without depth go."""
+    known = F.when(~F.isnan("z"), F.col("z"))
+    out = detections.join(pixels.groupBy(*by).agg(F.percentile(known, 0.5).alias("depth")), by, "left")
+    return out if most is None else out.where(F.col("depth").isNotNull() & (F.col("depth") <= most))
+
+
+def below_edge(boxes: DataFrame, edges: DataFrame, by: list[str], column: str = "y1", bias: float = 0.0) -> DataFrame:
+    """Boxes that begin below the mean height of their frame's edge pixels (y over 0), moved by `bias`."""
+    limit = edges.where("y > 0").groupBy(*by).agg((F.avg("y") + bias).alias("__limit"))
+    return boxes.join(limit, by).where(F.col(column) > F.col("__limit")).drop("__limit")
+
+
+def near_mode(rows: DataFrame, by: list[str], value: str, low: float, high: float, bins: int, n: float) -> DataFrame:
+    """Rows within `n` deviations (of the population) of the fullest bin's lower edge."""
+    place = F.floor((F.col(value) - low) * bins / (high - low)).cast("int")
+    counts = rows.groupBy(*by, place.alias("__bin")).agg(F.count("*").alias("__n"))
+    mode = counts.groupBy(*by).agg(F.max_by("__bin", F.struct("__n", -F.col("__bin"))).alias("__mode"))
+    spread = rows.groupBy(*by).agg(F.stddev_pop(value).alias("__std"))
+    edge = F.lit(low) + F.col("__mode") * (high - low) / bins
+    return rows.join(mode, by).join(spread, by).where(F.abs(F.col(value) - edge) <= n * F.col("__std")).select(*rows.columns)
+
+
+def top_of_group(rows: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
+    """The first k rows of each group in an order."""
+    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__r") <= k).drop("__r")

@@ -54,6 +54,24 @@ def smoothed(rows: DataFrame, by: list[str], order: str, value: str, alpha: floa
     return rows.groupBy(*by).agg(F.aggregate(values, F.lit(float(seed)), lambda s, x: F.lit(alpha) * x + F.lit(1 - alpha) * s).alias("ema"))
 
 
+def smoothed_rows(rows: DataFrame, by: list[str], order: str, value: str, alpha: float, seed: float) -> DataFrame:
+    """`smooth`, the exponential average after each row: a fold over a group's values in order, whose steps are gathered; a group is one recording."""
+    ordered_rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v"))))
+    start = F.struct(F.lit(float(seed)).alias("s"), F.expr("cast(array() as array<double>)").alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        now = F.lit(alpha) * x["v"] + F.lit(1 - alpha) * state["s"]
+        return F.struct(now.alias("s"), F.concat(state["out"], F.array(now)).alias("out"))
+
+    folded = rows.groupBy(*by).agg(ordered_rows.alias("__r")).select(*by, F.expr("__r.o").alias("__o"), F.aggregate("__r", start, step)["out"].alias("__s"))
+    return folded.select(*by, F.explode(F.arrays_zip("__o", "__s")).alias("z")).select(*by, F.col("z.__o").alias(order), F.col("z.__s").alias("smooth"))
+
+
+def between(rows: DataFrame, time: str, first: str, last: str) -> DataFrame:
+    """Rows from one time to another, both included."""
+    return rows.where(F.col(time).between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+
+
 def transitions(rows: DataFrame, by: list[str], order: str, state: str) -> DataFrame:
     """Rows at which the state differs from the one before, with that one; the first row of a group is a change from null."""
     before = F.lag(state).over(ordered(by, order))

@@ -65,14 +65,14 @@ QUERIES = {
     "iou_exclusive": (_iou_query(False, False), _iou_sql(False, False)),
     "iou_inclusive_area": (_iou_query(True, True), _iou_sql(True, True)),
     "score_terms": (
-        lambda s, d: M.score_terms(G.frame_pairs(_all(s, d), FRAME, G.intersection("a", "b", False) > 0), 1536),
+        lambda s, d: M.score_terms(G.frame_pairs(_all(s, d), FRAME, G.intersection("a", "b", False) > 0), 1536).select(*FRAME, "a", "b", *(F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("shape", "near", "alike"))),
         f"""{_ALL} SELECT a.scan_id, a.frame, a.pos AS a, b.pos AS b,
-        round(least(((a.x2 - a.x1) * (a.y2 - a.y1))::DOUBLE / ((b.x2 - b.x1) * (b.y2 - b.y1)), ((b.x2 - b.x1) * (b.y2 - b.y1))::DOUBLE / ((a.x2 - a.x1) * (a.y2 - a.y1))), 6) AS shape,
-        round(greatest(1 - sqrt(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) / 1536, 0), 6) AS near,
-        round(1 - abs(a.score - b.score), 6) AS alike FROM {_PAIRS} WHERE {_common(False)} > 0""",
+        round(least(((a.x2 - a.x1) * (a.y2 - a.y1))::DOUBLE / ((b.x2 - b.x1) * (b.y2 - b.y1)), ((b.x2 - b.x1) * (b.y2 - b.y1))::DOUBLE / ((a.x2 - a.x1) * (a.y2 - a.y1))) + 1e-9, 6) AS shape,
+        round(greatest(1 - sqrt(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) / 1536, 0) + 1e-9, 6) AS near,
+        round(1 - abs(a.score - b.score) + 1e-9, 6) AS alike FROM {_PAIRS} WHERE {_common(False)} > 0""",
     ),
     "depth_z_score": (
-        lambda s, d: M.depth_terms(_all(s, d), FRAME),
+        lambda s, d: M.depth_terms(_all(s, d), FRAME).withColumn("depth_score", F.round("depth_score", 6)),
         f"{_ALL} SELECT scan_id, frame, pos, round(CASE WHEN max(depth) OVER w = min(depth) OVER w THEN 0.5 ELSE 1 - abs(depth - avg(depth) OVER w) / (max(depth) OVER w - min(depth) OVER w) END, 6) AS depth_score FROM boxes WINDOW w AS (PARTITION BY scan_id, frame)",
     ),
     "dup_filter": (
@@ -96,12 +96,12 @@ QUERIES = {
         SELECT scan_id, frame, pos, rank, other, round(distance, 6) AS distance FROM r WHERE rank <= 3""",
     ),
     "cosine_pairs": (
-        lambda s, d: M.cosine_distances(read(s, d, "embeddings"), read(s, d, "benchmark").select("item_id")),
+        lambda s, d: M.cosine_distances(read(s, d, "embeddings"), F.col("vec_id") % 20 == 0).withColumn("distance", F.round("distance", 6)),
         """SELECT q.vec_id AS a, v.vec_id AS b, round(1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS distance
-        FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id WHERE q.vec_id IN (SELECT item_id FROM benchmark)""",
+        FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0""",
     ),
     "cosine_self_join": (
-        lambda s, d: M.cosine_distances(read(s, d, "embeddings")),
+        lambda s, d: M.cosine_distances(read(s, d, "embeddings")).withColumn("distance", F.round("distance", 6)),
         """SELECT q.vec_id AS a, v.vec_id AS b, round(1 - list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS distance
         FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id""",
     ),

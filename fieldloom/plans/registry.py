@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boxes, counts, documents, metrics, more, series, stateful, streams
+from . import additions, boxes, counts, documents, metrics, more, series, stateful, streams
 
-_PARTS = (counts, series, boxes, metrics, documents, more, stateful, streams)
+_PARTS = (counts, series, boxes, metrics, documents, more, additions, stateful, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

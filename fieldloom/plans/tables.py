@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Columns over lineitem; `DIV` stands for integer division.
+#: Order keys and line numbers repeat: a box's number is that of its order and its place among the order's lines, so that no two boxes share one.
+LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+POS = f"CAST(l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINES[1:])}) AS BIGINT)"
+#: Columns over numbered lines; `DIV` stands for integer division.
 TRACKS = """CAST(l_orderkey % 5 AS BIGINT) AS scan_id, CAST(l_orderkey % 200 AS BIGINT) AS frame, CAST(l_partkey % 400 AS BIGINT) AS track_id,
-CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS pos,
+pos,
 CAST((l_suppkey*37 + l_linenumber*101 + l_partkey*13) % 1400 AS BIGINT) AS x1, CAST((l_suppkey*37 + l_linenumber*101 + l_partkey*13) % 1400 + 20 + (l_partkey % 60) AS BIGINT) AS x2,
 CAST((l_partkey*29 + l_linenumber*53) % 1900 AS BIGINT) AS y1, CAST((l_partkey*29 + l_linenumber*53) % 1900 + 20 + (l_suppkey % 60) AS BIGINT) AS y2,
 CAST((l_partkey*7 + l_linenumber*11) % 800 AS DOUBLE) / 100 AS depth, CAST(l_suppkey % 100 AS DOUBLE) / 100 AS score, CAST(l_partkey % 3 AS BIGINT) AS class"""
@@ -30,13 +33,16 @@ def _columns(text: str, engine: str) -> str:
     return text.replace("DIV", "div" if engine == "spark" else "//").replace("QQ", "`" if engine == "spark" else '"')
 
 
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "lineitem").select(*LINES, F.expr(POS).alias("pos"))
+
+
 def tracks(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return _selected(rows, TRACKS)
+    return _selected(_lines(spark, d), TRACKS)
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
-    return _selected(read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), BOXES)
+    return _selected(_lines(spark, d), BOXES)
 
 
 def slices(spark: SparkSession, d: str) -> DataFrame:
@@ -70,8 +76,9 @@ def frames_and_fixes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
     return frames, e.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("fix"))
 
 
-WITH_TRACKS = f"WITH tracks AS (SELECT {_columns(TRACKS, 'duckdb')} FROM lineitem)"
-WITH_BOXES = f"WITH boxes AS (SELECT {_columns(BOXES, 'duckdb')} FROM lineitem)"
+_LINES_SQL = f"WITH RECURSIVE lines AS MATERIALIZED (SELECT {', '.join(LINES)}, {POS} AS pos FROM lineitem)"
+WITH_TRACKS = f"{_LINES_SQL}, tracks AS (SELECT {_columns(TRACKS, 'duckdb')} FROM lines)"
+WITH_BOXES = f"{_LINES_SQL}, boxes AS MATERIALIZED (SELECT {_columns(BOXES, 'duckdb')} FROM lines)"
 WITH_SLICES = f"slices AS (SELECT DISTINCT {_columns(SLICES, 'duckdb')} FROM orders)"
 WITH_POINTS = f"WITH points AS (SELECT {_columns(POINTS, 'duckdb')} FROM customer)"
 
