@@ -226,18 +226,25 @@ def greedy_clusters(boxes: DataFrame, by: list[str], near: float) -> DataFrame:
     return _per_scan(boxes, by, "pos long, cluster long", fold, "pos")
 
 
-def validated_shifts(rows: DataFrame, by: list[str], keep: int = 5, jump: float = 100.0) -> DataFrame:
-    """`tx` with missing or jumping values replaced by the mean of the last `keep` valid ones."""
+def validated_shifts(rows: DataFrame, by: list[str], width: float, keep: int = 5, margin: float = 5.0, true_border: bool = False) -> DataFrame:
+    """`tx` and `ty`, where a tx within `margin` of 0 or of `width` is a border case: both become the means of the last `keep` valid ones, once there are so many.
+
+    Rows without tx pass and count for nothing. With `true_border`, values pass after more than 2 * `keep` border cases in a row.
+    """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        last: list[float] = []
-        out = []
-        for tx in pdf["tx"]:
-            bad = tx is None or np.isnan(tx) or (len(last) == keep and abs(tx - np.mean(last)) > jump)
-            value = float(np.mean(last)) if bad and last else None if bad else float(tx)
-            if not bad:
-                last = [*last, float(tx)][-keep:]
-            out.append(value)
-        return pd.DataFrame({"frame": pdf["frame"].to_numpy(), "tx": out})
-
-    return _per_scan(rows, by, "frame long, tx double", fold)
+        last: list[tuple[float, float]] = []
+        cases, out = 0, []
+        for tx, ty in zip(pdf["tx"], pdf["ty"]):
+            if tx is None or np.isnan(tx):
+                out.append((None, ty))
+                continue
+            if margin <= tx <= width - margin:
+                last, cases = [*last, (float(tx), float(ty))][-keep:], 0
+            elif not (true_border and cases > 2 * keep):
+                cases += 1
+                tx, ty = np.mean(last, axis=0) if len(last) == keep else (tx, ty)
+            out.append((float(tx), float(ty)))
+        return pd.DataFrame({"frame": pdf["frame"].to_numpy(), "tx": [x for x, _ in out], "ty": [y for _, y in out]})
+
+    return _per_scan(rows, by, "frame long, tx double, ty double", fold)

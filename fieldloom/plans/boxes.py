@@ -43,6 +43,14 @@ def _iou_sql(inclusive, inclusive_area):
     return f"{_ALL} SELECT a.scan_id, a.frame, a.pos AS a, b.pos AS b, round({_iou(inclusive, inclusive_area)}, 6) AS iou FROM {_PAIRS} {touch} WHERE {_common(inclusive)} > 0"
 
 
+#: Boxes in order of score; each stays unless one of those kept before it overlaps it.
+_NMS_SQL = f"""{_ALL}, r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY scan_id, frame ORDER BY score DESC, pos) AS n FROM boxes),
+over AS (SELECT b.pos, list(a.pos) AS rivals FROM r a JOIN r b ON a.scan_id = b.scan_id AND a.frame = b.frame AND a.n < b.n AND {_iou(False, False)} > 0.45 GROUP BY b.pos),
+o AS MATERIALIZED (SELECT r.*, coalesce(rivals, []::BIGINT[]) AS rivals FROM r LEFT JOIN over USING (pos)),
+e AS (SELECT scan_id, frame, class, n, pos, true AS stays, [pos] AS kept FROM o WHERE n = 1
+UNION ALL SELECT scan_id, frame, class, n, pos, fine, CASE WHEN fine THEN list_append(kept, pos) ELSE kept END FROM (SELECT o.*, kept, NOT list_has_any(kept, rivals) AS fine FROM e JOIN o ON o.scan_id = e.scan_id AND o.frame = e.frame AND o.n = e.n + 1))
+SELECT scan_id, frame, pos FROM e WHERE stays"""
+
 QUERIES = {
     "box_transforms": (
         lambda s, d: B.transformed(tracks(s, d), det=(640, 480), frame=(2048, 1536)),
@@ -107,7 +115,16 @@ QUERIES = {
     ),
     "greedy_assign": (
         lambda s, d: G.greedy_assign(M.scored_pairs(_all(s, d).where("pos % 2 = 0"), _all(s, d).where("pos % 2 = 1"), FRAME), FRAME).select(*FRAME, "trk", "det", F.round("score", 6).alias("score")),
-        None,
+        f"""{_ALL}, p AS (SELECT a.scan_id, a.frame, a.pos AS trk, b.pos AS det, {_iou(False, False)} AS score FROM boxes a JOIN boxes b ON a.scan_id = b.scan_id AND a.frame = b.frame AND a.pos % 2 = 0 AND b.pos % 2 = 1 WHERE {_common(False)} > 0),
+        o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY scan_id, frame ORDER BY score DESC, trk, det) AS n FROM p),
+        e AS (SELECT scan_id, frame, n, trk, det, score, true AS taken, [trk] AS ts, [det] AS ds FROM o WHERE n = 1
+        UNION ALL SELECT scan_id, frame, n, trk, det, score, free, CASE WHEN free THEN list_append(ts, trk) ELSE ts END, CASE WHEN free THEN list_append(ds, det) ELSE ds END
+        FROM (SELECT o.*, ts, ds, NOT list_contains(ts, o.trk) AND NOT list_contains(ds, o.det) AS free FROM e JOIN o ON o.scan_id = e.scan_id AND o.frame = e.frame AND o.n = e.n + 1))
+        SELECT scan_id, frame, trk, det, round(score, 6) AS score FROM e WHERE taken""",
+    ),
+    "nms": (lambda s, d: G.non_maximum_suppression(_all(s, d), FRAME, 0.45).select(*FRAME, "pos"), _NMS_SQL),
+    "nms_by_class": (
+        lambda s, d: G.non_maximum_suppression(boxes(s, d), [*FRAME, "class"], 0.45).select(*FRAME, "class", "pos"),
+        _NMS_SQL.replace("PARTITION BY scan_id, frame", "PARTITION BY scan_id, frame, class").replace("a.frame = b.frame", "a.frame = b.frame AND a.class = b.class").replace("o.frame = e.frame", "o.frame = e.frame AND o.class = e.class").replace("SELECT scan_id, frame, pos FROM e", "SELECT scan_id, frame, class, pos FROM e"),
     ),
-    "nms": (lambda s, d: G.non_maximum_suppression(_all(s, d), FRAME, 0.45).select(*FRAME, "pos"), None),
 }

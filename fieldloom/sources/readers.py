@@ -75,6 +75,16 @@ def mot(spark: SparkSession, path: str, labels: list[int] | None = None) -> Data
     return rows.where(F.col("label").isin(labels)) if labels else rows
 
 
+#: Labels of true boxes: one is counted, some are ignored.
+COUNTED, IGNORED = [1], [2, 7, 8, 12]
+
+
+def mot_truth(spark: SparkSession, path: str, ignored: bool = False) -> DataFrame:
+    """True boxes: the marked ones (conf not 0) of a counted label, or else those of a label to be ignored, marked or not."""
+    rows = mot(spark, path, IGNORED if ignored else COUNTED)
+    return rows if ignored else rows.where("conf <> 0")
+
+
 def voc_objects(spark: SparkSession, path: str) -> DataFrame:
     """(name, pose, truncated, difficult, x1, y1, x2, y2) of the objects in XML files."""
     box = "bndbox struct<xmin:int,ymin:int,xmax:int,ymax:int>"
@@ -88,12 +98,16 @@ def detection_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def kml_plots(spark: SparkSession, path: str) -> DataFrame:
-    """(plot, place, ring) of the placemarks of a KML file; coordinates are `lon,lat[,height]` parted by white space."""
+    """(plot, place, ring) of the placemarks with a polygon, numbered from 1 in order of file and place; coordinates are `lon,lat[,height]` parted by white space.
+
+    A file is read whole, so that its order is kept; the numbering sorts plots, not points.
+    """
     schema = "name string, Polygon struct<outerBoundaryIs:struct<LinearRing:struct<coordinates:string>>>"
-    rows = spark.read.format("xml").option("rowTag", "Placemark").schema(schema).load(path)
-    text = F.trim(F.regexp_replace("Polygon.outerBoundaryIs.LinearRing.coordinates", r"\s+", " "))
+    files = spark.read.text(path, wholetext=True).select("_metadata.file_path", F.regexp_extract_all("value", F.lit(r"(?s)<Placemark\b.*?</Placemark>"), F.lit(0)).alias("marks"))
+    marks = files.select("file_path", F.posexplode("marks").alias("at", "mark")).select("file_path", "at", F.from_xml("mark", schema, {"rowTag": "Placemark"}).alias("m")).where("m.Polygon is not null")
+    text = F.trim(F.regexp_replace("m.Polygon.outerBoundaryIs.LinearRing.coordinates", r"\s+", " "))
     ring = F.transform(F.split(text, " "), lambda p: F.struct(F.split(p, ",")[0].cast("double").alias("lon"), F.split(p, ",")[1].cast("double").alias("lat")))
-    return rows.where("Polygon is not null").select(F.col("name").alias("plot"), (F.monotonically_increasing_id() + 1).cast("int").alias("place"), ring.alias("ring"))
+    return marks.select(F.col("m.name").alias("plot"), F.row_number().over(Window.orderBy("file_path", "at")).alias("place"), ring.alias("ring"))
 
 
 def scan_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -103,6 +117,17 @@ def scan_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return files.select("path", part(-6).alias("customer_code"), part(-5).alias("plot_code"), part(-4).alias("scan_date"), F.regexp_extract(part(-3), r"(\d+)", 1).alias("row"), part(-2).alias("folder_index"), "length")
 
 
+def scan_catalogue(files: DataFrame, name_part: str, side: int | None = None) -> DataFrame:
+    """The files whose name holds a text, of rows on one side of a plot (the row number's remainder by 2), or on both."""
+    rows = files.where(F.element_at(F.split("path", "/"), -1).contains(name_part))
+    return rows if side is None else rows.where(F.col("row").cast("int") % 2 == side)
+
+
+def json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A state document, one a file."""
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("s")).select("s.*")
+
+
 def only_file(files: DataFrame, name_part: str) -> str:
     """The path of the one file whose name holds a text; none or several are an error."""
     found = [r.path for r in files.where(F.element_at(F.split("path", "/"), -1).contains(name_part)).limit(2).collect()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -71,6 +73,30 @@ def upload_plan(sizes: DataFrame, by: list[str], bytes_per_second: float, timeou
 def append_ledger(spark: SparkSession, path: str, rows: DataFrame, schema) -> DataFrame:
     """Appends rows that the ledger does not hold yet, nulls in keys included, and returns what was added."""
     have = csv(spark, path, schema, missing_ok=True)
-    fresh = rows.select(*schema.fieldNames()).exceptAll(have).distinct()
+    fresh = rows.select(*schema.fieldNames()).subtract(have)
     csv_append(fresh, path)
     return fresh
+
+
+def typed_dump(rows: DataFrame, schema, path: str) -> None:
+    """A table with the columns of a schema, in order and of its types; those that are missing are null, others are left out."""
+    csv_overwrite(rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields)), path)
+
+
+def state_json(state: dict, spark: SparkSession, path: str) -> None:
+    """A small state of the caller as one JSON document."""
+    spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def upload_statuses(batches: DataFrame, plan: DataFrame, by: list[str]) -> DataFrame:
+    """`status` of each batch: success for those that fit through the line, waiting for the others."""
+    return batches.join(plan.select(*by, F.lit("success").alias("status")), by, "left").select(*by, F.coalesce("status", F.lit("waiting")).alias("status"))
+
+
+def coco_of_csv(rows: DataFrame, by: list[str]) -> DataFrame:
+    """One annotation document for each group of detection rows (frame, pos, x1, y1, x2, y2, class): an image a frame, boxes in order of frame and pos."""
+    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    note = F.struct(F.col("frame").alias("image_id"), F.col("pos").alias("id"), F.col("class").alias("category_id"), F.array("x1", "y1", w, h).alias("bbox"), (w * h).alias("area"), F.lit(0).alias("iscrowd"))
+    notes = rows.groupBy(*by).agg(F.array_sort(F.collect_list(note)).alias("annotations"), F.array_sort(F.collect_set("frame")).alias("frames"))
+    image = lambda f: F.struct(f.alias("id"), F.concat(F.lit("frame_"), f, F.lit(".jpg")).alias("file_name"))
+    return notes.select(*by, F.transform("frames", image).alias("images"), "annotations")

@@ -15,34 +15,62 @@ _own: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The folder in spark.checkpoint.dir, or else the checkpoint folder of the context; one of our own only on one machine."""
     global _own
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own is None:
         _own = "file://" + tempfile.mkdtemp(prefix="spark-fieldloom-stream-")
     return _own
 
 
-def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream of files with its fixed schema."""
-    schema = spark.read.parquet(f"{d}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 1).parquet(f"{d}/events.parquet*")
+#: Closes windows and sessions at the end of a replay: a row so far ahead that the watermark passes all others.
+CLOSE = "close"
 
 
-def replayed(spark: SparkSession, d: str, job: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
-    """What a stream has written once all files there are have gone through it, as a table in the shared folder."""
+def daily_files(spark: SparkSession, d: str, late: str | None = None) -> str:
+    """The events as a folder with a file for each day, in order of time, and a closing row; rows for which `late` holds come five days before the end."""
+    path = f"{shared_root(spark)}/days-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{d}/events.parquet")
+    last = events.agg(F.max("ts").alias("ts")).select("ts", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    closing = last.select(*(F.lit(CLOSE).alias(c) if c == "event_type" else (F.col("ts") + F.expr("interval 900 days")).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit(-1).cast(t).alias(c) if t in ("bigint", "int") else F.lit(None).cast(t).alias(c) for c, t in events.dtypes), F.lit("zzzz").alias("day"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    rows = events.withColumn("day", day)
+    if late:
+        moved = last.select(F.concat(F.date_format(F.date_sub(F.col("ts").cast("date"), 5), "yyyy-MM-dd"), F.lit("-late")).alias("__to"))
+        rows = rows.join(F.broadcast(moved)).withColumn("day", F.when(F.expr(late), F.col("__to")).otherwise(F.col("day"))).drop("__to")
+    # One writer, so that the files' times are in the order of their days; a replay is of one table.
+    rows.unionByName(closing).coalesce(1).sortWithinPartitions("day").write.partitionBy("day").parquet(path)
+    return path
+
+
+def event_stream(spark: SparkSession, d: str, files: int = 10, late: str | None = None) -> DataFrame:
+    """The events as a stream of daily files with their fixed schema, some days in a batch."""
+    path, schema = daily_files(spark, d, late), spark.read.parquet(f"{d}/events.parquet").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}/day=*")
+
+
+def replayed(spark: SparkSession, d: str, job: Callable[[DataFrame], DataFrame], mode: str, late: str | None = None) -> DataFrame:
+    """What a stream has written once all files there are have gone through it in several batches, as a table in the shared folder."""
     run = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
-    out = job(event_stream(spark, d))
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out = job(event_stream(spark, d, late=late))
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{run}/out" if mode == "complete" else f"{run}/out/batch={number}")
 
-    query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/state").foreachBatch(keep).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{run}/out")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/state").foreachBatch(keep).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(out.schema).parquet(f"{run}/out").select(*out.columns)
 
 
 def window_sums(events: DataFrame, size: str, late: str) -> DataFrame:
@@ -57,8 +85,62 @@ def once(events: DataFrame, key: str, late: str) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def sessions(events: DataFrame, gap: str) -> DataFrame:
-    return events.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.min("ts").alias("started"), F.count("*").alias("n"))
+def sessions(events: DataFrame, gap: str, late: str = "0 seconds") -> DataFrame:
+    """Runs of a user's events without a gap; a session leaves the state once the watermark has passed it."""
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    runs = timed.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.min("ts").alias("started"), F.count("*").alias("n"))
+    return runs.select("user_id", F.col("started").cast("timestamp_ntz").alias("started"), "n")
+
+
+def nearest_merge(events: DataFrame, left: str, right: str) -> DataFrame:
+    """(user_id, event_id, other, gap_us): each left event with the right one nearest in time, the later of equals, once a right event follows it.
+
+    Batches come in order of time. The state of a user is the last right event and the left ones since; what no right event follows stays there.
+    """
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ids, times, last = (list(x) for x in state.get) if state.exists else ([], [], [])
+        out = []
+        rows = pd.concat(list(parts)).sort_values(["us", "event_id"])
+        for kind, ident, at in zip(rows["event_type"], rows["event_id"].tolist(), rows["us"].tolist()):
+            if kind == left:
+                ids.append(ident)
+                times.append(at)
+                continue
+            for i, t in zip(ids, times):
+                back = bool(last) and t - last[1] < at - t
+                out.append((key[0], i, last[0] if back else ident, t - last[1] if back else at - t))
+            ids, times, last = [], [], [ident, at]
+        state.update((ids, times, last))
+        yield pd.DataFrame(out, columns=["user_id", "event_id", "other", "gap_us"])
+
+    kept = events.where(F.col("event_type").isin(left, right)).select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return kept.groupBy("user_id").applyInPandasWithState(step, "user_id long, event_id long, other long, gap_us long", "ids array<long>, times array<long>, last array<long>", "append", GroupStateTimeout.NoTimeout)
+
+
+def releases(events: DataFrame, failed: str, most: int) -> DataFrame:
+    """(user_id, event_id): the events at which a user has failed over `most` times in a row, once a run; `failed` is a condition on an event."""
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        run = state.get[0] if state.exists else 0
+        out = []
+        rows = pd.concat(list(parts)).sort_values(["us", "event_id"])
+        for bad, ident in zip(rows["bad"].tolist(), rows["event_id"].tolist()):
+            run = run + 1 if bad else 0
+            if run == most + 1:
+                out.append((key[0], ident))
+        state.update((run,))
+        yield pd.DataFrame(out, columns=["user_id", "event_id"])
+
+    kept = events.where(F.col("event_type") != CLOSE).select("user_id", "event_id", F.expr(failed).alias("bad"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return kept.groupBy("user_id").applyInPandasWithState(step, "user_id long, event_id long", "run long", "append", GroupStateTimeout.NoTimeout)
+
+
+def ready_to_join(frames: DataFrame, fixes: DataFrame, by: list[str], time: str, seconds: float) -> DataFrame:
+    """`ready` for each group: whether its newest fix is no more than some seconds older than its newest frame; without any fix it is not."""
+    newest = lambda df, name: df.groupBy(*by).agg(F.max(F.unix_micros(F.col(time).cast("timestamp"))).alias(name))
+    both = newest(frames, "frame_us").join(newest(fixes, "fix_us"), by, "left")
+    return both.select(*by, F.coalesce(F.col("fix_us") >= F.col("frame_us") - int(seconds * 1_000_000), F.lit(False)).alias("ready"))
 
 
 def count_flush(events: DataFrame, size: int) -> DataFrame:
