@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
 from . import chat, graph_search, licences, mixing, near_duplicates, quality_rules, sentencepiece, sharding, toxicity, url_filter
 
 #: The vocabulary file is a parameter of the operator; this is the box's copy of a public one.
@@ -44,13 +45,15 @@ MIX = mixing.Targets(
 )
 
 
-def mixed(docs: DataFrame, targets: mixing.Targets = MIX) -> DataFrame:
+def mixed(docs: DataFrame, targets: mixing.Targets = MIX, texts: bool = True) -> DataFrame:
+    """Texts are read for words and topics once; without `texts` they are left behind there."""
     ready = mixing.with_topics(docs, TOPICS)
+    ready = materialise(ready if texts else ready.drop("text"), "topics")
     return mixing.mix(ready, targets, {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("__topic")}, F.col("__words"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    out = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), texts=False)
     return out.select(
         "doc_id",
         F.col("__tokens").alias("n_tokens"),
