@@ -18,14 +18,14 @@ from .common import materialise
 @dataclass(frozen=True)
 class Params:
     """`shard_rows`: distinct vectors of a shard, at most about; `most_pivots`: regions that the vectors are cut into, at most about;
-    `probes`: regions that a query visits, the nearest by their pivots; `degree`, `beam`, `alpha`: bounds of the graph and its pruning;
+    `probes`: regions that a query visits, the nearest by their pivots, or all if None; `degree`, `beam`, `alpha`: bounds of the graph and its pruning;
     `query_beam`: width of the search; `batch`: points inserted or queries searched together; `query_block`: queries
     that a task takes at once."""
 
     k: int = 10
     shard_rows: int = 4000
     most_pivots: int = 16_384
-    probes: int = 16
+    probes: int | None = None
     degree: int = 32
     beam: int = 48
     alpha: float = 1.2
@@ -181,8 +181,8 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
     return embeddings.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(ok).withColumn("dim", F.size("v"))
 
 
-def _to_pivots(pivots: dict[int, np.ndarray], most: int):
-    """Adds `cells` to batches that hold vectors `v`: the numbers of the `most` nearest pivots of their length, nearest first; 0 where a length has none."""
+def _to_pivots(pivots: dict[int, np.ndarray], most: int | None):
+    """Adds `cells` to batches that hold vectors `v`: the numbers of the `most` nearest pivots of their length (all if None), nearest first; 0 where a length has none."""
 
     def run(batches):
         for batch in batches:
@@ -207,7 +207,7 @@ def _to_pivots(pivots: dict[int, np.ndarray], most: int):
     return run
 
 
-def _celled(rows: DataFrame, pivots: dict[int, np.ndarray], most: int) -> DataFrame:
+def _celled(rows: DataFrame, pivots: dict[int, np.ndarray], most: int | None) -> DataFrame:
     return rows.mapInArrow(_to_pivots(pivots, most), T.StructType([*rows.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
 
 
@@ -265,7 +265,7 @@ def build_index(embeddings: DataFrame, params: Params = Params()) -> Index:
 def search_index(index: Index, queries: DataFrame, params: Params = Params()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each query (query_id, v, dim) among the index, itself left out; ties go to the smaller vec_id.
 
-    A query visits all shards of the `probes` regions whose pivots are nearest, so that an index of up to that many regions is searched as a whole.
+    A query visits all shards, or with `probes` those of the regions whose pivots are nearest, which loses neighbours where regions are not well apart.
     Shards that more than `query_block` queries visit are searched in blocks. An id that has several vectors counts by its nearest.
     """
     p = params
