@@ -8,6 +8,7 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Words of a licence text, after lower-casing.
 LICENCE_WORD = r"[\p{L}\p{N}]+"
@@ -20,6 +21,12 @@ TEMPLATES = {
     ],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-4.0": ["This work is licensed under the Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA-4.0": ["This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC0-1.0": ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "LGPL-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
@@ -30,46 +37,54 @@ TEMPLATES = {
     ],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "BSD-2-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
+    "BSD-3-Clause": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
 }
 
 
 def _bigrams(text: str) -> list[str]:
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = re.findall(r"[^\W_]+", text.lower().replace("licence", "license"))
     return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
 def template_rows(templates: dict[str, list[str]], least: float) -> list[tuple]:
-    """(licence, number, size, low, high, bigram, count): a text of n bigrams can reach the coefficient only if low <= n <= high."""
+    """(licence, number, size, low, high, step, bigram, count): a text of n bigrams can reach the coefficient only if low <= n <= high."""
     out = []
     for licence in sorted(templates):
         for number, text in enumerate(templates[licence]):
             counts = Counter(_bigrams(text))
             size = sum(counts.values())
-            low, high = math.ceil(size * least / (2 - least)), math.floor(size * (2 - least) / least)
-            out += [(licence, number, size, low, high, bigram, count) for bigram, count in sorted(counts.items())]
+            low, high, step = math.ceil(size * least / (2 - least)), math.floor(size * (2 - least) / least), max(1, size // 8)
+            out += [(licence, number, size, low, high, step, bigram, count) for bigram, count in sorted(counts.items())]
     return out
 
 
 def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(LICENCE_WORD), F.lit(0))
+    return F.regexp_extract_all(F.replace(F.lower(line), F.lit("licence"), F.lit("license")), F.lit(LICENCE_WORD), F.lit(0))
 
 
 def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least: float = 0.8) -> DataFrame:
     """(doc_id, unit, position, licence, dice) for each unit of a text that is at least `least` like a template.
 
-    Units are the lines, the blocks between blank lines (of texts that have blank lines) and the whole text (of several lines),
-    `position` counts a kind's units from 0. Words are runs of letters and digits, lower-cased; bigrams count as often as they
-    occur. Of several templates, the best stays, then the first by name. Null and blank texts have no unit; repeated rows
-    count once; a null doc_id is kept. Extra columns are ignored; an empty table gives an empty result.
+    Units are the lines, the blocks between blank lines (of texts that have blank lines), the whole text (of several lines) and
+    passages. A passage is a window over the words of the whole text, as long as the template and cut at the text's end; windows begin
+    at every eighth of the template. So a licence is found inside a line, across lines and across blocks: one that is moved against
+    the nearest window shares at least 15/16 of its bigrams with it. Overlapping windows of one licence are one passage, with the coefficient
+    of the best; so touching copies of a licence are one. Licences whose notices differ in few words are each reported.
 
-    A licence is found only where it fills a unit: one inside a longer line, over lines beside other text, or over several blocks is not.
+    `position` counts a kind's units from 0, and is the number of the first word of a passage. Words are runs of letters and digits,
+    lower-cased, with one spelling of licence; bigrams count as often as they occur. Of several templates, the best stays for a line, block or text, then
+    the first by name. Null and blank texts have no unit; repeated rows count once; a null doc_id is kept. Extra columns are
+    ignored; an empty table gives an empty result.
 
-    Sizes are bounded before bigrams are made; only bigrams of some template of a fitting size leave a task, once for each place of a unit, and the templates (given
-    by the caller, some hundred rows) are broadcast.
+    Sizes are bounded before bigrams are made; only bigrams of some template leave a task, once for each place of a unit, and the
+    templates (given by the caller, some hundred rows) are broadcast. Before windows are made, a bigram of a passage needs as many others of its
+    template within reach as any window at the limit holds.
     """
     spark = docs.sparkSession
     rows = template_rows(templates or TEMPLATES, least)
-    known = spark.createDataFrame(rows, "licence string, number int, size int, low int, high int, bigram string, wanted int")
+    known = spark.createDataFrame(rows, "licence string, number int, size int, low int, high int, step int, bigram string, wanted int")
     low, high = min(r[3] for r in rows), max(r[4] for r in rows)
 
     words = docs.where("text is not null").select("doc_id", "text", F.transform(F.split("text", "\n"), _words).alias("lines"))
@@ -79,35 +94,72 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     blocks = F.when(F.col("text").rlike(r"\n[ \t\r]*\n"), F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda x, k: unit("block", k, _words(x)))).otherwise(no_units)
     whole = F.when(F.size("lines") > 1, F.array(unit("text", F.lit(0), F.flatten("lines")))).otherwise(no_units)
     fitting = F.filter(F.concat(lines, blocks, whole), lambda u: F.size(u["words"]).between(low + 1, high + 1))
-    units = words.select("doc_id", F.explode(fitting).alias("u")).select("doc_id", "u.unit", "u.position", F.col("u.words").alias("words"), F.xxhash64("u.words").alias("of"))
+    passage = F.filter(F.array(unit("passage", F.lit(0), F.flatten("lines"))), lambda u: F.size(u["words"]) > low)
+    units = words.select("doc_id", F.explode(F.concat(fitting, passage)).alias("u"))
+    units = units.select("doc_id", "u.unit", "u.position", F.col("u.words").alias("words"), F.xxhash64("u.words").alias("of"))
     pairs = F.transform(F.expr("slice(words, 1, size(words) - 1)"), lambda x, k: F.concat(x, F.lit(" "), F.get("words", k + 1)))
     grams = units.select("doc_id", "unit", "position", "of", (F.size("words") - 1).alias("n"), F.posexplode(pairs).alias("place", "bigram"))
-    key = ["doc_id", "unit", "position", "of", "n", "licence", "number"]
-    met = grams.join(F.broadcast(known), "bigram").where("n between low and high").dropDuplicates([*key, "place"])
-    shared = met.groupBy(*key, "bigram", "size").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
-    scored = shared.groupBy(*key, "size").agg(F.sum("shared").alias("shared")).select("*", (2.0 * F.col("shared") / (F.col("n") + F.col("size"))).alias("dice")).where(F.col("dice") >= least)
-    best = scored.groupBy("doc_id", "unit", "position").agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
-    return best.select("doc_id", "unit", "position", F.col("best.licence").alias("licence"), F.round(-F.col("best.less"), 6).alias("dice"))
+
+    key, about = ["doc_id", "unit", "position", "of", "n", "licence", "number"], ["size", "step", "low"]
+    in_passage = F.col("unit") == "passage"
+    met = grams.join(F.broadcast(known), "bigram").where(in_passage | F.col("n").between(F.col("low"), F.col("high"))).dropDuplicates([*key, "place"])
+    reach = Window.partitionBy(*key).orderBy(F.col("place") / F.col("size")).rangeBetween(-1, 1)
+    dense = met.withColumn("near", F.count("*").over(reach)).where(~in_passage | (F.col("near") >= F.col("low")))
+    first, last = F.expr("(greatest(0, place - size + 1) + step - 1) div step"), F.expr("place div step")
+    placed = dense.withColumn("window", F.explode(F.when(in_passage, F.filter(F.sequence(first, F.greatest(first, last)), lambda k: k <= last)).otherwise(F.array(F.lit(0).cast("long")))))
+    shared = placed.groupBy(*key, *about, "window", "bigram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
+    summed = shared.groupBy(*key, *about, "window").agg(F.sum("shared").alias("shared"))
+    begins = F.when(in_passage, F.col("window") * F.col("step")).otherwise(0)
+    spans = summed.withColumn("begins", begins).withColumn("span", F.when(in_passage, F.least("size", F.col("n") - F.col("begins"))).otherwise(F.col("n")))
+    scored = spans.withColumn("dice", 2.0 * F.col("shared") / (F.col("span") + F.col("size"))).where(F.col("dice") >= least)
+
+    place = ["doc_id", "unit", "position", "of", "licence"]
+    in_order = Window.partitionBy(*place).orderBy("begins", "span")
+    before = F.max(F.col("begins") + F.col("span")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = scored.withColumn("new", F.when(F.col("begins") < before, 0).otherwise(1)).withColumn("run", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    found = runs.groupBy(*place, "run").agg(F.min("begins").alias("begins"), F.max("dice").alias("dice"))
+    found = found.withColumn("position", F.when(in_passage, F.col("begins").cast("int")).otherwise(F.col("position")))
+    best = found.groupBy("doc_id", "unit", "position", F.when(in_passage, F.col("licence")).alias("own")).agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
+    return best.select("doc_id", "unit", "position", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("dice"))
 
 
 def licence_sql(templates: dict[str, list[str]] | None = None, least: float = 0.8) -> str:
-    """The same scan in DuckDB's SQL, with the templates as values."""
+    """The same scan in DuckDB's SQL, with the templates as values; the coefficient has nine decimals."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ",\n".join(f"({q(a)}, {b}, {c}, {d}, {e}, {q(f)}, {g})" for a, b, c, d, e, f, g in template_rows(templates or TEMPLATES, least))
+    values = ",\n".join(f"({q(a)}, {b}, {c}, {d}, {e}, {s}, {q(f)}, {g})" for a, b, c, d, e, s, f, g in template_rows(templates or TEMPLATES, least))
+    words = "regexp_extract_all(replace(lower({}), 'licence', 'license'), '[\\p{{L}}\\p{{N}}]+')"
     return f"""
-WITH known(licence, number, size, low, high, bigram, wanted) AS (VALUES
+WITH known(licence, number, size, low, high, step, bigram, wanted) AS (VALUES
 {values}),
 lines AS (SELECT doc_id, 'line' AS unit, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS position, unnest(string_split(text, chr(10))) AS part FROM documents),
 blocks AS (
   SELECT doc_id, 'block' AS unit, generate_subscripts(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), 1) - 1 AS position, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) AS part
   FROM documents WHERE regexp_matches(text, '\\n[ \\t\\r]*\\n')),
 units AS (SELECT * FROM lines UNION ALL SELECT * FROM blocks UNION ALL SELECT doc_id, 'text', 0, text FROM documents WHERE contains(text, chr(10))),
-worded AS (SELECT DISTINCT doc_id, unit, position, regexp_extract_all(lower(part), '[\\p{{L}}\\p{{N}}]+') AS w FROM units),
+worded AS (SELECT DISTINCT doc_id, unit, position, {words.format('part')} AS w FROM units),
 grams AS (SELECT doc_id, unit, position, len(w) - 1 AS n, w[k] || ' ' || w[k + 1] AS bigram FROM (SELECT *, unnest(range(1, len(w))) AS k FROM worded)),
 shared AS (
   SELECT doc_id, unit, position, n, licence, number, size, least(count(*), max(wanted)) AS shared
   FROM grams JOIN known USING (bigram) WHERE n BETWEEN low AND high GROUP BY doc_id, unit, position, n, licence, number, size, bigram),
 scored AS (SELECT doc_id, unit, position, licence, 2.0::DOUBLE * sum(shared) / (n + size) AS dice FROM shared GROUP BY doc_id, unit, position, n, licence, number, size),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit, position ORDER BY dice DESC, licence) AS r FROM scored WHERE dice >= {least})
-SELECT doc_id, unit, CAST(position AS INTEGER) AS position, licence, round(dice, 6) AS dice FROM ranked WHERE r = 1
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit, position ORDER BY dice DESC, licence) AS r FROM scored WHERE dice >= {least}),
+texts AS (SELECT doc_id, w, md5(array_to_string(w, ' ')) AS h FROM (SELECT DISTINCT doc_id, {words.format('text')} AS w FROM documents)),
+places AS (SELECT doc_id, h, len(w) - 1 AS total, k - 1 AS place, w[k] || ' ' || w[k + 1] AS bigram FROM (SELECT *, unnest(range(1, len(w))) AS k FROM texts)),
+windows AS (
+  SELECT doc_id, h, total, licence, number, size, step, bigram, wanted, unnest(range((greatest(0, place - size + 1) + step - 1) // step, place // step + 1)) AS k
+  FROM places JOIN known USING (bigram)),
+within AS (
+  SELECT doc_id, h, total, licence, number, size, k * step AS begins, least(count(*), max(wanted)) AS shared
+  FROM windows GROUP BY doc_id, h, total, licence, number, size, step, k, bigram),
+likes AS (
+  SELECT doc_id, h, licence, begins, least(size, total - begins) AS span, 2.0::DOUBLE * sum(shared) / (least(size, total - begins) + size) AS dice
+  FROM within GROUP BY doc_id, h, total, licence, number, size, begins),
+marked AS (
+  SELECT *, CASE WHEN begins < max(begins + span) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, span ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+  FROM likes WHERE dice >= {least}),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, span ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+passages AS (SELECT doc_id, licence, min(begins) AS position, max(dice) AS dice FROM runs GROUP BY doc_id, h, licence, run)
+SELECT doc_id, unit, CAST(position AS INTEGER) AS position, licence, round(dice, 9) AS dice FROM ranked WHERE r = 1
+UNION ALL
+SELECT doc_id, 'passage', CAST(position AS INTEGER), licence, round(max(dice), 9) FROM passages GROUP BY doc_id, licence, position
 """

@@ -105,7 +105,7 @@ def test_components_of_chains_and_hubs(spark):
 def test_shards_by_bytes(spark):
     got = registry.op5_byte_shards(spark, SF).orderBy("doc_id").collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    total, begins, slots = sum(len(t.encode()) + 1 for t in texts.values()), 0, collections.Counter()
+    total, begins, slots = sum(len(t.encode()) + 1 for t in texts.values()), 0, collections.collections.Counter()
     for r in got:
         assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.size == len(texts[r.doc_id].encode()) + 1
         assert r.shard == begins * 16 // total and r.slot == slots[r.shard]
@@ -260,7 +260,7 @@ def brute_compression(data, limits):
 def brute_quality(text):
     text = text or ""
     words = text.encode().split()
-    counts = collections.Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+    counts = collections.collections.Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
     covered = {j for k in range(len(words) - 4) if counts[tuple(words[k : k + 5])] > 1 for j in range(k, k + 5)}
     lines = [x for x in text.split("\n") if x.strip(" \t\n\r\x0b\x0c")]
     return len(words), sum(len(w.decode()) for w in words), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
@@ -384,10 +384,46 @@ def test_licences(spark):
     mit = licences.TEMPLATES["MIT"][1]
     rows = EDGES + [(30, "words before\nReleased under the MIT License.\nafter"), (31, mit.replace(",", ",\n")), (32, "intro\n\n" + mit.replace(". ", ".\n") + "\n\nend"), (33, "Released under the licence of nobody at all"), (34, "RELEASED under - the mit license"), (34, "RELEASED under - the mit license")]
     got = {(r.doc_id, r.unit, r.licence) for r in licences.licence_scan(docs(spark, rows)).collect()}
-    assert got == {(30, "line", "MIT"), (31, "text", "MIT"), (32, "line", "MIT"), (32, "block", "MIT"), (32, "text", "MIT"), (34, "line", "MIT")}
+    assert got == {(30, "line", "MIT"), (31, "text", "MIT"), (32, "line", "MIT"), (32, "block", "MIT"), (32, "text", "MIT"), (34, "line", "MIT")} | {(k, "passage", "MIT") for k in (30, 31, 32, 34)}
     assert licences.licence_scan(docs(spark, [])).count() == 0
 
 
+def test_licences_inside_other_text(spark):
+    bsd = licences.TEMPLATES["BSD-2-Clause"][0].replace("met: ", "met:\n\n").replace("disclaimer. ", "disclaimer.\n\n", 1)
+    apache = licences.TEMPLATES["Apache-2.0"][1].split()
+    wrapped = "\n".join(" ".join(apache[k : k + 9]) for k in range(0, len(apache), 9))
+    other = " ".join(f"w{k}" for k in range(700))
+    rows = [
+        (1, f"{other}\n\n{bsd}\n\n{other}"),
+        (2, "We hope this helps you. Released under the MIT Licence. Thank you."),
+        (3, f"words directly above\n{wrapped}\nwords directly below " + other),
+        (4, other),
+        (5, f"{other} {bsd} {other} {bsd}"),
+    ]
+    got = {(r.doc_id, r.position // 100, r.licence) for r in licences.licence_scan(docs(spark, rows)).where("unit = 'passage'").collect()}
+    assert got == {(1, 6, "BSD-2-Clause"), (2, 0, "MIT"), (3, 0, "Apache-2.0"), (5, 6, "BSD-2-Clause"), (5, 14, "BSD-2-Clause")}
+
+
+def test_passages_equal_all_windows(spark):
+    """Random words over a small vocabulary, against each window counted by itself."""
+    rng, least = np.random.default_rng(21), 0.6
+    template = " ".join(rng.choice(list("abcdef"), 24))
+    texts = {k: " ".join([*rng.choice(list("abcdef"), int(rng.integers(0, 60))), *(template.split()[: 12 + k] if k % 2 else [])]) for k in range(40)}
+    want = set()
+    size, step = 23, 2
+    known = collections.Counter(zip(template.split(), template.split()[1:]))
+    for k, t in texts.items():
+        grams, reached = list(zip(t.split(), t.split()[1:])), -1
+        for begins in range(0, len(grams), step):
+            part = grams[begins : begins + size]
+            if 2 * sum((collections.Counter(part) & known).values()) / (len(part) + size) >= least:
+                if begins >= reached:
+                    want.add((k, begins))
+                reached = max(reached, begins + len(part))
+    got = licences.licence_scan(docs(spark, list(texts.items())), {"T": [template]}, least).where("unit = 'passage'").collect()
+    assert {(r.doc_id, r.position) for r in got} == want and len(want) > 10
+
+
 def test_raking_meets_the_targets(spark):
     rng = np.random.default_rng(10)
     cells = spark.createDataFrame([(s, l, int(rng.integers(50, 500))) for s in ("a", "b", None) for l in ("x", "y")], "source string, lang string, tokens long")
