@@ -97,12 +97,15 @@ def meter(rows: DataFrame, by: list[str], order: str, value: str, size: int) ->
 
 
 def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
-    """CLEAR-MOT counts per scan from (by, frame, gt_id, trk_id, iou): a match of the frame before is kept while it holds, the rest is paired greedily.
+    """CLEAR-MOT counts per scan from (by, frame, gt_id, trk_id, iou): a match of the frame before is kept while it holds, of the rest as many as can be are paired, with
+    the greatest total overlap.
 
-    Rows with a null trk_id or gt_id name unpaired true or found boxes of a frame. Matches, misses, false positives, switches, mota.
+    Rows with a null trk_id or gt_id name unpaired true or found boxes of a frame. Matches, misses, false positives, switches, mota, precision, recall.
     """
+    from .scoring import optimal_pairs
+
     kinds = dict(pairs.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long, mota double"
+    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long, mota double, precision double, recall double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         last: dict = {}
@@ -111,9 +114,13 @@ def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
             good = frame[(frame["iou"] >= least_iou) & frame["gt_id"].notna() & frame["trk_id"].notna()]
             options = {(g, t): v for g, t, v in zip(good["gt_id"], good["trk_id"], good["iou"])}
             taken = {g: t for g, t in last.items() if (g, t) in options}
-            for (g, t), _ in sorted(options.items(), key=lambda kv: (-kv[1], kv[0])):
-                if g not in taken and t not in taken.values():
-                    taken[g] = t
+            gone = set(taken.values())
+            free = {(g, t): v for (g, t), v in options.items() if g not in taken and t not in gone}
+            truths, tracks = sorted({g for g, _ in free}), sorted({t for _, t in free})
+            if free:
+                # A pair counts for more than any sum of overlaps, so that the number of pairs comes first.
+                gain = np.array([[len(free) + 1 + free[g, t] if (g, t) in free else 0.0 for t in tracks] for g in truths])
+                taken |= {truths[r]: tracks[c] for r, c in optimal_pairs(gain) if gain[r, c] > 0}
             switches += sum(g in last and last[g] != t for g, t in taken.items())
             hits += len(taken)
             misses += frame["gt_id"].nunique() - len(taken)
@@ -121,7 +128,8 @@ def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
             last |= taken
         whole = hits + misses
         row = {c: [pdf[c].iloc[0]] for c in by} | {"matches": [hits], "misses": [misses], "false_positives": [extra], "switches": [switches]}
-        return pd.DataFrame(row | {"mota": [1 - (misses + extra + switches) / whole if whole else np.nan]})
+        share = lambda n: [hits / n if n else np.nan]
+        return pd.DataFrame(row | {"mota": [1 - (misses + extra + switches) / whole if whole else np.nan], "precision": share(hits + extra), "recall": share(whole)})
 
     return pairs.groupBy(*by).applyInPandas(run, schema)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation as E
 from ..operators import folds as O
-from ..operators import geometry as G
+from ..operators import scoring as S
 from ..operators import tracking as K
 from .tables import KEY, WITH_BOXES, WITH_SLICES, WITH_TRACKS, boxes, events, slices, tracks
 
@@ -30,11 +30,20 @@ def _drive(s, d):
 
 
 def _mot(s, d):
-    found = _detections(s, d)
-    truth = found.where("pos % 2 = 0").withColumn("gt_id", F.col("pos") % 50)
-    other = found.where("pos % 2 = 1").withColumn("trk_id", F.col("pos") % 50)
-    pairs = truth.alias("a").join(other.alias("b"), ["scan_id", "frame"], "full").select("scan_id", "frame", F.col("a.gt_id").cast("double").alias("gt_id"), F.col("b.trk_id").cast("double").alias("trk_id"), F.coalesce(G.iou("a", "b", False, False), F.lit(0.0)).alias("iou"))
-    return E.mot_summary(pairs, ["scan_id"], 0.3)
+    """True boxes, and found ones that are moved a little, sometimes lost, and change their track every fifty frames."""
+    rows = _detections(s, d).groupBy("scan_id", "frame", (F.col("pos") % 40).cast("double").alias("gt_id")).agg(F.min(F.struct("pos", "x1", "y1", "x2", "y2")).alias("b"))
+    truth = rows.select("scan_id", "frame", "gt_id", "b.*")
+    moved = [(F.col(c) + F.col("pos") % 9 - 4).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    found = truth.where("pos % 11 <> 0").select("scan_id", "frame", (F.col("gt_id") + 40 * F.floor(F.col("frame") / 50)).alias("trk_id"), "pos", *moved)
+    return S.track_pairs(truth, found, ["scan_id", "frame"], 0.3)
+
+
+def _cells(s, d):
+    """True boxes, some of them crowds, and found ones that are moved a little, sometimes lost."""
+    rows = boxes(s, d).select("scan_id", "frame", "class", "pos", "x1", "y1", "x2", "y2", "score")
+    truth = rows.where("pos % 10 < 8").withColumn("crowd", (F.col("pos") % 37 == 0).cast("int"))
+    found = rows.where("pos % 10 > 0").select("scan_id", "frame", "class", "pos", *((F.col(c) + F.col("pos") % 13 - 6).alias(c) for c in ("x1", "y1", "x2", "y2")), "score")
+    return S.area_cells(S.matched_boxes(truth, found, ["scan_id", "frame"]), truth, ["scan_id", "frame"])
 
 
 def _cuts(s, d):
@@ -128,7 +137,10 @@ QUERIES = {
     "valid_shifts": (lambda s, d: O.validated_shifts(_shifts(s, d), KEY, 160.0, margin=30.0).select("scan_id", "frame", F.round("tx", 6).alias("tx"), F.round("ty", 6).alias("ty")), _FOLD_SQL["valid_shifts"]),
     "row_fsm": (lambda s, d: O.row_states(_drive(s, d), ["user_id"], "ts", depth_most=0.55, turn_most=1.0, alpha=0.2), _FOLD_SQL["row_fsm"]),
     "greedy_clusters": (lambda s, d: O.greedy_clusters(_detections(s, d), ["scan_id", "frame"], 200.0), _FOLD_SQL["greedy_clusters"]),
-    "fs_tracker": (lambda s, d: K.window_tracks(_detections(s, d), KEY), None),
-    "byte_tracker": (lambda s, d: K.two_stage_tracks(_detections(s, d), KEY), None),
-    "mot_metrics": (_mot, None),
+    "window_tracker": (lambda s, d: K.window_tracks(_detections(s, d), KEY), None),
+    "two_stage_tracker": (lambda s, d: K.two_stage_tracks(_detections(s, d), KEY), None),
+    "mot_metrics": (lambda s, d: E.mot_summary(_mot(s, d), ["scan_id"], 0.3), None),
+    "identity_metrics": (lambda s, d: S.identity_summary(_mot(s, d), ["scan_id"], 0.3), None),
+    "area_cells": (lambda s, d: _cells(s, d).select("class", "area_class", "threshold", *(F.round(c, 9).alias(c) for c in ("ap", "recall_1", "recall_10", "recall_100"))), None),
+    "area_summary": (lambda s, d: S.area_summary(_cells(s, d)), None),
 }
