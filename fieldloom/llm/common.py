@@ -94,9 +94,10 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 class WordHasher:
     """64-bit hashes of all words of a buffer by prefix sums of a polynomial; equal words get equal hashes in every process."""
 
-    def __init__(self, lower: bool = True, segment: int = 1 << 19):
+    def __init__(self, lower: bool = True, segment: int = 1 << 19, breaks: np.ndarray = _IS_SPACE):
+        """`breaks` tells of each byte whether it stands between words."""
         self.codes = _LOWER_CODES if lower else _BYTE_CODES
-        self.segment = segment
+        self.segment, self.breaks = segment, breaks
         self._grow(1 << 12)
 
     def _grow(self, n: int) -> None:
@@ -109,13 +110,13 @@ class WordHasher:
         while at < len(data):
             end = min(len(data), at + self.segment)
             while end < len(data):
-                gap = np.flatnonzero(_IS_SPACE[data[end : end + self.segment]])
+                gap = np.flatnonzero(self.breaks[data[end : end + self.segment]])
                 if len(gap):
                     end += int(gap[0])
                     break
                 end = min(len(data), end + self.segment)
             part = data[at:end]
-            edge = np.diff(np.concatenate(([0], (~_IS_SPACE[part]).view(np.int8), [0])))
+            edge = np.diff(np.concatenate(([0], (~self.breaks[part]).view(np.int8), [0])))
             if len(part) > len(self.powers):
                 self._grow(len(part) * 2)
             sums = np.zeros(len(part) + 1, np.uint64)
@@ -153,6 +154,29 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     return mixed_bits(out)
 
 
+class Rolling:
+    """64-bit hashes of all runs of a number of words, by prefix sums, so that long runs cost no more than short ones."""
+
+    def __init__(self, salt: int = 0):
+        self.salt = np.uint64(salt)
+        self._grow(1 << 12)
+
+    def _grow(self, n: int) -> None:
+        self.powers = np.cumprod(np.full(n, _BASE, np.uint64), dtype=np.uint64)
+        self.inverses = np.cumprod(np.full(n, _BASE_INVERSE, np.uint64), dtype=np.uint64)
+
+    def runs(self, words: np.ndarray, size: int) -> np.ndarray:
+        """One hash for each start of a run of `size` words; hashes of other salts are independent."""
+        n = len(words) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        if len(words) > len(self.powers):
+            self._grow(2 * len(words))
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(mixed_bits(words ^ self.salt) * self.powers[: len(words)], out=sums[1:])
+        return mixed_bits((sums[size:] - sums[:n]) * self.inverses[:n] + np.uint64(size))
+
+
 def shingle_set(words: np.ndarray, size: int = 5) -> np.ndarray:
     """The sorted distinct shingles of `size` words; with fewer words, the whole sequence as one; without words, none."""
     if len(words) == 0:

@@ -1,4 +1,4 @@
-"""The queries of this subpackage, op1 to op10 and the pipeline, and their SQL twins."""
+"""The queries of this subpackage, op1 to op13 and the pipeline, and their SQL twins."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise
-from . import chat, graph_search, licences, mixing, near_duplicates, quality_rules, sentencepiece, sharding, toxicity, url_filter
+from . import chat, filter_audit, graph_search, licences, mixing, near_duplicates, quality_rules, ranked_search, repeats, sentencepiece, sharding, toxicity, url_filter
 
 #: The vocabulary file is a parameter of the operator; this is the box's copy of a public one.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -108,6 +108,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), HOST_RULES, url_filter.DEFAULT_GLOBS)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = str(Path(__file__).resolve().parents[2])
     if root not in sys.path:
@@ -118,7 +131,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_licence_scan, op2_mix_sources, op3_near_duplicates, op4_chat_format, op5_byte_shards, op6_graph_search, op7_sentencepiece, op8_quality_rules, op9_toxicity, op10_url_filter, pipeline]
+    own = [op1_licence_scan, op2_mix_sources, op3_near_duplicates, op4_chat_format, op5_byte_shards, op6_graph_search, op7_sentencepiece, op8_quality_rules, op9_toxicity, op10_url_filter]
+    own += [op11_substring_dedup, op12_ranked_search, op13_filter_audit, pipeline]
     return {f.__name__: f for f in own}
 
 
@@ -217,4 +231,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat_format": chat.CHAT_SQL,
         "op5_byte_shards": _OP5_SQL,
         "op10_url_filter": _OP10_SQL,
+        "op11_substring_dedup": repeats.REPEATS_SQL,
+        "op12_ranked_search": ranked_search.RANKED_SQL,
+        "op13_filter_audit": filter_audit.AUDIT_SQL,
     }
