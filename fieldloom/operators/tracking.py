@@ -15,38 +15,93 @@ from .geometry import greedy_pairs
 _BOX = ["x1", "y1", "x2", "y2"]
 
 
+CLOSE, MID, FAR = 0, 1, 2
+
+
 @dataclass(frozen=True)
 class WindowTracker:
-    """Search windows follow the camera's shift; scores weigh shape, distance and depth over the sum of all four weights."""
+    """Search windows follow the camera's shift; scores weigh shape, distance and depth over the sum of all four weights.
+
+    `reach` is how far a window goes to the side that the shift leads to, and to the other, for boxes that are close, mid and far. A scene is close if the
+    mean of its ten least depths is at most `close_depth`; boxes are then classed by area (`areas`: below the first far, below the second mid), in
+    other scenes all are mid. While under `uncoupled_most` of the last detections stayed without a track, windows follow the mean shift of their class instead of the frame's.
+    Distances are measured against the frame's width, or, if `adaptive`, against twice the shift, `least_distance` at least.
+    """
 
     width: int = 1536
     height: int = 2048
-    major: float = 1.5
-    minor: float = 0.5
+    reach: tuple[tuple[float, float], ...] = ((2.2, 1.2), (1.5, 0.8), (1.2, 0.4))
+    close_depth: float = 0.9
+    areas: tuple[float, float] = (250.0, 400.0)
     margin: float = 5.0
+    match: str = "inter"
     det_area: float = 1.0
     weights: tuple[float, float, float, float] = (1.0, 1.0, 0.0, 0.0)
+    uncoupled_most: float = 0.8
+    adaptive: bool = False
+    least_distance: float = 10.0
     max_losses: int = 10
     history: int = 10
+    samples: int = 5
+    stale_most: int = 5
 
 
 @dataclass
 class _Track:
+    """`depth` is None without any depth in the frame, nan where only this box has none."""
+
     number: int
     box: np.ndarray
-    depth: float
+    depth: float | None
+    kind: int = MID
     count: int = 1
     lost: int = 0
     active: bool = True
     moves: list = field(default_factory=list)
 
 
-def windows_of(boxes: np.ndarray, tx: float, ty: float, p: WindowTracker) -> np.ndarray:
-    """Where each box may be found next: far on the side that the shift leads to, a little on the other."""
+class ClassShifts:
+    """The latest mean shifts of each class; a class that has not had enough samples for too long starts anew."""
+
+    def __init__(self, p: WindowTracker):
+        self.p, self.means, self.stale = p, [deque(maxlen=p.history) for _ in range(3)], [0, 0, 0]
+
+    def learn(self, tracks: list[_Track]) -> None:
+        for kind, means in enumerate(self.means):
+            last = [t.moves[-1] for t in tracks if t.kind == kind and t.count > 3 and t.lost == 0]
+            if len(last) >= self.p.samples:
+                means.append(float(np.mean(last)))
+                self.stale[kind] = 0
+            else:
+                self.stale[kind] += 1
+            if self.stale[kind] > self.p.stale_most:
+                means.clear()
+
+    def settled(self, kind: int) -> bool:
+        return len(self.means[kind]) > 5
+
+    def of(self, kind: int) -> float:
+        """Of a class without samples, the mid class's."""
+        return float(np.mean(self.means[kind] or self.means[MID]))
+
+
+def box_kinds(boxes: np.ndarray, det_depth: np.ndarray | None, p: WindowTracker) -> np.ndarray:
+    """The class of each track's box in a scene with these depths."""
+    known = np.sort(det_depth[~np.isnan(det_depth)])[:10] if det_depth is not None else np.zeros(0)
+    if not len(known) or known.mean() > p.close_depth:
+        return np.full(len(boxes), MID)
+    size = _sizes(boxes)
+    return np.where(size < p.areas[0], FAR, np.where(size < p.areas[1], MID, CLOSE))
+
+
+def windows_of(boxes: np.ndarray, tx: np.ndarray, ty: np.ndarray, kinds: np.ndarray, p: WindowTracker) -> np.ndarray:
+    """Where each box may be found next: far on the side that its shift leads to, a little on the other."""
+    reach = np.array(p.reach)[kinds]
 
     def side(low, high, shift, most):
-        far, near = shift * p.major, shift * p.minor
-        low, high = (low - far, high - (near - p.margin)) if shift > 0 else (low - (near + p.margin), high - far)
+        far, near = shift * reach[:, 0], shift * reach[:, 1]
+        ahead = far > 0
+        low, high = np.where(ahead, low - far, low - (near + p.margin)), np.where(ahead, high - (near - p.margin), high - far)
         return np.maximum(low, 0), np.minimum(high, most)
 
     x1, x2 = side(boxes[:, 0], boxes[:, 2], tx, p.width)
@@ -54,9 +109,13 @@ def windows_of(boxes: np.ndarray, tx: float, ty: float, p: WindowTracker) -> np.
     return np.stack([x1, y1, x2, y2], axis=1)
 
 
-def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _common_sides(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     w = np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0])
-    h = np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1])
+    return w, np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1])
+
+
+def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    w, h = _common_sides(a, b)
     return np.clip(w, 0, None) * np.clip(h, 0, None)
 
 
@@ -64,65 +123,90 @@ def _sizes(b: np.ndarray) -> np.ndarray:
     return (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
 
 
-def match_scores(windows: np.ndarray, boxes: np.ndarray, dets: np.ndarray, track_depth: np.ndarray, det_depth: np.ndarray, p: WindowTracker) -> np.ndarray:
-    """Scores of tracks x detections; 0 where the (shrunk) detection does not meet the window."""
-    inset = (1 - p.det_area) / 2 * np.stack([dets[:, 2] - dets[:, 0], dets[:, 3] - dets[:, 1]], axis=1)
-    shrunk = np.concatenate([dets[:, :2] + inset, dets[:, 2:] - inset], axis=1)
-    met = overlaps(windows, shrunk) > 0
+def windows_meet(windows: np.ndarray, dets: np.ndarray, p: WindowTracker) -> np.ndarray:
+    """Windows x detections: whether the detection (shrunk to `det_area` of its sides), or the pixel at its centre, has a pixel in the window; edge pixels count."""
+    if p.match == "center":
+        centre = (dets[:, :2] + dets[:, 2:]) / 2
+        seen = np.concatenate([centre, centre + 1], axis=1)
+    elif p.match == "inter":
+        inset = (1 - p.det_area) / 2 * np.stack([dets[:, 2] - dets[:, 0], dets[:, 3] - dets[:, 1]], axis=1)
+        seen = np.concatenate([dets[:, :2] + inset, dets[:, 2:] - inset], axis=1)
+    else:
+        raise ValueError(f"no way of matching is called {p.match}")
+    w, h = _common_sides(windows, seen)
+    return (w + 1 > 0) & (h + 1 > 0)
+
+
+def match_scores(windows: np.ndarray, boxes: np.ndarray, dets: np.ndarray, track_depth: np.ndarray, det_depth: np.ndarray | None, most: float, p: WindowTracker) -> np.ndarray:
+    """Scores of tracks x detections; 0 where the detection does not meet the window. Unknown depths count half, and so do all if their differences are equal."""
     ratio = _sizes(boxes)[:, None] / np.maximum(_sizes(dets)[None, :], 1e-9)
     shape = np.minimum(ratio, 1 / np.maximum(ratio, 1e-9))
     centre = lambda b: (b[:, :2] + b[:, 2:]) / 2
     far = np.sqrt(((centre(windows)[:, None] - centre(dets)[None]) ** 2).sum(axis=2))
-    near = np.clip(1 - far / p.width, 0, None)
-    gap = np.abs(track_depth[:, None] - det_depth[None, :])
-    spread = np.nanmax(np.concatenate([track_depth, det_depth])) - np.nanmin(np.concatenate([track_depth, det_depth])) if np.isfinite(np.concatenate([track_depth, det_depth])).any() else np.nan
-    depth = np.nan_to_num(1 - gap / spread if spread else np.full_like(gap, np.nan), nan=0.5)
-    return np.where(met, (shape * p.weights[0] + near * p.weights[1] + depth * p.weights[2]) / sum(p.weights), 0.0)
+    total = shape * p.weights[0] + (1 - np.minimum(far / most, 1)) * p.weights[1]
+    if det_depth is not None:
+        gap = np.abs(track_depth[:, None] - det_depth[None, :])
+        known = gap[~np.isnan(gap)]
+        spread = known.max() - known.min() if len(known) else 0.0
+        total = total + p.weights[2] * (1 - np.nan_to_num(gap / spread, nan=0.5) if spread > 0 else np.full_like(gap, 0.5))
+    return np.where(windows_meet(windows, dets, p), total / sum(p.weights), 0.0)
+
+
+def _inside(box: np.ndarray, width: int) -> bool:
+    return int(box[2]) > 0 and int(box[0]) < width
 
 
 def track_scan(pdf: pd.DataFrame, p: WindowTracker) -> pd.DataFrame:
-    """(frame, pos, track_id) of one scan's detections (frame, pos, box, depth, tx, ty), in frame order."""
+    """(frame, pos, track_id) of one scan's detections (frame, pos, box, depth, tx, ty), in frame order.
+
+    A frame without a shift moves no window, and lost tracks go on by the last known one. After a shift of over a third of the width nothing is
+    followed. A track is lost for good at its `max_losses`-th miss or when it has left the frame.
+    """
     tracks: list[_Track] = []
-    moves: deque = deque(maxlen=p.history)
-    stale, number, out = 0, 0, []
+    shifts, uncoupled, last_tx, last_ty, number, out = ClassShifts(p), 1.0, 0.0, 0.0, 0, []
     for frame, rows in pdf.sort_values(["frame", "pos", *_BOX]).groupby("frame", sort=True):
-        tx, ty = (0.0 if pd.isna(v) else float(v) for v in (rows["tx"].iloc[0], rows["ty"].iloc[0]))
-        if max(abs(tx), abs(ty)) > p.width // 3:  # everything has moved out of reach
-            tracks, tx, ty = [], 0.0, 0.0
+        tx, ty = rows["tx"].iloc[0], rows["ty"].iloc[0]
+        last_tx, last_ty = last_tx if pd.isna(tx) else float(tx), last_ty if pd.isna(ty) else float(ty)
+        tx, ty = 0.0 if pd.isna(tx) else float(tx), 0.0 if pd.isna(ty) else float(ty)
+        most = max(2 * abs(last_tx), p.least_distance) if p.adaptive else p.width
+        if max(abs(last_tx), abs(last_ty)) > p.width // 3:  # everything has moved out of reach
+            tracks, last_tx, last_ty = [], 0.0, 0.0
         dets, depth = rows[_BOX].to_numpy(float), rows["depth"].to_numpy(float)
+        depth = None if np.isnan(depth).all() else depth
         for t in tracks:
             t.active = False
         free = set(range(len(dets)))
         if tracks:
             boxes = np.stack([t.box for t in tracks])
-            scores = match_scores(windows_of(boxes, tx, ty, p), boxes, dets, np.array([t.depth for t in tracks]), depth, p)
-            for r, c in greedy_pairs(scores):
+            kinds, shift = np.full(len(tracks), MID), np.full(len(tracks), tx)
+            if all(t.depth is not None for t in tracks):
+                kinds = box_kinds(boxes, depth, p)
+                if shifts.settled(MID) and uncoupled < p.uncoupled_most:
+                    shift = np.array([shifts.of(k) for k in range(3)])[kinds]
+            windows = windows_of(boxes, shift, np.full(len(tracks), ty), kinds, p)
+            known = np.array([np.nan if t.depth is None else t.depth for t in tracks])
+            for r, c in greedy_pairs(match_scores(windows, boxes, dets, known, depth, most, p)):
                 t = tracks[r]
                 t.moves = [*t.moves, t.box[0] - dets[c, 0]][-3:]
-                t.box, t.count, t.lost, t.active = dets[c].copy(), t.count + 1, 0, True
-                t.depth = t.depth if np.isnan(depth[c]) else depth[c]
+                t.box, t.count, t.lost, t.active, t.kind = dets[c].copy(), t.count + 1, 0, True, int(kinds[r])
+                if depth is not None and not np.isnan(depth[c]):
+                    t.depth = depth[c]
                 free.discard(c)
                 out.append((frame, rows["pos"].iat[c], t.number))
-        recent = [t.moves[-1] for t in tracks if t.count > 3 and t.lost == 0 and t.moves]
-        if len(recent) > 4:
-            moves.append(float(np.mean(recent)))
-            stale = 0
-        else:
-            stale += 1
-        if stale > 5:
-            moves.clear()
-        step = float(np.mean(moves)) if len(moves) > 5 else tx
+        uncoupled = len(free) / len(dets)
+        shifts.learn(tracks)
         kept = []
         for t in tracks:
             if not t.active:
                 t.lost += 1
+                step = shifts.of(t.kind) if shifts.settled(t.kind) else last_tx
                 t.box = t.box - np.array([step, 0, step, 0])
-                if t.lost >= p.max_losses or not (t.box[2] > 0 and t.box[0] < p.width):
+                if t.lost >= p.max_losses or not _inside(t.box, p.width):
                     continue
             kept.append(t)
         tracks = kept
         for c in sorted(free):
-            tracks.append(_Track(number, dets[c].copy(), depth[c]))
+            tracks.append(_Track(number, dets[c].copy(), None if depth is None else depth[c]))
             out.append((frame, rows["pos"].iat[c], number))
             number += 1
     return pd.DataFrame(out, columns=["frame", "pos", "track_id"])
