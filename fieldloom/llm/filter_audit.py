@@ -59,7 +59,8 @@ def failures(docs: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"))
     judged = materialise(own.mapInArrow(_masks(filters), "doc_id long, part string, mask int, digest binary"), "judged")
-    firsts = judged.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    firsts = judged.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    firsts = materialise(firsts.select("digest", "first"), "firsts")  # written, so that the join can split the rows of a common text
     met = judged.join(firsts, "digest", "left")
     return met.select("doc_id", "part", F.when(F.col("doc_id") > F.col("first"), F.col("mask").bitwiseOR(F.lit(16))).otherwise(F.col("mask")).alias("mask"))
 
