@@ -22,18 +22,6 @@ def in_ring(lat: Column, lon: Column, ring: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(False), lambda inside, k: F.when(crosses(k), ~inside).otherwise(inside))
 
 
-def locate(points: DataFrame, plots: DataFrame, most_plots: int = 100_000, none: str = "global") -> DataFrame:
-    """`plot` of each point: the first plot (by `place`) whose ring holds it, else `none`.
-
-    The plots (plot, place, ring) become one array that is broadcast, behind a check of their number.
-    """
-    if plots.limit(most_plots + 1).count() > most_plots:
-        raise ValueError("too many plots to broadcast; cut the area into cells first")
-    rings = plots.agg(F.array_sort(F.collect_list(F.struct("place", "plot", "ring"))).alias("__plots"))
-    found = F.filter("__plots", lambda p: in_ring(F.col("lat"), F.col("lon"), p["ring"]))
-    return points.join(F.broadcast(rings)).withColumn("plot", F.coalesce(F.get(found, F.lit(0))["plot"], F.lit(none))).drop("__plots")
-
-
 def intersection(a: str, b: str, inclusive: bool) -> Column:
     """Common area of two boxes; inclusive counts both edge pixels."""
     more = 1 if inclusive else 0
@@ -87,16 +75,6 @@ def best_overlaps(truth: DataFrame, found: DataFrame, by: list[str]) -> DataFram
     return truth.select(*by, "pos").join(pairs, [*by, "pos"], "left").select(*by, "pos", F.coalesce("best", F.lit(0.0)).alias("best"))
 
 
-def nearest_boxes(boxes: DataFrame, by: list[str], k: int) -> DataFrame:
-    """The k nearest other boxes of the frame by distance of centres."""
-    centre = boxes.select(*by, "pos", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
-    other = centre.select(*by, F.col("pos").alias("other"), F.col("cx").alias("ox"), F.col("cy").alias("oy"))
-    far = F.sqrt(F.pow(F.col("cx") - F.col("ox"), 2) + F.pow(F.col("cy") - F.col("oy"), 2))
-    pairs = centre.join(other, by).where("pos <> other").withColumn("distance", far)
-    w = Window.partitionBy(*by, "pos").orderBy("distance", "other")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*by, "pos", "rank", "other", "distance")
-
-
 def greedy_pairs(score: np.ndarray) -> list[tuple[int, int]]:
     """(row, column) pairs by falling score, ties by row then column, each used once, down to scores above 0."""
     out, rows, columns = [], set(), set()
@@ -161,11 +139,6 @@ def cross_pairs(left: DataFrame, right: DataFrame, by: list[str], cell: int = 12
     return both.where(first).select(*by, "a", "b")
 
 
-def in_any(lat: Column, lon: Column, rings: Column) -> Column:
-    """Whether a point lies in any ring of an array."""
-    return F.exists(rings, lambda r: in_ring(lat, lon, r))
-
-
 def destination(lat: Column, lon: Column, bearing: float, metres: float, radius: float = 6_371_000.0) -> list[Column]:
     """lat, lon of the point that lies `metres` from another in a direction in degrees."""
     d, b = metres / radius, F.radians(F.lit(float(bearing)))

@@ -7,6 +7,7 @@ from ..operators import annotations as A
 from ..operators import counting as C
 from ..operators import evaluation as E
 from ..operators import geometry as G
+from ..operators import spatial as N
 from ..operators import ledger as L
 from ..operators import measuring as M
 from ..operators import timeseries as T
@@ -100,8 +101,7 @@ def _ring_sql(ring):
 
 
 def _in_any(s, d):
-    rings = plots(s).agg(F.collect_list("ring").alias("rings"))
-    return points(s, d).join(F.broadcast(rings)).select("scan_id", "place", G.in_any(F.col("lat"), F.col("lon"), F.col("rings")).alias("inside"))
+    return N.in_any(points(s, d), plots(s)).select("scan_id", "place", "inside")
 
 
 def _tree_images(s, d):

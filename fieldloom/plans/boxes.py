@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..operators import geometry as G
+from ..operators import spatial as N
 from ..operators import matching as M
 from .tables import WITH_BOXES, WITH_TRACKS, boxes, read, slices, tracks
 
@@ -98,7 +99,7 @@ QUERIES = {
         ON a.scan_id = b.scan_id AND a.frame = b.frame GROUP BY ALL) SELECT scan_id, frame, pos, round(best, 6) AS best FROM m WHERE best < 0.2""",
     ),
     "knn_boxes": (
-        lambda s, d: G.nearest_boxes(_all(s, d), FRAME, 3).select(*FRAME, "pos", F.col("rank").cast("long").alias("rank"), "other", F.round("distance", 6).alias("distance")),
+        lambda s, d: N.nearest_boxes(_all(s, d), FRAME, 3).select(*FRAME, "pos", F.col("rank").cast("long").alias("rank"), "other", F.round("distance", 6).alias("distance")),
         f"""{_ALL}, q AS (SELECT a.scan_id, a.frame, a.pos, b.pos AS other, sqrt(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) AS distance
         FROM boxes a JOIN boxes b ON a.scan_id = b.scan_id AND a.frame = b.frame AND a.pos <> b.pos), r AS (SELECT *, row_number() OVER (PARTITION BY scan_id, frame, pos ORDER BY distance, other) AS rank FROM q)
         SELECT scan_id, frame, pos, rank, other, round(distance, 6) AS distance FROM r WHERE rank <= 3""",

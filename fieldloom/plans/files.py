@@ -1,13 +1,11 @@
 """Sources and sinks: tables written in each format below the shared folder, read back and compared with the tables they came from."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources import readers as R
 from ..sources import writers as W
-from ..streaming.jobs import shared_root
+from ..shared import shared_folder
 from .tables import WITH_BOXES, WITH_TRACKS, boxes, events, plots, points, read, tracks
 
 _TRACK = S.make("scan_id long, frame long, track_id long, pos long, x1 long, x2 long, depth double")
@@ -15,7 +13,7 @@ _CODES = ["code", "name"]
 
 
 def _folder(spark):
-    return f"{shared_root(spark)}/files-{uuid.uuid4().hex}"
+    return shared_folder(spark, "files")
 
 
 def _tracks_csv(s, d):

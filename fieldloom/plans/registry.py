@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additions, boxes, counts, documents, files, metrics, more, series, stateful, streams
+from . import additions, boxes, counts, documents, files, metrics, more, places, series, stateful, streams
 
-_PARTS = (counts, series, boxes, metrics, documents, more, additions, files, stateful, streams)
+_PARTS = (counts, series, places, boxes, metrics, documents, more, additions, files, stateful, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

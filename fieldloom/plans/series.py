@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import geometry as G
+from ..operators import spatial as N
 from ..operators import timeseries as T
 from .tables import KEY, PLOTS, WITH_POINTS, WITH_TRACKS, events, frames_and_fixes, plots, points, read, tracks
 
@@ -133,7 +133,7 @@ QUERIES = {
         "SELECT user_id, ts, round((epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) / 1000000.0::DOUBLE, 6) AS gap FROM events",
     ),
     "pip_first_match": (
-        lambda s, d: G.locate(points(s, d), plots(s)).select("scan_id", "place", "plot"),
+        lambda s, d: N.locate(points(s, d), plots(s)).select("scan_id", "place", "plot"),
         f"{WITH_POINTS} SELECT scan_id, place, {_PIP} AS plot FROM points",
     ),
     "zip_join": (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,22 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-_own: str | None = None
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or else the checkpoint folder of the context; one of our own only on one machine."""
-    global _own
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if _own is None:
-        _own = "file://" + tempfile.mkdtemp(prefix="spark-fieldloom-stream-")
-    return _own
-
+from ..shared import shared_folder
 
 #: Closes windows and sessions at the end of a replay: a row so far ahead that the watermark passes all others.
 CLOSE = "close"
@@ -34,7 +17,7 @@ CLOSE = "close"
 
 def daily_files(spark: SparkSession, d: str, late: str | None = None) -> str:
     """The events as a folder with a file for each day, in order of time, and a closing row; rows for which `late` holds come five days before the end."""
-    path = f"{shared_root(spark)}/days-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "days")
     events = spark.read.parquet(f"{d}/events.parquet")
     last = events.agg(F.max("ts").alias("ts")).select("ts", F.date_format("ts", "yyyy-MM-dd").alias("day"))
     closing = last.select(*(F.lit(CLOSE).alias(c) if c == "event_type" else (F.col("ts") + F.expr("interval 900 days")).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit(-1).cast(t).alias(c) if t in ("bigint", "int") else F.lit(None).cast(t).alias(c) for c, t in events.dtypes), F.lit("zzzz").alias("day"))
@@ -56,7 +39,7 @@ def event_stream(spark: SparkSession, d: str, files: int = 10, late: str | None
 
 def replayed(spark: SparkSession, d: str, job: Callable[[DataFrame], DataFrame], mode: str, late: str | None = None) -> DataFrame:
     """What a stream has written once all files there are have gone through it in several batches, as a table in the shared folder."""
-    run = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    run = shared_folder(spark, "stream")
     out = job(event_stream(spark, d, late=late))
 
     def keep(batch: DataFrame, number: int) -> None:
@@ -158,7 +141,7 @@ def count_flush(events: DataFrame, size: int) -> DataFrame:
 
 def ledger(spark: SparkSession, d: str) -> DataFrame:
     """Events of two kinds fanned out to their own ledger tables batch by batch; a batch that is run again replaces its own files only."""
-    run = f"{shared_root(spark)}/ledger-{uuid.uuid4().hex}"
+    run = shared_folder(spark, "ledger")
 
     def fan_out(batch: DataFrame, number: int) -> None:
         for kind in ("click", "view"):

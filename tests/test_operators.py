@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom import schemas
-from fieldloom.operators import annotations, counting, evaluation, folds, geometry, ledger, matching, timeseries, tracking
+from fieldloom.operators import annotations, counting, evaluation, folds, geometry, ledger, matching, spatial, timeseries, tracking
 from fieldloom.sources import readers, writers
 
 
@@ -69,7 +69,7 @@ def test_first_polygon_wins(spark):
     square = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
     plots = spark.createDataFrame([("big", 1, square(0.0, 10.0)), ("small", 2, square(2.0, 4.0)), ("far", 3, square(20.0, 30.0))], "plot string, place int, ring array<struct<lon:double,lat:double>>")
     points = spark.createDataFrame([(1, 3.0, 3.0), (2, 25.0, 25.0), (3, 15.0, 15.0)], "id int, lat double, lon double")
-    assert [r.plot for r in geometry.locate(points, plots).orderBy("id").collect()] == ["big", "far", "global"]
+    assert [r.plot for r in spatial.locate(points, plots).orderBy("id").collect()] == ["big", "far", "global"]
 
 
 def test_duplicates_are_not_transitive(spark):
