@@ -29,6 +29,11 @@ def _moves(s, d):
 _MOVES = "SELECT event_id, event_id % 700 - 100 AS tx, event_id % 900 - 60 AS ty FROM events"
 
 
+def _hundredths(s, d):
+    """Values in hundredths, whole numbers whose sums do not depend on their order."""
+    return events(s, d).withColumn("value", F.round(F.col("value") * 100))
+
+
 def _matrices(s, d):
     v, nan = F.col("value"), F.lit(float("nan"))
     shift = F.when(F.col("event_id") % 50 == 0, nan).otherwise((F.col("event_id") % 37).cast("double") / 2)
@@ -233,9 +238,9 @@ QUERIES = {
         f"{WITH_BOXES} SELECT pos, x1::DOUBLE AS x1, y1::DOUBLE AS y1, x2::DOUBLE AS x2, y2::DOUBLE AS y2 FROM boxes",
     ),
     "range_classes": (
-        lambda s, d: M.nearest_mean(tracks(s, d), FRAME, "depth", 10).join(tracks(s, d), FRAME).select("pos", B.range_class((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")), F.col("nearest") <= 0.9, 800, 2000).alias("kind")).groupBy("kind").agg(F.count("*").alias("n")),
+        lambda s, d: M.nearest_mean(tracks(s, d), FRAME, "depth", 10).join(tracks(s, d), FRAME).select("pos", B.range_class((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")), F.col("nearest") <= 0.9, 800, 2000).alias("kind")),
         f"""{WITH_TRACKS}, r AS (SELECT scan_id, frame, avg(depth) <= 0.9 AS close FROM (SELECT *, row_number() OVER (PARTITION BY scan_id, frame ORDER BY depth) AS k FROM tracks) WHERE k <= 10 GROUP BY ALL)
-        SELECT CASE WHEN NOT close THEN 'mid' WHEN (x2 - x1) * (y2 - y1) < 800 THEN 'far' WHEN (x2 - x1) * (y2 - y1) < 2000 THEN 'mid' ELSE 'close' END AS kind, count(*) AS n FROM tracks JOIN r USING (scan_id, frame) GROUP BY ALL""",
+        SELECT pos, CASE WHEN NOT close THEN 'mid' WHEN (x2 - x1) * (y2 - y1) < 800 THEN 'far' WHEN (x2 - x1) * (y2 - y1) < 2000 THEN 'mid' ELSE 'close' END AS kind FROM tracks JOIN r USING (scan_id, frame)""",
     ),
     "ripeness": (
         _coloured,
@@ -285,14 +290,14 @@ QUERIES = {
         f"{WITH_TRACKS}, f AS (SELECT scan_id, frame, quantile_cont(depth, 0.4) > 3 AS s FROM tracks GROUP BY ALL) SELECT scan_id, frame // 4 AS batch, bool_and(s) AS saturated FROM f GROUP BY ALL",
     ),
     "median_meter": (
-        lambda s, d: E.median_meter(events(s, d), ["user_id"], "ts", "value", 5).withColumn("median", F.round(F.col("median") + 1e-7, 4)),
-        "SELECT user_id, ts, round(quantile_cont(value, 0.5) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) + 1e-7, 4) AS median FROM events",
+        lambda s, d: E.median_meter(_hundredths(s, d), ["user_id"], "ts", "value", 5),
+        "SELECT user_id, ts, quantile_cont(round(value * 100), 0.5) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS median FROM events",
     ),
     "ema_rows": (
-        lambda s, d: T.smoothed_rows(events(s, d), ["user_id"], "ts", "value", 0.02, 0.5).select("user_id", "ts", F.round(F.col("smooth") + 1e-7, 5).alias("smooth")),
+        lambda s, d: T.smoothed_rows(events(s, d), ["user_id"], "ts", "value", 0.02, 0.5).select("user_id", "ts", "smooth"),
         """WITH RECURSIVE o AS (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
         e AS (SELECT user_id, ts, n, 0.02::DOUBLE * value + (1 - 0.02::DOUBLE) * 0.5::DOUBLE AS v FROM o WHERE n = 1 UNION ALL SELECT o.user_id, o.ts, o.n, 0.02::DOUBLE * o.value + (1 - 0.02::DOUBLE) * e.v FROM e JOIN o ON o.user_id = e.user_id AND o.n = e.n + 1)
-        SELECT user_id, ts, round(v + 1e-7, 5) AS smooth FROM e""",
+        SELECT user_id, ts, v AS smooth FROM e""",
     ),
     "any_plot": (_in_any, f"{WITH_POINTS} SELECT scan_id, place, {' OR '.join(_ring_sql(r) for _, _, r in PLOTS)} AS inside FROM points"),
     "destination": (

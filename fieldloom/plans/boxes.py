@@ -74,15 +74,15 @@ QUERIES = {
     "iou_exclusive": (_iou_query(False, False), _iou_sql(False, False)),
     "iou_inclusive_area": (_iou_query(True, True), _iou_sql(True, True)),
     "score_terms": (
-        lambda s, d: M.score_terms(G.frame_pairs(_all(s, d), FRAME, G.intersection("a", "b", False) > 0), 1536).select(*FRAME, "a", "b", *(F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("shape", "near", "alike"))),
+        lambda s, d: M.score_terms(G.frame_pairs(_all(s, d), FRAME, G.intersection("a", "b", False) > 0), 1536).select(*FRAME, "a", "b", "shape", "near", "alike"),
         f"""{_ALL} SELECT a.scan_id, a.frame, a.pos AS a, b.pos AS b,
-        round(least(((a.x2 - a.x1) * (a.y2 - a.y1))::DOUBLE / ((b.x2 - b.x1) * (b.y2 - b.y1)), ((b.x2 - b.x1) * (b.y2 - b.y1))::DOUBLE / ((a.x2 - a.x1) * (a.y2 - a.y1))) + 1e-9, 6) AS shape,
-        round(greatest(1 - sqrt(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) / 1536, 0) + 1e-9, 6) AS near,
-        round(1 - abs(a.score - b.score) + 1e-9, 6) AS alike FROM {_PAIRS} WHERE {_common(False)} > 0""",
+        least(((a.x2 - a.x1) * (a.y2 - a.y1))::DOUBLE / ((b.x2 - b.x1) * (b.y2 - b.y1)), ((b.x2 - b.x1) * (b.y2 - b.y1))::DOUBLE / ((a.x2 - a.x1) * (a.y2 - a.y1))) AS shape,
+        greatest(1 - sqrt(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) / 1536, 0) AS near,
+        1 - abs(a.score - b.score) AS alike FROM {_PAIRS} WHERE {_common(False)} > 0""",
     ),
     "depth_z_score": (
-        lambda s, d: M.depth_terms(_all(s, d), FRAME).withColumn("depth_score", F.round("depth_score", 6)),
-        f"{_ALL} SELECT scan_id, frame, pos, round(CASE WHEN max(depth) OVER w = min(depth) OVER w THEN 0.5 ELSE 1 - abs(depth - avg(depth) OVER w) / (max(depth) OVER w - min(depth) OVER w) END, 6) AS depth_score FROM boxes WINDOW w AS (PARTITION BY scan_id, frame)",
+        lambda s, d: M.depth_terms(_all(s, d).withColumn("depth", F.round(F.col("depth") * 100)), FRAME),
+        f"{_ALL}, h AS (SELECT scan_id, frame, pos, round(depth * 100) AS depth FROM boxes) SELECT scan_id, frame, pos, CASE WHEN max(depth) OVER w = min(depth) OVER w THEN 0.5::DOUBLE ELSE 1 - abs(depth - avg(depth) OVER w) / (max(depth) OVER w - min(depth) OVER w) END AS depth_score FROM h WINDOW w AS (PARTITION BY scan_id, frame)",
     ),
     "dup_filter": (
         lambda s, d: G.without_duplicates(_all(s, d), FRAME, 0.5).select(*FRAME, "pos"),

@@ -35,8 +35,8 @@ QUERIES = {
         "SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS n FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY ALL",
     ),
     "coco_explode": (
-        lambda s, d: A.exploded(A.nested(_images(s, d), _annotations(s, d).drop("file_name"), ["source"]), "annotations").groupBy("image_id", "category_id").agg(F.count("*").alias("n")),
-        f"{_IMAGES} SELECT image_id, category_id, count(*) AS n FROM notes GROUP BY ALL",
+        lambda s, d: A.exploded(A.nested(_images(s, d), _annotations(s, d).drop("file_name"), ["source"]), "annotations").select("id", "image_id", "category_id"),
+        f"{_IMAGES} SELECT id, image_id, category_id FROM notes",
     ),
     "coco_merge_renumber": (
         _merged,

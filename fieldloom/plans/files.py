@@ -40,7 +40,7 @@ def _appended_csv(s, d):
     both = tracks(s, d).select(*_TRACK.fieldNames())
     for part in (0, 1):
         W.csv_append(both.where(F.col("scan_id") % 2 == part), path)
-    return R.csv(s, path, _TRACK).unionByName(nothing).groupBy("scan_id").agg(F.count("*").alias("n"), F.sum("track_id").alias("total"))
+    return R.csv(s, path, _TRACK).unionByName(nothing)
 
 
 def _nav(s, d):
@@ -58,8 +58,7 @@ def _imu(s, d):
     value = lambda k: F.round(F.col("value") + k, 2).cast("string")
     record = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("\n"), F.concat_ws("  ", *(value(k) for k in range(3))), F.lit("\n"), F.concat_ws("\t", *(value(k) for k in range(3, 6))), F.lit("\n"))
     events(s, d).select(record.alias("value")).write.text(path)
-    rows = R.imu_log(s, path)
-    return rows.groupBy("date").agg(F.count("*").alias("n"), F.round(F.sum("angular_velocity_x"), 2).alias("x"), F.round(F.sum("linear_acceleration_z"), 2).alias("z"))
+    return R.imu_log(s, path)
 
 
 def _drops(s, d):
@@ -84,14 +83,14 @@ def _coco(s, d):
     kinds = s.createDataFrame([(k, f"class_{k}", "none") for k in range(3)], "id long, name string, supercategory string")
     W.annotation_document(images, notes, kinds, "scan_id", path)
     found = R.coco(s, f"{path}/scan_id=*")
-    return found.selectExpr("inline(annotations)").groupBy("image_id", "category_id").agg(F.count("*").alias("n"), F.sum(F.element_at("bbox", 3)).alias("x2"))
+    return found.selectExpr("inline(annotations)").select("id", "image_id", "category_id", *(F.element_at("bbox", k).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"), 1)))
 
 
 def _mot(s, d):
     path = _folder(s)
     rows = boxes(s, d).select(F.col("scan_id").alias("frame"), F.when(F.col("class") == 2, -1).otherwise(F.col("track_id")).alias("track_id"), F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"), "score")
     W.mot_text(rows, path)
-    return R.mot(s, path).groupBy("frame").agg(F.count("*").alias("n"), F.sum("id").alias("ids"), F.sum("w").alias("w"))
+    return R.mot(s, path).select("frame", "id", "x", "y", "w", "h")
 
 
 def _mot_labels(s, d):
@@ -104,12 +103,15 @@ def _mot_labels(s, d):
 
 
 def _voc(s, d):
+    """A document for each frame, many to a file."""
     path = _folder(s)
     tag = lambda name, *inner: F.concat(F.lit(f"<{name}>"), *inner, F.lit(f"</{name}>"))
     box = tag("bndbox", *(tag(a, F.col(b)) for a, b in (("xmin", "x1"), ("ymin", "y1"), ("xmax", "x2"), ("ymax", "y2"))))
-    one = tag("object", tag("name", F.concat(F.lit("c"), F.col("class"))), tag("pose", F.lit("Unspecified")), tag("truncated", F.col("class") % 2), tag("difficult", F.lit(0)), box)
-    boxes(s, d).select("scan_id", one.alias("o")).groupBy("scan_id").agg(tag("annotation", F.array_join(F.collect_list("o"), "\n")).alias("value")).select("value").write.text(path)
-    return R.voc_objects(s, path).groupBy("name", "truncated").agg(F.count("*").alias("n"), F.sum("x2").alias("x2"))
+    one = tag("object", tag("name", F.concat(F.lit("c"), F.col("class"))), tag("pose", F.lit("Unspecified")), tag("truncated", F.col("class") % 2), tag("difficult", F.col("pos") % 2), box)
+    image = tag("filename", F.concat_ws("_", "scan_id", "frame"), F.lit(".jpg"))
+    whole = tag("annotation", F.col("image"), F.array_join(F.collect_list("o"), "\n"))
+    boxes(s, d).select(image.alias("image"), one.alias("o")).groupBy("image").agg(whole.alias("value")).select("value").write.text(path)
+    return R.voc_objects(s, path)
 
 
 def _voc_text(s, d):
@@ -172,7 +174,7 @@ def _ledger_file(s, d):
     first = W.append_ledger(s, path, rows.where("o_orderkey % 2 = 0"), shape)
     second = W.append_ledger(s, path, rows, shape)
     del first, second
-    return R.csv(s, path, shape).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return R.csv(s, path, shape).select("o_custkey", "o_orderstatus")
 
 
 def _segments(s, d):
@@ -197,25 +199,30 @@ QUERIES = {
     "csv_round_trip": (_tracks_csv, f"{WITH_TRACKS} SELECT scan_id, frame, track_id, pos, x1, x2, depth FROM tracks"),
     "csv_text_codes": (_text_csv, "SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_name AS name FROM customer"),
     "csv_without_header": (_headless_csv, "SELECT event_id, user_id, round(value, 6) AS value FROM events"),
-    "csv_append": (_appended_csv, f"{WITH_TRACKS} SELECT scan_id, count(*) AS n, CAST(sum(track_id) AS BIGINT) AS total FROM tracks GROUP BY ALL"),
+    "csv_append": (_appended_csv, f"{WITH_TRACKS} SELECT scan_id, frame, track_id, pos, x1, x2, depth FROM tracks"),
     "nav_files": (
         _nav,
         "SELECT CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN ts END AS ts, user_id, event_id, CASE WHEN event_id % 4 > 0 THEN 'plot' || (event_id % 4) ELSE 'global' END AS plot FROM events WHERE event_type = 'view'",
     ),
     "imu_log": (
         _imu,
-        "SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, round(sum(round(value, 2)), 2) AS x, round(sum(round(value + 5, 2)), 2) AS z FROM events GROUP BY ALL",
+        f"""SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S') AS timestamp,
+        {", ".join(f"round(value + {k}, 2) AS {kind}_{axis}" for k, (kind, axis) in enumerate((kind, axis) for kind in ("angular_velocity", "linear_acceleration") for axis in "xyz"))} FROM events""",
     ),
     "frame_drops": (_drops, "SELECT f - row_number() OVER (ORDER BY f) + 1 AS frame FROM (SELECT DISTINCT event_id // 2 AS f FROM events WHERE event_id % 7 = 0)"),
     "json_int_map": (_json_map, "SELECT CAST(n_nationkey AS BIGINT) AS key, CAST(n_regionkey AS BIGINT) AS value FROM nation"),
-    "coco_files": (_coco, f"{WITH_BOXES} SELECT frame AS image_id, class AS category_id, count(*) AS n, sum(x2)::DOUBLE AS x2 FROM boxes GROUP BY ALL"),
-    "mot_files": (_mot, f"{WITH_BOXES} SELECT CAST(scan_id AS INTEGER) AS frame, count(*) AS n, CAST(sum(track_id) AS BIGINT) AS ids, sum(x2 - x1)::DOUBLE AS w FROM boxes WHERE class <> 2 AND scan_id >= 1 GROUP BY ALL"),
+    "coco_files": (_coco, f"{WITH_BOXES} SELECT pos AS id, frame AS image_id, class AS category_id, x1::DOUBLE AS x1, y1::DOUBLE AS y1, x2::DOUBLE AS x2, y2::DOUBLE AS y2 FROM boxes"),
+    "mot_files": (_mot, f"{WITH_BOXES} SELECT CAST(scan_id AS INTEGER) AS frame, CAST(track_id AS INTEGER) AS id, x1::DOUBLE AS x, y1::DOUBLE AS y, (x2 - x1)::DOUBLE AS w, (y2 - y1)::DOUBLE AS h FROM boxes WHERE class <> 2 AND scan_id >= 1"),
     "mot_truth_files": (
         _mot_labels,
         f"""{WITH_BOXES}, q AS (SELECT CAST(track_id % 13 AS INTEGER) AS label, class AS marked FROM boxes WHERE frame >= 1)
         SELECT label, count(*) AS n, 'counted' AS kind FROM q WHERE marked <> 0 AND label = 1 GROUP BY ALL UNION ALL SELECT label, count(*), 'ignored' FROM q WHERE label IN (2, 7, 8, 12) GROUP BY ALL""",
     ),
-    "voc_files": (_voc, f"{WITH_BOXES} SELECT 'c' || class AS name, CAST(class % 2 AS INTEGER) AS truncated, count(*) AS n, CAST(sum(x2) AS BIGINT) AS x2 FROM boxes GROUP BY ALL"),
+    "voc_files": (
+        _voc,
+        f"""{WITH_BOXES} SELECT scan_id || '_' || frame AS image, 'c' || class AS name, 'Unspecified' AS pose, CAST(class % 2 AS INTEGER) AS truncated, CAST(pos % 2 AS INTEGER) AS difficult,
+        CAST(x1 AS INTEGER) AS x1, CAST(y1 AS INTEGER) AS y1, CAST(x2 AS INTEGER) AS x2, CAST(y2 AS INTEGER) AS y2 FROM boxes""",
+    ),
     "voc_result_files": (_voc_text, f"{WITH_BOXES} SELECT 'i' || pos AS image, round(score, 3) AS conf, x1 + 1.0::DOUBLE AS x1, y2 + 1.0::DOUBLE AS y2 FROM boxes"),
     "kml_files": (
         _kml,
@@ -230,7 +237,7 @@ QUERIES = {
         _upserts,
         "WITH n AS (SELECT c_custkey * 2 AS k FROM customer WHERE c_custkey % 3 = 0) SELECT k, 'new' AS v FROM n UNION ALL SELECT c_custkey, 'old' FROM customer WHERE c_custkey NOT IN (SELECT k FROM n)",
     ),
-    "ledger_files": (_ledger_file, "SELECT o_orderstatus, count(*) AS n FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders) GROUP BY ALL"),
+    "ledger_files": (_ledger_file, "SELECT DISTINCT o_custkey, o_orderstatus FROM orders"),
     "path_segments": (
         _segments,
         "SELECT user_id, event_id, state, to_lat FROM (SELECT user_id, event_id, event_id % 3 > 0 AS state, lead(event_id) OVER w::DOUBLE AS to_lat, lead(event_id % 3 > 0) OVER w AS nx FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE state = nx AND to_lat IS NOT NULL",

@@ -78,9 +78,9 @@ QUERIES = {
         SELECT scan_id, round(stddev_pop(v), 6) AS std, round(avg(gap), 6) AS mean_gap, round(quantile_cont(gap, 0.5), 6) AS median_gap FROM q GROUP BY ALL""",
     ),
     "rolling_meter": (
-        lambda s, d: E.meter(read(s, d, "events"), ["user_id"], "ts", "value", 20).select("user_id", "ts", F.round(F.col("recent") + 1e-7, 4).alias("recent"), F.round(F.col("overall") + 1e-7, 4).alias("overall")),
-        """SELECT user_id, ts, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) + 1e-7, 4) AS recent,
-        round(avg(value) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) + 1e-7, 4) AS overall FROM events""",
+        lambda s, d: E.meter(read(s, d, "events").withColumn("value", F.round(F.col("value") * 100)), ["user_id"], "ts", "value", 20).select("user_id", "ts", "recent", "overall"),
+        """SELECT user_id, ts, avg(round(value * 100)) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS recent,
+        avg(round(value * 100)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS overall FROM events""",
     ),
     "coco_stats": (
         lambda s, d: A.class_stats(tracks(s, d).select(F.col("class").alias("category_id"), F.col("frame").alias("image_id"))),

@@ -86,10 +86,22 @@ def mot_truth(spark: SparkSession, path: str, ignored: bool = False) -> DataFram
 
 
 def voc_objects(spark: SparkSession, path: str) -> DataFrame:
-    """(name, pose, truncated, difficult, x1, y1, x2, y2) of the objects in XML files."""
+    """(image, name, pose, truncated, difficult, x1, y1, x2, y2) of the objects in XML files, each of which may hold many documents.
+
+    Files are cut at the ends of documents, so that large ones can be split. `image` is the name of the document's file without its ending (null where it
+    has none). An object that is not closed or has no box of whole numbers is an error, as no object may be lost.
+    """
+    end, opened, closed = "</annotation>", r"<object[\s>]", r"(?s)<object[\s>].*?</object>"
+    found = spark.read.option("lineSep", end).text(path)
+    objects = F.regexp_extract_all("value", F.lit(closed), F.lit(0))
+    whole = F.when(F.size(objects) == F.size(F.regexp_extract_all("value", F.lit(opened), F.lit(0))), objects).otherwise(F.raise_error(F.lit("an object is not closed")))
+    image = F.regexp_extract("value", r"(?s)<filename>\s*(.*?)\s*</filename>", 1)
     box = "bndbox struct<xmin:int,ymin:int,xmax:int,ymax:int>"
-    rows = spark.read.format("xml").option("rowTag", "object").schema(f"name string, pose string, truncated int, difficult int, {box}").load(path)
-    return rows.select("name", "pose", "truncated", "difficult", *(F.col(f"bndbox.{a}").alias(b) for a, b in (("xmin", "x1"), ("ymin", "y1"), ("xmax", "x2"), ("ymax", "y2"))))
+    parsed = F.from_xml("one", f"name string, pose string, truncated int, difficult int, {box}", {"rowTag": "object", "mode": "FAILFAST"})
+    rows = found.select(F.nullif(F.regexp_replace(image, r"\.[^.]*$", ""), F.lit("")).alias("image"), F.explode(whole).alias("one")).select("image", parsed.alias("o"))
+    sides = {b: F.col(f"o.bndbox.{a}") for a, b in (("xmin", "x1"), ("ymin", "y1"), ("xmax", "x2"), ("ymax", "y2"))}
+    known = {b: F.when(c.isNotNull(), c).otherwise(F.raise_error(F.lit("an object has no box"))).alias(b) for b, c in sides.items()}
+    return rows.select("image", "o.name", "o.pose", "o.truncated", "o.difficult", *known.values())
 
 
 def detection_text(spark: SparkSession, path: str) -> DataFrame:

@@ -200,9 +200,18 @@ def test_sources(spark, tmp_path):
 
 
 def test_xml_sources(spark, tmp_path):
-    voc = tmp_path / "v.xml"
-    voc.write_text("<annotation><object><name>f</name><pose>u</pose><truncated>0</truncated><difficult>1</difficult><bndbox><xmin>1</xmin><ymin>2</ymin><xmax>3</xmax><ymax>4</ymax></bndbox></object></annotation>")
-    assert rows(readers.voc_objects(spark, str(voc))) == [("f", "u", 0, 1, 1, 2, 3, 4)]
+    one = lambda n, more="": f"<object><name>f{n}</name><pose>u</pose><truncated>0</truncated><difficult>1</difficult>{more}<bndbox><xmin>{n}</xmin><ymin>2</ymin><xmax>3</xmax><ymax>4</ymax></bndbox></object>"
+    voc = tmp_path / "voc"
+    voc.mkdir()
+    documents = ["<annotation>" + (f"<filename>im{d}.jpg</filename>" if d else "") + "\n".join(one(50 * d + k, "<part><name>x</name></part>" if k == 3 else "") for k in range(50)) + "</annotation>" for d in range(3)]
+    (voc / "a.xml").write_text("<?xml version='1.0'?>\n" + "\n".join(documents[:2]) + "\n")
+    (voc / "b.xml").write_text(documents[2])
+    (voc / "c.xml").write_text("<annotation><filename>empty.jpg</filename></annotation>")
+    assert sorted(rows(readers.voc_objects(spark, str(voc))), key=repr) == sorted(((f"im{n // 50}" if n >= 50 else None, f"f{n}", "u", 0, 1, n, 2, 3, 4) for n in range(150)), key=repr)
+    for bad in ("<annotation><object><name>f</name></annotation>", "<annotation><object><name>f</name></object></annotation>", one(1).replace("<xmin>1", "<xmin>one")):
+        (tmp_path / "bad.xml").write_text(bad)
+        with pytest.raises(Exception):
+            readers.voc_objects(spark, str(tmp_path / "bad.xml")).collect()
     kml = tmp_path / "k.kml"
     kml.write_text("<kml><Document><Placemark><name>p</name><Polygon><outerBoundaryIs><LinearRing><coordinates>\n1,2,0 3,4,0\n5,6,0 </coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark></Document></kml>")
     got = readers.kml_plots(spark, str(kml)).first()
