@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,45 +50,65 @@ def _bigrams(text: str) -> list[str]:
 
 
 def template_rows(templates: dict[str, list[str]], least: float) -> list[tuple]:
-    """(licence, number, size, low, high, step, bigram, count): a text of n bigrams can reach the coefficient only if low <= n <= high."""
+    """(licence, number, size, low, high, bigram, count): a text of n bigrams can reach the coefficient only if low <= n <= high, and shares at least `low` of them."""
     out = []
     for licence in sorted(templates):
         for number, text in enumerate(templates[licence]):
             counts = Counter(_bigrams(text))
             size = sum(counts.values())
-            low, high, step = math.ceil(size * least / (2 - least)), math.floor(size * (2 - least) / least), max(1, size // 8)
-            out += [(licence, number, size, low, high, step, bigram, count) for bigram, count in sorted(counts.items())]
+            low, high = math.ceil(size * least / (2 - least)), math.floor(size * (2 - least) / least)
+            out += [(licence, number, size, low, high, bigram, count) for bigram, count in sorted(counts.items())]
     return out
 
 
-def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.replace(F.lower(line), F.lit("licence"), F.lit("license")), F.lit(LICENCE_WORD), F.lit(0))
+def anchor_words(rows: list[tuple]) -> list[str]:
+    """Words of which any text that reaches the coefficient holds at least one: without the bigrams of a template that hold one, fewer than `low` are left.
+
+    Long words are taken first, as they are rare in other texts.
+    """
+    chosen: set[str] = set()
+    for key in sorted({r[:5] for r in rows}):
+        left = {r[5]: r[6] for r in rows if r[:5] == key and not chosen & set(r[5].split())}
+        while sum(left.values()) >= key[3]:
+            best = max({w for b in left for w in b.split()}, key=lambda w: (min(len(w), 7), sum(n for b, n in left.items() if w in b.split()), w))
+            chosen.add(best)
+            left = {b: n for b, n in left.items() if best not in b.split()}
+    return sorted(chosen)
+
+
+def _spelled(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit("licence"), F.lit("license"))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(_spelled(text), F.lit(LICENCE_WORD), F.lit(0))
 
 
 def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least: float = 0.8) -> DataFrame:
     """(doc_id, unit, position, licence, dice) for each unit of a text that is at least `least` like a template.
 
     Units are the lines, the blocks between blank lines (of texts that have blank lines), the whole text (of several lines) and
-    passages. A passage is a window over the words of the whole text, as long as the template and cut at the text's end; windows begin
-    at every eighth of the template. So a licence is found inside a line, across lines and across blocks: one that is moved against
-    the nearest window shares at least 15/16 of its bigrams with it. Overlapping windows of one licence are one passage, with the coefficient
-    of the best; so touching copies of a licence are one. Licences whose notices differ in few words are each reported.
+    passages. A passage is any run of the text's words, of whatever length, that reaches the coefficient; of runs that overlap, the best stays, then the
+    one that begins first. So a licence is found inside a line, across lines and across blocks, with words lost, added or replaced, wherever it
+    begins; touching copies of a licence may be one. Licences whose notices differ in few words are each reported.
 
     `position` counts a kind's units from 0, and is the number of the first word of a passage. Words are runs of letters and digits,
     lower-cased, with one spelling of licence; bigrams count as often as they occur. Of several templates, the best stays for a line, block or text, then
     the first by name. Null and blank texts have no unit; repeated rows count once; a null doc_id is kept. Extra columns are
     ignored; an empty table gives an empty result.
 
-    Sizes are bounded before bigrams are made; only bigrams of some template leave a task, once for each place of a unit, and the
-    templates (given by the caller, some hundred rows) are broadcast. Before windows are made, a bigram of a passage needs as many others of its
-    template within reach as any window at the limit holds.
+    A text is cut into words only if it holds one of the words without which no template can be reached. Sizes are bounded before bigrams are made; only
+    bigrams of some template leave a task, once for each place of a unit, and the templates (given by the caller, some hundred rows) are broadcast. A run that
+    is best begins and ends at bigrams of its template, so that only these are tried, each with those within the greatest size
+    after it; and only places with enough others within that reach.
     """
     spark = docs.sparkSession
     rows = template_rows(templates or TEMPLATES, least)
-    known = spark.createDataFrame(rows, "licence string, number int, size int, low int, high int, step int, bigram string, wanted int")
-    low, high = min(r[3] for r in rows), max(r[4] for r in rows)
+    known = spark.createDataFrame(rows, "licence string, number int, size int, low int, high int, bigram string, wanted int")
+    low, high, most = min(r[3] for r in rows), max(r[4] for r in rows), max(r[6] for r in rows)
 
-    words = docs.where("text is not null").select("doc_id", "text", F.transform(F.split("text", "\n"), _words).alias("lines"))
+    held = reduce(lambda x, y: x | y, (F.contains(_spelled(F.col("text")), F.lit(w)) for w in anchor_words(rows)))
+    words = docs.where("text is not null").where(held).select("doc_id", "text", F.transform(F.split("text", "\n"), _words).alias("lines"))
     unit = lambda kind, at, x: F.struct(F.lit(kind).alias("unit"), at.cast("int").alias("position"), x.alias("words"))
     no_units = F.expr("cast(array() as array<struct<unit:string,position:int,words:array<string>>>)")
     lines = F.transform("lines", lambda x, k: unit("line", k, x))
@@ -100,36 +121,47 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     pairs = F.transform(F.expr("slice(words, 1, size(words) - 1)"), lambda x, k: F.concat(x, F.lit(" "), F.get("words", k + 1)))
     grams = units.select("doc_id", "unit", "position", "of", (F.size("words") - 1).alias("n"), F.posexplode(pairs).alias("place", "bigram"))
 
-    key, about = ["doc_id", "unit", "position", "of", "n", "licence", "number"], ["size", "step", "low"]
-    in_passage = F.col("unit") == "passage"
-    met = grams.join(F.broadcast(known), "bigram").where(in_passage | F.col("n").between(F.col("low"), F.col("high"))).dropDuplicates([*key, "place"])
-    reach = Window.partitionBy(*key).orderBy(F.col("place") / F.col("size")).rangeBetween(-1, 1)
-    dense = met.withColumn("near", F.count("*").over(reach)).where(~in_passage | (F.col("near") >= F.col("low")))
-    first, last = F.expr("(greatest(0, place - size + 1) + step - 1) div step"), F.expr("place div step")
-    placed = dense.withColumn("window", F.explode(F.when(in_passage, F.filter(F.sequence(first, F.greatest(first, last)), lambda k: k <= last)).otherwise(F.array(F.lit(0).cast("long")))))
-    shared = placed.groupBy(*key, *about, "window", "bigram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
-    summed = shared.groupBy(*key, *about, "window").agg(F.sum("shared").alias("shared"))
-    begins = F.when(in_passage, F.col("window") * F.col("step")).otherwise(0)
-    spans = summed.withColumn("begins", begins).withColumn("span", F.when(in_passage, F.least("size", F.col("n") - F.col("begins"))).otherwise(F.col("n")))
-    scored = spans.withColumn("dice", 2.0 * F.col("shared") / (F.col("span") + F.col("size"))).where(F.col("dice") >= least)
-
-    place = ["doc_id", "unit", "position", "of", "licence"]
-    in_order = Window.partitionBy(*place).orderBy("begins", "span")
-    before = F.max(F.col("begins") + F.col("span")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = scored.withColumn("new", F.when(F.col("begins") < before, 0).otherwise(1)).withColumn("run", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-    found = runs.groupBy(*place, "run").agg(F.min("begins").alias("begins"), F.max("dice").alias("dice"))
-    found = found.withColumn("position", F.when(in_passage, F.col("begins").cast("int")).otherwise(F.col("position")))
-    best = found.groupBy("doc_id", "unit", "position", F.when(in_passage, F.col("licence")).alias("own")).agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
-    return best.select("doc_id", "unit", "position", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("dice"))
+    key = ["doc_id", "unit", "position", "of", "n", "licence", "number"]
+    met = grams.join(F.broadcast(known), "bigram").where((F.col("unit") == "passage") | F.col("n").between(F.col("low"), F.col("high"))).dropDuplicates([*key, "place"])
+
+    counted = met.where("unit <> 'passage'").groupBy(*key, "size", "bigram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
+    dice = (2.0 * F.sum("shared") / (F.col("n") + F.col("size"))).alias("dice")
+    alike = counted.groupBy(*key, "size").agg(dice).where(F.col("dice") >= least)
+    best = alike.groupBy("doc_id", "unit", "position").agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
+    best = best.select("doc_id", "unit", "position", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("dice"))
+    return best.union(_passages(met.where("unit = 'passage'"), most, least))
+
+
+def _passages(met: DataFrame, most: int, least: float) -> DataFrame:
+    """The best runs between two places of a template's bigrams; `most` is the greatest count of one bigram in a template."""
+    own = ["doc_id", "of", "licence", "number"]
+    reach = F.col("place") / F.col("high")
+    near = F.count("*").over(Window.partitionBy(*own).orderBy(reach).rangeBetween(-1, 1))
+    dense = met.withColumn("near", near).where(F.col("near") >= F.col("low"))
+    # In a run that begins after `before`, this place is not one too many of its bigram.
+    earlier = Window.partitionBy(*own, "bigram").orderBy("place")
+    before = F.coalesce(*(F.when(F.col("wanted") == k, F.lag("place", k).over(earlier)) for k in range(1, most + 1)), F.lit(-1))
+    ahead = F.collect_list(F.struct("place", "before")).over(Window.partitionBy(*own).orderBy(reach).rangeBetween(0, 1))
+    runs = dense.withColumn("before", before).withColumn("ahead", ahead)
+    counts = F.filter("ahead", lambda x: x["before"] < F.col("place"))
+    ends = F.transform(counts, lambda x, k: F.struct((-2.0 * (k + 1) / (x["place"] - F.col("place") + 1 + F.col("size"))).alias("less"), x["place"].alias("last")))
+    scored = runs.select("doc_id", "of", "licence", "place", F.array_min(ends).alias("end")).where(F.col("end.less") <= -least)
+
+    in_order = Window.partitionBy("doc_id", "of", "licence").orderBy("place", "end.last", "end.less")
+    reached = F.max("end.last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = scored.withColumn("fresh", F.when(F.col("place") <= reached, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    best = marked.groupBy("doc_id", "of", "licence", "run").agg(F.min(F.struct("end.less", "place")).alias("best"))
+    found = best.groupBy("doc_id", F.col("best.place").cast("int").alias("position"), "licence").agg((-F.min("best.less")).alias("dice"))
+    return found.select("doc_id", F.lit("passage").alias("unit"), "position", "licence", "dice")
 
 
 def licence_sql(templates: dict[str, list[str]] | None = None, least: float = 0.8) -> str:
     """The same scan in DuckDB's SQL, with the templates as values; the coefficient has nine decimals."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ",\n".join(f"({q(a)}, {b}, {c}, {d}, {e}, {s}, {q(f)}, {g})" for a, b, c, d, e, s, f, g in template_rows(templates or TEMPLATES, least))
+    values = ",\n".join(f"({q(a)}, {b}, {c}, {d}, {e}, {q(f)}, {g})" for a, b, c, d, e, f, g in template_rows(templates or TEMPLATES, least))
     words = "regexp_extract_all(replace(lower({}), 'licence', 'license'), '[\\p{{L}}\\p{{N}}]+')"
     return f"""
-WITH known(licence, number, size, low, high, step, bigram, wanted) AS (VALUES
+WITH known(licence, number, size, low, high, bigram, wanted) AS (VALUES
 {values}),
 lines AS (SELECT doc_id, 'line' AS unit, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS position, unnest(string_split(text, chr(10))) AS part FROM documents),
 blocks AS (
@@ -144,21 +176,22 @@ shared AS (
 scored AS (SELECT doc_id, unit, position, licence, 2.0::DOUBLE * sum(shared) / (n + size) AS dice FROM shared GROUP BY doc_id, unit, position, n, licence, number, size),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit, position ORDER BY dice DESC, licence) AS r FROM scored WHERE dice >= {least}),
 texts AS (SELECT doc_id, w, md5(array_to_string(w, ' ')) AS h FROM (SELECT DISTINCT doc_id, {words.format('text')} AS w FROM documents)),
-places AS (SELECT doc_id, h, len(w) - 1 AS total, k - 1 AS place, w[k] || ' ' || w[k + 1] AS bigram FROM (SELECT *, unnest(range(1, len(w))) AS k FROM texts)),
-windows AS (
-  SELECT doc_id, h, total, licence, number, size, step, bigram, wanted, unnest(range((greatest(0, place - size + 1) + step - 1) // step, place // step + 1)) AS k
-  FROM places JOIN known USING (bigram)),
-within AS (
-  SELECT doc_id, h, total, licence, number, size, k * step AS begins, least(count(*), max(wanted)) AS shared
-  FROM windows GROUP BY doc_id, h, total, licence, number, size, step, k, bigram),
-likes AS (
-  SELECT doc_id, h, licence, begins, least(size, total - begins) AS span, 2.0::DOUBLE * sum(shared) / (least(size, total - begins) + size) AS dice
-  FROM within GROUP BY doc_id, h, total, licence, number, size, begins),
+places AS (SELECT doc_id, h, k - 1 AS place, w[k] || ' ' || w[k + 1] AS bigram FROM (SELECT *, unnest(range(1, len(w))) AS k FROM texts)),
+hits AS (SELECT *, row_number() OVER (PARTITION BY doc_id, h, licence, number, bigram ORDER BY place) AS nth FROM places JOIN known USING (bigram)),
+limited AS (
+  SELECT a.*, coalesce(b.place, -1) AS before FROM hits a LEFT JOIN hits b
+  ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.h = b.h AND a.licence = b.licence AND a.number = b.number AND a.bigram = b.bigram AND b.nth = a.nth - a.wanted),
+tried AS (
+  SELECT a.doc_id, a.h, a.licence, a.number, a.size, a.place AS begins, b.place AS ends,
+         count(*) OVER (PARTITION BY a.doc_id, a.h, a.licence, a.number, a.place ORDER BY b.place ROWS UNBOUNDED PRECEDING) AS shared
+  FROM limited a JOIN limited b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.h = b.h AND a.licence = b.licence AND a.number = b.number
+  AND b.place BETWEEN a.place AND a.place + a.high AND b.before < a.place),
+likes AS (SELECT *, 2.0::DOUBLE * shared / (ends - begins + 1 + size) AS dice FROM tried),
+chosen AS (SELECT * FROM likes WHERE dice >= {least} QUALIFY row_number() OVER (PARTITION BY doc_id, h, licence, number, begins ORDER BY dice DESC, ends) = 1),
 marked AS (
-  SELECT *, CASE WHEN begins < max(begins + span) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, span ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
-  FROM likes WHERE dice >= {least}),
-runs AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, span ROWS UNBOUNDED PRECEDING) AS run FROM marked),
-passages AS (SELECT doc_id, licence, min(begins) AS position, max(dice) AS dice FROM runs GROUP BY doc_id, h, licence, run)
+  SELECT *, CASE WHEN begins <= max(ends) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, ends, dice DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM chosen),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, h, licence ORDER BY begins, ends, dice DESC ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+passages AS (SELECT doc_id, licence, begins AS position, dice FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, h, licence, run ORDER BY dice DESC, begins) = 1)
 SELECT doc_id, unit, CAST(position AS INTEGER) AS position, licence, round(dice, 9) AS dice FROM ranked WHERE r = 1
 UNION ALL
 SELECT doc_id, 'passage', CAST(position AS INTEGER), licence, round(max(dice), 9) FROM passages GROUP BY doc_id, licence, position

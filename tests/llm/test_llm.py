@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import re
 import zlib
 
 import numpy as np
@@ -400,28 +401,77 @@ def test_licences_inside_other_text(spark):
         (4, other),
         (5, f"{other} {bsd} {other} {bsd}"),
     ]
-    got = {(r.doc_id, r.position // 100, r.licence) for r in licences.licence_scan(docs(spark, rows)).where("unit = 'passage'").collect()}
-    assert got == {(1, 6, "BSD-2-Clause"), (2, 0, "MIT"), (3, 0, "Apache-2.0"), (5, 6, "BSD-2-Clause"), (5, 14, "BSD-2-Clause")}
-
-
-def test_passages_equal_all_windows(spark):
-    """Random words over a small vocabulary, against each window counted by itself."""
+    got = {(r.doc_id, r.position, r.licence, r.dice) for r in licences.licence_scan(docs(spark, rows)).where("unit = 'passage'").collect()}
+    again = 1400 + len(re.findall(r"[^\W_]+", bsd))
+    assert got == {(1, 700, "BSD-2-Clause", 1.0), (2, 5, "MIT", 1.0), (3, 3, "Apache-2.0", 1.0), (5, 700, "BSD-2-Clause", 1.0), (5, again, "BSD-2-Clause", 1.0)}
+
+
+def passages_by_brute_force(text, template, least):
+    """(first word, coefficient) of the best of the runs that overlap; every first and last word is tried."""
+    grams, wanted = (list(zip(x.split(), x.split()[1:])) for x in (text, template))
+    known, runs = collections.Counter(wanted), []
+    for a in range(len(grams)):
+        best, own, shared = None, collections.Counter(), 0
+        for b in range(a, len(grams)):
+            own[grams[b]] += 1
+            shared += own[grams[b]] <= known[grams[b]]
+            dice = 2 * shared / (b - a + 1 + len(wanted))
+            if best is None or dice > best[0]:
+                best = dice, b
+        if best[0] >= least:
+            runs.append((a, best[1], best[0]))
+    out, reached, now = [], -1, []
+    for a, b, dice in runs:
+        if a > reached and now:
+            out.append(min(now))
+            now = []
+        now.append((-dice, a))
+        reached = max(reached, b)
+    return [(a, -d) for d, a in (out + [min(now)] if now else out)]
+
+
+def test_passages_equal_all_runs(spark):
+    """Random words over a small vocabulary, against every run of words counted by itself."""
     rng, least = np.random.default_rng(21), 0.6
     template = " ".join(rng.choice(list("abcdef"), 24))
-    texts = {k: " ".join([*rng.choice(list("abcdef"), int(rng.integers(0, 60))), *(template.split()[: 12 + k] if k % 2 else [])]) for k in range(40)}
-    want = set()
-    size, step = 23, 2
-    known = collections.Counter(zip(template.split(), template.split()[1:]))
-    for k, t in texts.items():
-        grams, reached = list(zip(t.split(), t.split()[1:])), -1
-        for begins in range(0, len(grams), step):
-            part = grams[begins : begins + size]
-            if 2 * sum((collections.Counter(part) & known).values()) / (len(part) + size) >= least:
-                if begins >= reached:
-                    want.add((k, begins))
-                reached = max(reached, begins + len(part))
+    texts = {k: " ".join([*rng.choice(list("abcdef"), int(rng.integers(0, 60))), *(template.split()[: 12 + k] if k % 2 else [])]) for k in range(60)}
+    want = {(k, a, round(d, 9)) for k, t in texts.items() for a, d in passages_by_brute_force(t, template, least)}
     got = licences.licence_scan(docs(spark, list(texts.items())), {"T": [template]}, least).where("unit = 'passage'").collect()
-    assert {(r.doc_id, r.position) for r in got} == want and len(want) > 10
+    assert {(r.doc_id, r.position, round(r.dice, 9)) for r in got} == want and len(want) > 30
+
+
+def test_no_changed_notice_is_lost(spark):
+    """Notices with words replaced, lost and added, at any place of other text: each that still reaches the coefficient is found where it is, and as good."""
+    rng = np.random.default_rng(12)
+    template = licences.TEMPLATES["MPL-2.0"][0]
+    plain = " ".join(re.findall(r"[^\W_]+", template.lower()))
+    texts, likeness = {}, {}
+    for k in range(400):
+        notice = plain.split()
+        for _ in range(int(rng.integers(2, 5))):
+            at = int(rng.integers(len(notice)))
+            notice[at : at + int(rng.integers(0, 3))] = [f"z{rng.integers(1000)}" for _ in range(int(rng.integers(0, 3)))]
+        known, own = (collections.Counter(zip(x, x[1:])) for x in (plain.split(), notice))
+        likeness[k] = 2 * sum((known & own).values()) / (sum(known.values()) + sum(own.values()))
+        around = [[f"y{rng.integers(10**6)}" for _ in range(int(rng.integers(0, 90)))] for _ in range(2)]
+        texts[k] = (len(around[0]), len(notice), " ".join([*around[0], *notice, *around[1]]))
+    found = {r.doc_id: r for r in licences.licence_scan(docs(spark, [(k, t) for k, (_, _, t) in texts.items()])).where("unit = 'passage' and licence = 'MPL-2.0'").collect()}
+    good = [k for k, d in likeness.items() if d >= 0.8]
+    assert len(good) > 150
+    assert all(k in found and found[k].dice >= likeness[k] - 1e-9 and texts[k][0] <= found[k].position < texts[k][0] + texts[k][1] for k in good)
+
+
+def test_no_template_is_reached_without_an_anchor_word():
+    rows = licences.template_rows(licences.TEMPLATES, 0.8)
+    words = set(licences.anchor_words(rows))
+    for key in {r[:5] for r in rows}:
+        assert sum(r[6] for r in rows if r[:5] == key and not words & set(r[5].split())) < key[3]
+
+
+def test_licences_break_ties_by_name(spark):
+    same = "free for any use whatsoever by anyone"
+    got = licences.licence_scan(docs(spark, [(1, same)]), {"B": [same], "A": [same]}).collect()
+    assert sorted((r.unit, r.licence) for r in got) == [("line", "A"), ("passage", "A"), ("passage", "B")]
 
 
 def test_raking_meets_the_targets(spark):
@@ -530,7 +580,7 @@ def test_licences_count_repeated_rows_once(spark):
     text = "Released under some other License. Under the MIT License."
     once = licences.licence_scan(docs(spark, [(1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
     twice = licences.licence_scan(docs(spark, [(1, text), (1, text)]), {"T": ["under the mit license under the mit license released"]}, 0.5).collect()
-    assert [(r.unit, r.position, round(r.dice, 6)) for r in sorted(once)] == [("line", 0, 0.5), ("passage", 0, 0.666667)] and sorted(once) == sorted(twice)
+    assert [(r.unit, r.position, round(r.dice, 6)) for r in sorted(once)] == [("line", 0, 0.5), ("passage", 4, 0.666667)] and sorted(once) == sorted(twice)
 
 
 def test_pipeline_does_not_mix_by_the_first_word(spark):
