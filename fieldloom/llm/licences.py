@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import materialise
+
 #: Words of a licence text, after lower-casing.
 LICENCE_WORD = r"[\p{L}\p{N}]+"
 
@@ -64,16 +66,25 @@ def template_rows(templates: dict[str, list[str]], least: float) -> list[tuple]:
 def anchor_words(rows: list[tuple]) -> list[str]:
     """Words of which any text that reaches the coefficient holds at least one: without the bigrams of a template that hold one, fewer than `low` are left.
 
-    Long words are taken first, as they are rare in other texts.
+    Words of six letters and more are taken first, as they are rare in other texts, and of these the ones that serve most templates.
     """
-    chosen: set[str] = set()
-    for key in sorted({r[:5] for r in rows}):
-        left = {r[5]: r[6] for r in rows if r[:5] == key and not chosen & set(r[5].split())}
-        while sum(left.values()) >= key[3]:
-            best = max({w for b in left for w in b.split()}, key=lambda w: (min(len(w), 7), sum(n for b, n in left.items() if w in b.split()), w))
-            chosen.add(best)
-            left = {b: n for b, n in left.items() if best not in b.split()}
-    return sorted(chosen)
+    lacking = {}
+    for r in rows:
+        lacking.setdefault(r[:5], {})[r[5]] = r[6]
+    chosen = []
+    while any(sum(left.values()) >= key[3] for key, left in lacking.items()):
+        gains: Counter = Counter()
+        for key, left in lacking.items():
+            need, own = sum(left.values()) - key[3] + 1, Counter()
+            if need > 0:
+                for bigram, n in left.items():
+                    for w in set(bigram.split()):
+                        own[w] += n
+                gains.update({w: min(n, need) / need for w, n in own.items()})
+        best = max(gains, key=lambda w: (min(len(w), 6), gains[w], w))
+        chosen.append(best)
+        lacking = {key: {bigram: n for bigram, n in left.items() if best not in bigram.split()} for key, left in lacking.items()}
+    return chosen
 
 
 def _spelled(text: Column) -> Column:
@@ -107,7 +118,8 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
     known = spark.createDataFrame(rows, "licence string, number int, size int, low int, high int, bigram string, wanted int")
     low, high, most = min(r[3] for r in rows), max(r[4] for r in rows), max(r[6] for r in rows)
 
-    held = reduce(lambda x, y: x | y, (F.contains(_spelled(F.col("text")), F.lit(w)) for w in anchor_words(rows)))
+    anchors = anchor_words(rows)
+    held = F.exists(F.array(_spelled(F.col("text"))), lambda t: reduce(lambda x, y: x | y, (F.contains(t, F.lit(w)) for w in anchors)))  # spelled once for all
     words = docs.where("text is not null").where(held).select("doc_id", "text", F.transform(F.split("text", "\n"), _words).alias("lines"))
     unit = lambda kind, at, x: F.struct(F.lit(kind).alias("unit"), at.cast("int").alias("position"), x.alias("words"))
     no_units = F.expr("cast(array() as array<struct<unit:string,position:int,words:array<string>>>)")
@@ -123,6 +135,7 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
 
     key = ["doc_id", "unit", "position", "of", "n", "licence", "number"]
     met = grams.join(F.broadcast(known), "bigram").where((F.col("unit") == "passage") | F.col("n").between(F.col("low"), F.col("high"))).dropDuplicates([*key, "place"])
+    met = materialise(met, "bigrams")  # read twice
 
     counted = met.where("unit <> 'passage'").groupBy(*key, "size", "bigram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
     dice = (2.0 * F.sum("shared") / (F.col("n") + F.col("size"))).alias("dice")
