@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shared import written
+
 
 def pr_grid(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     """Precision, recall and F1 at each threshold from (label 0/1, score).
@@ -26,17 +28,6 @@ def pr_grid(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     return out.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))).drop("all_pos")
 
 
-def average_precision(matched: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """Area under the precision envelope of (hit 0/1) rows in order of falling score; `n_true` holds the number of true boxes."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = matched.select("*", F.sum("hit").over(sofar).alias("tp"), F.row_number().over(w).alias("n"))
-    rows = rows.withColumn("precision", F.col("tp") / F.col("n")).withColumn("recall", F.col("tp") / F.col("n_true"))
-    rows = rows.withColumn("envelope", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
-    gain = F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))
-    return rows.withColumn("gain", gain).groupBy(*by).agg(F.sum(F.col("gain") * F.col("envelope")).alias("ap"))
-
-
 def mean_absolute_percentage_error(rows: DataFrame, by: list[str], true: str, predicted: str) -> DataFrame:
     """Per cent; rows whose true value is 0 do not count."""
     return rows.groupBy(*by).agg((100 * F.avg(F.try_divide(F.abs(F.col(true) - F.col(predicted)), F.abs(F.col(true))))).alias("mape"))
@@ -96,23 +87,30 @@ def meter(rows: DataFrame, by: list[str], order: str, value: str, size: int) ->
     return rows.select(*by, order, F.avg(value).over(w.rowsBetween(-(size - 1), 0)).alias("recent"), F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("overall"))
 
 
-def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
+def mot_summary(pairs: DataFrame, by: list[str], least_iou: float, overall: bool = False) -> DataFrame:
     """CLEAR-MOT counts per scan from (by, frame, gt_id, trk_id, iou): a match of the frame before is kept while it holds, of the rest as many as can be are paired, with
     the greatest total overlap.
 
-    Rows with a null trk_id or gt_id name unpaired true or found boxes of a frame. Matches, misses, false positives, switches, mota, precision, recall.
+    Rows with a null trk_id or gt_id name unpaired true or found boxes of a frame. Matches, misses, false positives, switches, mota, precision, recall; with
+    `overall`, a row more whose `by` is null has the same of the summed counts. Frames are counted and their pairs gathered where they are; the fold
+    over a scan sees a row for each frame.
     """
     from .scoring import optimal_pairs
 
     kinds = dict(pairs.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long, mota double, precision double, recall double"
+    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long"
+    good = (F.col("iou") >= least_iou) & F.col("gt_id").isNotNull() & F.col("trk_id").isNotNull()
+    met = F.collect_list(F.when(good, F.struct("gt_id", "trk_id", "iou")))
+    frames = pairs.groupBy(*by, "frame").agg(F.count_distinct("gt_id").alias("n_true"), F.count_distinct("trk_id").alias("n_found"), met.alias("met"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         last: dict = {}
         hits = misses = extra = switches = 0
-        for _, frame in pdf.sort_values("frame").groupby("frame"):
-            good = frame[(frame["iou"] >= least_iou) & frame["gt_id"].notna() & frame["trk_id"].notna()]
-            options = {(g, t): v for g, t, v in zip(good["gt_id"], good["trk_id"], good["iou"])}
+        pdf = pdf.sort_values("frame")
+        for n_true, n_found, own in zip(pdf["n_true"].tolist(), pdf["n_found"].tolist(), pdf["met"]):
+            options: dict = {}
+            for m in own:
+                options[m["gt_id"], m["trk_id"]] = max(m["iou"], options.get((m["gt_id"], m["trk_id"]), 0.0))
             taken = {g: t for g, t in last.items() if (g, t) in options}
             gone = set(taken.values())
             free = {(g, t): v for (g, t), v in options.items() if g not in taken and t not in gone}
@@ -123,15 +121,19 @@ def mot_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
                 taken |= {truths[r]: tracks[c] for r, c in optimal_pairs(gain) if gain[r, c] > 0}
             switches += sum(g in last and last[g] != t for g, t in taken.items())
             hits += len(taken)
-            misses += frame["gt_id"].nunique() - len(taken)
-            extra += frame["trk_id"].nunique() - len(taken)
+            misses += n_true - len(taken)
+            extra += n_found - len(taken)
             last |= taken
-        whole = hits + misses
-        row = {c: [pdf[c].iloc[0]] for c in by} | {"matches": [hits], "misses": [misses], "false_positives": [extra], "switches": [switches]}
-        share = lambda n: [hits / n if n else np.nan]
-        return pd.DataFrame(row | {"mota": [1 - (misses + extra + switches) / whole if whole else np.nan], "precision": share(hits + extra), "recall": share(whole)})
+        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in by} | {"matches": [hits], "misses": [misses], "false_positives": [extra], "switches": [switches]})
 
-    return pairs.groupBy(*by).applyInPandas(run, schema)
+    counts = frames.groupBy(*by).applyInPandas(run, schema)
+    if overall:
+        counts = written(counts, "counts")  # the folds run once
+        sums = counts.agg(*(F.sum(c).alias(c) for c in ("matches", "misses", "false_positives", "switches"))).where("matches is not null")
+        counts = counts.unionByName(sums.select(*(F.lit(None).cast(kinds[c]).alias(c) for c in by), "*"))
+    whole, wrong = F.col("matches") + F.col("misses"), F.col("misses") + F.col("false_positives") + F.col("switches")
+    share = lambda n: F.try_divide(F.col("matches"), n)
+    return counts.select("*", (1 - F.try_divide(wrong, whole)).alias("mota"), share(F.col("matches") + F.col("false_positives")).alias("precision"), share(whole).alias("recall"))
 
 
 def error_figures(rows: DataFrame, by: list[str], true: str, predicted: str) -> DataFrame:
@@ -211,12 +213,3 @@ def box_pr_grid(truth: DataFrame, found: DataFrame, by: list[str], confs: list[f
     fp, fn = F.col("made") - F.col("tp"), F.col("n_true") - F.col("tp")
     f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + fn + fp), F.lit(0.0))
     return rows.groupBy("conf", "iou").agg(F.avg(F.col("tp") / F.greatest("made", F.lit(1))).alias("precision"), F.avg(F.col("tp") / F.col("n_true")).alias("recall"), F.avg(f1).alias("f1"))
-
-
-def eleven_point_precision(matched: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """The mean of the greatest precision at recalls of at least 0, 0.1, ... 1, from the same rows as `average_precision`."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    rows = matched.select(*by, F.sum("hit").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("tp"), F.row_number().over(w).alias("n"), "n_true")
-    recall, precision = F.col("tp") / F.col("n_true"), F.col("tp") / F.col("n")
-    best = rows.groupBy(*by).agg(*(F.coalesce(F.max(F.when(recall >= k / 10, precision)), F.lit(0.0)).alias(f"p{k}") for k in range(11)))
-    return best.select(*by, (sum((F.col(f"p{k}") for k in range(1, 11)), F.col("p0")) / 11).alias("ap"))

@@ -90,19 +90,29 @@ def greedy_pairs(score: np.ndarray) -> list[tuple[int, int]]:
 
 
 def greedy_assign(scores: DataFrame, by: list[str]) -> DataFrame:
-    """(by, trk, det, score) chosen greedily within each frame from (by, trk, det, score)."""
-    kinds = dict(scores.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", trk long, det long, score double"
+    """(by, trk, det, score) chosen greedily within each frame from (by, trk, det, score), by falling score, ties by trk then det, down to scores above 0.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pdf.pivot_table(index="trk", columns="det", values="score", fill_value=0.0)
-        picked = greedy_pairs(table.to_numpy())
-        out = pd.DataFrame({"trk": [table.index[r] for r, _ in picked], "det": [table.columns[c] for _, c in picked], "score": [table.iat[r, c] for r, c in picked]})
-        for c in by:
-            out[c] = pdf[c].iloc[0]
-        return out[[*by, "trk", "det", "score"]]
-
-    return scores.groupBy(*by).applyInPandas(run, schema)
+    A frame's scores are put in order where they are gathered; a call takes many frames.
+    """
+    kinds = dict(scores.dtypes)
+    option = F.struct((-F.col("score")).alias("less"), F.col("trk").cast("long").alias("trk"), F.col("det").cast("long").alias("det"))
+    frames = scores.where("score > 0").groupBy(*by).agg(F.array_sort(F.collect_list(option)).alias("options"))
+
+    def run(parts):
+        for pdf in parts:
+            picked = []
+            for options in pdf["options"]:
+                rows, columns, own = set(), set(), []
+                for o in options:
+                    if o["trk"] not in rows and o["det"] not in columns:
+                        own.append({"trk": o["trk"], "det": o["det"], "score": -o["less"]})
+                        rows.add(o["trk"])
+                        columns.add(o["det"])
+                picked.append(own)
+            yield pdf[by].assign(picked=picked)
+
+    out = frames.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in by) + ", picked array<struct<trk:bigint,det:bigint,score:double>>")
+    return out.select(*by, F.inline("picked"))
 
 
 def non_maximum_suppression(boxes: DataFrame, by: list[str], most: float) -> DataFrame:

@@ -78,11 +78,11 @@ def ellipsoids(points: DataFrame, by: list[str]) -> DataFrame:
 
 def greedy_hits(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float], most: int = 100) -> DataFrame:
     """(by, class, score, pos, threshold, hit), `by` ending in the frame: found boxes of a frame, by falling score, each take the best true box of their class that is free and overlaps enough."""
-    from .geometry import iou
+    from .geometry import cross_pairs, iou
 
-    ranked = found.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "class").orderBy(F.col("score").desc(), "pos"))).where(F.col("__r") <= most)
-    pairs = ranked.alias("a").join(truth.alias("b"), [*by, "class"], "left")
-    pairs = pairs.select(*by, "class", F.col("a.pos").alias("pos"), F.col("a.score").alias("score"), F.col("b.pos").alias("gt"), F.coalesce(iou("a", "b", False, False), F.lit(0.0)).alias("iou"))
+    ranked = found.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "class").orderBy(F.col("score").desc(), "pos"))).where(F.col("__r") <= most).drop("__r")
+    met = cross_pairs(ranked, truth, [*by, "class"]).select(*by, "class", F.col("a.pos").alias("pos"), F.col("b.pos").alias("gt"), iou("a", "b", False, False).alias("iou"))
+    pairs = ranked.select(*by, "class", "pos", "score").join(met, [*by, "class", "pos"], "left").withColumn("iou", F.coalesce("iou", F.lit(0.0)))
     kinds, scan, frame = dict(pairs.dtypes), by[:-1], by[-1]
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*scan, "class", frame]) + ", pos long, score double, threshold double, hit int"
 
@@ -109,16 +109,12 @@ def greedy_hits(truth: DataFrame, found: DataFrame, by: list[str], thresholds: l
 
 
 def recall_point_precision(hits: DataFrame, truth: DataFrame, points: int = 101) -> DataFrame:
-    """(class, threshold, ap): mean of the precision envelope at `points` even recalls."""
+    """(class, threshold, ap): mean of the precision envelope at `points` even recalls, of the classes and thresholds with found boxes."""
+    from .scans import point_precision
+
     total = truth.groupBy("class").agg(F.count("*").alias("n_true"))
-    w = Window.partitionBy("class", "threshold").orderBy(F.col("score").desc(), "pos")
-    rows = hits.join(F.broadcast(total), "class").select("class", "threshold", "score", "pos", "n_true", F.sum("hit").over(w).alias("tp"), F.row_number().over(w).alias("n"))
-    rows = rows.withColumn("precision", F.col("tp") / F.col("n")).withColumn("recall", F.col("tp") / F.col("n_true"))
-    rows = rows.withColumn("envelope", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
-    # A row answers for the recall points above the one before and up to its own.
-    before = F.coalesce(F.lag("recall").over(w), F.lit(-1.0))
-    answers = F.floor(F.col("recall") * (points - 1) + 1e-9) - F.floor(F.when(before < 0, F.lit(-1.0)).otherwise(before * (points - 1) + 1e-9))
-    return rows.withColumn("k", answers).groupBy("class", "threshold").agg((F.sum(F.col("k") * F.col("envelope")) / points).alias("ap"))
+    names = [c for c in hits.columns if c not in ("class", "threshold", "score", "hit")]
+    return point_precision(hits.join(total, "class"), ["class", "threshold"], [F.col("score").desc(), *(F.col(c) for c in ["pos", *(n for n in names if n != "pos")])], points)
 
 
 def keypoint_similarity(pairs: DataFrame, variance: float) -> DataFrame:

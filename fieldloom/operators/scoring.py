@@ -6,7 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..shared import written
+from .scans import precision_curve, recall_points
 
 #: The usual area classes, in pixels, both bounds included.
 AREAS = {"all": (0.0, 1e10), "small": (0.0, 1024.0), "medium": (1024.0, 9216.0), "large": (9216.0, 1e10)}
@@ -55,8 +57,36 @@ def track_pairs(truth: DataFrame, found: DataFrame, by: list[str], least_iou: fl
     return met.union(alone)
 
 
-def identity_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataFrame:
-    """(by, idtp, idp, idr, idf1): each true identity has one track at most for its whole scan, so that most boxes agree.
+def without_ignored(found: DataFrame, ignored: DataFrame, by: list[str], least_iou: float = 0.5) -> DataFrame:
+    """The found boxes that no box to be ignored is assigned to; `by` ends in the frame, both sides have pos, x1, y1, x2, y2.
+
+    Within a frame, as many pairs with an overlap of at least `least_iou` are formed as can be, with the greatest total overlap. Only such pairs are gathered
+    to a frame's row.
+    """
+    from .geometry import cross_pairs, iou
+
+    met = cross_pairs(ignored, found, by).select(*by, F.struct(F.col("a.pos").alias("a"), F.col("b.pos").alias("b"), iou("a", "b", False, False).alias("iou")).alias("p")).where(F.col("p.iou") >= least_iou)
+    frames = met.groupBy(*by).agg(F.collect_list("p").alias("pairs"))
+    kinds = dict(frames.dtypes)
+
+    def run(parts):
+        for pdf in parts:
+            taken = []
+            for own in pdf["pairs"]:
+                left, right = (sorted({p[k] for p in own}) for k in "ab")
+                gain = np.zeros((len(left), len(right)))
+                for p in own:
+                    gain[left.index(p["a"]), right.index(p["b"])] = len(own) + 1 + p["iou"]
+                taken.append([right[c] for r, c in optimal_pairs(gain) if gain[r, c] > 0])
+            yield pdf[by].assign(taken=taken)
+
+    gone = frames.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in by) + ", taken array<long>").select(*by, F.explode("taken").alias("pos"))
+    return found.join(gone, [*by, "pos"], "left_anti")
+
+
+def identity_summary(pairs: DataFrame, by: list[str], least_iou: float, overall: bool = False) -> DataFrame:
+    """(by, idtp, idp, idr, idf1): each true identity has one track at most for its whole scan, so that most boxes agree; with `overall`, a row more
+    whose `by` is null has the same of the summed counts.
 
     Frames are counted where they are; what one task assigns is a table of the identities and tracks of one scan that ever met.
     """
@@ -73,6 +103,10 @@ def identity_summary(pairs: DataFrame, by: list[str], least_iou: float) -> DataF
 
     agreed = met.groupBy(*by).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in by) + ", idtp long")
     out = frames.join(agreed, by, "left").withColumn("idtp", F.coalesce("idtp", F.lit(0)))
+    if overall:
+        out = written(out, "counts")
+        sums = out.agg(*(F.sum(c).alias(c) for c in ("n_true", "n_found", "idtp"))).where("n_true is not null")
+        out = out.unionByName(sums.select(*(F.lit(None).cast(kinds[c]).alias(c) for c in by), "*"))
     share = lambda n: F.try_divide(F.col("idtp"), n)
     return out.select(*by, "idtp", share(F.col("n_found")).alias("idp"), share(F.col("n_true")).alias("idr"), F.try_divide(2.0 * F.col("idtp"), F.col("n_true") + F.col("n_found")).alias("idf1"))
 
@@ -154,15 +188,10 @@ def area_cells(matches: DataFrame, truth: DataFrame, by: list[str], thresholds:
     held = counts.select("class", F.explode(F.array(*(F.when(area.between(lo, hi), F.lit(n)) for n, (lo, hi) in areas.items()))).alias("area_class")).where("area_class is not null")
     cells = held.groupBy("class", "area_class").agg(F.count("*").alias("n_true")).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
     key = ["class", "area_class", "threshold"]
-    w = Window.partitionBy(*key).orderBy(F.col("score").desc(), *by, "pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = matches.join(cells, key).withColumn("tp", F.sum("hit").over(so_far)).withColumn("n", F.row_number().over(w))
-    rows = rows.withColumn("envelope", F.max(F.col("tp") / F.col("n")).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    rows = precision_curve(matches.join(cells, key), key, [F.col("score").desc(), *(F.col(c) for c in (*by, "pos"))])
     # A row answers for the recall points above those of the row before and up to its own; the number of points is told in whole numbers.
-    point = lambda tp: F.expr(f"({tp} * {points - 1}) div n_true")
-    answers = F.when(F.row_number().over(w) == 1, point("tp") + 1).otherwise(point("tp") - point("(tp - hit)"))
-    rows = rows.withColumn("answers", answers)
-    figures = rows.groupBy(*key).agg((F.sum(F.col("answers") * F.col("envelope")) / points).alias("ap"), *(F.sum(F.when(F.col("rank") <= m, F.col("hit")).otherwise(0)).alias(f"hits_{m}") for m in limits))
+    answers = recall_points("tp", "n_true", points) - recall_points("(tp - hit)", "n_true", points) + F.when(F.col("n") == 1, 1).otherwise(0)
+    figures = rows.groupBy(*key).agg((F.sum(answers * F.col("envelope")) / points).alias("ap"), *(F.sum(F.when(F.col("rank") <= m, F.col("hit")).otherwise(0)).alias(f"hits_{m}") for m in limits))
     filled = cells.join(figures, key, "left")
     return filled.select(*key, F.coalesce("ap", F.lit(0.0)).alias("ap"), *(F.coalesce(F.col(f"hits_{m}") / F.col("n_true"), F.lit(0.0)).alias(f"recall_{m}") for m in limits))
 

@@ -87,7 +87,8 @@ def islands(rows: DataFrame, by: list[str], order: str, state: str) -> DataFrame
 
 def filled_back(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Nulls take the next value that is there."""
-    return rows.withColumn(value, F.first(value, True).over(ordered(by, order).rowsBetween(0, Window.unboundedFollowing)))
+    backwards = Window.partitionBy(*by).orderBy(F.col(order).desc())
+    return rows.withColumn(value, F.last(value, True).over(backwards.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def moving_average(rows: DataFrame, by: list[str], order: str, value: str, size: int = 10) -> DataFrame:
@@ -117,7 +118,9 @@ def interpolated(rows: DataFrame, by: list[str], order: str, value: str) -> Data
     changed = F.lag(value).over(w).isNull() | (F.col(value) != F.lag(value).over(w))
     mark = F.when(changed, F.struct(F.col("__n").alias("n"), F.col(value).alias("v")))
     rows = rows.withColumn("__m", mark)
-    rows = rows.withColumn("__a", F.last("__m", True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__b", F.first("__m", True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    rows = rows.withColumn("__a", F.last("__m", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    backwards = Window.partitionBy(*by).orderBy(F.col("__n").desc())
+    rows = rows.withColumn("__b", F.last("__m", True).over(backwards.rowsBetween(Window.unboundedPreceding, -1)))
     line = F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * (F.col("__n") - F.col("__a.n")) / (F.col("__b.n") - F.col("__a.n"))
     return rows.withColumn("smooth", F.coalesce(line, F.col("__a.v"))).drop("__n", "__m", "__a", "__b")
 
@@ -150,11 +153,12 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, value: str
     sides = left.select(*by, time, micros.alias("__t"), F.lit(1).alias("__left"), F.struct(*(c for c in left.columns if c not in (*by, time))).alias("__row"), F.lit(None).cast(right.schema[value].dataType).alias("__v"))
     others = right.select(*by, time, micros.alias("__t"), F.lit(0).alias("__left"), F.lit(None).cast(sides.schema["__row"].dataType).alias("__row"), F.col(value).alias("__v"))
     both = sides.unionByName(others).withColumn("__m", F.when(F.col("__left") == 0, F.struct(F.col("__t").alias("t"), F.col("__v").alias("v"))))
-    # Looking back, right rows of the same time come before the left row; looking ahead, after it; if strict, the other way round.
-    side = F.col("__left")
-    back = Window.partitionBy(*by).orderBy("__t", side.desc() if strict else side.asc()).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*by).orderBy("__t", side.asc() if strict else side.desc()).rowsBetween(0, Window.unboundedFollowing)
-    found = both.select("*", F.last("__m", True).over(back).alias("__b"), F.first("__m", True).over(ahead).alias("__a")).where("__left = 1")
+    # Right rows of the same time come before the left row in both directions; if strict, after it. Looking ahead reads the rows from their end, as
+    # a frame that shrinks would be read anew for each row.
+    side = F.col("__left").desc() if strict else F.col("__left").asc()
+    back = Window.partitionBy(*by).orderBy("__t", side).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*by).orderBy(F.col("__t").desc(), side).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.select("*", F.last("__m", True).over(back).alias("__b"), F.last("__m", True).over(ahead).alias("__a")).where("__left = 1")
     gap_b, gap_a = F.col("__t") - F.col("__b.t"), F.col("__a.t") - F.col("__t")
     backward = gap_a.isNull() | (gap_b <= gap_a if tie == "earlier" else gap_b < gap_a)
     chosen = {"backward": F.col("__b"), "forward": F.col("__a"), "nearest": F.when(gap_b.isNotNull() & backward, F.col("__b")).otherwise(F.col("__a"))}[direction]

@@ -7,9 +7,10 @@ from ..operators import annotations as A
 from ..operators import counting as C
 from ..operators import evaluation as E
 from ..operators import geometry as G
-from ..operators import spatial as N
 from ..operators import ledger as L
 from ..operators import measuring as M
+from ..operators import scans as P
+from ..operators import spatial as N
 from ..operators import timeseries as T
 from .tables import KEY, PLOTS, WITH_BOXES, WITH_POINTS, WITH_SLICES, WITH_TRACKS, boxes, events, plots, points, read, slices, tracks
 
@@ -135,7 +136,7 @@ QUERIES = {
         round(avg(CASE WHEN 2 * tp + (n_true - tp) + (made - tp) = 0 THEN 0 ELSE 2.0::DOUBLE * tp / (2 * tp + (n_true - tp) + (made - tp)) END), 6) AS f1 FROM r GROUP BY ALL""",
     ),
     "voc_ap_11_point": (
-        lambda s, d: E.eleven_point_precision(_hits(s, d), ["class"], [F.col("score").desc(), F.col("doc_id")]).select("class", F.round("ap", 6).alias("ap")),
+        lambda s, d: P.best_at_least(_hits(s, d), ["class"], [F.col("score").desc(), F.col("doc_id")]).select("class", F.round("ap", 6).alias("ap")),
         f"""{_SCORED}, m AS (SELECT doc_id % 4 AS class, label, score, doc_id, sum(label) OVER (PARTITION BY doc_id % 4) AS n_true FROM scored),
         a AS (SELECT class, sum(label) OVER w / n_true::DOUBLE AS r, sum(label) OVER w / (row_number() OVER w)::DOUBLE AS p FROM m WINDOW w AS (PARTITION BY class ORDER BY score DESC, doc_id ROWS UNBOUNDED PRECEDING)),
         b AS (SELECT class, k, max(CASE WHEN r >= k / 10.0::DOUBLE THEN p END) AS p FROM a, (SELECT unnest(range(11)) AS k) GROUP BY ALL) SELECT class, round(sum(coalesce(p, 0)) / 11, 6) AS ap FROM b GROUP BY ALL""",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotations as A
 from ..operators import evaluation as E
+from ..operators import scans as P
 from .tables import KEY, WITH_TRACKS, read, tracks
 
 _SCORED = "WITH scored AS (SELECT quality AS label, CAST((doc_id * 37) % 100 AS DOUBLE) / 100 AS score, doc_id FROM labels)"
@@ -34,7 +35,7 @@ QUERIES = {
         SELECT threshold, tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / nullif(p + r, 0), 6) AS f1 FROM q""",
     ),
     "voc_ap": (
-        lambda s, d: E.average_precision(_with_truth(_scored(s, d)), ["class"], [F.col("score").desc(), F.col("doc_id")]).select("class", F.round("ap", 6).alias("ap")),
+        lambda s, d: P.average_precision(_with_truth(_scored(s, d)), ["class"], [F.col("score").desc(), F.col("doc_id")]).select("class", F.round("ap", 6).alias("ap")),
         f"""{_SCORED}, m AS (SELECT doc_id % 4 AS class, label AS hit, score, doc_id, sum(label) OVER (PARTITION BY doc_id % 4) AS n_true FROM scored),
         a AS (SELECT class, score, doc_id, n_true, sum(hit) OVER w AS tp, row_number() OVER w AS n FROM m WINDOW w AS (PARTITION BY class ORDER BY score DESC, doc_id ROWS UNBOUNDED PRECEDING)),
         b AS (SELECT class, score, doc_id, tp / n::DOUBLE AS precision, tp / n_true::DOUBLE AS recall FROM a),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.scans import in_ranges, running_sums
 from ..schemas import COCO, MOT, NAV
 
 
@@ -55,7 +56,8 @@ def dropped_frames(spark: SparkSession, path: str) -> DataFrame:
     """Frames named in log lines about drops, once each, less the number of drops before them."""
     lines = spark.read.text(path).where(F.col("value").contains("FRAME DROP"))
     frames = lines.select(F.expr("try_cast(element_at(split(trim(value), ' '), -1) as long)").alias("frame")).where("frame is not null").distinct()
-    return frames.select((F.col("frame") - F.row_number().over(Window.orderBy("frame")) + 1).alias("frame"))
+    counted = running_sums(in_ranges(frames, [], ["frame"]), [], ["frame"], {"n": F.lit(1)})
+    return counted.select((F.col("frame") - F.col("n") + 1).alias("frame"))
 
 
 def json_map(spark: SparkSession, path: str, value: str) -> DataFrame:
