@@ -61,7 +61,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__cell.lang").alias("lang_class"),
         F.col("__cell.topic").alias("topic"),
         F.round("__probability", 6).alias("probability"),
-        (F.col("__draw") < F.col("__probability")).alias("kept"),
+        (F.col("__draw") < F.col("__cut")).alias("kept"),
     )
 
 
@@ -214,12 +214,19 @@ WITH docs AS (
 cells AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY ALL),
 w0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS weight, {share['source']}::DOUBLE AS wanted_source, {share['lang']}::DOUBLE AS wanted_lang, {share['topic']}::DOUBLE AS wanted_topic FROM cells WHERE tokens > 0),
 {", ".join(steps)},
-ratios AS (SELECT source, lang, topic, weight / tokens AS ratio FROM {before}),
+ratios AS (SELECT source, lang, topic, tokens, weight / tokens AS ratio FROM {before}),
 found AS (
-  SELECT d.*, coalesce(ratio / (SELECT max(ratio) FROM ratios), 0.0) AS probability,
-         ('0x' || substr(md5(doc_id || ':{MIX.seed}'), 1, 8))::BIGINT / 4294967296.0 AS draw
-  FROM docs d LEFT JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic IS NOT DISTINCT FROM r.topic)
-SELECT doc_id, n_tokens::BIGINT AS n_tokens, source AS source_class, lang AS lang_class, topic, round(probability, 6) AS probability, draw < probability AS kept FROM found
+  SELECT d.*, coalesce(ratio / (SELECT max(ratio) FROM ratios), 0.0) AS probability, r.tokens,
+         ('0x' || substr(md5(doc_id || ':{MIX.seed}'), 1, 8))::BIGINT AS draw
+  FROM docs d LEFT JOIN ratios r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic IS NOT DISTINCT FROM r.topic),
+split AS (SELECT *, probability * tokens AS quota, 2 * n_tokens > probability * tokens AS long FROM found),
+summed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, lang, topic, long ORDER BY draw RANGE UNBOUNDED PRECEDING) AS so_far, sum(n_tokens) OVER (PARTITION BY source, lang, topic, long, draw) AS own,
+         sum(n_tokens) OVER (PARTITION BY source, lang, topic, long) AS whole FROM split),
+longs AS (SELECT *, long AND 2 * so_far - own < 2 * probability * whole AS long_kept FROM summed),
+left_over AS (SELECT *, quota - sum(CASE WHEN long_kept THEN n_tokens ELSE 0 END) OVER (PARTITION BY source, lang, topic) AS rest FROM longs)
+SELECT doc_id, n_tokens::BIGINT AS n_tokens, source AS source_class, lang AS lang_class, topic, round(probability, 6) AS probability,
+       coalesce(CASE WHEN long THEN long_kept ELSE 2 * so_far - own < 2 * rest END, false) AS kept FROM left_over
 """
 
 
