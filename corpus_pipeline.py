@@ -53,7 +53,7 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """A sample that meets the raked shares of sources, languages and topics. Null classes count as those not named; repeated rows are drawn
     alike; an empty table gives an empty result.
     """
-    return registry.mixed(docs.select(*COLUMNS)).where("__draw < __probability").select(*COLUMNS)
+    return registry.mixed(docs.select(*COLUMNS)).where("__draw < __cut").select(*COLUMNS)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
