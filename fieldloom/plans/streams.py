@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..streaming import jobs as J
+from ..streaming import timed as T
 from .tables import events
 
 QUERIES = {
@@ -20,8 +21,8 @@ QUERIES = {
         "WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY ALL) SELECT user_id, unnest(range(0, n // 20)) AS flush, CAST(20 AS BIGINT) AS n FROM c",
     ),
     "stream_dedup": (
-        lambda s, d: J.replayed(s, d, lambda e: J.once(e.unionByName(e), "event_id", "400 days").select("event_id", "event_type"), "append").where("event_type <> 'close'").groupBy("event_type").agg(F.count("*").alias("n")),
-        "SELECT event_type, count(*) AS n FROM events GROUP BY ALL",
+        lambda s, d: J.replayed(s, d, lambda e: J.once(e.unionByName(e), "event_id", "400 days").select("event_id", "event_type"), "append").where("event_type <> 'close'"),
+        "SELECT event_id, event_type FROM events",
     ),
     "stream_late": (
         lambda s, d: J.replayed(s, d, lambda e: J.window_sums(e, "1 day", "2 days"), "append", late="event_id % 10 = 0 and ts < timestamp_ntz'2024-01-05 00:00:00'").where("event_type <> 'close'").select("day", "event_type", "n"),
@@ -44,6 +45,35 @@ QUERIES = {
     ),
     "stream_ledger": (
         lambda s, d: J.ledger(s, d),
-        "SELECT event_type, count(DISTINCT event_id) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL",
+        "SELECT event_id, user_id, event_type FROM events WHERE event_type IN ('click', 'view')",
+    ),
+    "stream_marked_sessions": (
+        lambda s, d: J.replayed(s, d, lambda e: T.marked_sessions(e, ["signup"], ["purchase", "error"], 2 * T.DAY), "append"),
+        """WITH o AS (SELECT *, CASE WHEN event_type = 'signup' OR lag(event_type) OVER w IN ('purchase', 'error') OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > 172800000000 THEN 1 ELSE 0 END AS fresh,
+        lead(ts) OVER w AS following FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM o),
+        k AS (SELECT user_id, session, min_by(event_type, ts) AS first, max_by(event_type, ts) AS last, min(ts) AS started, max(ts) AS ended, max(coalesce(following, TIMESTAMP '2999-01-01')) AS following, count(*) AS n FROM g GROUP BY user_id, session)
+        SELECT user_id, epoch_us(started) AS started, CASE WHEN last IN ('purchase', 'error') THEN epoch_us(ended) WHEN epoch_us(following) - epoch_us(ended) <= 172800000000 THEN epoch_us(following) ELSE epoch_us(ended) + 172800000000 END AS ended,
+        n - CASE WHEN last IN ('purchase', 'error') THEN 2 ELSE 1 END AS n, CASE WHEN last IN ('purchase', 'error') THEN 'stopped' WHEN epoch_us(following) - epoch_us(ended) <= 172800000000 THEN 'restarted' ELSE 'silent' END AS how
+        FROM k WHERE first = 'signup'""",
+    ),
+    "stream_silence": (
+        lambda s, d: J.replayed(s, d, lambda e: T.silences(e, T.DAY), "append"),
+        """SELECT user_id, event_id, epoch_us(ts) + 86400000000 AS released FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following FROM events)
+        WHERE following IS NULL OR epoch_us(following) - epoch_us(ts) > 86400000000""",
+    ),
+    "stream_asof_bounded": (
+        lambda s, d: J.replayed(s, d, lambda e: T.nearest_within(e, "click", "view", T.DAY // 2), "append"),
+        """WITH n AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS us, max(CASE WHEN event_type = 'view' THEN (epoch_us(ts), event_id) END) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+        min(CASE WHEN event_type = 'view' THEN (epoch_us(ts), event_id) END) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a FROM events WHERE event_type IN ('click', 'view')),
+        q AS (SELECT user_id, event_id, CASE WHEN us - b[1] <= 43200000000 THEN us - b[1] END AS back, CASE WHEN a[1] - us <= 43200000000 THEN a[1] - us END AS ahead, b[2] AS earlier, a[2] AS later FROM n WHERE event_type = 'click')
+        SELECT user_id, event_id, CASE WHEN ahead IS NULL OR back < ahead THEN earlier ELSE later END AS other, least(back, ahead) AS gap_us FROM q WHERE back IS NOT NULL OR ahead IS NOT NULL""",
+    ),
+    "stream_timed_flush": (
+        lambda s, d: J.replayed(s, d, lambda e: T.timed_flush(e, 5, T.DAY), "append"),
+        """WITH o AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > 86400000000 THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM o),
+        r AS (SELECT *, (row_number() OVER (PARTITION BY user_id, run ORDER BY ts) - 1) // 5 AS part FROM g)
+        SELECT user_id, min(epoch_us(ts)) AS started, count(*) AS n FROM r GROUP BY user_id, run, part""",
     ),
 }

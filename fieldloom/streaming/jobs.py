@@ -3,57 +3,82 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..shared import shared_folder
+from ..shared import shared_folder, written
 
 #: Closes windows and sessions at the end of a replay: a row so far ahead that the watermark passes all others.
 CLOSE = "close"
 
 
-def daily_files(spark: SparkSession, d: str, late: str | None = None) -> str:
-    """The events as a folder with a file for each day, in order of time, and a closing row; rows for which `late` holds come five days before the end."""
-    path = shared_folder(spark, "days")
-    events = spark.read.parquet(f"{d}/events.parquet")
-    last = events.agg(F.max("ts").alias("ts")).select("ts", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    closing = last.select(*(F.lit(CLOSE).alias(c) if c == "event_type" else (F.col("ts") + F.expr("interval 900 days")).cast("timestamp_ntz").alias(c) if c == "ts" else F.lit(-1).cast(t).alias(c) if t in ("bigint", "int") else F.lit(None).cast(t).alias(c) for c, t in events.dtypes), F.lit("zzzz").alias("day"))
-    day = F.date_format("ts", "yyyy-MM-dd")
-    rows = events.withColumn("day", day)
-    if late:
-        moved = last.select(F.concat(F.date_format(F.date_sub(F.col("ts").cast("date"), 5), "yyyy-MM-dd"), F.lit("-late")).alias("__to"))
-        rows = rows.join(F.broadcast(moved)).withColumn("day", F.when(F.expr(late), F.col("__to")).otherwise(F.col("day"))).drop("__to")
-    # One writer, so that the files' times are in the order of their days; a replay is of one table.
-    rows.unionByName(closing).coalesce(1).sortWithinPartitions("day").write.partitionBy("day").parquet(path)
-    return path
+#: Days that a batch of a replay holds.
+DAYS = 10
+_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
+def staged_days(spark: SparkSession, d: str, late: str | None = None) -> tuple[str, list[int]]:
+    """The events below a folder batch=<number> for each ten days, and the numbers in order; rows for which `late` holds make a batch of their own, five days before the end.
 
-def event_stream(spark: SparkSession, d: str, files: int = 10, late: str | None = None) -> DataFrame:
-    """The events as a stream of daily files with their fixed schema, some days in a batch."""
-    path, schema = daily_files(spark, d, late), spark.read.parquet(f"{d}/events.parquet").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}/day=*")
+    As many tasks write as there are days; the order is that of the numbers, whatever the files' times are. The last batch is a closing row.
+    """
+    path = shared_folder(spark, "days")
+    events = spark.read.parquet(f"{d}/events.parquet")
+    ends = events.agg(F.min(F.to_date("ts")).alias("__first"), F.max("ts").alias("__last"))
+    after = (F.col("__last") + F.expr("interval 900 days")).cast("timestamp_ntz")
+    values = {"event_type": F.lit(CLOSE), "ts": after}
+    closing = ends.select(*(values.get(c, F.lit(-1).cast(t) if t in ("bigint", "int") else F.lit(None).cast(t)).alias(c) for c, t in events.dtypes), F.lit(None).cast("date").alias("day"), F.lit(1 << 30).alias("batch"))
+    block = lambda day: 2 * F.floor(F.date_diff(day, "__first") / DAYS).cast("int")
+    rows = events.join(F.broadcast(ends)).withColumn("day", F.to_date("ts"))  # one row is sent
+    number = block("day") if late is None else F.when(F.expr(late), block(F.date_sub(F.to_date("__last"), 5)) + 1).otherwise(block("day"))
+    rows = rows.withColumn("batch", number).drop("__first", "__last").unionByName(closing)
+    numbers = [r.batch for r in written(rows.select("batch").distinct(), "batches").orderBy("batch").collect()]
+    rows.repartition("batch", "day").drop("day").write.partitionBy("batch").parquet(path)
+    return path, numbers
+
+
+def in_batches(spark: SparkSession, d: str, start: Callable[[DataFrame], StreamingQuery], late: str | None = None, progress: list | None = None) -> None:
+    """A stream over the events in explicit batches: each is moved to the watched folder once the one before has gone through, and `start` goes on from its checkpoint.
+
+    The stream has a session of its own, so that its settings stay there. `progress` collects what each run says of its batches.
+    """
+    staged, numbers = staged_days(spark, d, late)
+    live, schema = shared_folder(spark, "live"), spark.read.parquet(f"{d}/events.parquet").schema
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(live).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(live))
+    for number in numbers:
+        if not files.rename(path(f"{staged}/batch={number}"), path(f"{live}/batch={number}")):
+            raise RuntimeError(f"batch {number} cannot be moved")
+        query = start(own.readStream.schema(schema).parquet(f"{live}/batch=*"))
+        query.awaitTermination()
+        if progress is not None:
+            progress += query.recentProgress
 
 
-def replayed(spark: SparkSession, d: str, job: Callable[[DataFrame], DataFrame], mode: str, late: str | None = None) -> DataFrame:
-    """What a stream has written once all files there are have gone through it in several batches, as a table in the shared folder."""
-    run = shared_folder(spark, "stream")
-    out = job(event_stream(spark, d, late=late))
+def replayed(spark: SparkSession, d: str, job: Callable[[DataFrame], DataFrame], mode: str, late: str | None = None, progress: list | None = None) -> DataFrame:
+    """What a stream has written once all batches there are have gone through it, as a table in the shared folder."""
+    run, shape = shared_folder(spark, "stream"), []
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{run}/out" if mode == "complete" else f"{run}/out/batch={number}")
 
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/state").foreachBatch(keep).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set(key, before)
-    return spark.read.schema(out.schema).parquet(f"{run}/out").select(*out.columns)
+    def start(events: DataFrame) -> StreamingQuery:
+        out = job(events)
+        shape[:] = [out.schema]
+        return out.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/state").foreachBatch(keep).trigger(availableNow=True).start()
+
+    in_batches(spark, d, start, late, progress)
+    return spark.read.schema(shape[0]).parquet(f"{run}/out").select(*shape[0].fieldNames())
 
 
 def window_sums(events: DataFrame, size: str, late: str) -> DataFrame:
@@ -139,14 +164,14 @@ def count_flush(events: DataFrame, size: int) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(step, "user_id long, flush long, n long", "waiting long, done long", "update", GroupStateTimeout.NoTimeout)
 
 
-def ledger(spark: SparkSession, d: str) -> DataFrame:
-    """Events of two kinds fanned out to their own ledger tables batch by batch; a batch that is run again replaces its own files only."""
+def ledger(spark: SparkSession, d: str, kinds: tuple[str, ...] = ("click", "view")) -> DataFrame:
+    """Events fanned out by kind to ledger tables of their own, batch by batch; a batch that is run again replaces its own files only."""
     run = shared_folder(spark, "ledger")
 
     def fan_out(batch: DataFrame, number: int) -> None:
-        for kind in ("click", "view"):
+        for kind in kinds:
             batch.where(F.col("event_type") == kind).select("event_id", "user_id", "event_type").write.mode("overwrite").parquet(f"{run}/out/{kind}/batch={number}")
 
-    event_stream(spark, d).writeStream.option("checkpointLocation", f"{run}/state").foreachBatch(fan_out).trigger(availableNow=True).start().awaitTermination()
-    both = spark.read.option("basePath", f"{run}/out/click").parquet(f"{run}/out/click").unionByName(spark.read.option("basePath", f"{run}/out/view").parquet(f"{run}/out/view"))
-    return both.groupBy("event_type").agg(F.countDistinct("event_id").alias("n"))
+    in_batches(spark, d, lambda events: events.writeStream.option("checkpointLocation", f"{run}/state").foreachBatch(fan_out).trigger(availableNow=True).start())
+    both = [spark.read.option("basePath", f"{run}/out/{kind}").parquet(f"{run}/out/{kind}") for kind in kinds]
+    return reduce(DataFrame.unionByName, both).select("event_id", "user_id", "event_type")
