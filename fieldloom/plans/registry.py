@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additions, boxes, counts, documents, files, metrics, more, places, scores, series, stateful, streams
+from . import additions, boxes, counts, documents, files, metrics, more, orders, places, scores, series, stateful, streams
 
-_PARTS = (counts, series, places, boxes, metrics, documents, more, additions, files, stateful, scores, streams)
+_PARTS = (counts, series, places, orders, boxes, metrics, documents, more, additions, files, stateful, scores, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

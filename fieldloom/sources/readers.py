@@ -154,8 +154,3 @@ def triples(column: str):
     """A text `(x, y, z)` as a struct of doubles."""
     parts = F.split(F.regexp_replace(column, r"[()\s]", ""), ",")
     return F.struct(*(F.get(parts, F.lit(k)).cast("double").alias(n) for k, n in enumerate("xyz")))
-
-
-def shard_of(rows: DataFrame, key: str, rank: int, world: int, seed: int = 0) -> DataFrame:
-    """The rows that fall to one of `world` readers, by hash of a key."""
-    return rows.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(world)) == rank)
