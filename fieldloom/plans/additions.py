@@ -75,13 +75,10 @@ def _log_line(s, d):
 
 
 def _two_lines(s, d):
-    """y over x and x * x, with the normal equations' residual along each column, which least squares make zero."""
+    """y over x and x * x: what each column's unit adds."""
     rows = _reg(s, d).withColumn("x2", F.col("x") * F.col("x"))
     k = lambda i: F.get("coefficients", F.lit(i))
-    fit = E.regression(rows, ["g"], ["x", "x2"], "y")
-    left = rows.join(fit, "g").withColumn("res", F.col("y") - k(0) - k(1) * F.col("x") - k(2) * F.col("x2"))
-    flat = lambda c: F.abs(F.sum(F.col("res") * c) / F.sum(F.col("y") * c)) < 1e-6
-    return left.groupBy("g").agg((flat(F.lit(1.0)) & flat(F.col("x")) & flat(F.col("x2"))).alias("settled"), F.count("*").alias("n"))
+    return E.regression(rows, ["g"], ["x", "x2"], "y").select("g", F.round(k(0), 2).alias("base"), F.round(k(1), 3).alias("linear"), F.round(k(2), 5).alias("square"))
 
 
 def _hits(s, d):
@@ -285,7 +282,12 @@ QUERIES = {
         _log_line,
         f"{_REG} SELECT g, round(regr_intercept(ln(1 + y), x), 5) AS intercept, round(regr_slope(ln(1 + y), x), 6) AS slope FROM r GROUP BY ALL",
     ),
-    "ols_two_columns": (_two_lines, f"{_REG} SELECT g, true AS settled, count(*) AS n FROM r GROUP BY ALL"),
+    "ols_two_columns": (
+        _two_lines,
+        f"""{_REG}, c AS (SELECT g, avg(x) AS mx, avg(x * x) AS mz, avg(y) AS my, covar_pop(x, x) AS xx, covar_pop(x, x * x) AS xz, covar_pop(x * x, x * x) AS zz, covar_pop(x, y) AS xy, covar_pop(x * x, y) AS zy FROM r GROUP BY ALL),
+        k AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM c)
+        SELECT g, round(my - b1 * mx - b2 * mz, 2) AS base, round(b1, 3) AS linear, round(b2, 5) AS square FROM k""",
+    ),
     "saturated_batches": (
         lambda s, d: E.saturated_batches(tracks(s, d).withColumn("batch", F.expr("frame div 4")), ["scan_id", "batch"], "frame", "depth", 0.4, 3.0),
         f"{WITH_TRACKS}, f AS (SELECT scan_id, frame, quantile_cont(depth, 0.4) > 3 AS s FROM tracks GROUP BY ALL) SELECT scan_id, frame // 4 AS batch, bool_and(s) AS saturated FROM f GROUP BY ALL",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotations as A
 from ..operators import evaluation as E
+from ..operators import regression as R
 from ..operators import scans as P
 from .tables import KEY, WITH_TRACKS, read, tracks
 
@@ -20,6 +21,13 @@ def _regression(s, d):
     return read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("g"), F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
 
 
+def _rows(s, d):
+    return read(s, d, "lineitem").select((F.col("l_suppkey") % 10).alias("g"), (F.col("l_orderkey") % 12).alias("row"), F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
+
+
+_ROWS = "WITH r AS (SELECT l_suppkey % 10 AS g, l_orderkey % 12 AS row, CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem)"
+
+
 def _hist(s, d):
     return E.histogram(tracks(s, d), KEY, "depth", 0.0, 8.0, 16)
 
@@ -72,6 +80,17 @@ QUERIES = {
         f"""{_REGRESSION}, s AS (SELECT g, sum(x * y) AS xy, sum(x * x) AS xx, sum(x) AS sx, sum(y) AS sy FROM r GROUP BY ALL),
         f AS (SELECT g, sx, sy, ((SELECT sum(xy) FROM s) - xy) / ((SELECT sum(xx) FROM s) - xx) AS factor FROM s) SELECT g, round(factor, 4) AS factor, round((factor * sx - sy) / sy, 6) AS error FROM f""",
     ),
+    "leave_one_row_out": (
+        lambda s, d: R.left_out_errors(_rows(s, d), ["g"], "row", ["x"], "y").select("g", "row", "n", F.round(F.get("coefficients", F.lit(0)), 4).alias("factor"), F.round("error", 6).alias("error"), F.round("row_error", 6).alias("row_error")),
+        f"""{_ROWS}, f AS (SELECT g, row, (sum(xy) OVER (PARTITION BY g) - xy) / (sum(xx) OVER (PARTITION BY g) - xx) AS factor FROM (SELECT g, row, sum(x * y) AS xy, sum(x * x) AS xx FROM r GROUP BY ALL))
+        SELECT g, row, count(*) AS n, round(any_value(factor), 4) AS factor, round(abs(sum(factor * x) - sum(y)) / sum(y), 6) AS error, round(avg(abs(factor * x - y) / y), 6) AS row_error FROM r JOIN f USING (g, row) GROUP BY ALL""",
+    ),
+    "leave_one_row_out_spread": (
+        lambda s, d: R.error_spread(R.left_out_errors(_rows(s, d), ["g"], "row", [], "y", intercept=True), ["g"]).select("g", *(F.round(c, 6).alias(c) for c in ("mean_error", "std_error", "mean_row_error", "std_row_error"))),
+        f"""{_ROWS}, f AS (SELECT g, row, (sum(sy) OVER (PARTITION BY g) - sy) / (sum(n) OVER (PARTITION BY g) - n) AS mean FROM (SELECT g, row, sum(y) AS sy, count(*) AS n FROM r GROUP BY ALL)),
+        e AS (SELECT g, row, abs(sum(mean) - sum(y)) / sum(y) AS error, avg(abs(mean - y) / y) AS row_error FROM r JOIN f USING (g, row) GROUP BY ALL)
+        SELECT g, round(avg(error), 6) AS mean_error, round(stddev_pop(error), 6) AS std_error, round(avg(row_error), 6) AS mean_row_error, round(stddev_pop(row_error), 6) AS std_row_error FROM e GROUP BY ALL""",
+    ),
     "align_noise": (
         lambda s, d: E.shift_noise(tracks(s, d).groupBy("scan_id", "frame").agg(F.sum("x1").alias("v")).withColumn("v", F.col("v") % 260), KEY, "frame", "v").select("scan_id", *(F.round(c, 6).alias(c) for c in ("std", "mean_gap", "median_gap"))),
         f"""{WITH_TRACKS}, p AS (SELECT scan_id, frame, CAST(least(greatest(CAST(sum(x1) AS BIGINT) % 260, -50), 200) AS DOUBLE) AS v FROM tracks GROUP BY ALL),
