@@ -221,7 +221,9 @@ def window_tracks(detections: DataFrame, by: list[str], params: WindowTracker =
 class TwoStageTracker:
     """Strong detections are matched first, weak ones to what is left, then what is still left to tracks seen only once; lost tracks wait `buffer` frames.
 
-    `fused`: overlaps with strong detections are multiplied by their scores. `alike`: a tracked and a lost track nearer than this are one.
+    `fused`: overlaps with strong detections are multiplied by their scores. `alike`: a tracked and a lost track nearer than this are one. `gated`:
+    a detection that a track's motion makes unlikely (beyond the 95th percentile of its squared Mahalanobis distance) is none of its options, and of costs the
+    share `looks` is that of the boxes, the rest that distance; by the centre alone if `centre_only`.
     """
 
     strong: float = 0.6
@@ -232,6 +234,13 @@ class TwoStageTracker:
     unconfirmed_most: float = 0.7
     alike: float = 0.15
     fused: bool = True
+    gated: bool = False
+    looks: float = 0.98
+    centre_only: bool = False
+
+
+#: The 0.95 quantiles of the chi-square distribution with 2 and 4 degrees of freedom.
+GATES = {2: 5.9915, 4: 9.4877}
 
 
 class ConstantVelocity:
@@ -245,15 +254,26 @@ class ConstantVelocity:
         std = np.array([h / 10, h / 10, 1e-2, h / 10, h / 16, h / 16, 1e-5, h / 16])
         return np.concatenate([m, np.zeros(4)]), np.diag(std**2)
 
-    def predict(self, mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = mean[3]
-        std = np.array([h / 20, h / 20, 1e-2, h / 20, h / 160, h / 160, 1e-5, h / 160])
-        return self.step @ mean, self.step @ cov @ self.step.T + np.diag(std**2)
+    def predict(self, means: np.ndarray, covs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of many tracks at once: means (n, 8), covariances (n, 8, 8)."""
+        h, one = means[:, 3], np.ones(len(means))
+        std = np.stack([h / 20, h / 20, 1e-2 * one, h / 20, h / 160, h / 160, 1e-5 * one, h / 160], axis=1)
+        return means @ self.step.T, self.step @ covs @ self.step.T + std[:, :, None] ** 2 * np.eye(8)
+
+    def noise(self, means: np.ndarray) -> np.ndarray:
+        h = means[:, 3]
+        std = np.stack([h / 20, h / 20, np.full(len(means), 1e-1), h / 20], axis=1)
+        return std[:, :, None] ** 2 * np.eye(4)
+
+    def distances(self, means: np.ndarray, covs: np.ndarray, measured: np.ndarray, centre_only: bool = False) -> np.ndarray:
+        """Squared Mahalanobis distances of tracks x measurements (m, 4)."""
+        k = 2 if centre_only else 4
+        inner = (self.seen @ covs @ self.seen.T + self.noise(means))[:, :k, :k]
+        apart = measured[None, :, :k] - means[:, None, :k]
+        return (np.linalg.solve(np.linalg.cholesky(inner), apart.transpose(0, 2, 1)) ** 2).sum(axis=1)
 
     def update(self, mean: np.ndarray, cov: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = mean[3]
-        noise = np.diag(np.array([h / 20, h / 20, 1e-1, h / 20]) ** 2)
-        inner = self.seen @ cov @ self.seen.T + noise
+        inner = self.seen @ cov @ self.seen.T + self.noise(mean[None])[0]
         gain = np.linalg.solve(inner, self.seen @ cov).T
         return mean + gain @ (m - self.seen @ mean), cov - gain @ inner @ gain.T
 
@@ -334,9 +354,10 @@ def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
     for frame, rows in pdf.sort_values(["frame", "pos", *_BOX]).groupby("frame", sort=True):
         first = frame if first is None else first
         dets, score = rows[_BOX].to_numpy(float), rows["score"].to_numpy(float)
-        for t in tracks:
-            if t["sure"]:
-                t["mean"], t["cov"] = kalman.predict(t["mean"], t["cov"])
+        sure = [t for t in tracks if t["sure"]]
+        if sure:
+            for t, mean, cov in zip(sure, *kalman.predict(np.stack([t["mean"] for t in sure]), np.stack([t["cov"] for t in sure]))):
+                t["mean"], t["cov"] = mean, cov
         strong, weak = np.flatnonzero(score > p.strong), np.flatnonzero((score <= p.strong) & (score > p.weak))
 
         def matched(own, part, most, fused):
@@ -344,7 +365,11 @@ def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
             if not own or not len(part):
                 return part
             cost = distance(placed(own), dets[part])
-            pairs = assignment(1 - (1 - cost) * score[part] if fused else cost, most)
+            cost = 1 - (1 - cost) * score[part] if fused else cost
+            if p.gated:
+                moved = kalman.distances(np.stack([t["mean"] for t in own]), np.stack([t["cov"] for t in own]), np.stack([_measured(d) for d in dets[part]]), p.centre_only)
+                cost = np.where(moved > GATES[2 if p.centre_only else 4], np.inf, p.looks * cost + (1 - p.looks) * moved)
+            pairs = assignment(cost, most)
             for r, c in pairs:
                 t, d = own[r], part[c]
                 t["mean"], t["cov"] = kalman.update(t["mean"], t["cov"], _measured(dets[d]))

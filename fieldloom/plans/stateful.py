@@ -139,6 +139,7 @@ QUERIES = {
     "greedy_clusters": (lambda s, d: O.greedy_clusters(_detections(s, d), ["scan_id", "frame"], 200.0), _FOLD_SQL["greedy_clusters"]),
     "window_tracker": (lambda s, d: K.window_tracks(_detections(s, d), KEY), None),
     "two_stage_tracker": (lambda s, d: K.two_stage_tracks(_detections(s, d), KEY), None),
+    "gated_tracker": (lambda s, d: K.two_stage_tracks(_detections(s, d), KEY, K.TwoStageTracker(gated=True)), None),
     "mot_metrics": (lambda s, d: E.mot_summary(_mot(s, d), ["scan_id"], 0.3), None),
     "identity_metrics": (lambda s, d: S.identity_summary(_mot(s, d), ["scan_id"], 0.3), None),
     "area_cells": (lambda s, d: _cells(s, d).select("class", "area_class", "threshold", *(F.round(c, 9).alias(c) for c in ("ap", "recall_1", "recall_10", "recall_100"))), None),
