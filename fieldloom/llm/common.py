@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -210,6 +212,19 @@ def grouped_words(hasher: WordHasher, parts: list[bytes]):
         low = high
 
 
+def released(run):
+    """`run` over a task's batches, after which memory that is no longer needed goes back to the system: the worker stays, for other stages too."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def rows_within(df: DataFrame, key: str, ids: DataFrame, id_column: str, most: int = 500_000) -> DataFrame:
     """Rows of `df` whose `key` is among the distinct ids. Up to `most` ids (8 MB) are broadcast, so that texts stay where they are; beyond, both sides are shuffled."""
     ids = ids.select(F.col(id_column).alias("__id"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, grouped_words, materialise, mixed_bits, rows_within, shingle_set, text_groups
+from .common import WordHasher, grouped_words, materialise, mixed_bits, released, rows_within, shingle_set, text_groups
 from .components import connected_components
 
 
@@ -144,7 +144,7 @@ def _confirmed(documents: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
     pairs = materialise(pairs, "pairs")
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     texts = rows_within(documents, "doc_id", materialise(ids, "ids"), "id")
-    sets = materialise(texts.mapInArrow(_sets(p), "doc_id long, shingles array<long>"), "sets")
+    sets = materialise(texts.mapInArrow(released(_sets(p)), "doc_id long, shingles array<long>"), "sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u")
     both = left.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv")), "v")
     shared = F.size(F.array_intersect("su", "sv")).cast("long")
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     p = params
     documents = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, " + ", ".join(f"{s} long" for s in p.sketch)
-    signed = materialise(documents.mapInArrow(_sign(p), schema), "signed")
+    signed = materialise(documents.mapInArrow(released(_sign(p)), schema), "signed")
 
     worded = signed.where("k1 is not null and doc_id is not null")
     copies = materialise(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_of")), "copies")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, grouped_words, text_groups, windows
+from .common import WordHasher, grouped_words, released, text_groups, windows
 
 _SYMBOLS = b"#*$%&|<>"
 _WHITE = b" \t\n\r\x0b\x0c"
@@ -127,7 +127,7 @@ def with_quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     schema = T.StructType(list(docs.schema.fields))
     for name, kind in _MEASURES.items():
         schema.add(f"__q_{name}", kind)
-    return docs.mapInArrow(_measured(limits, docs.columns.index("text")), schema)
+    return docs.mapInArrow(released(_measured(limits, docs.columns.index("text"))), schema)
 
 
 def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

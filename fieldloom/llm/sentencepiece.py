@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed_bits
+from .common import mixed_bits, released
 
 #: SentencePiece's mark of a space, and the penalty of a character outside the vocabulary below the least score.
 MARK = "▁"
@@ -172,7 +172,7 @@ class Encoder:
             at -= size
         return tuple(p for piece in reversed(out) for p in piece)
 
-    def _learn(self, words: set[str], block: int = 2_000_000, long: int = 400) -> None:
+    def _learn(self, words: set[str], block: int = 1_000_000, long: int = 400) -> None:
         by_length: dict[int, list[str]] = {}
         for w in words:
             if len(w) > long:
@@ -224,7 +224,7 @@ class Decoder:
         return raw.decode("utf-8", "replace")[1:] if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_bytes: int = 1 << 21) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, n_tokens, tokens array<int>, exact) for each row of `docs` (doc_id, text; other columns are ignored).
 
     Pieces are those of the greatest summed score; a character that no piece covers becomes its UTF-8 bytes. exact:
@@ -251,7 +251,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_bytes: int = 1 << 21)
                 yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(np.diff(ends), pa.int64()), lists, pa.array(exact, pa.bool_())], names=["doc_id", "n_tokens", "tokens", "exact"])
                 first, size, part = k + 1, 0, []
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(released(run), schema)
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:

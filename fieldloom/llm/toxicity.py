@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, materialise, text_groups
+from .common import WordHasher, materialise, released, text_groups
 
 
 @dataclass(frozen=True)
@@ -149,10 +149,12 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
 
     def read(batches):
         for batch in batches:
-            found = [sorted(features(t.as_py() or b"")) for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["pos", "found"])
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                found = [sorted(features(t.as_py() or b"")) for t in part.column(1).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.binary()))], names=["pos", "found"])
 
-    texts = materialise(docs.join(F.broadcast(sample), "doc_id").select("pos", "text").distinct().mapInArrow(read, "pos int, found array<binary>"), "sampled_texts")
+    texts = materialise(docs.join(F.broadcast(sample), "doc_id").select("pos", "text").distinct().mapInArrow(released(read), "pos int, found array<binary>"), "sampled_texts")
     totals = dict(texts.groupBy("pos").count().collect())
     if not totals.get(1) or not totals.get(0):
         return Model({}, np.zeros(0), -30.0)
@@ -186,7 +188,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "__toxicity") -> Data
             scores = [score(parts) for _, parts in text_groups(batch.column(at).cast(pa.binary()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(released(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
