@@ -22,6 +22,27 @@ def in_ring(lat: Column, lon: Column, ring: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(False), lambda inside, k: F.when(crosses(k), ~inside).otherwise(inside))
 
 
+def edge_distance(lat: Column, lon: Column, ring: Column) -> Column:
+    """The distance of a point from the nearest edge of a ring, in the ring's own units."""
+    n = F.size(ring)
+
+    def to_edge(k: Column) -> Column:
+        a, b = F.get(ring, k), F.get(ring, (k + 1) % n)
+        dx, dy = b["lon"] - a["lon"], b["lat"] - a["lat"]
+        along = F.coalesce(F.try_divide((lon - a["lon"]) * dx + (lat - a["lat"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+        t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
+        x, y = lon - a["lon"] - t * dx, lat - a["lat"] - t * dy
+        return F.sqrt(x * x + y * y)
+
+    return F.array_min(F.transform(F.sequence(F.lit(0), n - 1), to_edge))
+
+
+def in_inset(lat: Column, lon: Column, ring: Column, margin: float) -> Column:
+    """Whether a point lies in a ring and no nearer to its edges than a margin; what a notch cuts off stays a part of it. Points without coordinates do not."""
+    inside = in_ring(lat, lon, ring) & (edge_distance(lat, lon, ring) >= margin)
+    return F.coalesce(F.when(F.size(ring) > 0, inside), F.lit(False))
+
+
 def intersection(a: str, b: str, inclusive: bool) -> Column:
     """Common area of two boxes; inclusive counts both edge pixels."""
     more = 1 if inclusive else 0

@@ -5,6 +5,7 @@ from pyspark.sql.window import Window
 
 from ..functions import boxes as B
 from ..operators import evaluation as E
+from ..operators import ledger as L
 from ..operators import measuring as M
 from .tables import KEY, WITH_BOXES, WITH_SLICES, WITH_TRACKS, boxes, read, slices, tracks
 
@@ -19,8 +20,10 @@ def _frame_ids(s, d):
 
 
 def _meta(s, d):
-    nations = read(s, d, "nation").select(F.lower("n_name").alias("block"), F.col("n_regionkey").alias("variety"))
-    return read(s, d, "supplier").join(read(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.lower("n_name").alias("block")).join(F.broadcast(nations.dropDuplicates(["block"])), "block").select("s_suppkey", "block", "variety")
+    """The variety of each supplier's block, the first that the table has for it."""
+    nations = read(s, d, "nation").select(F.lower("n_name").alias("block"), F.col("n_regionkey").alias("variety"), "n_nationkey")
+    blocks = read(s, d, "supplier").join(read(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.lower("n_name").alias("block"))
+    return L.first_looked_up(blocks, nations, "block", "variety", "n_nationkey").select("s_suppkey", "block", "variety")
 
 
 def _ap(s, d):

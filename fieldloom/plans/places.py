@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import geometry as G
 from ..operators import spatial as N
-from .tables import WITH_POINTS, points, read
+from .tables import PLOTS, WITH_POINTS, plots, points, read
 
 #: Corners of a notched plot, as shares of its width and height.
 _CORNERS = [(0, 0), (6, 0), (6, 6), (3, 2), (0, 6)]
@@ -35,7 +36,27 @@ def _places(s, d):
     return points(s, d).distinct().select("scan_id", "place", (F.col("lat") + (F.col("place") % 7).cast("double") / 1000000).alias("lat"), (F.col("lon") + (F.col("place") % 11).cast("double") / 1000000).alias("lon"))
 
 
+#: About six metres in degrees.
+_MARGIN = 6 / 111_000
+
+
+def _inset(s, d):
+    own = _places(s, d).crossJoin(F.broadcast(plots(s)).select("plot", "ring"))  # three plots
+    return own.select("scan_id", "place", "plot", G.in_inset(F.col("lat"), F.col("lon"), F.col("ring"), _MARGIN).alias("inner"))
+
+
+def _inset_sql() -> str:
+    corners = ", ".join(f"('{name}', {k}, {x}::DOUBLE, {y}::DOUBLE)" for name, _, ring in PLOTS for k, (x, y) in enumerate(ring))
+    return f"""{WITH_POINTS}, own AS ({_OWN_PLACES}), corners(plot, k, x, y) AS (VALUES {corners}),
+    edges AS (SELECT plot, k, x AS ax, y AS ay, coalesce(lead(x) OVER w, first(x) OVER w) AS bx, coalesce(lead(y) OVER w, first(y) OVER w) AS "by" FROM corners WINDOW w AS (PARTITION BY plot ORDER BY k)),
+    t AS (SELECT *, least(greatest(((lon - ax) * (bx - ax) + (lat - ay) * ("by" - ay)) / ((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay)), 0), 1) AS t FROM own, edges),
+    e AS (SELECT scan_id, place, plot, sqrt((lon - ax - t * (bx - ax)) * (lon - ax - t * (bx - ax)) + (lat - ay - t * ("by" - ay)) * (lat - ay - t * ("by" - ay))) AS far,
+          CASE WHEN (ay > lat) <> ("by" > lat) AND lon < (bx - ax) * (lat - ay) / ("by" - ay) + ax THEN 1 ELSE 0 END AS crossed FROM t)
+    SELECT scan_id, place, plot, sum(crossed) % 2 = 1 AND min(far) >= {_MARGIN!r}::DOUBLE AS "inner" FROM e GROUP BY ALL"""
+
+
 QUERIES = {
+    "inset_plots": (_inset, _inset_sql()),
     "pip_many_plots": (
         lambda s, d: N.locate(_places(s, d), _many_plots(s, d)).select("scan_id", "place", "plot"),
         f"""{WITH_POINTS}, own AS ({_OWN_PLACES}), first AS (SELECT o.place, min(p_partkey) AS best FROM own o JOIN (SELECT DISTINCT p_partkey FROM part) ON ({_crossings()}) % 2 = 1 GROUP BY o.place)

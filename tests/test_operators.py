@@ -257,3 +257,13 @@ def test_cosine_distances_ask_for_every_vector(spark):
     got = rows(matching.cosine_distances(df, blocks=3))
     assert [(a, b) for a, b, _ in got] == [(a, b) for a in range(9) for b in range(9) if a != b and a % 2 == b % 2]
     assert all(abs(d - (1 - (1 + a * b) / math.sqrt((1 + a * a) * (1 + b * b)))) < 1e-6 for a, b, d in got)
+
+
+def test_one_file_is_found_and_old_names_are_reconciled(spark):
+    files = spark.createDataFrame([("/a/row_1/0/jaized_timestamps.csv",), ("/a/row_1/0/slices.csv",), ("/a/row_2/0/slices.csv",)], "path string")
+    assert readers.only_file(files, "jaized") == "/a/row_1/0/jaized_timestamps.csv"
+    for name in ("slices", "absent"):
+        with pytest.raises(FileNotFoundError):
+            readers.only_file(files, name)
+    rows_ = spark.createDataFrame([(1, 2, 3)], "frame_id int, tree int, x int")
+    assert readers.reconciled(rows_, {"frame_id": "frame", "tree": "x", "gone": "y"}).columns == ["frame", "tree", "x"]

@@ -2,7 +2,9 @@
 
 import numpy as np
 
-from fieldloom.operators import spatial
+from pyspark.sql import functions as F
+
+from fieldloom.operators import geometry, spatial
 
 PLOT = "plot string, place int, ring array<struct<lon:double,lat:double>>"
 
@@ -80,3 +82,20 @@ def test_nearest_equal_brute_force(spark):
     assert spatial.nearest(df.limit(0), ["g"], 4).count() == 0
 
 
+
+
+def test_insets_keep_a_margin_from_every_edge(spark):
+    """Convex, notched and thin rings: inside, and no point along the edges is nearer than the margin."""
+    rng = np.random.default_rng(7)
+    rings = [[(0, 0), (10, 0), (10, 10), (0, 10)], [(0, 0), (10, 0), (10, 10), (5, 2), (0, 10)], [(0, 0), (10, 0), (10, 1.5), (0, 1.5)], [(2, 2), (8, 2), (2, 2)]]
+    points = [(k, float(x), float(y)) for k, (x, y) in enumerate(rng.uniform(-1, 11, (150, 2)))] + [(900, None, 1.0)]
+    df = spark.createDataFrame(points, "id int, lon double, lat double")
+    for ring in rings:
+        own = spark.createDataFrame([("r", 1, [(float(a), float(b)) for a, b in ring])], PLOT)
+        got = {r.id: r["in"] for r in df.crossJoin(own).select("id", geometry.in_inset(F.col("lat"), F.col("lon"), F.col("ring"), 1.0).alias("in")).collect()}
+        along = np.concatenate([np.linspace(a, b, 2001) for a, b in zip(np.array(ring, float), np.array(ring[1:] + ring[:1], float))])
+        for k, x, y in points[:-1]:
+            far = np.sqrt(((along - [x, y]) ** 2).sum(axis=1)).min()
+            if abs(far - 1.0) > 0.01:
+                assert got[k] == bool(far > 1.0 and first_by_brute_force(np.array([x]), np.array([y]), [("r", 1, ring)])[0] == 1), (ring, x, y)
+        assert got[900] is False
