@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
@@ -47,15 +48,28 @@ _BASE = 0x9FB21C651E98DF25
 
 
 class Encoder:
-    """Encodes words in batches. A word is a run of marks with what follows up to the next mark; no piece of the vocabulary spans two."""
+    """Encodes words in batches. A word is a run of marks with what follows up to the next mark; no piece of the vocabulary spans two.
 
-    def __init__(self, vocabulary: Vocabulary, most_cached: int = 150_000):
+    Words over `long` characters are solved in blocks of positions and not remembered.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, most_cached: int = 150_000, long: int = 400):
         v = vocabulary
+        self.long = long
         self.v = v
         self.longest = max(map(len, v.pieces), default=1)
-        keys = np.array([self._rolled(p)[-1] for p in v.pieces], np.uint64)
+        # The pieces' own codes, with which each hit is confirmed, and their rolling hashes.
+        sizes = np.array([len(p) for p in v.pieces], np.int64)
+        letters = np.zeros((len(v.pieces), self.longest), np.uint64)
+        letters[np.arange(self.longest) < sizes[:, None]] = self._codes("".join(v.pieces))
+        keys = np.zeros(len(v.pieces), np.uint64)
+        for k in range(self.longest):
+            keys = np.where(sizes > k, keys * np.uint64(_BASE) + letters[:, k], keys)
         order = np.argsort(keys)
-        self.keys, self.piece_ids, self.piece_scores = keys[order], v.ids[order], v.scores[order]
+        self.keys, self.sizes, self.letters = keys[order], sizes[order], letters[order]
+        self.piece_ids, self.piece_scores = v.ids[order], v.scores[order]
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two pieces of the vocabulary are equal or have equal hashes")
         # Where the sorted keys with the same top 20 bits begin, or -1: most substrings are no piece, and few keys share these bits.
         top = (self.keys >> np.uint64(44)).astype(np.int64)
         self.first = np.full(1 << 20, -1, np.int32)
@@ -70,15 +84,8 @@ class Encoder:
     def _codes(text: str) -> np.ndarray:
         return mixed_bits(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
 
-    def _rolled(self, piece: str) -> list[int]:
-        out, h = [], 0
-        for c in self._codes(piece).tolist():
-            h = (h * _BASE + c) % (1 << 64)
-            out.append(h)
-        return out
-
-    def _hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose hash is a piece's key, and the piece's number."""
+    def _hits(self, hashes: np.ndarray, codes: np.ndarray, many: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a piece of `size` characters begins, and its number; `codes` are those of the characters, of which one word's are `many` apart."""
         at = self.first[(hashes >> np.uint64(44)).astype(np.int64)]
         rows = np.flatnonzero(at >= 0)
         at, sought = at[rows], hashes[rows]
@@ -89,7 +96,11 @@ class Encoder:
                 break
             at[again] = np.minimum(at[again] + 1, len(self.keys) - 1)
             found[again] = self.keys[at[again]] == sought[again]
-        return rows[found], at[found]
+        rows, at = rows[found], at[found]
+        same = self.sizes[at] == size
+        for k in range(size):
+            same &= codes[rows + k * many] == self.letters[at, k]
+        return rows[same], at[same]
 
     def viterbi(self, words: list[str]) -> list[tuple[int, ...]]:
         """The best-scoring pieces of words that all have the same length; among equal sums, the shorter last piece."""
@@ -100,7 +111,7 @@ class Encoder:
         for size in range(1, min(self.longest, n) + 1):
             if size > 1:
                 running = running[:-1] * np.uint64(_BASE) + codes[size - 1 :]
-            place, at = self._hits(running.ravel())
+            place, at = self._hits(running.ravel(), codes.ravel(), many, size)
             matches.append((place, at, np.searchsorted(place, np.arange(n - size + 2) * many)))
         best = np.zeros((n + 1, many))
         back = np.ones((n + 1, many), np.int32)
@@ -146,46 +157,69 @@ class Encoder:
     def _bytes(self, character: str) -> list[int]:
         return self.v.byte_ids[list(MARK.encode() if character == _WRITTEN_MARK else character.encode())].tolist()
 
-    def _long_word(self, word: str) -> tuple[int, ...]:
-        """A word too long for a matrix of all positions: the same recurrence, with matches found for all starts at once, and a walk over positions."""
-        n = len(word)
-        codes = self._codes(word)
-        options: list[list[tuple[int, float, int]]] = [[] for _ in range(n + 1)]
-        running = np.zeros(n, np.uint64)
-        for size in range(1, min(self.longest, n) + 1):
-            running = running[: n - size + 1] * np.uint64(_BASE) + codes[size - 1 :]
-            for start, at in zip(*(x.tolist() for x in self._hits(running))):
-                options[start + size].append((size, float(self.piece_scores[at]), int(self.piece_ids[at])))
-        best, back = [0.0] * (n + 1), [(1, -1)] * (n + 1)
-        for end in range(1, n + 1):
-            top, choice = (best[end - 1] + self.unknown_score, (1, -1))
-            for size, score, piece in options[end]:
-                if size == 1:
-                    top, choice = best[end - 1] + score, (1, piece)
-                elif best[end - size] + score > top:
-                    top, choice = best[end - size] + score, (size, piece)
-            best[end], back[end] = top, choice
-        out, at = [], n
-        while at > 0:
-            size, piece = back[at]
-            out.append([piece] if piece >= 0 else self._bytes(word[at - 1]))
-            at -= size
-        return tuple(p for piece in reversed(out) for p in piece)
-
-    def _learn(self, words: set[str], block: int = 1_000_000, long: int = 400) -> None:
+    def viterbi_in_blocks(self, words: list[str], block: int = 1 << 18) -> list[tuple[int, ...]]:
+        """As `viterbi`, for words of any length: the same recurrence over blocks of positions.
+
+        The matches of all sizes that end in a block are found at once; scores are held of the last `longest` positions only. What stays of
+        every position is the size of its last piece, in a byte, and that piece.
+        """
+        n, many, most = len(words[0]), len(words), min(self.longest, len(words[0]))
+        width = max(most, block // (most * many))
+        back = np.ones((n + 1, many), np.min_scalar_type(most))
+        ids = np.full((n + 1, many), -1, np.int32)
+        best = np.full((most + width, many), -np.inf)  # row `most - 1` is the position before the block
+        best[most - 1] = 0.0
+        columns = np.arange(many)
+        for low in range(0, n, width):
+            high, first = min(n, low + width), max(0, low + 1 - most)
+            gains = np.full((high - low, most, many), -np.inf)
+            pieces = np.full((high - low, most, many), -1, np.int32)
+            gains[:, 0] = self.unknown_score
+            codes = np.ascontiguousarray(self._codes("".join(w[first:high] for w in words)).reshape(many, high - first).T)
+            running = codes
+            for size in range(1, min(most, high - first) + 1):
+                if size > 1:
+                    running = running[:-1] * np.uint64(_BASE) + codes[size - 1 :]
+                skip = max(0, low + 1 - size - first)
+                place, at = self._hits(running[skip:].ravel(), codes[skip:].ravel(), many, size)
+                start, row = np.divmod(place, many)
+                end = first + skip + start + size - low - 1
+                gains[end, size - 1, row] = self.piece_scores[at]
+                pieces[end, size - 1, row] = self.piece_ids[at]
+            chosen = np.zeros((high - low, many), np.int64)
+            for k in range(high - low):
+                sums = best[k : k + most][::-1] + gains[k]
+                chosen[k] = sums.argmax(0)  # the first of equal sums: the shorter last piece
+                best[k + most] = sums[chosen[k], columns]
+            back[low + 1 : high + 1] = chosen + 1
+            ids[low + 1 : high + 1] = np.take_along_axis(pieces, chosen[:, None, :], 1)[:, 0]
+            best[:most] = best[high - low : high - low + most].copy()
+        return [self._walked(w, np.ascontiguousarray(back[:, r]), ids[:, r]) for r, w in enumerate(words)]
+
+    def _walked(self, word: str, back: np.ndarray, ids: np.ndarray) -> tuple[int, ...]:
+        """One long word walked back."""
+        sizes, at, ends = memoryview(back), len(word), array("q")
+        while at:
+            ends.append(at)
+            at -= sizes[at]
+        ends = np.frombuffer(ends, np.int64)[::-1]
+        own = self.shared[np.maximum(ids[ends], 0)].tolist()
+        for k in np.flatnonzero(ids[ends] < 0).tolist():
+            own[k] = self._bytes(word[ends[k] - 1])
+        return tuple(chain.from_iterable(p if isinstance(p, list) else (p,) for p in own))
+
+    def _learn(self, words: set[str], block: int = 1_000_000) -> None:
         by_length: dict[int, list[str]] = {}
         for w in words:
-            if len(w) > long:
-                self.cache[w] = self._long_word(w if w[:1] == MARK else MARK + w)
-            else:
-                by_length.setdefault(len(w), []).append(w)
-        for n, same in by_length.items():
+            by_length.setdefault(len(w), []).append(w)
+        for same in by_length.values():
             marked = [w if w[:1] == MARK else MARK + w for w in same]
             for m in {len(w) for w in marked}:
                 keys, full = zip(*((k, w) for k, w in zip(same, marked) if len(w) == m))
+                solve = self.viterbi if m <= self.long else self.viterbi_in_blocks
                 step = max(1, block // (m * 12))
                 for k in range(0, len(full), step):
-                    self.cache.update(zip(keys[k : k + step], self.viterbi(list(full[k : k + step]))))
+                    self.cache.update(zip(keys[k : k + step], solve(list(full[k : k + step]))))
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -208,8 +242,13 @@ class Encoder:
         cut = [self._words(t) if t else [] for t in texts]
         if len(self.cache) > self.most_cached:
             self.cache.clear()
-        self._learn(set().union(*cut).difference(self.cache))
-        return [list(chain.from_iterable(map(self.cache.__getitem__, words))) for words in cut]
+        new = set().union(*cut).difference(self.cache)
+        self._learn(new)
+        out = [list(chain.from_iterable(map(self.cache.__getitem__, words))) for words in cut]
+        for w in new:
+            if len(w) > self.long:
+                del self.cache[w]
+        return out
 
 
 class Decoder:

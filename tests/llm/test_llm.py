@@ -231,7 +231,38 @@ def test_viterbi_is_the_best_segmentation(vocabulary):
         got = encoder.encode([word])[0]
         assert math.isclose(sum(score[i] for i in got), best_score("▁" + word, pieces, score))
     long = "etaoin" * 120
-    assert encoder._long_word("▁" + long) == encoder.viterbi(["▁" + long])[0]
+    assert encoder.viterbi_in_blocks(["▁" + long])[0] == encoder.viterbi(["▁" + long])[0]
+
+
+@pytest.mark.parametrize("block", [1, 500, 4000, 1 << 18])
+def test_long_words_in_blocks(vocabulary, block):
+    """Whatever the blocks, the same pieces as by the matrix of all positions; characters outside the vocabulary, runs and surrogate pairs included."""
+    encoder, rng = sentencepiece.Encoder(vocabulary), np.random.default_rng(block)
+    for letters in ("etaoinshrdlu", "aaaaab", "日本語ß😀\x01x", "AbC019+/="):
+        for n in (1, 2, 15, 16, 17, 33, 700):
+            words = ["▁" + "".join(rng.choice(list(letters), n)) for _ in range(3)]
+            assert encoder.viterbi_in_blocks(words, block) == encoder.viterbi(words)
+
+
+def test_long_words_are_not_remembered(vocabulary):
+    import tracemalloc
+
+    encoder = sentencepiece.Encoder(vocabulary)
+    text = "x1Yz" * 20_000 + " short"
+    tracemalloc.start()
+    tokens = encoder.encode([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sentencepiece.Decoder(vocabulary).decode(tokens) == text
+    assert set(encoder.cache) == {"short"} and peak < 60 * len(text)
+
+
+def test_a_hash_alone_is_no_match(vocabulary):
+    """A piece whose key is made to be that of another string is not found in it."""
+    encoder = sentencepiece.Encoder(vocabulary)
+    whole = encoder.viterbi(["▁the"])[0]
+    encoder.letters[:, 0] ^= np.uint64(1)
+    assert len(whole) < len(encoder.viterbi(["▁the"])[0])
 
 
 def test_tokens_round_trip(spark, vocabulary):
