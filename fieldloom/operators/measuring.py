@@ -26,10 +26,11 @@ def within_deviations(rows: DataFrame, by: list[str], values: list[str], n: floa
 
 def densities(boxes: DataFrame, by: list[str], bandwidth: float) -> DataFrame:
     """`density` of each box's centre: the mean of a Gaussian kernel over all boxes of its frame, itself included."""
+    from .density import kernel_means
+
     centre = boxes.select(*by, "pos", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
-    other = centre.select(*by, F.col("cx").alias("ox"), F.col("cy").alias("oy"))
-    squared = F.pow(F.col("cx") - F.col("ox"), 2) + F.pow(F.col("cy") - F.col("oy"), 2)
-    return centre.join(other, by).groupBy(*by, "pos", "cx", "cy").agg(F.avg(F.exp(-squared / (2 * bandwidth * bandwidth))).alias("density"))
+    scaled = centre.withColumns({"__x": F.col("cx") / bandwidth, "__y": F.col("cy") / bandwidth})
+    return kernel_means(scaled, by, ["__x", "__y"]).select(*by, "pos", "cx", "cy", "density")
 
 
 def quantile_bin(hist: DataFrame, by: list[str], share: float) -> DataFrame:

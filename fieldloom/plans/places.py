@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import density as D
 from ..operators import geometry as G
 from ..operators import spatial as N
-from .tables import PLOTS, WITH_POINTS, plots, points, read
+from .tables import PLOTS, WITH_BOXES, WITH_POINTS, boxes, plots, points, read
 
 #: Corners of a notched plot, as shares of its width and height.
 _CORNERS = [(0, 0), (6, 0), (6, 6), (3, 2), (0, 6)]
@@ -31,6 +32,10 @@ def _crossings() -> str:
 _OWN_PLACES = "SELECT DISTINCT scan_id, place, lat + CAST(place % 7 AS DOUBLE) / 1000000 AS lat, lon + CAST(place % 11 AS DOUBLE) / 1000000 AS lon FROM points"
 
 
+def _centres(s, d):
+    return boxes(s, d).select("scan_id", "frame", "pos", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
+
+
 def _places(s, d):
     """Points that are not all on corners."""
     return points(s, d).distinct().select("scan_id", "place", (F.col("lat") + (F.col("place") % 7).cast("double") / 1000000).alias("lat"), (F.col("lon") + (F.col("place") % 11).cast("double") / 1000000).alias("lon"))
@@ -75,4 +80,14 @@ QUERIES = {
         q AS (SELECT a.pos, b.pos AS other, sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)) AS distance FROM c a JOIN c b ON a.pos <> b.pos),
         r AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY distance, other) AS rank FROM q) SELECT pos, rank, other, round(distance, 4) AS distance FROM r WHERE rank <= 5""",
     ),
+    "dense_boxes": (
+        lambda s, d: D.dense_points(_centres(s, d), ["scan_id", "frame"], ["cx", "cy"]).select("pos", F.round(F.col("density") * 1000000, 6).alias("density")),
+        f"""{WITH_BOXES}, c AS (SELECT scan_id, frame, pos, (x1 + x2) / 2.0::DOUBLE AS cx, (y1 + y2) / 2.0::DOUBLE AS cy FROM boxes),
+        f AS (SELECT scan_id, frame, count(*) AS n, covar_samp(cx, cx) AS a, covar_samp(cx, cy) AS b, covar_samp(cy, cy) AS c, pow(count(*), 2.0::DOUBLE / -6) AS h2 FROM c GROUP BY ALL),
+        g AS (SELECT *, a * c - b * b > 1e-12::DOUBLE * a * c AS wide FROM f),
+        k AS (SELECT p.pos, p.scan_id, p.frame, n, CASE WHEN wide THEN avg(exp(-(c * pow(p.cx - q.cx, 2) - 2 * b * (p.cx - q.cx) * (p.cy - q.cy) + a * pow(p.cy - q.cy, 2)) / (a * c - b * b) / h2 / 2))
+              / (2 * pi() * h2 * sqrt(a * c - b * b)) END AS density
+              FROM c p JOIN c q ON p.scan_id = q.scan_id AND p.frame = q.frame JOIN g ON p.scan_id = g.scan_id AND p.frame = g.frame GROUP BY p.pos, p.scan_id, p.frame, n, a, b, c, h2, wide)
+        SELECT pos, round(density * 1000000, 6) AS density FROM k QUALIFY density IS NULL OR density / sum(density) OVER (PARTITION BY scan_id, frame) >= 0.5::DOUBLE / n""",
+    ),
 }
