@@ -41,9 +41,9 @@ def valid(rows: DataFrame) -> DataFrame:
     return rows.dropna("any")
 
 
-def first_of_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
+def first_of_key(rows: DataFrame, key: list[str], order: str | list[str]) -> DataFrame:
     """One row for each key, the first in order."""
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(order))).where("__r = 1").drop("__r")
+    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(*([order] if isinstance(order, str) else order)))).where("__r = 1").drop("__r")
 
 
 def next_row_number(rows: DataFrame, by: list[str], number: str) -> DataFrame:

@@ -27,6 +27,12 @@ def _shipped(spark, d):
     return read(spark, d, "orders").where("o_orderkey % 3 = 0").select("o_custkey", "o_orderkey")
 
 
+def _first_lines(spark, d):
+    """Of an order's lines with the same number, the one that comes first in the table."""
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return L.first_of_key(rows, ["l_orderkey"], ["l_linenumber", "file", "row"]).drop("file", "row")
+
+
 QUERIES = {
     "tree_count_k": (lambda s, d: C.tree_counts(tracks(s, d), slices(s, d), KEY), TREE_COUNT),
     "tree_count_overlap": (
@@ -97,7 +103,7 @@ QUERIES = {
         "SELECT o_orderkey, nullif(o_custkey % 7, 0) AS plot FROM orders WHERE o_custkey % 7 <> 0",
     ),
     "union_keep_first": (
-        lambda s, d: L.first_of_key(read(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], "l_linenumber"),
+        _first_lines,
         "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1",
     ),
     "next_row_number": (
