@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .grouped import fold_groups, near_pairs, numbers
+
 
 def in_ring(lat: Column, lon: Column, ring: Column) -> Column:
     """Ray casting over a ring of (lon, lat) whose last point is joined to its first; points on an edge may fall either way."""
@@ -137,24 +138,39 @@ def greedy_assign(scores: DataFrame, by: list[str]) -> DataFrame:
 
 
 def non_maximum_suppression(boxes: DataFrame, by: list[str], most: float) -> DataFrame:
-    """Boxes left when, by falling score (then pos), each drives out the later ones that it overlaps by over `most`."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "pos"], ascending=[False, True])
-        b = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        size = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        alive, keep = np.ones(len(b), bool), []
-        for k in range(len(b)):
-            if not alive[k]:
-                continue
-            keep.append(k)
-            w = np.minimum(b[k, 2], b[:, 2]) - np.maximum(b[k, 0], b[:, 0])
-            h = np.minimum(b[k, 3], b[:, 3]) - np.maximum(b[k, 1], b[:, 1])
-            common = np.clip(w, 0, None) * np.clip(h, 0, None)
-            alive &= ~(common > most * (size[k] + size - common))
-        return pdf.iloc[keep]
-
-    return boxes.groupBy(*by).applyInPandas(run, boxes.schema)
+    """Boxes left when, by falling score (then pos), each drives out the later ones that it overlaps by over `most`.
+
+    A call takes many groups. In a round, a box stays if no earlier rival of it is left, and drives out its later ones, so that rounds follow the longest chain.
+    """
+
+    def fold(table, groups):
+        x1, y1, x2, y2 = (numbers(table, c).astype(float) for c in ("x1", "y1", "x2", "y2"))
+        size = (x2 - x1) * (y2 - y1)
+
+        def over(i, j):
+            common = np.clip(np.minimum(x2[i], x2[j]) - np.maximum(x1[i], x1[j]), 0, None) * np.clip(np.minimum(y2[i], y2[j]) - np.maximum(y1[i], y1[j]), 0, None)
+            return common > most * (size[i] + size[j] - common)
+
+        order = np.lexsort((numbers(table, "pos"), -numbers(table, "score").astype(float), groups))
+        place = np.empty(len(order), int)
+        place[order] = np.arange(len(order))
+        i, j = near_pairs(groups, x1, x2, over)
+        first, later = np.minimum(place[i], place[j]), np.maximum(place[i], place[j])
+        kept, undecided = np.zeros(len(order), bool), np.ones(len(order), bool)
+        while undecided.any():
+            blocked = np.zeros(len(order), bool)
+            blocked[later] = True
+            now = undecided & ~blocked
+            kept |= now
+            undecided &= ~now
+            gone = np.zeros(len(order), bool)
+            gone[later[now[first]]] = True
+            undecided &= ~gone
+            open_ = undecided[first] & undecided[later]
+            first, later = first[open_], later[open_]
+        return table.take(order[kept])
+
+    return fold_groups(boxes, by, fold, boxes.schema)
 
 
 def cross_pairs(left: DataFrame, right: DataFrame, by: list[str], cell: int = 128) -> DataFrame:
