@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 
-def _changes(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
+def changes(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
     """Whether a row's key differs from the row before; false for the first."""
     out = np.zeros(batch.num_rows, bool)
     for c in by:
@@ -27,7 +27,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[
     def table() -> tuple[pa.Table, np.ndarray]:
         numbers, last = [], 0
         for k, batch in enumerate(held):
-            own = _changes(batch, by).cumsum() + last
+            own = changes(batch, by).cumsum() + last
             if k and key(held[k - 1], held[k - 1].num_rows - 1) != key(batch, 0):
                 own += 1
             numbers.append(own)
@@ -37,7 +37,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[
     for batch in batches:
         if not batch.num_rows:
             continue
-        starts = np.flatnonzero(_changes(batch, by))
+        starts = np.flatnonzero(changes(batch, by))
         if held and key(held[-1], held[-1].num_rows - 1) != key(batch, 0):
             starts = np.concatenate([[0], starts])
         if len(starts):
@@ -63,7 +63,8 @@ def fold_groups(rows: DataFrame, by: list[str], fold: Callable[[pa.Table, np.nda
         for table, groups in _whole_groups(batches, by):
             yield from fold(table, groups).to_batches(max_chunksize=50_000)
 
-    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number of our own, as folds cost more than their bytes tell
+    return rows.repartition(tasks, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 def numbers(table: pa.Table, column: str) -> np.ndarray:

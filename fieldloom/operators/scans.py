@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shared import written
+from .grouped import changes
 
 PART = "__part"
 
@@ -86,3 +89,93 @@ def best_at_least(matched: DataFrame, by: list[str], order: list[str | Column],
     reached = lambda k: F.col("tp") * (steps - 1) >= k * F.col("n_true")
     best = counted.groupBy(*by).agg(*(F.coalesce(F.max(F.when(reached(k), precision)), F.lit(0.0)).alias(f"p{k}") for k in range(steps)))
     return best.select(*by, (sum((F.col(f"p{k}") for k in range(1, steps)), F.col("p0")) / steps).alias("ap"))
+
+
+def _bits(masks: bytes, cells: int) -> np.ndarray:
+    return (np.frombuffer(masks, np.int64)[:, None] >> np.arange(cells)) & 1
+
+
+def curve_figures(rows: DataFrame, by: list[str], order: list[str | Column], n_true: DataFrame, cells: int, points: int | None = None, limits: tuple[int, ...] = ()) -> DataFrame:
+    """(by, cell, ap, hits_N for each of `limits`): up to 63 precision curves over the same rows in one order, whose rows are not repeated for each curve.
+
+    Of `counts` and `hits` (long), bit c tells whether the row counts in cell c, and whether it is a hit. `n_true` has an array of true figures by cell for each key;
+    cells with 0 are left out. `ap` is the area under the envelope, or its mean at so many even recalls; hits_N counts the hits whose `rank` is N at most.
+
+    Rows are put in order once and packed, a batch of rows to a row of masks, its place and its totals. Totals of batches are summed up, then their best
+    precisions from the end; each batch is then told by itself. Keys that are null are left out.
+    """
+    names = [f.name for f in rows.schema if f.name in by]
+    keys = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in names)
+    rank = F.col("rank").cast("long") if limits else F.lit(0).cast("long")
+    ready = written(rows.withColumn("rank", rank), "matched")  # the ranges are found from a pass of their own
+    ranged = ready.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).select(*names, F.spark_partition_id().alias(PART), "counts", "hits", "rank")
+    places = f"{keys}, {PART} int, chunk int"
+
+    def pack(batches):
+        chunk = 0
+        for batch in batches:
+            cuts = [0, *np.flatnonzero(changes(batch, names)).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                masks = [batch.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for c in ("counts", "hits", "rank")]
+                totals = [_bits(m, cells).sum(axis=0) for m in masks[:2]]
+                heads = [batch.column(c).slice(a, 1) for c in (*names, PART)]
+                yield pa.RecordBatch.from_arrays(
+                    [*heads, pa.array([chunk], pa.int32()), *(pa.array([t.tolist()], pa.list_(pa.int64())) for t in totals), *(pa.array([m], pa.binary()) for m in masks)],
+                    [*names, PART, "chunk", "n", "tp", "counts", "hits", "rank"],
+                )
+                chunk += 1
+
+    packed = written(ranged.mapInArrow(pack, f"{places}, n array<long>, tp array<long>, counts binary, hits binary, rank binary"), "packed")
+    at = [*names, PART, "chunk"]
+
+    def by_cell(totals: DataFrame, figures: list[str], values: list[Column]) -> DataFrame:
+        """Arrays of figures by cell, each computed in a window over the chunks of a key and cell."""
+        out = totals.select(*at, "cell", *(v.alias(f) for v, f in zip(values, figures)))
+        listed = out.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("cell", *figures))).alias("all"))
+        return listed.select(*at, *(F.col(f"all.{f}").alias(f) for f in figures))
+
+    before = Window.partitionBy(*names, "cell").orderBy(PART, "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*names, "cell").orderBy(F.col(PART).desc(), F.col("chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    each = packed.select(*at, F.posexplode(F.arrays_zip("n", "tp")).alias("cell", "v")).select(*at, "cell", "v.n", "v.tp")
+    offsets = written(by_cell(each, ["n0", "tp0"], [F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("n", "tp")]), "offsets")
+    masks = packed.select(*at, "counts", "hits", "rank").join(offsets, at).join(n_true, names)
+
+    def told(batch: pa.RecordBatch, k: int):
+        counted, hit = (_bits(batch.column(c)[k].as_py(), cells) for c in ("counts", "hits"))
+        n, tp = (np.array(batch.column(c)[k].as_py()) + v.cumsum(axis=0) for c, v in (("n0", counted), ("tp0", hit)))
+        return counted, hit, n, tp, np.where(counted > 0, tp / np.maximum(n, 1), -1.0)
+
+    def row(batch: pa.RecordBatch, k: int, more: list[tuple[str, pa.Array]], keep: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(batch.column(c).slice(k, 1) for c in keep), *(v for _, v in more)], [*keep, *(n for n, _ in more)])
+
+    def best(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield row(batch, k, [("best", pa.array([told(batch, k)[4].max(axis=0).tolist()]))], at)
+
+    most = masks.mapInArrow(best, f"{places}, best array<double>").select(*at, F.posexplode("best").alias("cell", "best"))
+    most = written(by_cell(most, ["later"], [F.coalesce(F.max("best").over(after), F.lit(-1.0))]), "best")
+
+    def figures(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                counted, hit, n, tp, precision = told(batch, k)
+                true, later = (np.array(batch.column(c)[k].as_py()) for c in ("n_true", "later"))
+                envelope = np.maximum(np.maximum.accumulate(precision[::-1], axis=0)[::-1], later)
+                whole = np.maximum(true, 1)
+                if points is None:
+                    ap = (hit * envelope / whole).sum(axis=0)
+                else:
+                    # A row answers for the points above those of the row before and up to its own, in whole numbers.
+                    gained = tp * (points - 1) // whole - (tp - hit) * (points - 1) // whole + ((n == 1) & (counted > 0))
+                    ap = (gained * envelope).sum(axis=0) / points
+                ranks = np.frombuffer(batch.column("rank")[k].as_py(), np.int64)
+                hits = [(f"hits_{m}", pa.array([hit[ranks <= m].sum(axis=0).tolist()], pa.list_(pa.int64()))) for m in limits]
+                yield row(batch, k, [("ap", pa.array([ap.tolist()])), *hits, ("n_true", batch.column("n_true").slice(k, 1))], names)
+
+    made = ["ap", *(f"hits_{m}" for m in limits)]
+    out = masks.join(most, at).mapInArrow(figures, f"{keys}, ap array<double>, {''.join(f'hits_{m} array<long>, ' for m in limits)}n_true array<long>")
+    out = out.select(*names, F.posexplode(F.arrays_zip(*made, "n_true")).alias("cell", "v")).where("v.n_true > 0")
+    return out.groupBy(*names, "cell").agg(*(F.sum(f"v.{c}").alias(c) for c in made))
