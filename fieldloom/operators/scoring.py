@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import written
-from .scans import precision_curve, recall_points
+from .grouped import fold_groups, numbers
+from .scans import curve_figures, precision_curve, recall_points
 
 #: The usual area classes, in pixels, both bounds included.
 AREAS = {"all": (0.0, 1e10), "small": (0.0, 1024.0), "medium": (1024.0, 9216.0), "large": (9216.0, 1e10)}
@@ -117,27 +119,31 @@ def _image_states(truth: np.ndarray, found: np.ndarray, thresholds: list[float],
     Rows are x1, y1, x2, y2, area, crowd; found boxes come by falling score. A found box takes the free true box that it overlaps most, one that
     counts before one that does not; a crowd is never used up, and its overlap is the covered share of the found box.
     """
-    states = np.zeros((len(bounds), len(found), len(thresholds)), int)
     low, high = np.maximum(found[:, None, :2], truth[None, :, :2]), np.minimum(found[:, None, 2:4], truth[None, :, 2:4])
     common = np.clip(high - low, 0, None).prod(axis=2)
     size = lambda b: (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
     crowd = truth[:, 5] > 0
     whole = np.where(crowd[None, :], size(found)[:, None], size(found)[:, None] + size(truth)[None, :] - common)
     overlap = common / np.maximum(whole, 1e-12)
-    outside = lambda b, lo, hi: (b[:, 4] < lo) | (b[:, 4] > hi)
-    for a, (lo, hi) in enumerate(bounds):
-        idle, found_outside = crowd | outside(truth, lo, hi), outside(found, lo, hi)
-        for j, t in enumerate(thresholds):
-            taken = np.zeros(len(truth), bool)
-            for d in range(len(found)):
-                fits = (overlap[d] >= min(t, 1 - 1e-10)) & (crowd | ~taken)
-                choice = fits & ~idle if (fits & ~idle).any() else fits
-                if not choice.any():
-                    states[a, d, j] = -1 if found_outside[d] else 0
-                    continue
-                best = len(truth) - 1 - int(np.argmax(np.where(choice, overlap[d], -1.0)[::-1]))
-                taken[best] = True
-                states[a, d, j] = -1 if idle[best] else 1
+    limits = np.minimum(np.array(thresholds, float), 1 - 1e-10)
+    outside = lambda b: np.array([(b[:, 4] < lo) | (b[:, 4] > hi) for lo, hi in bounds])
+    idle = crowd | outside(truth)
+    states = np.repeat(-outside(found).astype(int)[:, :, None], len(limits), axis=2)
+    taken = np.zeros((len(bounds), len(limits), len(truth)), bool)
+    # All areas and thresholds at once; a found box looks only at the true boxes that it overlaps enough for any of them.
+    for d, near in enumerate(overlap >= limits.min()):
+        near = np.flatnonzero(near)
+        if not len(near):
+            continue
+        own = overlap[d, near]
+        fits = (own >= limits[:, None]) & (crowd[near] | ~taken[:, :, near])
+        counting = fits & ~idle[:, None, near]
+        choice = np.where(counting.any(axis=2, keepdims=True), counting, fits)
+        last = len(near) - 1 - np.argmax(np.where(choice, own, -1.0)[:, :, ::-1], axis=2)
+        a, t = np.nonzero(choice.any(axis=2))
+        best = near[last[a, t]]
+        taken[a, t, best] = True
+        states[a, d, t] = np.where(idle[a, best], -1, 1)
     return states
 
 
@@ -145,39 +151,76 @@ def _with_area(boxes: DataFrame) -> Column:
     return (F.col("area") if "area" in boxes.columns else (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).cast("double")
 
 
-def matched_boxes(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float] | None = None, areas: dict | None = None, most: int = 100) -> DataFrame:
-    """(by, class, pos, score, rank, area_class, threshold, hit) of the found boxes that count; `by` names the image.
+def matched_states(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float] | None = None, areas: dict | None = None, most: int = 100) -> DataFrame:
+    """(by, class, pos, score, rank, counts, hits) of the found boxes; bit `area * number of thresholds + threshold` of `counts` and `hits` (long) is for that cell.
 
-    Boxes have by, class, pos, x1, y1, x2, y2; found ones a score; true ones may have `crowd` (0/1), and both an `area` that stands for that of the box. Of an
-    image and class, the `most` best scores take part (ties by pos) and `rank` counts them from 1. One row of a task holds the boxes of one
-    image and class.
+    Boxes have by, class, pos, x1, y1, x2, y2; found ones a score; true ones may have `crowd` (0/1), and both an `area` that stands for that of the box; `by` names the
+    image. Of an image and class, the `most` best scores take part (ties by pos) and `rank` counts them from 1. Boxes are shuffled once; a call takes many images.
     """
     thresholds, areas = thresholds or OVERLAPS, areas or AREAS
-    names, bounds = list(areas), list(areas.values())
+    bounds, cells = list(areas.values()), len(thresholds) * len(areas)
+    if cells > 63:
+        raise ValueError("at most 63 cells of an area and a threshold have a bit")
     crowd = F.coalesce(F.col("crowd").cast("double"), F.lit(0.0)) if "crowd" in truth.columns else F.lit(0.0)
-    numbers = lambda boxes, score, crowd: F.struct("pos", F.array(*(F.col(c).cast("double") for c in ("x1", "y1", "x2", "y2")), _with_area(boxes), crowd, score).alias("v"))
-    true_rows = truth.select(*by, "class", F.lit(True).alias("t"), numbers(truth, F.lit(0.0), crowd).alias("b"))
-    found_rows = found.select(*by, "class", F.lit(False).alias("t"), numbers(found, F.col("score").cast("double"), F.lit(0.0)).alias("b"))
-    listed = lambda side: F.collect_list(F.when(side, F.col("b")))
-    images = true_rows.unionByName(found_rows).groupBy(*by, "class").agg(listed(F.col("t")).alias("truth"), listed(~F.col("t")).alias("found")).where(F.size("found") > 0)
-    key = [*by, "class"]
-    kinds = dict(images.dtypes)
+    corners = [F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]
+    key, figures = [*by, "class"], ["x1", "y1", "x2", "y2", "area", "crowd"]
+    side = lambda boxes, true, score, crowd: boxes.select(*key, "pos", *corners, _with_area(boxes).alias("area"), crowd.alias("crowd"), score.alias("score"), F.lit(true).alias("true"))
+    rows = side(truth, True, F.lit(None).cast("double"), crowd).unionByName(side(found, False, F.col("score").cast("double"), F.lit(0.0)))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    bits = 1 << np.arange(cells, dtype=np.int64)
+
+    def fold(table, groups):
+        b = np.stack([numbers(table, c).astype(float) for c in figures], axis=1)
+        pos, score, true = (numbers(table, c) for c in ("pos", "score", "true"))
+        order = np.lexsort((pos, np.where(true, 0, -score), ~true.astype(bool), groups))  # of each image the true boxes, then the found ones
+        cuts = [0, *(np.flatnonzero(np.diff(groups[order])) + 1).tolist(), len(order)]
+        n_true = np.add.reduceat(true[order].astype(int), cuts[:-1]).tolist()
+        rows, ranks, counts, hits = [], [], [], []
+        for start, end, n in zip(cuts, cuts[1:], n_true):
+            best = order[start + n : min(end, start + n + most)]
+            if not len(best):
+                continue
+            own = _image_states(b[order[start : start + n]], b[best], thresholds, bounds).transpose(1, 0, 2).reshape(len(best), cells)
+            rows.append(best)
+            ranks.append(np.arange(1, len(best) + 1, dtype=np.int32))
+            counts.append((own >= 0) @ bits)
+            hits.append((own > 0) @ bits)
+        joined = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        out = table.select([*key, "pos", "score"]).take(joined(rows, np.int64))
+        return out.append_column("rank", pa.array(joined(ranks, np.int32))).append_column("counts", pa.array(joined(counts, np.int64))).append_column("hits", pa.array(joined(hits, np.int64)))
+
+    return fold_groups(rows, key, fold, ", ".join(f"{c} {kinds[c]}" for c in (*key, "pos")) + ", score double, rank int, counts long, hits long")
 
-    def run(parts):
-        for pdf in parts:
-            out = []
-            for row in pdf.itertuples(index=False):
-                own = sorted(row.truth, key=lambda b: b["pos"])
-                best = sorted(row.found, key=lambda b: (-b["v"][6], b["pos"]))[:most]
-                rows = lambda boxes: np.array([b["v"] for b in boxes], float).reshape(-1, 7)
-                states = _image_states(rows(own), rows(best), thresholds, bounds) if own else np.array([[[-1 if not lo <= b["v"][4] <= hi else 0] * len(thresholds) for b in best] for lo, hi in bounds])
-                out += [(*row[: len(key)], b["pos"], float(b["v"][6]), d + 1, states[:, d].tolist()) for d, b in enumerate(best)]
-            yield pd.DataFrame(out, columns=[*key, "pos", "score", "rank", "states"])
-
-    made = images.select(*key, "truth", "found").mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in key) + ", pos long, score double, rank int, states array<array<int>>")
-    each = made.select(*key, "pos", "score", "rank", F.posexplode("states").alias("__a", "of_area"))
-    each = each.select(*key, "pos", "score", "rank", "__a", F.posexplode("of_area").alias("__t", "hit")).where("hit >= 0")
-    return each.select(*key, "pos", "score", "rank", F.get(F.array(*map(F.lit, names)), F.col("__a")).alias("area_class"), F.get(F.array(*map(F.lit, thresholds)), F.col("__t")).alias("threshold"), "hit")
+
+def matched_boxes(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float] | None = None, areas: dict | None = None, most: int = 100) -> DataFrame:
+    """(by, class, pos, score, rank, area_class, threshold, hit) of the found boxes that count, a row for each area class and threshold; see `matched_states`."""
+    thresholds, areas = thresholds or OVERLAPS, areas or AREAS
+    named = [(n, t) for n in areas for t in thresholds]
+    steps = F.array(*(F.struct(F.lit(n).alias("area_class"), F.lit(t).alias("threshold"), F.lit(1 << k).cast("long").alias("bit")) for k, (n, t) in enumerate(named)))
+    each = matched_states(truth, found, by, thresholds, areas, most).withColumn("step", F.explode(steps)).where(F.col("counts").bitwiseAND(F.col("step.bit")) != 0)
+    return each.select(*by, "class", "pos", "score", "rank", "step.area_class", "step.threshold", (F.col("hits").bitwiseAND(F.col("step.bit")) != 0).cast("int").alias("hit"))
+
+
+def _true_counts(truth: DataFrame, areas: dict) -> DataFrame:
+    """(class, counts): the true boxes of each area class that are no crowds."""
+    area = _with_area(truth)
+    counted = truth if "crowd" not in truth.columns else truth.where("coalesce(crowd, 0) = 0")
+    within = F.array(*(F.count(F.when(area.between(lo, hi), 1)) for lo, hi in areas.values()))
+    return counted.where("class is not null").groupBy("class").agg(within.alias("counts"))
+
+
+def evaluated_cells(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float] | None = None, areas: dict | None = None, limits: tuple[int, ...] = (1, 10, 100), points: int = 101) -> DataFrame:
+    """The figures of `area_cells` from the boxes themselves. A found box is one row for all area classes and thresholds."""
+    thresholds, areas = thresholds or OVERLAPS, areas or AREAS
+    named = [(n, t) for n in areas for t in thresholds]
+    n_true = written(_true_counts(truth, areas), "true")
+    spread = F.flatten(F.transform("counts", lambda n: F.array_repeat(n, len(thresholds))))
+    order = [F.col("score").desc(), *(F.col(c) for c in (*by, "pos"))]
+    figures = curve_figures(matched_states(truth, found, by, thresholds, areas), ["class"], order, n_true.select("class", spread.alias("n_true")), len(named), points, limits)
+    cells = n_true.select("class", F.posexplode(spread).alias("cell", "n_true")).where("n_true > 0")
+    names = F.array(*(F.struct(F.lit(n).alias("area_class"), F.lit(t).alias("threshold")) for n, t in named))
+    filled = cells.join(figures, ["class", "cell"], "left").withColumn("of", F.get(names, F.col("cell")))
+    return filled.select("class", "of.area_class", "of.threshold", F.coalesce("ap", F.lit(0.0)).alias("ap"), *(F.coalesce(F.col(f"hits_{m}") / F.col("n_true"), F.lit(0.0)).alias(f"recall_{m}") for m in limits))
 
 
 def area_cells(matches: DataFrame, truth: DataFrame, by: list[str], thresholds: list[float] | None = None, areas: dict | None = None, limits: tuple[int, ...] = (1, 10, 100), points: int = 101) -> DataFrame:

@@ -43,7 +43,7 @@ def _cells(s, d):
     rows = boxes(s, d).select("scan_id", "frame", "class", "pos", "x1", "y1", "x2", "y2", "score")
     truth = rows.where("pos % 10 < 8").withColumn("crowd", (F.col("pos") % 37 == 0).cast("int"))
     found = rows.where("pos % 10 > 0").select("scan_id", "frame", "class", "pos", *((F.col(c) + F.col("pos") % 13 - 6).alias(c) for c in ("x1", "y1", "x2", "y2")), "score")
-    return S.area_cells(S.matched_boxes(truth, found, ["scan_id", "frame"]), truth, ["scan_id", "frame"])
+    return S.evaluated_cells(truth, found, ["scan_id", "frame"])
 
 
 def _cuts(s, d):
