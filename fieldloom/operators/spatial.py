@@ -26,8 +26,8 @@ def cell_side(plots: DataFrame) -> float:
     return max((area or 0.0) ** 0.5 / 4, (length or 0.0) / 8) or 1.0
 
 
-def ring_cells(plots: DataFrame, side: float) -> DataFrame:
-    """(gx, gy, place, plot, ring) of the cells that each ring (plot, place, ring) meets; `ring` is null where the whole cell lies inside.
+def covered_cells(plots: DataFrame, side: float) -> tuple[DataFrame, DataFrame]:
+    """(place, gx, gy) of the cells that the edges of each ring meet, and of those that lie inside as a whole.
 
     A cell is an edge cell if an edge comes within a millionth of a side of it; all other cells are in or out as their middle is.
     """
@@ -45,11 +45,18 @@ def ring_cells(plots: DataFrame, side: float) -> DataFrame:
     bottom = F.when(steep, F.least("a_lat", "b_lat")).otherwise(F.greatest(F.least(at(left), at(right)), F.least("a_lat", "b_lat")))
     top = F.when(steep, F.greatest("a_lat", "b_lat")).otherwise(F.least(F.greatest(at(left), at(right)), F.greatest("a_lat", "b_lat")))
     on_edge = columns.select("place", "gx", F.explode(F.sequence(_cell(bottom - slack, s), _cell(top + slack, s))).alias("gy")).distinct()
-    whole = bounds.select("place", "plot", "ring", F.explode(F.sequence(_cell(F.col("x1"), s), _cell(F.col("x2"), s))).alias("gx"), F.sequence(_cell(F.col("y1"), s), _cell(F.col("y2"), s)).alias("gys"))
-    whole = whole.select("place", "plot", "ring", "gx", F.explode("gys").alias("gy")).join(on_edge, ["place", "gx", "gy"], "left_anti")
-    inner = whole.where(in_ring((F.col("gy") + 0.5) * s, (F.col("gx") + 0.5) * s, F.col("ring")))
-    named = on_edge.join(bounds.select("place", "plot", "ring"), "place").select("gx", "gy", "place", "plot", "ring")
-    return named.union(inner.select("gx", "gy", "place", "plot", F.lit(None).cast(plots.schema["ring"].dataType)))
+    columns = bounds.select("place", "ring", F.explode(F.sequence(_cell(F.col("x1"), s), _cell(F.col("x2"), s))).alias("gx"), F.sequence(_cell(F.col("y1"), s), _cell(F.col("y2"), s)).alias("gys"))
+    whole = columns.select("place", "ring", "gx", F.explode("gys").alias("gy"))
+    inner = whole.where(in_ring((F.col("gy") + 0.5) * s, (F.col("gx") + 0.5) * s, F.col("ring"))).select("place", "gx", "gy")
+    return on_edge, inner.join(on_edge, ["place", "gx", "gy"], "left_anti")
+
+
+def ring_cells(plots: DataFrame, side: float) -> DataFrame:
+    """(gx, gy, place, plot, ring) of the cells that each ring (plot, place, ring) meets; `ring` is null where the whole cell lies inside."""
+    on_edge, inner = covered_cells(plots, side)
+    own = _bounds(plots).select("place", "plot", "ring")
+    named = on_edge.join(own, "place").select("gx", "gy", "place", "plot", "ring")
+    return named.union(inner.join(own, "place").select("gx", "gy", "place", "plot", F.lit(None).cast(plots.schema["ring"].dataType)))
 
 
 def located(points: DataFrame, plots: DataFrame, none: str = "global", side: float | None = None) -> DataFrame:
@@ -59,11 +66,19 @@ def located(points: DataFrame, plots: DataFrame, none: str = "global", side: flo
     only in edge cells its place is settled by ray casting. Points without coordinates are in no plot.
     """
     side = side or cell_side(plots)
-    cells = ring_cells(plots, side).groupBy("gx", "gy").agg(F.array_sort(F.collect_list(F.struct("place", "plot", "ring"))).alias("__near"))
-    full = F.array_position(F.transform("__near", lambda p: p["ring"].isNull()), F.lit(True))
-    cells = written(cells.select(F.col("gx").alias("__gx"), F.col("gy").alias("__gy"), F.when(full > 0, F.slice("__near", F.lit(1), full.cast("int"))).otherwise(F.col("__near")).alias("__near")), "cells")
+    on_edge, inner = covered_cells(plots, side)
+    # Plots after the first that fills a cell are never asked there, so that they and their rings are dropped before anything is gathered.
+    full = written(inner.groupBy("gx", "gy").agg(F.min("place").alias("__full")), "full")
+    asked = on_edge.join(full, ["gx", "gy"], "left").where("__full is null or place < __full").select("gx", "gy", "place")
+    asked = written(asked.union(full.select("gx", "gy", "__full")), "asked")
+    own = _bounds(plots).select("place", "plot", "ring")
+    named = asked.join(full, ["gx", "gy"], "left").join(own.hint("shuffle_merge"), "place")
+    ring = F.when(F.col("__full").isNull() | (F.col("place") < F.col("__full")), F.col("ring"))
+    cells = named.select("gx", "gy", "place", "plot", ring.alias("ring")).groupBy("gx", "gy").agg(F.array_sort(F.collect_list(F.struct("place", "plot", "ring"))).alias("__near"))
+    cells = written(cells.select(F.col("gx").alias("__gx"), F.col("gy").alias("__gy"), "__near"), "cells")
     met = points.withColumn("__x", _cell(F.col("lon"), F.lit(side))).withColumn("__y", _cell(F.col("lat"), F.lit(side)))
-    met = met.join(cells, (F.col("__x") == F.col("__gx")) & (F.col("__y") == F.col("__gy")), "left")
+    # Rings compress so well in files that a broadcast by their size there would be far larger on the driver.
+    met = met.join(cells.hint("shuffle_merge"), (F.col("__x") == F.col("__gx")) & (F.col("__y") == F.col("__gy")), "left")
     found = F.filter("__near", lambda p: p["ring"].isNull() | in_ring(F.col("lat"), F.col("lon"), p["ring"]))
     return met.withColumn("plot", F.coalesce(F.get(found, F.lit(0))["plot"], F.lit(none))).drop("__x", "__y", "__gx", "__gy", "__near")
 
