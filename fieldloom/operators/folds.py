@@ -9,9 +9,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .grouped import fold_groups, near_pairs, numbers
+
 OPEN = -1
 START, END = "start", "end"
 #: What a frame's borders say of the current tree and the next: the bounds that each gets.
@@ -208,22 +211,45 @@ def row_states(samples: DataFrame, by: list[str], order: str, depth_most: float
 
 
 def greedy_clusters(boxes: DataFrame, by: list[str], near: float) -> DataFrame:
-    """(by, pos, cluster): a box joins the first cluster that holds one of its neighbours and brings all of them; clusters are not closed under that."""
+    """(by, pos, cluster): a box joins the first cluster that holds one of its neighbours and brings all of them; clusters are not closed under that.
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        centre = np.stack([(pdf["x1"] + pdf["x2"]) / 2, (pdf["y1"] + pdf["y2"]) / 2], axis=1)
-        pos, clusters = pdf["pos"].tolist(), []
-        for k in range(len(pdf)):
-            around = {pos[j] for j in np.flatnonzero(np.hypot(*(centre - centre[k]).T) < near)}
-            home = next((c for c in clusters if c & around), None)
-            if home is None:
-                clusters.append(around)
+    Many groups are folded in a call. Of a box only the first and the last cluster that hold it are kept; neighbours are found along x, so that work follows what is near.
+    """
+    kinds = dict(boxes.dtypes)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        order = np.lexsort((numbers(table, "pos"), groups))
+        table, groups = table.take(order), groups[order]
+        x, y, pos = (numbers(table, c) for c in ("cx", "cy", "pos"))
+        fresh = np.r_[True, (np.diff(groups) != 0) | (np.diff(pos) != 0)]  # rows of one number are one member
+        member, rows = fresh.cumsum() - 1, np.arange(len(pos))
+        close = lambda i, j: np.hypot(x[i] - x[j], y[i] - y[j]) < near
+        i, j = near_pairs(groups, x, x + near * (1 + 1e-9) + np.abs(x) * 1e-12, close)
+        own = rows[close(rows, rows)]
+        i, j = np.concatenate([own, i, j]), np.concatenate([own, j, i])
+        around = member[j[np.argsort(i, kind="stable")]].tolist()
+        ends = np.bincount(i, minlength=len(pos)).cumsum().tolist()
+        first, last, start, group, clusters = [-1] * (int(member[-1]) + 1), [-1] * (int(member[-1]) + 1), 0, -1, 0
+        for g, end in zip(groups.tolist(), ends):
+            if g != group:
+                group, clusters = g, 0
+            mine, start = around[start:end], end
+            homes = [c for c in map(first.__getitem__, mine) if c >= 0]
+            if homes:
+                home = min(homes)
             else:
-                home |= around
-        of = {p: c for c, members in enumerate(clusters) for p in members}
-        return pd.DataFrame({"pos": sorted(of), "cluster": [of[p] for p in sorted(of)]})
-
-    return _per_scan(boxes, by, "pos long, cluster long", fold, "pos")
+                home, clusters = clusters, clusters + 1
+            for m in mine:
+                if not 0 <= first[m] <= home:
+                    first[m] = home
+                if last[m] < home:
+                    last[m] = home
+        last = np.array(last)
+        kept = np.flatnonzero(last >= 0)
+        return table.select([*by, "pos"]).take(np.flatnonzero(fresh)[kept]).append_column("cluster", pa.array(last[kept]))
+
+    centres = boxes.select(*by, "pos", *(((F.col(f"{c}1") + F.col(f"{c}2")) / 2).cast("double").alias(f"c{c}") for c in "xy"))
+    return fold_groups(centres, by, fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", pos long, cluster long")
 
 
 def validated_shifts(rows: DataFrame, by: list[str], width: float, keep: int = 5, margin: float = 5.0, true_border: bool = False) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from fieldloom.operators import geometry, grouped
+from fieldloom.operators import folds, geometry, grouped
 
 
 def test_groups_are_whole_however_batches_cut_them():
@@ -40,3 +40,23 @@ def test_suppression_takes_many_groups_a_call(spark, monkeypatch):
                 left.append(r)
         want |= {r[1] for r in left}
     assert got == want and len(want) < 8000
+
+
+def test_clusters_take_many_groups_a_call(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(int(k % 300), int(9000 - k), *map(float, b), *map(float, b + 10)) for k, b in enumerate(rng.integers(0, 100, (6000, 2)))]
+    rows += [(0, 9001, float("nan"), 1.0, 2.0, 2.0), (300, 9002, float("nan"), 1.0, 2.0, 2.0), (300, 9003, 1.0, 1.0, 2.0, 2.0), (300, 9004, 9.0, 1.0, 10.0, 2.0)]
+    df = spark.createDataFrame(rows, "frame long, pos long, x1 double, y1 double, x2 double, y2 double")
+    with monkeypatch.context() as m:
+        m.setattr(type(df.groupBy("frame")), "applyInPandas", None, raising=False)
+        got = sorted(tuple(r) for r in folds.greedy_clusters(df, ["frame"], 9.0).collect())
+    want = []
+    for f in range(301):
+        own, clusters = sorted((r for r in rows if r[0] == f), key=lambda r: r[1]), []
+        centre = {r[1]: ((r[2] + r[4]) / 2, (r[3] + r[5]) / 2) for r in own}
+        for r in own:
+            around = {p for p, c in centre.items() if np.hypot(c[0] - centre[r[1]][0], c[1] - centre[r[1]][1]) < 9.0}
+            home = next((c for c in clusters if c & around), None)
+            clusters.append(around) if home is None else home.update(around)
+        want += sorted((f, p, c) for p, c in {p: c for c, members in enumerate(clusters) for p in members}.items())
+    assert got == want and want[-2:] == [(300, 9003, 1), (300, 9004, 1)]
