@@ -1,4 +1,4 @@
-"""Kernel densities of points within groups, and the filter by density; partners are found by cells, so only near places are compared."""
+"""Kernel densities of points within groups, and the filter by density: many small groups are folded in a call, in large ones partners are found by cells."""
 
 from __future__ import annotations
 
@@ -6,24 +6,59 @@ import math
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..shared import written
+from .grouped import fold_groups, near_steps, parted
 
 
 def _finite(axes: list[str]) -> Column:
     return reduce(and_, (F.col(a).isNotNull() & ~F.isnan(a) & (F.abs(F.col(a)) < float("inf")) for a in axes))
 
 
+def _reach(error: float) -> float:
+    return math.sqrt(2 * math.log(1 / error))
+
+
+def _numbers(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).cast(pa.float64()).to_numpy()
+
+
+def _means(groups: np.ndarray, at: list[np.ndarray], reach: float) -> np.ndarray:
+    """The means of `kernel_means` of rows of many groups, with their places in each axis."""
+    sums, ends = np.ones(len(groups)), at[0] + reach * (1 + 1e-9) + np.abs(at[0]) * 1e-12
+    for i, j in near_steps(groups, at[0], ends):
+        squared = sum((a[i] - a[j]) ** 2 for a in at)
+        value = np.where(squared <= reach * reach, np.exp(-squared / 2), 0.0)
+        sums[i] += value  # no row is twice on one side of a step
+        sums[j] += value
+    return sums / np.bincount(groups)[groups]
+
+
 def kernel_means(points: DataFrame, by: list[str], axes: list[str], error: float = 1e-12, merge: float | None = None) -> DataFrame:
+    """`points` with `density`: the mean over the group's rows of a kernel; see `_cell_means`, which has what is said of them, for large groups and for `merge`."""
+    known = points.where(_finite(axes)).drop("density")
+    small, large = (None, known) if merge is not None else parted(known, by)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        return table.append_column("density", pa.array(_means(groups, [_numbers(table, a) for a in axes], _reach(error))))
+
+    parts = [] if small is None else [fold_groups(small, by, fold, StructType([*known.schema.fields, StructField("density", DoubleType())]))]
+    return reduce(DataFrame.unionByName, parts + ([] if large is None else [_cell_means(large, by, axes, error, merge)]))
+
+
+def _cell_means(points: DataFrame, by: list[str], axes: list[str], error: float, merge: float | None) -> DataFrame:
     """`points` with `density`: the mean over the group's rows, the row itself included, of exp(-d² / 2), d being the distance in `axes` (in bandwidths).
 
     Rows further away than the kernel's value `error` are left out, so a density is too small by `error` at most. Equal places are one, with their
     number of rows. With `merge`, so are the places of a square of that side, at their mean: a kernel's value is off by (number of axes) merge² / 2 at
     most, and a row has a bounded number of partners however many rows the group has. Rows with a null in `by` or without finite axes are left out.
     """
-    reach = math.sqrt(2 * math.log(1 / error))
+    reach = _reach(error)
     names = list(range(len(axes)))
     known = points.where(_finite(axes)).drop("density")
     square = [F.col(a).alias(f"__s{k}") if merge is None else F.floor(F.col(a) / merge).alias(f"__s{k}") for k, a in zip(names, axes)]
@@ -73,9 +108,51 @@ def dense_points(points: DataFrame, by: list[str], axes: list[str], least: float
     keep all their finite points, with a null density; rows with a null in `by` go. Repeated rows all count and all stay. An empty table gives none.
     """
     own = points.drop("density")
+    small, large = (None, own) if merge is not None else parted(own, by)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        places = [_numbers(table, a) for a in axes]
+        fine = np.flatnonzero(np.logical_and.reduce([np.isfinite(p) for p in places]))
+        g = groups[fine]
+        at, peak = _round([p[fine] for p in places], g, int(groups[-1]) + 1)
+        flat = np.isnan(peak[g])
+        density = np.full(len(g), np.nan)
+        density[~flat] = _means(g[~flat], [a[~flat] for a in at], _reach(error)) * peak[g[~flat]] if not flat.all() else 0.0
+        whole = np.bincount(g[~flat], density[~flat], len(peak))[g]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kept = flat | (density / whole >= least / np.bincount(groups)[g])
+        return table.take(fine[kept]).append_column("density", pa.array(density[kept], mask=flat[kept]))
+
+    parts = [] if small is None else [fold_groups(small, by, fold, StructType([*own.schema.fields, StructField("density", DoubleType())]))]
+    return reduce(DataFrame.unionByName, parts + ([] if large is None else [_dense_cells(large, by, axes, least, error, merge)]))
+
+
+def _round(places: list[np.ndarray], groups: np.ndarray, n_groups: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The coordinates and each group's peak of `whitened`, nan where a group has no bandwidth."""
+    d, n = len(places), np.bincount(groups, minlength=n_groups).astype(float)
+    total = lambda v: np.bincount(groups, v, n_groups)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        off = [p - (total(p) / n)[groups] for p in places]
+        root = {}
+        for i in range(d):
+            for j in range(i + 1):
+                own = total(off[i] * off[j]) / np.where(n > 1, n - 1, np.nan)
+                left = own - sum(root[i, k] * root[j, k] for k in range(j))
+                root[i, j] = left / root[j, j] if i != j else np.where(left > 1e-12 * own, np.sqrt(left), np.nan)
+        width = n ** (-1.0 / (d + 4))
+        peak = 1 / ((2 * math.pi) ** (d / 2) * np.prod([width * root[k, k] for k in range(d)], axis=0))
+        at: list[np.ndarray] = []
+        for i in range(d):
+            rest = sum(root[i, k][groups] * at[k] for k in range(i))
+            at.append((off[i] - rest) / root[i, i][groups])
+        return [a / width[groups] for a in at], peak
+
+
+def _dense_cells(own: DataFrame, by: list[str], axes: list[str], least: float, error: float, merge: float | None) -> DataFrame:
+    """`dense_points` of large groups."""
     ready = written(whitened(own, by, axes), "whitened")  # the same coordinates wherever they are compared
     round_axes = [f"__w{k}" for k in range(len(axes))]
-    found = kernel_means(ready, by, round_axes, error, merge).withColumn("density", F.col("density") * F.col("__peak"))
+    found = _cell_means(ready, by, round_axes, error, merge).withColumn("density", F.col("density") * F.col("__peak"))
     found = written(found.select(*own.columns, "density"), "densities")
     totals = found.groupBy(*by).agg(F.sum("density").alias("__all")).join(own.groupBy(*by).agg(F.count("*").alias("__rows")), by)
     kept = found.join(totals, by).where(F.col("density") / F.col("__all") >= least / F.col("__rows")).select(*own.columns, "density")

@@ -8,6 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..shared import written
+
+#: Groups of up to so many rows are folded whole; larger ones are cut by cells.
+WHOLE = 1024
 
 
 def changes(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
@@ -67,29 +73,44 @@ def fold_groups(rows: DataFrame, by: list[str], fold: Callable[[pa.Table, np.nda
     return rows.repartition(tasks, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
+def parted(rows: DataFrame, by: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of groups of up to `WHOLE` rows and those of larger ones; None where there are no larger (whole) groups. Rows with a null in `by` are in no group."""
+    known = rows.dropna(subset=by) if by else rows
+    if not by:
+        return None, known
+    large = written(known.groupBy(*by).agg(F.count("*").alias("__size")).where(F.col("__size") > WHOLE).select(*by), "large")
+    if large.isEmpty():
+        return known, None
+    return known.join(large, by, "left_anti"), known.join(large, by, "left_semi")
+
+
 def numbers(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).to_numpy()
 
 
-def near_pairs(groups: np.ndarray, low: np.ndarray, high: np.ndarray, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(i, j) of the rows of one group whose open intervals (low, high) meet and for which `test(i, j)` holds; each pair once.
+def near_steps(groups: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the rows of one group whose open intervals (low, high) meet, each pair once, in parts of no more pairs than there are rows.
 
-    Rows are put in order of `low` and each looks at the next row, the one after it and so on while these begin before it ends: memory follows the rows
-    and the pairs found, not the square of a group.
+    Rows are put in order of `low` and each looks at the next row, the one after it and so on while these begin before it ends.
     """
     order = np.lexsort((low, groups))
     g, lo, hi = groups[order], low[order], high[order]
-    left, right = [], []
     active, step = np.arange(len(order)), 1
     while len(active):
         active = active[active + step < len(order)]
         other = active + step
         fine = (g[active] == g[other]) & (lo[other] < hi[active])
         active, other = active[fine], other[fine]
-        i, j = order[active], order[other]
+        yield order[active], order[other]
+        step += 1
+
+
+def near_pairs(groups: np.ndarray, low: np.ndarray, high: np.ndarray, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the pairs of `near_steps` for which `test(i, j)` holds: memory follows the rows and the pairs found, not the square of a group."""
+    left, right = [], []
+    for i, j in near_steps(groups, low, high):
         hit = test(i, j)
         left.append(i[hit])
         right.append(j[hit])
-        step += 1
     empty = np.zeros(0, int)
     return np.concatenate([empty, *left]), np.concatenate([empty, *right])

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from fieldloom.operators import density as D
+from fieldloom.operators import grouped
 from fieldloom.operators import measuring as M
 
 
@@ -62,3 +63,19 @@ def test_no_join_of_all_pairs(spark):
     out = M.densities(spark.createDataFrame(rows, "scan_id string, frame int, pos long, x1 double, y1 double, x2 double, y2 double"), ["scan_id", "frame"], 20.0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "__c0" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and out.count() == 2000
+
+
+def test_small_groups_are_folded_and_large_ones_cut(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(g, k, *map(float, rng.normal(size=2) * 30)) for g, n in (("a", 60), ("b", 90), ("c", 1), (None, 5)) for k in range(n)] + [("a", 99, float("nan"), 1.0), ("d", 1, 2.0, 2.0), ("d", 2, 2.0, 2.0)]
+    df, seen = spark.createDataFrame(rows, "g string, pos long, x double, y double"), {}
+    for whole in (1024, 70, 0):
+        monkeypatch.setattr(grouped, "WHOLE", whole)
+        for name, make in (("means", D.kernel_means), ("dense", D.dense_points)):
+            out = make(df, ["g"], ["x", "y"])
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "MapInArrow" in plan and "Join" not in plan or whole < 1024 and "Join" in plan
+            got = {(r.g, r.pos): -1.0 if r.density is None else r.density for r in out.collect()}
+            want = seen.setdefault(name, got)
+            assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+    assert len(seen["means"]) == 153 and 60 < len(seen["dense"]) < 153
