@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shared import written
 from .geometry import in_ring
+from .grouped import fold_groups, numbers, parted
 
 
 def _cell(x: Column, side: Column) -> Column:
@@ -106,37 +112,97 @@ def in_any(points: DataFrame, plots: DataFrame) -> DataFrame:
     return found.withColumn("inside", F.col("plot") == "in").drop("plot")
 
 
+#: Distances that a fold holds at once.
+_BLOCK = 1 << 19
+
+
+def _nearest_of(asking: np.ndarray, others: np.ndarray, x: np.ndarray, y: np.ndarray, code: np.ndarray, k: int, edge: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """(row, rank, other, distance) of the k nearest of `others` for each of `asking`, nearer than its `edge`; ties go to the smaller code, and equal codes are one point."""
+    parts, size = [], max(1, _BLOCK // max(1, len(others)))
+    for begin in range(0, len(asking), size):
+        own = asking[begin : begin + size]
+        far = np.sqrt((x[own][:, None] - x[others]) * (x[own][:, None] - x[others]) + (y[own][:, None] - y[others]) * (y[own][:, None] - y[others]))
+        far[code[own][:, None] == code[others]] = np.inf
+        far[np.isnan(far)] = np.inf
+        most = np.partition(far, k - 1, axis=1)[:, k - 1] if far.shape[1] > k else np.full(len(own), np.inf)
+        near = (far <= most[:, None]) & (far < (np.inf if edge is None else edge[own][:, None]))
+        r, c = np.nonzero(near)
+        order = np.lexsort((code[others[c]], far[r, c], r))
+        r, c = r[order], c[order]
+        rank = np.arange(len(r)) - np.searchsorted(r, r) + 1
+        kept = rank <= k
+        r, c = r[kept], c[kept]
+        parts.append((own[r], rank[kept], others[c], far[r, c]))
+    return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, int),) * 3 + (np.zeros(0),)
+
+
+def _codes(pos: pa.ChunkedArray) -> np.ndarray:
+    return pc.rank(pos.combine_chunks() if isinstance(pos, pa.ChunkedArray) else pos, tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+def _ranked(table: pa.Table, by: list[str], code: np.ndarray, parts: list[tuple]) -> pa.Table:
+    row, rank, other, far = (np.concatenate(p) for p in zip(*parts)) if parts else ((np.zeros(0, int),) * 3 + (np.zeros(0),))
+    out = table.select([*by, "pos"]).take(pa.array(row, pa.int64())).append_column("rank", pa.array(rank, pa.int32()))
+    return out.append_column("other", table.column("pos").take(pa.array(other, pa.int64()))).append_column("distance", pa.array(far, pa.float64()))
+
+
+def _runs(groups: np.ndarray) -> list[np.ndarray]:
+    return np.split(np.arange(len(groups)), np.flatnonzero(np.diff(groups)) + 1)
+
+
 def nearest(points: DataFrame, by: list[str], k: int, crowd: int = 64) -> DataFrame:
     """(by, pos, rank, other, distance): the k nearest other points (by, pos, cx, cy) of each, ties by `pos`; fewer where a group has fewer.
 
-    In each round a point looks at its own cell and the eight around it, and counts only what is nearer than that block's edge; a point that has k such
-    neighbours is settled, the others go on with cells twice as wide. The first cells hold about as many points as make most settle, and no cell
-    over `crowd` distinct places; of one place only the k + 1 first points can be neighbours of any. Points without coordinates are left out.
+    Many small groups are folded in a call after one shuffle; large ones are cut by cells (`_nearest_by_cells`). Points without coordinates are left out.
     """
-    spark = points.sparkSession
     known = points.where("pos is not null and cx is not null and cy is not null").select(*by, "pos", F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
-    known = written(known, "points")
+    kinds = dict(known.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*by, "pos")) + f", rank int, other {kinds['pos']}, distance double"
+    small, large = parted(known, by)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        x, y, code = numbers(table, "cx"), numbers(table, "cy"), _codes(table.column("pos"))
+        return _ranked(table, by, code, [_nearest_of(own, own, x, y, code, k, None) for own in _runs(groups)])
+
+    parts = [] if small is None else [fold_groups(small, by, fold, schema)]
+    return reduce(DataFrame.unionByName, parts + ([] if large is None else [_nearest_by_cells(large, by, k, crowd, schema)]))
+
+
+def _nearest_by_cells(known: DataFrame, by: list[str], k: int, crowd: int, schema: str) -> DataFrame:
+    """In each round a point looks at its own cell and the eight around it, and counts only what is nearer than that block's edge; a point that has k such
+    neighbours is settled, the others go on with cells twice as wide. A point asks in its cell only, where the points of the eight around it are sent to, and
+    only what is found leaves the task. The first cells hold about as many points as make most settle, and no cell over `crowd` distinct places; of one place
+    only the k + 1 first points can be neighbours of any, and points after them have the first k for theirs.
+    """
     first = Window.partitionBy(*by, "cx", "cy").orderBy("pos")
-    others = written(known.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= k + 1).drop("__n"), "others")
+    firsts = F.array(*(F.nth_value("pos", i).over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for i in range(1, k + 1)))
+    known = written(known.select("*", F.row_number().over(first).alias("__n"), firsts.alias("__firsts")).withColumn("__firsts", F.when(F.col("__n") > k + 1, F.col("__firsts"))), "points")
+    others = known.where(F.col("__n") <= k + 1).select(*by, "pos", "cx", "cy")
+    behind = known.where(F.col("__n") > k + 1).select(*by, "pos", F.posexplode("__firsts").alias("rank", "other")).select(*by, "pos", (F.col("rank") + 1).alias("rank"), "other", F.lit(0.0).alias("distance"))
     extents = others.groupBy(*by).agg(F.count("*").alias("n"), (F.max("cx") - F.min("cx")).alias("w"), (F.max("cy") - F.min("cy")).alias("h"))
     n, side, widest = extents.agg(F.sum("n"), F.expr("sum(n * sqrt(greatest(w * h, 0) / n)) / sum(n)"), F.max(F.greatest("w", "h"))).first()
-    side = (side or 1.0) * (2 * k / 3.14159) ** 0.5 or 1.0
+    side = (side or 1.0) * 2 * (2 * k / 3.14159) ** 0.5 or 1.0
     for _ in range(60):
         places = others.select(*by, _cell(F.col("cx"), F.lit(side)).alias("gx"), _cell(F.col("cy"), F.lit(side)).alias("gy")).groupBy(*by, "gx", "gy").count()
         if (places.agg(F.max("count")).first()[0] or 0) <= crowd * (k + 1):
             break
         side /= 2
-    asking, found = known, []
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        x, y, code, asks, edge = (*(numbers(table, c) for c in ("cx", "cy")), _codes(table.column("pos")), numbers(table, "asks"), numbers(table, "edge"))
+        runs = [(own[asks[own]], own[~asks[own]]) for own in _runs(groups)]
+        return _ranked(table, by, code, [_nearest_of(a, o, x, y, code, k, edge) for a, o in runs if len(a) and len(o)])
+
+    asking, found = others, [behind]
     while True:
         last, s = side > (widest or 0.0), F.lit(side)
-        near = others.select(*by, F.col("pos").alias("other"), F.col("cx").alias("ox"), F.col("cy").alias("oy"), _cell(F.col("cx"), s).alias("gx"), _cell(F.col("cy"), s).alias("gy"))
         x, y = _cell(F.col("cx"), s), _cell(F.col("cy"), s)
         edge = F.least(F.col("cx") - (x - 1) * s, (x + 2) * s - F.col("cx"), F.col("cy") - (y - 1) * s, (y + 2) * s - F.col("cy"))
-        asked = asking.withColumn("edge", F.lit(float("inf")) if last else edge).withColumn("gx", F.explode(F.sequence(x - 1, x + 1))).withColumn("gy", F.explode(F.sequence(y - 1, y + 1)))
-        far = F.sqrt((F.col("cx") - F.col("ox")) * (F.col("cx") - F.col("ox")) + (F.col("cy") - F.col("oy")) * (F.col("cy") - F.col("oy")))
-        pairs = asked.join(near, [*by, "gx", "gy"]).where("pos <> other").withColumn("distance", far).where(F.col("distance") < F.col("edge"))
-        ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "pos").orderBy("distance", "other"))).where(F.col("rank") <= k)
-        ranked = written(ranked.select(*by, "pos", "rank", "other", "distance"), "ranked")
+        asked = asking.select(*by, "pos", "cx", "cy", x.alias("gx"), y.alias("gy"), F.lit(True).alias("asks"), (F.lit(float("inf")) if last else edge).alias("edge"))
+        near = others.withColumn("gx", F.explode(F.sequence(x - 1, x + 1))).select("*", F.explode(F.sequence(y - 1, y + 1)).alias("gy"), F.lit(False).alias("asks"), F.lit(0.0).alias("edge"))
+        if found[1:]:  # few points are left, and only what is near them is sent
+            near = near.join(asked.select(*by, "gx", "gy").distinct(), [*by, "gx", "gy"], "left_semi")
+        ranked = written(fold_groups(asked.unionByName(near), [*by, "gx", "gy"], fold, schema), "ranked")
         if last:
             found.append(ranked)
             break
@@ -146,10 +212,7 @@ def nearest(points: DataFrame, by: list[str], k: int, crowd: int = 64) -> DataFr
         if asking.isEmpty():
             break
         side *= 2
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+    return reduce(DataFrame.unionByName, found)
 
 
 def nearest_boxes(boxes: DataFrame, by: list[str], k: int) -> DataFrame:

@@ -82,6 +82,20 @@ def test_nearest_equal_brute_force(spark):
     assert spatial.nearest(df.limit(0), ["g"], 4).count() == 0
 
 
+def test_nearest_shuffle_no_pairs(spark, monkeypatch):
+    """Small groups take one shuffle and no join; cells take the same rows, with places of many points and far strays."""
+    from fieldloom.operators import grouped
+
+    rng = np.random.default_rng(5)
+    spots = np.concatenate([rng.integers(0, 6, (90, 2)), rng.integers(0, 900, (40, 2)), np.full((60, 2), 3), [[10**6, 1]]]).astype(float)
+    rows = [(g, int(p), float(x), float(y)) for g in (0, 1) for p, (x, y) in zip(rng.permutation(len(spots)), spots)]
+    df = spark.createDataFrame(rows, "g int, pos long, cx double, cy double")
+    for whole in (1024, 0):
+        monkeypatch.setattr(grouped, "WHOLE", whole)
+        got = spatial.nearest(df, ["g"], 3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert whole == 0 or "MapInArrow" in plan and "Join" not in plan and "Window" not in plan
+        assert sorted((r.g, r.pos, r.rank, r.other, r.distance) for r in got.collect()) == nearest_by_brute_force(rows, 3)
 
 
 def test_insets_keep_a_margin_from_every_edge(spark):
