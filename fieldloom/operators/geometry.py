@@ -100,10 +100,9 @@ def best_overlaps(truth: DataFrame, found: DataFrame, by: list[str]) -> DataFram
 def greedy_pairs(score: np.ndarray) -> list[tuple[int, int]]:
     """(row, column) pairs by falling score, ties by row then column, each used once, down to scores above 0."""
     out, rows, columns = [], set(), set()
-    for flat in np.argsort(-score, axis=None, kind="stable"):
-        r, c = divmod(int(flat), score.shape[1])
-        if score[r, c] <= 0:
-            break
+    r, c = np.nonzero(score > 0)
+    order = np.argsort(-score[r, c], kind="stable")
+    for r, c in zip(r[order].tolist(), c[order].tolist()):
         if r not in rows and c not in columns:
             out.append((r, c))
             rows.add(r)

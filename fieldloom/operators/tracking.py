@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -46,18 +46,8 @@ class WindowTracker:
     stale_most: int = 5
 
 
-@dataclass
-class _Track:
-    """`depth` is None without any depth in the frame, nan where only this box has none."""
-
-    number: int
-    box: np.ndarray
-    depth: float | None
-    kind: int = MID
-    count: int = 1
-    lost: int = 0
-    active: bool = True
-    moves: list = field(default_factory=list)
+#: A row for each track. `depth` is nan where it is not known; `bare`: the track began in a frame without any depth, and has had none since.
+_TRACK = np.dtype([("number", int), ("box", float, 4), ("depth", float), ("bare", bool), ("kind", int), ("count", int), ("lost", int), ("move", float)])
 
 
 class ClassShifts:
@@ -66,9 +56,10 @@ class ClassShifts:
     def __init__(self, p: WindowTracker):
         self.p, self.means, self.stale = p, [deque(maxlen=p.history) for _ in range(3)], [0, 0, 0]
 
-    def learn(self, tracks: list[_Track]) -> None:
+    def learn(self, tracks: np.ndarray) -> None:
+        telling = tracks[(tracks["count"] > 3) & (tracks["lost"] == 0)]
         for kind, means in enumerate(self.means):
-            last = [t.moves[-1] for t in tracks if t.kind == kind and t.count > 3 and t.lost == 0]
+            last = telling["move"][telling["kind"] == kind]
             if len(last) >= self.p.samples:
                 means.append(float(np.mean(last)))
                 self.stale[kind] = 0
@@ -144,7 +135,7 @@ def match_scores(windows: np.ndarray, boxes: np.ndarray, dets: np.ndarray, track
     centre = lambda b: (b[:, :2] + b[:, 2:]) / 2
     far = np.sqrt(((centre(windows)[:, None] - centre(dets)[None]) ** 2).sum(axis=2))
     total = shape * p.weights[0] + (1 - np.minimum(far / most, 1)) * p.weights[1]
-    if det_depth is not None:
+    if det_depth is not None and p.weights[2]:
         gap = np.abs(track_depth[:, None] - det_depth[None, :])
         known = gap[~np.isnan(gap)]
         spread = known.max() - known.min() if len(known) else 0.0
@@ -152,64 +143,66 @@ def match_scores(windows: np.ndarray, boxes: np.ndarray, dets: np.ndarray, track
     return np.where(windows_meet(windows, dets, p), total / sum(p.weights), 0.0)
 
 
-def _inside(box: np.ndarray, width: int) -> bool:
-    return int(box[2]) > 0 and int(box[0]) < width
-
-
 def track_scan(pdf: pd.DataFrame, p: WindowTracker) -> pd.DataFrame:
     """(frame, pos, track_id) of one scan's detections (frame, pos, box, depth, tx, ty), in frame order.
 
     A frame without a shift moves no window, and lost tracks go on by the last known one. After a shift of over a third of the width nothing is
     followed. A track is lost for good at its `max_losses`-th miss or when it has left the frame.
     """
-    tracks: list[_Track] = []
+    tracks = np.zeros(0, _TRACK)
     shifts, uncoupled, last_tx, last_ty, number, out = ClassShifts(p), 1.0, 0.0, 0.0, 0, []
-    for frame, rows in pdf.sort_values(["frame", "pos", *_BOX]).groupby("frame", sort=True):
-        tx, ty = rows["tx"].iloc[0], rows["ty"].iloc[0]
-        last_tx, last_ty = last_tx if pd.isna(tx) else float(tx), last_ty if pd.isna(ty) else float(ty)
-        tx, ty = 0.0 if pd.isna(tx) else float(tx), 0.0 if pd.isna(ty) else float(ty)
+    for frame, pos, dets, depth, txs, tys in _frames(pdf, "depth", "tx", "ty"):
+        tx, ty = txs[0], tys[0]
+        last_tx, last_ty = last_tx if np.isnan(tx) else float(tx), last_ty if np.isnan(ty) else float(ty)
+        tx, ty = 0.0 if np.isnan(tx) else float(tx), 0.0 if np.isnan(ty) else float(ty)
         most = max(2 * abs(last_tx), p.least_distance) if p.adaptive else p.width
         if max(abs(last_tx), abs(last_ty)) > p.width // 3:  # everything has moved out of reach
-            tracks, last_tx, last_ty = [], 0.0, 0.0
-        dets, depth = rows[_BOX].to_numpy(float), rows["depth"].to_numpy(float)
-        depth = None if np.isnan(depth).all() else depth
-        for t in tracks:
-            t.active = False
-        free = set(range(len(dets)))
-        if tracks:
-            boxes = np.stack([t.box for t in tracks])
+            tracks, last_tx, last_ty = tracks[:0], 0.0, 0.0
+        bare = bool(np.isnan(depth).all())
+        free, missed = np.ones(len(dets), bool), np.ones(len(tracks), bool)
+        if len(tracks):
             kinds, shift = np.full(len(tracks), MID), np.full(len(tracks), tx)
-            if all(t.depth is not None for t in tracks):
-                kinds = box_kinds(boxes, depth, p)
+            if not tracks["bare"].any():
+                kinds = box_kinds(tracks["box"], None if bare else depth, p)
                 if shifts.settled(MID) and uncoupled < p.uncoupled_most:
                     shift = np.array([shifts.of(k) for k in range(3)])[kinds]
-            windows = windows_of(boxes, shift, np.full(len(tracks), ty), kinds, p)
-            known = np.array([np.nan if t.depth is None else t.depth for t in tracks])
-            for r, c in greedy_pairs(match_scores(windows, boxes, dets, known, depth, most, p)):
-                t = tracks[r]
-                t.moves = [*t.moves, t.box[0] - dets[c, 0]][-3:]
-                t.box, t.count, t.lost, t.active, t.kind = dets[c].copy(), t.count + 1, 0, True, int(kinds[r])
-                if depth is not None and not np.isnan(depth[c]):
-                    t.depth = depth[c]
-                free.discard(c)
-                out.append((frame, rows["pos"].iat[c], t.number))
-        uncoupled = len(free) / len(dets)
+            windows = windows_of(tracks["box"], shift, np.full(len(tracks), ty), kinds, p)
+            pairs = greedy_pairs(match_scores(windows, tracks["box"], dets, tracks["depth"], None if bare else depth, most, p))
+            if pairs:
+                r, c = np.array(pairs).T
+                tracks["move"][r] = tracks["box"][r, 0] - dets[c, 0]
+                tracks["box"][r], tracks["lost"][r], tracks["kind"][r] = dets[c], 0, kinds[r]
+                tracks["count"][r] += 1
+                known = ~np.isnan(depth[c])
+                tracks["depth"][r[known]], tracks["bare"][r[known]] = depth[c[known]], False
+                free[c], missed[r] = False, False
+                out.append((np.full(len(r), frame), pos[c], tracks["number"][r]))
+        uncoupled = int(free.sum()) / len(dets)
         shifts.learn(tracks)
-        kept = []
-        for t in tracks:
-            if not t.active:
-                t.lost += 1
-                step = shifts.of(t.kind) if shifts.settled(t.kind) else last_tx
-                t.box = t.box - np.array([step, 0, step, 0])
-                if t.lost >= p.max_losses or not _inside(t.box, p.width):
-                    continue
-            kept.append(t)
-        tracks = kept
-        for c in sorted(free):
-            tracks.append(_Track(number, dets[c].copy(), None if depth is None else depth[c]))
-            out.append((frame, rows["pos"].iat[c], number))
-            number += 1
-    return pd.DataFrame(out, columns=["frame", "pos", "track_id"])
+        if missed.any():
+            step = np.array([shifts.of(k) if shifts.settled(k) else last_tx for k in range(3)])[tracks["kind"]]
+            tracks["lost"] += missed
+            tracks["box"][:, 0::2] -= np.where(missed, step, 0.0)[:, None]
+            seen = (np.trunc(tracks["box"][:, 2]) > 0) & (np.trunc(tracks["box"][:, 0]) < p.width)
+            tracks = tracks[~missed | (tracks["lost"] < p.max_losses) & seen]
+        begun = np.zeros(int(free.sum()), _TRACK)
+        begun["number"], begun["box"], begun["depth"], begun["bare"] = number + np.arange(len(begun)), dets[free], depth[free], bare
+        begun["kind"], begun["count"] = MID, 1
+        tracks, number = np.concatenate([tracks, begun]), number + len(begun)
+        out.append((np.full(len(begun), frame), pos[free], begun["number"]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+    return pd.DataFrame(dict(zip(["frame", "pos", "track_id"], columns)))
+
+
+def _frames(pdf: pd.DataFrame, *figures: str):
+    """(frame, pos, boxes, each of the figures) of each frame of a scan, in order, as arrays."""
+    pdf = pdf[pdf["frame"].notna()].sort_values(["frame", "pos", *_BOX])
+    frame, pos, dets = pdf["frame"].to_numpy(), pdf["pos"].to_numpy(), pdf[_BOX].to_numpy(float)
+    more = [pdf[c].to_numpy(float) for c in figures]
+    cuts = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(frame)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield frame[a], pos[a:b], dets[a:b], *(m[a:b] for m in more)
 
 
 def window_tracks(detections: DataFrame, by: list[str], params: WindowTracker = WindowTracker()) -> DataFrame:
@@ -328,13 +321,16 @@ def _hungarian(cost: np.ndarray, most: float) -> list[tuple[int, int]]:
 
 
 def _measured(b: np.ndarray) -> np.ndarray:
-    w, h = b[2] - b[0], max(b[3] - b[1], 1e-6)
-    return np.array([(b[0] + b[2]) / 2, (b[1] + b[3]) / 2, w / h, h])
+    """Of one box or of many at once."""
+    w, h = b[..., 2] - b[..., 0], np.maximum(b[..., 3] - b[..., 1], 1e-6)
+    return np.stack([(b[..., 0] + b[..., 2]) / 2, (b[..., 1] + b[..., 3]) / 2, w / h, h], axis=-1)
 
 
-def _boxed(mean: np.ndarray) -> np.ndarray:
-    w = mean[2] * mean[3]
-    return np.array([mean[0] - w / 2, mean[1] - mean[3] / 2, mean[0] + w / 2, mean[1] + mean[3] / 2])
+def _boxed(means: np.ndarray) -> np.ndarray:
+    """Of many means at once."""
+    x, y, h = means[:, 0], means[:, 1], means[:, 3]
+    w = means[:, 2] * h
+    return np.stack([x - w / 2, y - h / 2, x + w / 2, y + h / 2], axis=1)
 
 
 def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
@@ -349,14 +345,14 @@ def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
         common = overlaps(boxes, others)
         return 1 - common / np.maximum(_sizes(boxes)[:, None] + _sizes(others)[None] - common, 1e-9)
 
-    placed = lambda own: np.stack([_boxed(t["mean"]) for t in own])
+    placed = lambda own: _boxed(np.array([t["mean"] for t in own]))
 
-    for frame, rows in pdf.sort_values(["frame", "pos", *_BOX]).groupby("frame", sort=True):
+    for frame, pos, dets, score in _frames(pdf, "score"):
         first = frame if first is None else first
-        dets, score = rows[_BOX].to_numpy(float), rows["score"].to_numpy(float)
+        measured = _measured(dets)
         sure = [t for t in tracks if t["sure"]]
         if sure:
-            for t, mean, cov in zip(sure, *kalman.predict(np.stack([t["mean"] for t in sure]), np.stack([t["cov"] for t in sure]))):
+            for t, mean, cov in zip(sure, *kalman.predict(np.array([t["mean"] for t in sure]), np.array([t["cov"] for t in sure]))):
                 t["mean"], t["cov"] = mean, cov
         strong, weak = np.flatnonzero(score > p.strong), np.flatnonzero((score <= p.strong) & (score > p.weak))
 
@@ -367,13 +363,13 @@ def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
             cost = distance(placed(own), dets[part])
             cost = 1 - (1 - cost) * score[part] if fused else cost
             if p.gated:
-                moved = kalman.distances(np.stack([t["mean"] for t in own]), np.stack([t["cov"] for t in own]), np.stack([_measured(d) for d in dets[part]]), p.centre_only)
+                moved = kalman.distances(np.array([t["mean"] for t in own]), np.array([t["cov"] for t in own]), measured[part], p.centre_only)
                 cost = np.where(moved > GATES[2 if p.centre_only else 4], np.inf, p.looks * cost + (1 - p.looks) * moved)
             pairs = assignment(cost, most)
             for r, c in pairs:
                 t, d = own[r], part[c]
-                t["mean"], t["cov"] = kalman.update(t["mean"], t["cov"], _measured(dets[d]))
-                t.update(seen=frame, pos=rows["pos"].iat[d], sure=True, lost=False)
+                t["mean"], t["cov"] = kalman.update(t["mean"], t["cov"], measured[d])
+                t.update(seen=frame, pos=pos[d], sure=True, lost=False)
             return np.delete(part, [c for _, c in pairs])
 
         once = [t for t in tracks if not t["sure"]]
@@ -381,8 +377,8 @@ def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
         matched([t for t in tracks if t["sure"] and not t["lost"] and t["seen"] != frame], weak, p.second_most, False)
         left = matched(once, left, p.unconfirmed_most, p.fused)
         for d in left:
-            mean, cov = kalman.begin(_measured(dets[d]))
-            tracks.append({"id": number, "mean": mean, "cov": cov, "start": frame, "seen": frame, "pos": rows["pos"].iat[d], "sure": frame == first, "lost": False})
+            mean, cov = kalman.begin(measured[d])
+            tracks.append({"id": number, "mean": mean, "cov": cov, "start": frame, "seen": frame, "pos": pos[d], "sure": frame == first, "lost": False})
             number += 1
         tracks = [t for t in tracks if frame - t["seen"] <= p.buffer and (t["sure"] or t["seen"] == frame)]
         for t in tracks:

@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from fieldloom.operators import tracking
 from fieldloom.operators.tracking import WindowTracker, track_scan, window_tracks
 from fieldloom.plans import stateful
 
@@ -248,3 +249,23 @@ def test_random_scans_agree_with_the_plain_version(seed):
     got = track_scan(pdf, p)
     assert sorted(zip(got.frame, got.pos, got.track_id)) == plain(pdf, p)
     assert got.track_id.nunique() < len(got) / 3
+
+
+def test_figures_are_told_by_frame_not_by_track(monkeypatch):
+    """Shifts of classes and measured boxes are worked out once a frame, however many tracks and boxes there are."""
+    rng, calls = np.random.default_rng(6), {"of": 0, "measured": 0}
+    corner = rng.uniform(0, 1200, (20 * 60, 2))
+    rows = pd.DataFrame({"frame": np.repeat(range(20), 60), "pos": range(1200), "x1": corner[:, 0], "y1": corner[:, 1], "x2": corner[:, 0] + 30, "y2": corner[:, 1] + 30, "depth": 1.0, "score": 0.9, "tx": 25.0, "ty": 0.0})
+
+    def counted(name, of):
+        def call(*a):
+            calls[name] += 1
+            return of(*a)
+
+        return call
+
+    monkeypatch.setattr(tracking.ClassShifts, "of", counted("of", tracking.ClassShifts.of))
+    monkeypatch.setattr(tracking, "_measured", counted("measured", tracking._measured))
+    assert len(tracking.track_scan(rows, tracking.WindowTracker(uncoupled_most=1.1))) == 1200
+    tracking.two_stage_scan(rows, tracking.TwoStageTracker(gated=True))
+    assert 0 < calls["of"] <= 6 * 20 and calls["measured"] == 20
