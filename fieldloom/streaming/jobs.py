@@ -100,6 +100,13 @@ def sessions(events: DataFrame, gap: str, late: str = "0 seconds") -> DataFrame:
     return runs.select("user_id", F.col("started").cast("timestamp_ntz").alias("started"), "n")
 
 
+def in_order(parts: Iterator[pd.DataFrame], *columns: str) -> list[tuple]:
+    """The values of a key's rows by (us, event_id), unknown ones last. A key has few rows, so that tables of pandas would cost more than the rows."""
+    names = ["us", "event_id", *columns]
+    rows = [r for p in parts for r in zip(*(p[c].tolist() for c in names))]
+    return sorted(rows, key=lambda r: (r[0] != r[0], r[0], r[1] != r[1], r[1]))
+
+
 def nearest_merge(events: DataFrame, left: str, right: str) -> DataFrame:
     """(user_id, event_id, other, gap_us): each left event with the right one nearest in time, the later of equals, once a right event follows it.
 
@@ -109,8 +116,7 @@ def nearest_merge(events: DataFrame, left: str, right: str) -> DataFrame:
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ids, times, last = (list(x) for x in state.get) if state.exists else ([], [], [])
         out = []
-        rows = pd.concat(list(parts)).sort_values(["us", "event_id"])
-        for kind, ident, at in zip(rows["event_type"], rows["event_id"].tolist(), rows["us"].tolist()):
+        for at, ident, kind in in_order(parts, "event_type"):
             if kind == left:
                 ids.append(ident)
                 times.append(at)
@@ -120,7 +126,8 @@ def nearest_merge(events: DataFrame, left: str, right: str) -> DataFrame:
                 out.append((key[0], i, last[0] if back else ident, t - last[1] if back else at - t))
             ids, times, last = [], [], [ident, at]
         state.update((ids, times, last))
-        yield pd.DataFrame(out, columns=["user_id", "event_id", "other", "gap_us"])
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "event_id", "other", "gap_us"])
 
     kept = events.where(F.col("event_type").isin(left, right)).select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
     return kept.groupBy("user_id").applyInPandasWithState(step, "user_id long, event_id long, other long, gap_us long", "ids array<long>, times array<long>, last array<long>", "append", GroupStateTimeout.NoTimeout)
@@ -132,13 +139,13 @@ def releases(events: DataFrame, failed: str, most: int) -> DataFrame:
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         run = state.get[0] if state.exists else 0
         out = []
-        rows = pd.concat(list(parts)).sort_values(["us", "event_id"])
-        for bad, ident in zip(rows["bad"].tolist(), rows["event_id"].tolist()):
+        for _, ident, bad in in_order(parts, "bad"):
             run = run + 1 if bad else 0
             if run == most + 1:
                 out.append((key[0], ident))
         state.update((run,))
-        yield pd.DataFrame(out, columns=["user_id", "event_id"])
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "event_id"])
 
     kept = events.where(F.col("event_type") != CLOSE).select("user_id", "event_id", F.expr(failed).alias("bad"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
     return kept.groupBy("user_id").applyInPandasWithState(step, "user_id long, event_id long", "run long", "append", GroupStateTimeout.NoTimeout)

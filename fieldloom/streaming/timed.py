@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from .jobs import CLOSE
+from .jobs import CLOSE, in_order
 
 #: Microseconds.
 DAY = 86_400_000_000
@@ -30,12 +30,10 @@ class _Timed(StatefulProcessor):
         self.value = handle.getValueState("value", f"due long, {self.state}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        got = self.value.get() if self.value.exists() else None
+        got = self.value.get()  # each call of the state is a message to the engine and back
         due, now, out = (got[0], tuple(got[1:]), []) if got else (None, None, [])
         timer = due
-        parts = [p for p in rows]
-        whole = pd.concat(parts).sort_values(["us", "event_id"])
-        for kind, ident, at in zip(whole["event_type"].tolist(), whole["event_id"].tolist(), whole["us"].tolist()):
+        for at, ident, kind in in_order(rows, "event_type"):
             if kind == CLOSE:
                 continue
             if now is not None and at > due:
@@ -44,7 +42,8 @@ class _Timed(StatefulProcessor):
             now, due = self.row(key[0], now, kind, ident, at, out)
         if now is None:
             due = None
-            self.value.clear()
+            if got:
+                self.value.clear()
         else:
             self.value.update((due, *now))
         if due != timer:
@@ -52,15 +51,16 @@ class _Timed(StatefulProcessor):
                 self.handle.deleteTimer(timer // 1000 + 1)
             if due is not None:
                 self.handle.registerTimer(due // 1000 + 1)
-        yield pd.DataFrame(out, columns=self.columns)
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        out = []
-        if self.value.exists():
-            got = self.value.get()
-            out = self.over(key[0], tuple(got[1:]), got[0])
+        got = self.value.get()
+        out = self.over(key[0], tuple(got[1:]), got[0]) if got else []
+        if got:
             self.value.clear()
-        yield pd.DataFrame(out, columns=self.columns)
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass

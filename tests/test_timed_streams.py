@@ -113,3 +113,17 @@ def test_batches_are_written_by_many_tasks_and_read_in_order(spark):
     spans = rows.groupBy("batch").agg({"ts": "min"}).orderBy("batch").collect()
     assert [s[1] for s in spans] == sorted(s[1] for s in spans)
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_a_key_that_says_nothing_costs_little(monkeypatch):
+    """No table of pandas is made for a key's rows, none is given back empty, and the state is asked once a batch."""
+    calls, handle = [], Handle()
+    monkeypatch.setattr(Handle, "exists", lambda self: calls.append("exists") or self.held is not None)
+    monkeypatch.setattr(Handle, "clear", lambda self: calls.append("clear"))
+    monkeypatch.setattr(pd, "concat", None)
+    processor = timed.MarkedSessions(["start"], ["stop"], 10 * S)
+    processor.init(handle)
+    rows = pd.DataFrame([("other", 2, 2 * S), ("other", 1, S)], columns=["event_type", "event_id", "us"])
+    assert list(processor.handleInputRows((7,), iter([rows]), None)) == [] and not calls and not handle.timers
+    assert list(processor.handleExpiredTimer((7,), None, None)) == [] and not calls
+    assert jobs.in_order(iter([rows]), "event_type") == [(S, 1, "other"), (2 * S, 2, "other")]
