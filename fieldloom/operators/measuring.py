@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .grouped import fold_groups, near_pairs, numbers
+
 
 def real_size(boxes: DataFrame, focal: float) -> DataFrame:
     """Width and height in the units of depth, by the pinhole model; boxes without depth have none."""
@@ -77,36 +80,51 @@ def ellipsoids(points: DataFrame, by: list[str]) -> DataFrame:
     return sums.mapInPandas(solve, ", ".join(f"{c} {kinds[c]}" for c in by) + ", cx double, cy double, cz double, rx double, ry double, rz double")
 
 
+def greedy_states(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float], most: int = 100) -> DataFrame:
+    """(by, class, pos, score, counts, hits): found boxes of a frame, by falling score, each take the best true box of their class that is free and overlaps enough.
+
+    Bit t of `hits` (long) is for the threshold of that place; in `counts` all are set. Boxes are shuffled once; a call takes many frames.
+    """
+    key, limits, cells = [*by, "class"], [float(t) for t in thresholds], len(thresholds)
+    if cells > 63:
+        raise ValueError("at most 63 thresholds have a bit")
+    side = lambda boxes, score, true: boxes.select(*key, "pos", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")), score.cast("double").alias("score"), F.lit(true).alias("true"))
+    rows = side(truth.dropna(subset=key), F.lit(None), True).unionByName(side(found, F.col("score"), False))
+    kinds = dict(rows.dtypes)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        x1, y1, x2, y2, pos, score = (numbers(table, c) for c in ("x1", "y1", "x2", "y2", "pos", "score"))
+        true, size = numbers(table, "true").astype(bool), (x2 - x1) * (y2 - y1)
+        own = np.flatnonzero(~true)
+        own = own[np.lexsort((pos[own], -score[own], groups[own]))]
+        rank = np.arange(len(own)) - np.searchsorted(groups[own], groups[own])
+        own = own[rank < most]
+        place = np.full(len(pos), -1)
+        place[own] = np.arange(len(own))
+        i, j = near_pairs(groups, x1, x2, lambda i, j: (true[i] != true[j]) & (np.minimum(y2[i], y2[j]) > np.maximum(y1[i], y1[j])) & (np.minimum(x2[i], x2[j]) > np.maximum(x1[i], x1[j])))
+        f, t = np.where(true[i], j, i), np.where(true[i], i, j)
+        common = (np.minimum(x2[f], x2[t]) - np.maximum(x1[f], x1[t])) * (np.minimum(y2[f], y2[t]) - np.maximum(y1[f], y1[t]))
+        overlap = common / (size[f] + size[t] - common)
+        kept = (place[f] >= 0) & (overlap >= min(limits))
+        f, t, overlap = place[f[kept]], t[kept], overlap[kept]
+        order = np.lexsort((pos[t], -overlap, f))
+        hits, taken = np.zeros(len(own), np.int64), {}
+        for d, true_box, share in zip(f[order].tolist(), t[order].tolist(), overlap[order].tolist()):
+            # The best comes first: a threshold is met by the first box that is free at it.
+            bits = sum(1 << k for k, limit in enumerate(limits) if share >= limit) & ~taken.get(true_box, 0) & ~int(hits[d])
+            hits[d] |= bits
+            taken[true_box] = taken.get(true_box, 0) | bits
+        out = table.select([*key, "pos", "score"]).take(pa.array(own, pa.int64()))
+        return out.append_column("counts", pa.array(np.full(len(own), (1 << cells) - 1, np.int64))).append_column("hits", pa.array(hits))
+
+    return fold_groups(rows, key, fold, ", ".join(f"{c} {kinds[c]}" for c in (*key, "pos")) + ", score double, counts long, hits long")
+
+
 def greedy_hits(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float], most: int = 100) -> DataFrame:
-    """(by, class, score, pos, threshold, hit), `by` ending in the frame: found boxes of a frame, by falling score, each take the best true box of their class that is free and overlaps enough."""
-    from .geometry import cross_pairs, iou
-
-    ranked = found.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "class").orderBy(F.col("score").desc(), "pos"))).where(F.col("__r") <= most).drop("__r")
-    met = cross_pairs(ranked, truth, [*by, "class"]).select(*by, "class", F.col("a.pos").alias("pos"), F.col("b.pos").alias("gt"), iou("a", "b", False, False).alias("iou"))
-    pairs = ranked.select(*by, "class", "pos", "score").join(met, [*by, "class", "pos"], "left").withColumn("iou", F.coalesce("iou", F.lit(0.0)))
-    kinds, scan, frame = dict(pairs.dtypes), by[:-1], by[-1]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in [*scan, "class", frame]) + ", pos long, score double, threshold double, hit int"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        options: dict = {}
-        for f, pos, score, gt, overlap in zip(*(pdf[c].tolist() for c in (frame, "pos", "score", "gt", "iou"))):
-            own = options.setdefault((f, -score, int(pos)), [])
-            if overlap > 0 and gt == gt:
-                own.append((-overlap, gt))
-        out = []
-        for t in thresholds:
-            taken: set = set()
-            for f, less, pos in sorted(options):
-                best = min((o for o in options[f, less, pos] if -o[0] >= t and (f, o[1]) not in taken), default=None)
-                if best:
-                    taken.add((f, best[1]))
-                out.append((f, pos, -less, float(t), int(best is not None)))
-        rows = pd.DataFrame(out, columns=[frame, "pos", "score", "threshold", "hit"])
-        for c in [*scan, "class"]:
-            rows[c] = pdf[c].iloc[0]
-        return rows[[*scan, "class", frame, "pos", "score", "threshold", "hit"]]
-
-    return pairs.groupBy(*scan, "class").applyInPandas(run, schema)
+    """(by, class, pos, score, threshold, hit): a row for each threshold; see `greedy_states`."""
+    steps = F.explode(F.array(*(F.struct(F.lit(float(t)).alias("threshold"), F.lit(1 << k).cast("long").alias("bit")) for k, t in enumerate(thresholds))))
+    each = greedy_states(truth, found, by, thresholds, most).withColumn("step", steps)
+    return each.select(*by[:-1], "class", by[-1], "pos", "score", "step.threshold", (F.col("hits").bitwiseAND(F.col("step.bit")) != 0).cast("int").alias("hit"))
 
 
 def recall_point_precision(hits: DataFrame, truth: DataFrame, points: int = 101) -> DataFrame:
@@ -118,6 +136,16 @@ def recall_point_precision(hits: DataFrame, truth: DataFrame, points: int = 101)
     return point_precision(hits.join(total, "class"), ["class", "threshold"], [F.col("score").desc(), *(F.col(c) for c in ["pos", *(n for n in names if n != "pos")])], points)
 
 
+def greedy_precision(truth: DataFrame, found: DataFrame, by: list[str], thresholds: list[float], points: int = 101) -> DataFrame:
+    """`recall_point_precision` of `greedy_hits`; a found box is one row for all thresholds."""
+    from .scans import curve_figures
+
+    order = [F.col("score").desc(), F.col("pos"), *(F.col(c) for c in by)]
+    n_true = truth.groupBy("class").agg(F.array_repeat(F.count("*"), len(thresholds)).alias("n_true"))
+    cells = curve_figures(greedy_states(truth, found, by, thresholds), ["class"], order, n_true, len(thresholds), points)
+    return cells.select("class", F.get(F.array(*(F.lit(float(t)) for t in thresholds)), F.col("cell")).alias("threshold"), "ap")
+
+
 def keypoint_similarity(pairs: DataFrame, variance: float) -> DataFrame:
     """`oks` of arrays of true and found points (x, y) and an object's area: the mean of exp(-d² / (2 area (2 variance)²))."""
     each = F.zip_with("truth", "found", lambda a, b: F.exp(-(F.pow(a["x"] - b["x"], 2) + F.pow(a["y"] - b["y"], 2)) / (2 * F.col("area") * (2 * variance) ** 2)))

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from fieldloom.operators import folds, geometry, grouped
+from fieldloom.operators import folds, geometry, grouped, measuring
 
 
 def test_groups_are_whole_however_batches_cut_them():
@@ -60,3 +60,28 @@ def test_clusters_take_many_groups_a_call(spark, monkeypatch):
             clusters.append(around) if home is None else home.update(around)
         want += sorted((f, p, c) for p, c in {p: c for c, members in enumerate(clusters) for p in members}.items())
     assert got == want and want[-2:] == [(300, 9003, 1), (300, 9004, 1)]
+
+
+def test_greedy_hits_meet_without_a_join(spark):
+    rng, limits = np.random.default_rng(7), [0.1, 0.3, 0.5]
+    boxes = [(k % 40, int(c), k, *map(int, b), *map(int, b + s), float(v)) for k, (c, b, s, v) in enumerate(zip(rng.integers(0, 2, 2400), rng.integers(0, 60, (2400, 2)), rng.integers(8, 30, (2400, 2)), rng.integers(0, 9, 2400)))]
+    df = spark.createDataFrame([*boxes, (0, None, 9000, 1, 1, 9, 9, 1.0), (0, None, 9001, 1, 1, 9, 9, 1.0)], "frame long, class long, pos long, x1 long, y1 long, x2 long, y2 long, score double")
+    truth, found = df.where("(pos div 40) % 2 = 0"), df.where("(pos div 40) % 2 = 1")
+    states = measuring.greedy_states(truth, found, ["frame"], limits, most=12)
+    assert "Join" not in states._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.frame, r["class"], r.pos, r.threshold, r.hit) for r in measuring.greedy_hits(truth, found, ["frame"], limits, most=12).where("class is not null").collect())
+    want = []
+    area = lambda b: (b[5] - b[3]) * (b[6] - b[4])
+    for f, c in {b[:2] for b in boxes}:
+        own = [b for b in boxes if b[:2] == (f, c)]
+        ranked = sorted((b for b in own if b[2] // 40 % 2), key=lambda b: (-b[7], b[2]))[:12]
+        for t in limits:
+            taken = set()
+            for b in ranked:
+                common = {g[2]: max(min(b[5], g[5]) - max(b[3], g[3]), 0) * max(min(b[6], g[6]) - max(b[4], g[4]), 0) / 1.0 for g in own if g[2] // 40 % 2 == 0}
+                shares = {g[2]: common[g[2]] / (area(b) + area(g) - common[g[2]]) for g in own if g[2] in common}
+                best = min(((-s, p) for p, s in shares.items() if s >= t and p not in taken), default=None)
+                taken |= {best[1]} if best else set()
+                want.append((f, c, b[2], t, int(best is not None)))
+    assert got == sorted(want) and 100 < sum(w[4] for w in want) < len(want)
+    assert measuring.greedy_precision(truth, found, ["frame"], limits).count() == 6
