@@ -88,6 +88,12 @@ def numbers(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).to_numpy()
 
 
+def ranked(table: pa.Table, column: str) -> np.ndarray:
+    """The place of each row's value among the different ones of the table, from 0; -1 for a null."""
+    values = table.column(column).combine_chunks()
+    return np.where(values.is_valid().to_numpy(zero_copy_only=False), pc.rank(values, "ascending", tiebreaker="dense").to_numpy().astype(np.int64) - 1, -1)
+
+
 def near_steps(groups: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(i, j) of the rows of one group whose open intervals (low, high) meet, each pair once, in parts of no more pairs than there are rows.
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import written
-from .grouped import fold_groups, numbers
+from .grouped import fold_groups, near_pairs, numbers, ranked
 from .scans import curve_figures, precision_curve, recall_points
 
 #: The usual area classes, in pixels, both bounds included.
@@ -45,66 +46,167 @@ def optimal_pairs(gain: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[c]), c) for c in range(m) if owner[c] >= 0)
 
 
+def most_pairs(gain: dict) -> dict:
+    """left to right of as many of the pairs {(left, right): gain} as can be, with the greatest total gain; gains are in [0, 1], and no side is used twice.
+
+    Only pairs that share a side, directly or by others, are settled together.
+    """
+    rights, lefts, out, seen = defaultdict(list), defaultdict(list), {}, set()
+    for a, b in gain:
+        rights[a].append(b)
+        lefts[b].append(a)
+    for a, own in rights.items():
+        if len(own) == 1 and len(lefts[own[0]]) == 1:
+            out[a] = own[0]
+            continue
+        if a in seen:
+            continue
+        tied, open_ = {a}, [a]
+        while open_:
+            for b in rights[open_.pop()]:
+                more = [c for c in lefts[b] if c not in tied]
+                tied.update(more)
+                open_ += more
+        seen |= tied
+        rows, columns = sorted(tied), sorted({b for c in tied for b in rights[c]})
+        n = sum(len(rights[c]) for c in rows)
+        # A pair counts for more than any sum of gains, so that the number of pairs comes first.
+        table = np.array([[n + 1 + gain[r, c] if (r, c) in gain else 0.0 for c in columns] for r in rows])
+        out |= {rows[r]: columns[c] for r, c in optimal_pairs(table) if table[r, c] > 0}
+    return out
+
+
+#: Sides of `sided_pairs`.
+TRUE, FOUND, IGNORED = 0, 1, 2
+_BOX = ["x1", "y1", "x2", "y2"]
+
+
+def _side(boxes: DataFrame, by: list[str], side: int, name: str | None) -> DataFrame:
+    """`boxes` as rows of `sided_pairs`; boxes of which no place is asked may have no pos."""
+    pos = F.col("pos") if "pos" in boxes.columns else F.lit(None)
+    identity = F.lit(None) if name is None else F.col(name)
+    return boxes.select(*by, F.lit(side).alias("side"), identity.cast("double").alias("id"), pos.cast("long").alias("pos"), *(F.col(c).cast("double").alias(c) for c in _BOX))
+
+
+def _shared(table: pa.Table, by: list[str], groups: np.ndarray, side: np.ndarray, limits: list[float], corners: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, iou) of the rows i of another side and j found of one group whose overlap reaches the limit of i's side. Rows with a null in `by` meet none."""
+    x1, y1, x2, y2 = (numbers(table, c).astype(float) for c in corners)
+    known = np.logical_and.reduce([table.column(c).is_valid().to_numpy() for c in by])
+    x1, size = np.where(known, x1, np.nan), (x2 - x1) * (y2 - y1)
+
+    def overlap(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        common = np.clip(np.minimum(x2[i], x2[j]) - np.maximum(x1[i], x1[j]), 0, None) * np.clip(np.minimum(y2[i], y2[j]) - np.maximum(y1[i], y1[j]), 0, None)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return common / (size[i] + size[j] - common)
+
+    least = np.array(limits)
+
+    def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        hit = (side[i] == FOUND) != (side[j] == FOUND)
+        i, j = i[hit], j[hit]
+        hit[hit] = overlap(i, j) >= least[np.where(side[i] == FOUND, side[j], side[i])]
+        return hit
+
+    i, j = near_pairs(groups, x1, x2, test)
+    i, j = np.where(side[i] == FOUND, j, i), np.where(side[i] == FOUND, i, j)
+    return i, j, overlap(i, j)
+
+
+def _codes(*columns: np.ndarray) -> np.ndarray:
+    """A number for each row, the same for rows that agree, in their order."""
+    return np.unique(np.stack(columns, axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+
+
+def _gone(groups: np.ndarray, pos: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Which rows are found boxes that a box to be ignored is assigned to."""
+    place, gain = _codes(groups, pos), {}
+    for a, b, v in zip(place[i].tolist(), place[j].tolist(), shared.tolist()):
+        gain[a, b] = max(v, gain.get((a, b), 0.0))
+    return (side == FOUND) & np.isin(place, list(most_pairs(gain).values()))
+
+
+def sided_pairs(boxes: DataFrame, by: list[str], least_iou: float, ignored_iou: float = 0.5) -> DataFrame:
+    """`track_pairs` of one table of boxes (by, side, id, pos, x1, y1, x2, y2) of the sides TRUE, FOUND and IGNORED, after `without_ignored`.
+
+    Boxes are shuffled once, and a call takes many frames.
+    """
+    kinds = dict(boxes.dtypes)
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        side, ids = numbers(table, "side"), table.column("id").combine_chunks()
+        i, j, shared = _shared(table, by, groups, side, [least_iou, 0.0, ignored_iou], _BOX)
+        kept = side != IGNORED
+        drop = side[i] == IGNORED
+        if drop.any():
+            gone = _gone(groups, numbers(table, "pos"), side, i[drop], j[drop], shared[drop])
+            kept &= ~gone
+        stays = ~drop & kept[j]
+        i, j, shared = i[stays], j[stays], shared[stays]
+        true, found = np.flatnonzero(kept & (side == TRUE)), np.flatnonzero(kept & (side == FOUND))
+        none = lambda n: pa.nulls(n, pa.float64())
+        take = lambda rows: ids.take(pa.array(rows))
+        out = table.select(by).take(pa.array(np.concatenate([i, true, found])))
+        out = out.append_column("gt_id", pa.chunked_array([take(i), take(true), none(len(found))]))
+        out = out.append_column("trk_id", pa.chunked_array([take(j), none(len(true)), take(found)]))
+        return out.append_column("iou", pa.array(np.concatenate([shared, np.zeros(len(true) + len(found))])))
+
+    return fold_groups(boxes, by, fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", gt_id double, trk_id double, iou double")
+
+
 def track_pairs(truth: DataFrame, found: DataFrame, by: list[str], least_iou: float) -> DataFrame:
     """(by, gt_id, trk_id, iou) for `mot_summary` and `identity_summary`: the boxes that overlap enough, and each box once without a partner.
 
-    `by` ends in the frame. Boxes meet by cells, so that far boxes are never paired.
+    `by` ends in the frame. Ids are numbers.
     """
-    from .geometry import cross_pairs, iou
-
-    overlap = iou("a", "b", False, False)
-    met = cross_pairs(truth, found, by).select(*by, F.col("a.gt_id").alias("gt_id"), F.col("b.trk_id").alias("trk_id"), overlap.alias("iou")).where(F.col("iou") >= least_iou)
-    none, zero = F.lit(None).cast("double"), F.lit(0.0)
-    alone = truth.select(*by, "gt_id", none.alias("trk_id"), zero.alias("iou")).union(found.select(*by, none.alias("gt_id"), "trk_id", zero.alias("iou")))
-    return met.union(alone)
+    return sided_pairs(_side(truth, by, TRUE, "gt_id").union(_side(found, by, FOUND, "trk_id")), by, least_iou)
 
 
 def without_ignored(found: DataFrame, ignored: DataFrame, by: list[str], least_iou: float = 0.5) -> DataFrame:
     """The found boxes that no box to be ignored is assigned to; `by` ends in the frame, both sides have pos, x1, y1, x2, y2.
 
-    Within a frame, as many pairs with an overlap of at least `least_iou` are formed as can be, with the greatest total overlap. Only such pairs are gathered
-    to a frame's row.
+    Within a frame, as many pairs with an overlap of at least `least_iou` are formed as can be, with the greatest total overlap. Boxes are shuffled once, and
+    a call takes many frames.
     """
-    from .geometry import cross_pairs, iou
-
-    met = cross_pairs(ignored, found, by).select(*by, F.struct(F.col("a.pos").alias("a"), F.col("b.pos").alias("b"), iou("a", "b", False, False).alias("iou")).alias("p")).where(F.col("p.iou") >= least_iou)
-    frames = met.groupBy(*by).agg(F.collect_list("p").alias("pairs"))
-    kinds = dict(frames.dtypes)
+    own = [f"__{c}" for c in ("side", "pos", *_BOX)]
+    plain = lambda boxes, side, keep: boxes.select(*keep, F.lit(side).alias("__side"), F.col("pos").cast("long").alias("__pos"), *(F.col(c).cast("double").alias(f"__{c}") for c in _BOX))
+    rows = plain(found, FOUND, found.columns).unionByName(plain(ignored, IGNORED, by), allowMissingColumns=True)
 
-    def run(parts):
-        for pdf in parts:
-            taken = []
-            for own in pdf["pairs"]:
-                left, right = (sorted({p[k] for p in own}) for k in "ab")
-                gain = np.zeros((len(left), len(right)))
-                for p in own:
-                    gain[left.index(p["a"]), right.index(p["b"])] = len(own) + 1 + p["iou"]
-                taken.append([right[c] for r, c in optimal_pairs(gain) if gain[r, c] > 0])
-            yield pdf[by].assign(taken=taken)
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        side = numbers(table, "__side")
+        gone = _gone(groups, numbers(table, "__pos"), side, *_shared(table, by, groups, side, [0.0, 0.0, least_iou], own[2:]))
+        return table.drop_columns(own).filter(pa.array((side == FOUND) & ~gone))
 
-    gone = frames.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in by) + ", taken array<long>").select(*by, F.explode("taken").alias("pos"))
-    return found.join(gone, [*by, "pos"], "left_anti")
+    return fold_groups(rows, by, fold, rows.drop(*own).schema)
 
 
 def identity_summary(pairs: DataFrame, by: list[str], least_iou: float, overall: bool = False) -> DataFrame:
     """(by, idtp, idp, idr, idf1): each true identity has one track at most for its whole scan, so that most boxes agree; with `overall`, a row more
     whose `by` is null has the same of the summed counts.
 
-    Frames are counted where they are; what one task assigns is a table of the identities and tracks of one scan that ever met.
+    Pairs are shuffled once, by scan, and a call takes many scans; what is assigned is a table of the identities and tracks of one scan that ever met.
     """
-    frames = pairs.groupBy(*by).agg(F.count_distinct("frame", "gt_id").alias("n_true"), F.count_distinct("frame", "trk_id").alias("n_found"))
-    met = pairs.where((F.col("iou") >= least_iou) & F.col("gt_id").isNotNull() & F.col("trk_id").isNotNull()).groupBy(*by, "gt_id", "trk_id").agg(F.count_distinct("frame").alias("n"))
     kinds = dict(pairs.dtypes)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, _ = pd.factorize(pdf["gt_id"])
-        c, _ = pd.factorize(pdf["trk_id"])
-        together = np.zeros((r.max() + 1, c.max() + 1))
-        together[r, c] = pdf["n"]
-        return pd.DataFrame({k: [pdf[k].iloc[0]] for k in by} | {"idtp": [int(sum(together[p] for p in optimal_pairs(together)))]})
-
-    agreed = met.groupBy(*by).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in by) + ", idtp long")
-    out = frames.join(agreed, by, "left").withColumn("idtp", F.coalesce("idtp", F.lit(0)))
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        frame, gt, trk = (ranked(table, c) for c in ("frame", "gt_id", "trk_id"))
+        heads = np.searchsorted(groups, np.arange(groups[-1] + 1))
+        once = lambda rows, *columns: np.unique(np.stack([c[rows] for c in columns], axis=1), axis=0)
+        n_true, n_found = (np.bincount(once((frame >= 0) & (c >= 0), groups, frame, c)[:, 0], minlength=len(heads)) for c in (gt, trk))
+        met = once((frame >= 0) & (gt >= 0) & (trk >= 0) & (numbers(table, "iou") >= least_iou), groups, gt, trk, frame)
+        both, n = np.unique(met[:, :3], axis=0, return_counts=True)
+        idtp, cuts = np.zeros(len(heads), int), np.searchsorted(both[:, 0], np.arange(len(heads) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[k], cuts[k + 1])
+            (true, r), (tracks, c) = (np.unique(both[own, side], return_inverse=True) for side in (1, 2))
+            together = np.zeros((len(true), len(tracks)))
+            together[r, c] = n[own]
+            idtp[k] = sum(together[p] for p in optimal_pairs(together))
+        out = table.select(by).take(pa.array(heads))
+        for name, figure in (("n_true", n_true), ("n_found", n_found), ("idtp", idtp)):
+            out = out.append_column(name, pa.array(figure.astype(np.int64)))
+        return out
+
+    out = fold_groups(pairs.select(*by, "frame", "gt_id", "trk_id", "iou"), by, fold, ", ".join(f"{k} {kinds[k]}" for k in by) + ", n_true long, n_found long, idtp long")
     if overall:
         out = written(out, "counts")
         sums = out.agg(*(F.sum(c).alias(c) for c in ("n_true", "n_found", "idtp"))).where("n_true is not null")

@@ -40,19 +40,25 @@ _CELLS = f"""{_MATCHED}, e AS (SELECT class, threshold, n_true, hit, max(tp::DOU
 cells AS (SELECT class, threshold, n_true, sum(hit * envelope / n_true) AS ap FROM e GROUP BY ALL)"""
 
 
-def _tracks(s, d):
+def _sided(s, d):
     """True boxes, boxes to be ignored, and found ones that change their track every fifty frames."""
     rows = boxes(s, d).groupBy(*FRAME, F.expr("cast((pos div 1000 + pos) % 40 as double)").alias("gt_id")).agg(F.min(F.struct("pos", *_BOX)).alias("b"))
     rows = rows.select(*FRAME, "gt_id", "b.pos", *((F.col(f"b.{c}") + F.col("gt_id") / 16).alias(c) for c in _BOX))  # no two boxes in one place
-    truth, ignored = rows.where("gt_id < 32"), rows.where("gt_id >= 32")
-    moved = [(F.col(c) + F.col("pos") % 9 - 4).alias(c) for c in _BOX]
-    found = rows.where("pos % 11 <> 0").select(*FRAME, (F.col("gt_id") + 40 * F.floor(F.col("frame") / 50)).alias("trk_id"), "pos", *moved)
-    return truth, ignored, found
+    side = lambda kind, key, corners: F.struct(kind.alias("side"), key.alias("id"), "pos", *corners)
+    real = side(F.when(F.col("gt_id") < 32, S.TRUE).otherwise(S.IGNORED), F.col("gt_id"), _BOX)
+    found = side(F.lit(S.FOUND), F.col("gt_id") + 40 * F.floor(F.col("frame") / 50), [(F.col(c) + F.col("pos") % 9 - 4).alias(c) for c in _BOX])
+    return rows.select(*FRAME, F.explode(F.array_compact(F.array(real, F.when(F.expr("pos % 11 <> 0"), found)))).alias("b")).select(*FRAME, "b.*")
+
+
+def _tracks(s, d):
+    """The three sides apart."""
+    sides = _sided(s, d)
+    of = lambda side, name: sides.where(F.col("side") == side).drop("side").withColumnRenamed("id", name)
+    return of(S.TRUE, "gt_id"), of(S.IGNORED, "gt_id"), of(S.FOUND, "trk_id")
 
 
 def _pairs(s, d):
-    truth, ignored, found = _tracks(s, d)
-    return S.track_pairs(truth, S.without_ignored(found, ignored, FRAME), FRAME, 0.5)
+    return S.sided_pairs(_sided(s, d), FRAME, 0.5)
 
 
 QUERIES = {
