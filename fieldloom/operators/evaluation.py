@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shared import written
+from .grouped import fold_groups, numbers, ranked
 
 
 def pr_grid(scored: DataFrame, thresholds: list[float]) -> DataFrame:
@@ -92,41 +93,44 @@ def mot_summary(pairs: DataFrame, by: list[str], least_iou: float, overall: bool
     the greatest total overlap.
 
     Rows with a null trk_id or gt_id name unpaired true or found boxes of a frame. Matches, misses, false positives, switches, mota, precision, recall; with
-    `overall`, a row more whose `by` is null has the same of the summed counts. Frames are counted and their pairs gathered where they are; the fold
-    over a scan sees a row for each frame.
+    `overall`, a row more whose `by` is null has the same of the summed counts. Pairs are shuffled once, by scan, and a call takes many scans.
     """
-    from .scoring import optimal_pairs
+    from .scoring import most_pairs
 
     kinds = dict(pairs.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long"
-    good = (F.col("iou") >= least_iou) & F.col("gt_id").isNotNull() & F.col("trk_id").isNotNull()
-    met = F.collect_list(F.when(good, F.struct("gt_id", "trk_id", "iou")))
-    frames = pairs.groupBy(*by, "frame").agg(F.count_distinct("gt_id").alias("n_true"), F.count_distinct("trk_id").alias("n_found"), met.alias("met"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        last: dict = {}
-        hits = misses = extra = switches = 0
-        pdf = pdf.sort_values("frame")
-        for n_true, n_found, own in zip(pdf["n_true"].tolist(), pdf["n_found"].tolist(), pdf["met"]):
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        frame, gt, trk = (ranked(table, c) for c in ("frame", "gt_id", "trk_id"))
+        frame = np.where(frame < 0, frame.max() + 1, frame)  # a null comes last
+        heads = np.searchsorted(groups, np.arange(groups[-1] + 1))
+        n_true, n_found = (np.bincount(np.unique(np.stack([groups, frame, c], axis=1)[c >= 0], axis=0)[:, 0], minlength=len(heads)) for c in (gt, trk))
+        iou = numbers(table, "iou")
+        good = np.flatnonzero((gt >= 0) & (trk >= 0) & (iou >= least_iou))
+        good = good[np.lexsort((frame[good], groups[good]))]
+        ends = np.flatnonzero((np.diff(groups[good]) != 0) | (np.diff(frame[good]) != 0)) + 1
+        pairs_of = list(zip(gt[good].tolist(), trk[good].tolist(), iou[good].tolist()))
+        hits, switches, before, last = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64), -1, {}
+        for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(good)]):
+            if a == b:
+                continue
+            scan = int(groups[good[a]])
+            if scan != before:
+                before, last = scan, {}
             options: dict = {}
-            for m in own:
-                options[m["gt_id"], m["trk_id"]] = max(m["iou"], options.get((m["gt_id"], m["trk_id"]), 0.0))
-            taken = {g: t for g, t in last.items() if (g, t) in options}
+            for g, t, v in pairs_of[a:b]:
+                options[g, t] = max(v, options.get((g, t), 0.0))
+            taken = {g: t for g, t in options if last.get(g) == t}
             gone = set(taken.values())
-            free = {(g, t): v for (g, t), v in options.items() if g not in taken and t not in gone}
-            truths, tracks = sorted({g for g, _ in free}), sorted({t for _, t in free})
-            if free:
-                # A pair counts for more than any sum of overlaps, so that the number of pairs comes first.
-                gain = np.array([[len(free) + 1 + free[g, t] if (g, t) in free else 0.0 for t in tracks] for g in truths])
-                taken |= {truths[r]: tracks[c] for r, c in optimal_pairs(gain) if gain[r, c] > 0}
-            switches += sum(g in last and last[g] != t for g, t in taken.items())
-            hits += len(taken)
-            misses += n_true - len(taken)
-            extra += n_found - len(taken)
+            taken |= most_pairs({(g, t): v for (g, t), v in options.items() if g not in taken and t not in gone})
+            switches[scan] += sum(g in last and last[g] != t for g, t in taken.items())
+            hits[scan] += len(taken)
             last |= taken
-        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in by} | {"matches": [hits], "misses": [misses], "false_positives": [extra], "switches": [switches]})
+        out = table.select(by).take(pa.array(heads))
+        for name, figure in (("matches", hits), ("misses", n_true - hits), ("false_positives", n_found - hits), ("switches", switches)):
+            out = out.append_column(name, pa.array(figure.astype(np.int64)))
+        return out
 
-    counts = frames.groupBy(*by).applyInPandas(run, schema)
+    counts = fold_groups(pairs.select(*by, "frame", "gt_id", "trk_id", "iou"), by, fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", matches long, misses long, false_positives long, switches long")
     if overall:
         counts = written(counts, "counts")  # the folds run once
         sums = counts.agg(*(F.sum(c).alias(c) for c in ("matches", "misses", "false_positives", "switches"))).where("matches is not null")

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from fieldloom.operators import scoring
+from fieldloom.operators import evaluation, scoring
 from fieldloom.plans import scores
 
 IMAGE = ["scan_id", "frame"]
@@ -44,3 +44,17 @@ def test_boxes_without_a_frame_meet_none(spark):
     assert sorted((r.gt_id, r.trk_id) for r in got if r.gt_id) == [(1.0, None), (2.0, None), (3.0, None)] and len(got) == 6
     kept = scoring.without_ignored(found, truth, IMAGE)
     assert kept.schema == found.schema and sorted(r.pos for r in kept.collect()) == [1, 2, 3]
+
+
+def test_pairs_are_shuffled_once_for_matches(spark):
+    assert shuffles(evaluation.mot_summary(spark.createDataFrame([], PAIRS), ["scan_id"], 0.5)) == 1
+
+
+def test_a_match_is_kept_across_calls_and_gaps(spark):
+    """Scans of many frames in any order of rows: the pair of the frame before goes before a better overlap, frames without pairs do not end it."""
+    rows = [(s, f, 1.0, float(f % 7 == 3) + 7, 0.9) for s in range(30) for f in range(60) if f % 5] + [(s, f, 1.0, 7.0, 0.5) for s in range(30) for f in range(60) if f % 7 == 3 and f % 5]
+    rows += [(s, f, 1.0, None, 0.0) for s in range(30) for f in range(60)] + [(None, 1, 1.0, 7.0, 0.9)]
+    random.Random(1).shuffle(rows)
+    got = {r.scan_id: (r.matches, r.misses, r.false_positives, r.switches) for r in evaluation.mot_summary(spark.createDataFrame(rows, PAIRS), ["scan_id"], 0.5).collect()}
+    n = sum(f % 7 == 3 and f % 5 > 0 for f in range(60))
+    assert got == {s: (48, 12, n, 0) for s in range(30)} | {None: (1, 0, 0, 0)}
