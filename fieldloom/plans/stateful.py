@@ -32,10 +32,11 @@ def _drive(s, d):
 def _mot(s, d):
     """True boxes, and found ones that are moved a little, sometimes lost, and change their track every fifty frames."""
     rows = _detections(s, d).groupBy("scan_id", "frame", (F.col("pos") % 40).cast("double").alias("gt_id")).agg(F.min(F.struct("pos", "x1", "y1", "x2", "y2")).alias("b"))
-    truth = rows.select("scan_id", "frame", "gt_id", "b.*")
-    moved = [(F.col(c) + F.col("pos") % 9 - 4).alias(c) for c in ("x1", "y1", "x2", "y2")]
-    found = truth.where("pos % 11 <> 0").select("scan_id", "frame", (F.col("gt_id") + 40 * F.floor(F.col("frame") / 50)).alias("trk_id"), "pos", *moved)
-    return S.track_pairs(truth, found, ["scan_id", "frame"], 0.3)
+    box = ("x1", "y1", "x2", "y2")
+    side = lambda kind, key, moved: F.struct(F.lit(kind).alias("side"), key.alias("id"), "b.pos", *((F.col(f"b.{c}") + moved).cast("double").alias(c) for c in box))
+    real, found = side(S.TRUE, F.col("gt_id"), F.lit(0)), side(S.FOUND, F.col("gt_id") + 40 * F.floor(F.col("frame") / 50), F.col("b.pos") % 9 - 4)
+    both = rows.select("scan_id", "frame", F.explode(F.array_compact(F.array(real, F.when(F.expr("b.pos % 11 <> 0"), found)))).alias("s"))
+    return S.sided_pairs(both.select("scan_id", "frame", "s.*"), ["scan_id", "frame"], 0.3)
 
 
 def _cells(s, d):

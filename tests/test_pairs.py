@@ -6,7 +6,7 @@ import random
 import pytest
 
 from fieldloom.operators import evaluation, scoring
-from fieldloom.plans import scores
+from fieldloom.plans import scores, stateful
 
 IMAGE = ["scan_id", "frame"]
 BOX = "scan_id int, frame int, pos long, x1 int, y1 int, x2 int, y2 int"
@@ -58,3 +58,7 @@ def test_a_match_is_kept_across_calls_and_gaps(spark):
     got = {r.scan_id: (r.matches, r.misses, r.false_positives, r.switches) for r in evaluation.mot_summary(spark.createDataFrame(rows, PAIRS), ["scan_id"], 0.5).collect()}
     n = sum(f % 7 == 3 and f % 5 > 0 for f in range(60))
     assert got == {s: (48, 12, n, 0) for s in range(30)} | {None: (1, 0, 0, 0)}
+
+
+def test_sides_of_found_tracks_come_of_one_table(spark):
+    assert shuffles(stateful._mot(spark, SF)) == 3
