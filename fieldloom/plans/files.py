@@ -105,12 +105,8 @@ def _mot_labels(s, d):
 def _voc(s, d):
     """A document for each frame, many to a file."""
     path = _folder(s)
-    tag = lambda name, *inner: F.concat(F.lit(f"<{name}>"), *inner, F.lit(f"</{name}>"))
-    box = tag("bndbox", *(tag(a, F.col(b)) for a, b in (("xmin", "x1"), ("ymin", "y1"), ("xmax", "x2"), ("ymax", "y2"))))
-    one = tag("object", tag("name", F.concat(F.lit("c"), F.col("class"))), tag("pose", F.lit("Unspecified")), tag("truncated", F.col("class") % 2), tag("difficult", F.col("pos") % 2), box)
-    image = tag("filename", F.concat_ws("_", "scan_id", "frame"), F.lit(".jpg"))
-    whole = tag("annotation", F.col("image"), F.array_join(F.collect_list("o"), "\n"))
-    boxes(s, d).select(image.alias("image"), one.alias("o")).groupBy("image").agg(whole.alias("value")).select("value").write.text(path)
+    objects = boxes(s, d).select("scan_id", "frame", F.concat(F.lit("c"), F.col("class")).alias("name"), F.lit("Unspecified").alias("pose"), (F.col("class") % 2).alias("truncated"), (F.col("pos") % 2).alias("difficult"), "x1", "y1", "x2", "y2")
+    W.voc_documents(objects, ["scan_id", "frame"], path)
     return R.voc_objects(s, path)
 
 
