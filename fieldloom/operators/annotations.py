@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scans import PART, in_ranges, running_sums
+
 
 def exploded(documents: DataFrame, part: str) -> DataFrame:
     """The rows of one array of each document (images, annotations or categories)."""
@@ -21,7 +23,7 @@ def nested(images: DataFrame, annotations: DataFrame, by: list[str]) -> DataFram
 def renumbered(images: DataFrame, annotations: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Images and annotations of several sources under new ids from 1, in order of source and old id, with image_id rewritten; annotations without an image go.
 
-    A source's rows are numbered by themselves and moved by the sizes of the sources before, so that no task holds all rows.
+    Rows are numbered in ranges of about equal size, so that neither all rows nor those of one source have to fit into a task.
     """
     image_map = _numbered(images, source).withColumnRenamed("id", "old_image")
     new_images = image_map.select("new_id", *(c for c in images.columns if c not in ("id",)))
@@ -30,10 +32,9 @@ def renumbered(images: DataFrame, annotations: DataFrame, source: str) -> tuple[
 
 
 def _numbered(rows: DataFrame, source: str) -> DataFrame:
-    sizes = rows.groupBy(source).agg(F.count("*").alias("n"))
-    before = sizes.select(source, F.coalesce(F.sum("n").over(Window.orderBy(source).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    own = F.row_number().over(Window.partitionBy(source).orderBy("id", *(c for c in rows.columns if c not in (source, "id"))))
-    return rows.join(F.broadcast(before), source).withColumn("new_id", (F.col("__before") + own).cast("long")).drop("__before")
+    order = [source, "id", *(c for c in rows.columns if c not in (source, "id"))]
+    ranged = in_ranges(rows.where(F.col(source).isNotNull()), [], order)
+    return running_sums(ranged, [], order, {"new_id": F.lit(1)}).withColumn("new_id", F.col("new_id").cast("long")).drop(PART)
 
 
 def subset(images: DataFrame, annotations: DataFrame, wanted: Column) -> tuple[DataFrame, DataFrame]:
