@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..shared import written
-from .grouped import fold_groups, near_steps, parted
+from .grouped import fold_groups, near_steps, parted, ranked
 
 
 def _finite(axes: list[str]) -> Column:
@@ -51,6 +51,40 @@ def kernel_means(points: DataFrame, by: list[str], axes: list[str], error: float
     return reduce(DataFrame.unionByName, parts + ([] if large is None else [_cell_means(large, by, axes, error, merge)]))
 
 
+def _earlier(groups: np.ndarray, codes: np.ndarray, density: np.ndarray) -> pa.Array:
+    """For each row the densities of the rows before it that have its group and code; null where there are none."""
+    order = np.lexsort((codes, groups))
+    again = np.flatnonzero((groups[order][1:] == groups[order][:-1]) & (codes[order][1:] == codes[order][:-1]))
+    out: list[list[float] | None] = [None] * len(groups) if len(again) else []
+    for before, row in zip(order[again], order[again + 1]):
+        out[row] = [*(out[before] or []), float(density[before])]
+    return pa.array(out, pa.list_(pa.float64())) if out else pa.nulls(len(groups), pa.list_(pa.float64()))
+
+
+def distinct_means(points: DataFrame, by: list[str], key: str, axes: list[str], width: float, decimals: int, error: float = 1e-12) -> DataFrame:
+    """(by, key, density) of `kernel_means` in bandwidths of `width`, rounded, each different row once.
+
+    Equal rows are of one group, so those of a small group are found in its fold, and nothing is shuffled after it; only `key` and `axes` are before.
+    """
+    known = points.where(_finite(axes)).select(*by, key, *axes)
+    small, large = parted(known, by)
+    names, rounded = [f"__k{k}" for k in range(len(axes))], F.round("density", decimals).alias("density")
+
+    def fold(table: pa.Table, groups: np.ndarray) -> pa.Table:
+        density = _means(groups, [_numbers(table, a) / width for a in axes], _reach(error))
+        return table.select([*by, key]).append_column("density", pa.array(density)).append_column("__earlier", _earlier(groups, ranked(table, key), density))
+
+    parts = []
+    if small is not None:
+        schema = StructType([*known.select(*by, key).schema.fields, StructField("density", DoubleType()), StructField("__earlier", ArrayType(DoubleType()))])
+        found = fold_groups(small, by, fold, schema).select(*by, key, rounded, "__earlier")
+        parts.append(found.where(F.col("__earlier").isNull() | ~F.exists("__earlier", lambda d: F.round(d, decimals) == F.col("density"))).drop("__earlier"))
+    if large is not None:
+        scaled = large.select(*by, key, *((F.col(a) / F.lit(float(width))).alias(n) for a, n in zip(axes, names)))
+        parts.append(_cell_means(scaled, by, names, error, None).select(*by, key, rounded).distinct())
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _cell_means(points: DataFrame, by: list[str], axes: list[str], error: float, merge: float | None) -> DataFrame:
     """`points` with `density`: the mean over the group's rows, the row itself included, of exp(-d² / 2), d being the distance in `axes` (in bandwidths).
 

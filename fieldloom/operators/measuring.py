@@ -36,6 +36,14 @@ def densities(boxes: DataFrame, by: list[str], bandwidth: float) -> DataFrame:
     return kernel_means(scaled, by, ["__x", "__y"]).select(*by, "pos", "cx", "cy", "density")
 
 
+def distinct_densities(boxes: DataFrame, by: list[str], bandwidth: float, decimals: int) -> DataFrame:
+    """(by, pos, density) of `densities`, rounded, each different row once."""
+    from .density import distinct_means
+
+    centre = boxes.select(*by, "pos", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
+    return distinct_means(centre, by, "pos", ["cx", "cy"], bandwidth, decimals)
+
+
 def quantile_bin(hist: DataFrame, by: list[str], share: float) -> DataFrame:
     """The first bin at which the counts from below reach a share of all."""
     w = Window.partitionBy(*by).orderBy("bin")

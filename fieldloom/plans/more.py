@@ -83,7 +83,7 @@ QUERIES = {
         SELECT pos FROM tracks t JOIN f USING (scan_id) WHERE abs(x1 - mx) <= 1.3 * sx AND abs(y1 - my) <= 1.3 * sy""",
     ),
     "kde_filter": (
-        lambda s, d: M.densities(boxes(s, d), FRAME, 150.0).select(*FRAME, "pos", F.round("density", 6).alias("density")).distinct(),
+        lambda s, d: M.distinct_densities(boxes(s, d), FRAME, 150.0, 6),
         f"""{WITH_BOXES} SELECT DISTINCT a.scan_id, a.frame, a.pos, round(avg(exp(-(pow((a.x1 + a.x2) / 2.0::DOUBLE - (b.x1 + b.x2) / 2.0::DOUBLE, 2) + pow((a.y1 + a.y2) / 2.0::DOUBLE - (b.y1 + b.y2) / 2.0::DOUBLE, 2)) / 45000)), 6) AS density
         FROM boxes a JOIN boxes b ON a.scan_id = b.scan_id AND a.frame = b.frame GROUP BY a.scan_id, a.frame, a.pos, a.x1, a.x2, a.y1, a.y2""",
     ),

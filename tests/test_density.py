@@ -79,3 +79,19 @@ def test_small_groups_are_folded_and_large_ones_cut(spark, monkeypatch):
             want = seen.setdefault(name, got)
             assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
     assert len(seen["means"]) == 153 and 60 < len(seen["dense"]) < 153
+
+
+def test_distinct_densities_are_those_of_a_shuffled_distinct(spark, monkeypatch):
+    """Numbers that occur twice in a frame, with equal and with other densities, in small and in large frames; nothing is shuffled after the fold."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    rows = [(g, f, int(rng.integers(0, 30)) if k % 7 else None, *map(float, rng.integers(0, 6, 2) * 40)) for g in (0, 1) for f, n in ((0, 90), (1, 25), (2, 1)) for k in range(n)]
+    boxes = spark.createDataFrame([(*r[:3], r[3], r[4], r[3] + 20, r[4] + 30) for r in rows] + [(None, 0, 1, 0.0, 0.0, 1.0, 1.0)], "scan_id long, frame long, pos long, x1 double, y1 double, x2 double, y2 double")
+    by, plan = ["scan_id", "frame"], lambda df: df._jdf.queryExecution().executedPlan().toString()
+    wanted = sorted(map(repr, M.densities(boxes, by, 150.0).select(*by, "pos", F.round("density", 2).alias("density")).distinct().collect()))
+    got = M.distinct_densities(boxes, by, 150.0, 2)
+    assert plan(got).count("Exchange hashpartitioning") == 1
+    assert sorted(map(repr, got.collect())) == wanted and 10 < len(wanted) < len(rows)
+    monkeypatch.setattr(grouped, "WHOLE", 40)
+    assert sorted(map(repr, M.distinct_densities(boxes, by, 150.0, 2).collect())) == wanted
