@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,7 +108,7 @@ def _common_sides(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     w, h = _common_sides(a, b)
-    return np.clip(w, 0, None) * np.clip(h, 0, None)
+    return np.maximum(w, 0) * np.maximum(h, 0)
 
 
 def _sizes(b: np.ndarray) -> np.ndarray:
@@ -207,7 +208,12 @@ def _frames(pdf: pd.DataFrame, *figures: str):
 
 def window_tracks(detections: DataFrame, by: list[str], params: WindowTracker = WindowTracker()) -> DataFrame:
     """(by, frame, pos, track_id) for each detection (by, frame, pos, x1, y1, x2, y2, depth, tx, ty)."""
-    return _per_scan(detections, by, "frame long, pos long, track_id long", lambda pdf: track_scan(pdf, params))
+    return _tracked(detections.select(*by, "frame", "pos", *_BOX, "depth", "tx", "ty"), by, lambda pdf: track_scan(pdf, params))
+
+
+def _tracked(detections: DataFrame, by: list[str], scan: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    tasks = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number of our own, as trackers cost more than their bytes tell
+    return _per_scan(detections.repartition(tasks, *by), by, "frame long, pos long, track_id long", scan)
 
 
 @dataclass(frozen=True)
@@ -236,39 +242,71 @@ class TwoStageTracker:
 GATES = {2: 5.9915, 4: 9.4877}
 
 
+def _variances(at: float, aspect: float, speed: float, aspect_speed: float):
+    """Of noise in the figures and their speeds: parts of the height, but fixed for the aspect."""
+    parts, fixed = np.array([at, at, np.inf, at, speed, speed, np.inf, speed]), np.array([0, 0, aspect, 0, 0, 0, aspect_speed, 0])
+    return lambda means: (means[..., 3:4] / parts + fixed) ** 2
+
+
+def _coupled(covs: np.ndarray) -> np.ndarray:
+    """A view (…, 2, 2, 4) of covariances (…, 8, 8): of each figure the variances of itself and of its speed, and what they share."""
+    return np.einsum("...aibi->...abi", covs.reshape(*covs.shape[:-2], 2, 4, 2, 4))
+
+
 class ConstantVelocity:
-    """A Kalman filter over (centre x, centre y, aspect, height) and their speeds; noise is in proportion to the height."""
+    """A Kalman filter over (centre x, centre y, aspect, height) and their speeds; noise is in proportion to the height.
+
+    Of one track or, with more axes before, of many at once: means (…, 8), covariances (…, 8, 8). No figure tells anything of another: in a covariance only
+    the diagonal and what a figure and its own speed share are not zero, and stay so, so that all is worked out figure by figure.
+    """
 
-    step = np.eye(8) + np.eye(8, k=4)
-    seen = np.eye(4, 8)
+    first, moving, seen = (staticmethod(_variances(*v)) for v in ((10, 1e-2, 16, 1e-5), (20, 1e-2, 160, 1e-5), (20, 1e-1, 20, 1e-1)))
 
     def begin(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = m[3]
-        std = np.array([h / 10, h / 10, 1e-2, h / 10, h / 16, h / 16, 1e-5, h / 16])
-        return np.concatenate([m, np.zeros(4)]), np.diag(std**2)
+        return np.concatenate([m, np.zeros(m.shape)], axis=-1), self.first(m)[..., None] * np.eye(8)
 
     def predict(self, means: np.ndarray, covs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of many tracks at once: means (n, 8), covariances (n, 8, 8)."""
-        h, one = means[:, 3], np.ones(len(means))
-        std = np.stack([h / 20, h / 20, 1e-2 * one, h / 20, h / 160, h / 160, 1e-5 * one, h / 160], axis=1)
-        return means @ self.step.T, self.step @ covs @ self.step.T + std[:, :, None] ** 2 * np.eye(8)
+        noise, out = self.moving(means), np.zeros(covs.shape)
+        old, new = _coupled(covs), _coupled(out)
+        new[..., 0, 1, :] = new[..., 1, 0, :] = both = old[..., 0, 1, :] + old[..., 1, 1, :]
+        new[..., 0, 0, :] = (old[..., 0, 0, :] + old[..., 0, 1, :]) + both + noise[..., :4]
+        new[..., 1, 1, :] = old[..., 1, 1, :] + noise[..., 4:]
+        return np.concatenate([means[..., :4] + means[..., 4:], means[..., 4:]], axis=-1), out
 
-    def noise(self, means: np.ndarray) -> np.ndarray:
-        h = means[:, 3]
-        std = np.stack([h / 20, h / 20, np.full(len(means), 1e-1), h / 20], axis=1)
-        return std[:, :, None] ** 2 * np.eye(4)
+    def _inner(self, means: np.ndarray, covs: np.ndarray) -> np.ndarray:
+        """Variances of what is measured."""
+        return _coupled(covs)[..., 0, 0, :] + self.seen(means)[..., :4]
 
     def distances(self, means: np.ndarray, covs: np.ndarray, measured: np.ndarray, centre_only: bool = False) -> np.ndarray:
         """Squared Mahalanobis distances of tracks x measurements (m, 4)."""
         k = 2 if centre_only else 4
-        inner = (self.seen @ covs @ self.seen.T + self.noise(means))[:, :k, :k]
         apart = measured[None, :, :k] - means[:, None, :k]
-        return (np.linalg.solve(np.linalg.cholesky(inner), apart.transpose(0, 2, 1)) ** 2).sum(axis=1)
+        return (apart**2 / self._inner(means, covs)[:, None, :k]).sum(axis=2)
 
-    def update(self, mean: np.ndarray, cov: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inner = self.seen @ cov @ self.seen.T + self.noise(mean[None])[0]
-        gain = np.linalg.solve(inner, self.seen @ cov).T
-        return mean + gain @ (m - self.seen @ mean), cov - gain @ inner @ gain.T
+    def update(self, means: np.ndarray, covs: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        inner, out = self._inner(means, covs), covs.copy()
+        gain = _coupled(covs)[..., 0, :, :] / inner[..., None, :]  # of the figures and of their speeds
+        new = _coupled(out)
+        new -= (gain * inner[..., None, :])[..., :, None, :] * gain[..., None, :, :]
+        return means + (gain * (m - means[..., :4])[..., None, :]).reshape(means.shape), out
+
+
+def _measured(b: np.ndarray) -> np.ndarray:
+    """Of one box or of many at once."""
+    out, low, high = np.empty(b.shape), b[..., :2], b[..., 2:]
+    out[..., :2] = (low + high) / 2
+    out[..., 3] = np.maximum(b[..., 3] - b[..., 1], 1e-6)
+    out[..., 2] = (b[..., 2] - b[..., 0]) / out[..., 3]
+    return out
+
+
+def _boxed(means: np.ndarray) -> np.ndarray:
+    """Of many means at once."""
+    out, half = np.empty((len(means), 4)), np.empty((len(means), 2))
+    half[:, 0], half[:, 1] = means[:, 2] * means[:, 3], means[:, 3]
+    half /= 2
+    out[:, :2], out[:, 2:] = means[:, :2] - half, means[:, :2] + half
+    return out
 
 
 def assignment(cost: np.ndarray, most: float) -> list[tuple[int, int]]:
@@ -320,80 +358,74 @@ def _hungarian(cost: np.ndarray, most: float) -> list[tuple[int, int]]:
     return sorted((int(way_of[c]) - 1, c - 1) for c in range(1, m + 1) if 1 <= way_of[c] <= n and cost[way_of[c] - 1, c - 1] <= most)
 
 
-def _measured(b: np.ndarray) -> np.ndarray:
-    """Of one box or of many at once."""
-    w, h = b[..., 2] - b[..., 0], np.maximum(b[..., 3] - b[..., 1], 1e-6)
-    return np.stack([(b[..., 0] + b[..., 2]) / 2, (b[..., 1] + b[..., 3]) / 2, w / h, h], axis=-1)
-
-
-def _boxed(means: np.ndarray) -> np.ndarray:
-    """Of many means at once."""
-    x, y, h = means[:, 0], means[:, 1], means[:, 3]
-    w = means[:, 2] * h
-    return np.stack([x - w / 2, y - h / 2, x + w / 2, y + h / 2], axis=1)
-
-
 def two_stage_scan(pdf: pd.DataFrame, p: TwoStageTracker) -> pd.DataFrame:
     """(frame, pos, track_id) of the matched detections of one scan (frame, pos, box, score).
 
     A track begun after the first frame is reported from its second match on, and goes if the next frame has none for it.
     Of a tracked and a lost track in one place, the one seen over more frames stays, else the lost one.
     """
-    kalman, tracks, number, out, first = ConstantVelocity(), [], 0, [], None
+    kalman, number, out, first, tracks = ConstantVelocity(), 0, [], None, None
 
     def distance(boxes, others):
         common = overlaps(boxes, others)
         return 1 - common / np.maximum(_sizes(boxes)[:, None] + _sizes(others)[None] - common, 1e-9)
 
-    placed = lambda own: _boxed(np.array([t["mean"] for t in own]))
-
     for frame, pos, dets, score in _frames(pdf, "score"):
-        first = frame if first is None else first
+        if tracks is None:  # a row for each track
+            time = pdf["frame"].to_numpy().dtype
+            first, tracks = frame, np.zeros(0, [("number", int), ("mean", float, 8), ("cov", float, (8, 8)), ("start", time), ("seen", time), ("pos", pos.dtype), ("sure", bool), ("lost", bool)])
         measured = _measured(dets)
-        sure = [t for t in tracks if t["sure"]]
-        if sure:
-            for t, mean, cov in zip(sure, *kalman.predict(np.array([t["mean"] for t in sure]), np.array([t["cov"] for t in sure]))):
-                t["mean"], t["cov"] = mean, cov
+        sure = np.flatnonzero(tracks["sure"])
+        if len(sure):
+            tracks["mean"][sure], tracks["cov"][sure] = kalman.predict(tracks["mean"][sure], tracks["cov"][sure])
         strong, weak = np.flatnonzero(score > p.strong), np.flatnonzero((score <= p.strong) & (score > p.weak))
+        apart = distance(_boxed(tracks["mean"]), dets)  # a track moves when it is matched, and is then not asked for again
 
         def matched(own, part, most, fused):
             """Pairs found are taken into the tracks; the detections without one are returned."""
-            if not own or not len(part):
+            if not len(own) or not len(part):
                 return part
-            cost = distance(placed(own), dets[part])
+            cost = apart[own[:, None], part]
             cost = 1 - (1 - cost) * score[part] if fused else cost
+            cost = p.looks * cost if p.gated else cost
+            if not (cost <= most).any():  # motion only adds to it
+                return part
+            mean, cov = tracks["mean"][own], tracks["cov"][own]
             if p.gated:
-                moved = kalman.distances(np.array([t["mean"] for t in own]), np.array([t["cov"] for t in own]), measured[part], p.centre_only)
-                cost = np.where(moved > GATES[2 if p.centre_only else 4], np.inf, p.looks * cost + (1 - p.looks) * moved)
+                moved = kalman.distances(mean, cov, measured[part], p.centre_only)
+                cost = np.where(moved > GATES[2 if p.centre_only else 4], np.inf, cost + (1 - p.looks) * moved)
             pairs = assignment(cost, most)
-            for r, c in pairs:
-                t, d = own[r], part[c]
-                t["mean"], t["cov"] = kalman.update(t["mean"], t["cov"], measured[d])
-                t.update(seen=frame, pos=pos[d], sure=True, lost=False)
-            return np.delete(part, [c for _, c in pairs])
-
-        once = [t for t in tracks if not t["sure"]]
-        left = matched([t for t in tracks if t["sure"]], strong, p.first_most, p.fused)
-        matched([t for t in tracks if t["sure"] and not t["lost"] and t["seen"] != frame], weak, p.second_most, False)
+            if not pairs:
+                return part
+            r, c = np.array(pairs).T
+            t, d = own[r], part[c]
+            tracks["mean"][t], tracks["cov"][t] = kalman.update(mean[r], cov[r], measured[d])
+            tracks["seen"][t], tracks["pos"][t], tracks["sure"][t], tracks["lost"][t] = frame, pos[d], True, False
+            return np.delete(part, c)
+
+        once = np.flatnonzero(~tracks["sure"])
+        left = matched(sure, strong, p.first_most, p.fused)
+        matched(sure[~tracks["lost"][sure] & (tracks["seen"][sure] != frame)], weak, p.second_most, False)
         left = matched(once, left, p.unconfirmed_most, p.fused)
-        for d in left:
-            mean, cov = kalman.begin(measured[d])
-            tracks.append({"id": number, "mean": mean, "cov": cov, "start": frame, "seen": frame, "pos": pos[d], "sure": frame == first, "lost": False})
-            number += 1
-        tracks = [t for t in tracks if frame - t["seen"] <= p.buffer and (t["sure"] or t["seen"] == frame)]
-        for t in tracks:
-            t["lost"] = t["seen"] != frame
-        here, lost = [t for t in tracks if not t["lost"]], [t for t in tracks if t["lost"]]
-        if here and lost:
-            gone = set()
-            for a, b in np.argwhere(distance(placed(here), placed(lost)) < p.alike):
-                a, b = here[a], lost[b]
-                gone.add((b if a["seen"] - a["start"] > b["seen"] - b["start"] else a)["id"])
-            tracks = [t for t in tracks if t["id"] not in gone]
-        out += [(frame, t["pos"], t["id"]) for t in tracks if t["sure"] and not t["lost"]]
-    return pd.DataFrame(out, columns=["frame", "pos", "track_id"])
+        kept = tracks[(frame - tracks["seen"] <= p.buffer) & (tracks["sure"] | (tracks["seen"] == frame))]
+        tracks = np.zeros(len(kept) + len(left), tracks.dtype)
+        tracks[: len(kept)], begun = kept, tracks[len(kept) :]
+        begun["number"], (begun["mean"], begun["cov"]) = number + np.arange(len(left)), kalman.begin(measured[left])
+        begun["start"], begun["seen"], begun["pos"], begun["sure"] = frame, frame, pos[left], frame == first
+        number += len(left)
+        tracks["lost"] = tracks["seen"] != frame
+        here, lost = np.flatnonzero(~tracks["lost"]), np.flatnonzero(tracks["lost"])
+        if len(here) and len(lost):
+            a, b = np.nonzero(distance(_boxed(tracks["mean"][here]), _boxed(tracks["mean"][lost])) < p.alike)
+            if len(a):
+                a, b, age = here[a], lost[b], tracks["seen"] - tracks["start"]
+                tracks = np.delete(tracks, np.where(age[a] > age[b], b, a))
+        told = tracks["sure"] & ~tracks["lost"]
+        out.append((np.full(int(told.sum()), frame), tracks["pos"][told], tracks["number"][told]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+    return pd.DataFrame(dict(zip(["frame", "pos", "track_id"], columns)))
 
 
 def two_stage_tracks(detections: DataFrame, by: list[str], params: TwoStageTracker = TwoStageTracker()) -> DataFrame:
     """(by, frame, pos, track_id) for the detections (by, frame, pos, x1, y1, x2, y2, score) of confirmed tracks."""
-    return _per_scan(detections, by, "frame long, pos long, track_id long", lambda pdf: two_stage_scan(pdf, params))
+    return _tracked(detections.select(*by, "frame", "pos", *_BOX, "score"), by, lambda pdf: two_stage_scan(pdf, params))

@@ -69,3 +69,33 @@ def test_motion_decides_between_equal_overlaps():
     mean, cov = kalman.predict(mean[None], cov[None])
     d = kalman.distances(mean, cov, np.stack([tracking._measured(np.array(b, float)) for b in last[0]]))[0]
     assert got[100 + int(np.argmin(d))] == 0 and d.min() < 9
+
+
+def test_filter_is_asked_by_frame_not_by_track(monkeypatch):
+    """Tracks of a frame are begun in one call and moved in one call for each of the three ways of matching; and all boxes are followed."""
+    calls = dict.fromkeys(("begin", "predict", "update"), 0)
+
+    def counted(name, of):
+        def call(*a):
+            calls[name] += 1
+            return of(*a)
+
+        return call
+
+    for name in calls:
+        monkeypatch.setattr(tracking.ConstantVelocity, name, counted(name, getattr(tracking.ConstantVelocity, name)))
+    rng = np.random.default_rng(3)
+    moving = [[(100 * (k % 10) + 4 * f + x, 100 * (k // 10), 100 * (k % 10) + 4 * f + 60, 100 * (k // 10) + 60) for k, x in enumerate(rng.uniform(0, 3, 10))] for f in range(12)]
+    got = ids(moving, gated=True)
+    assert got == {10 * f + k: k for f in range(12) for k in range(10)}
+    assert calls["begin"] <= 12 and calls["predict"] <= 12 and calls["update"] <= 3 * 12
+
+
+def test_scans_are_dealt_to_as_many_tasks_as_asked_for(spark):
+    """Scans of few bytes are not put together into fewer tasks, and are shuffled once with what the tracker reads."""
+    rows = spark.range(40).selectExpr("id % 10 as scan_id", "id div 10 as frame", "id as pos", "100 as x1", "100 as y1", "150 as x2", "150 as y2", "0.9D as score", "repeat('x', 50) as more")
+    got = tracking.two_stage_tracks(rows, ["scan_id"])
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan and "more" not in plan
+    assert got.count() == 40
