@@ -36,25 +36,35 @@ def covered_cells(plots: DataFrame, side: float) -> tuple[DataFrame, DataFrame]:
     """(place, gx, gy) of the cells that the edges of each ring meet, and of those that lie inside as a whole.
 
     A cell is an edge cell if an edge comes within a millionth of a side of it; all other cells are in or out as their middle is.
+    Each ring's cells are told from its own row, without joins; rings are dealt to a number of tasks of their own, as their cells are far more than their bytes tell.
     """
-    bounds, slack, s = _bounds(plots), side * 1e-6, F.lit(side)
+    tasks = int(plots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds, slack, s = _bounds(plots).repartition(tasks), side * 1e-6, F.lit(side)
     n = F.size("ring")
-    ends = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(F.get("ring", k).alias("a"), F.get("ring", (k + 1) % n).alias("b")))
-    edges = bounds.select("place", F.explode(ends).alias("e")).select("place", *(F.col(f"e.{p}.{c}").alias(f"{p}_{c}") for p in "ab" for c in ("lon", "lat")))
-    low, high = F.least("a_lon", "b_lon"), F.greatest("a_lon", "b_lon")
-    columns = edges.withColumn("gx", F.explode(F.sequence(_cell(low - slack, s), _cell(high + slack, s))))
-    # The part of the edge within the column, of which the latitudes at both ends bound the rows.
-    left, right = F.greatest(low, F.col("gx") * s - slack), F.least(high, (F.col("gx") + 1) * s + slack)
-    slope = F.try_divide(F.col("b_lat") - F.col("a_lat"), F.col("b_lon") - F.col("a_lon"))
-    at = lambda x: F.col("a_lat") + (x - F.col("a_lon")) * slope
-    steep = high - low <= slack
-    bottom = F.when(steep, F.least("a_lat", "b_lat")).otherwise(F.greatest(F.least(at(left), at(right)), F.least("a_lat", "b_lat")))
-    top = F.when(steep, F.greatest("a_lat", "b_lat")).otherwise(F.least(F.greatest(at(left), at(right)), F.greatest("a_lat", "b_lat")))
-    on_edge = columns.select("place", "gx", F.explode(F.sequence(_cell(bottom - slack, s), _cell(top + slack, s))).alias("gy")).distinct()
-    columns = bounds.select("place", "ring", F.explode(F.sequence(_cell(F.col("x1"), s), _cell(F.col("x2"), s))).alias("gx"), F.sequence(_cell(F.col("y1"), s), _cell(F.col("y2"), s)).alias("gys"))
-    whole = columns.select("place", "ring", "gx", F.explode("gys").alias("gy"))
-    inner = whole.where(in_ring((F.col("gy") + 0.5) * s, (F.col("gx") + 0.5) * s, F.col("ring"))).select("place", "gx", "gy")
-    return on_edge, inner.join(on_edge, ["place", "gx", "gy"], "left_anti")
+
+    def edge(k: Column) -> Column:
+        a, b = F.get("ring", k), F.get("ring", (k + 1) % n)
+        return F.struct(*(p[c].alias(f"{i}_{c}") for i, p in (("a", a), ("b", b)) for c in ("lon", "lat")), F.least(a["lon"], b["lon"]).alias("low"), F.greatest(a["lon"], b["lon"]).alias("high"))
+
+    def rows(e: Column) -> Column:
+        """First and last row that an edge meets within the column, by the latitudes at both ends of its part there."""
+        left, right = F.greatest(e["low"], F.col("gx") * s - slack), F.least(e["high"], (F.col("gx") + 1) * s + slack)
+        slope = F.try_divide(e["b_lat"] - e["a_lat"], e["b_lon"] - e["a_lon"])
+        at = lambda x: e["a_lat"] + (x - e["a_lon"]) * slope
+        least, most = F.least(e["a_lat"], e["b_lat"]), F.greatest(e["a_lat"], e["b_lat"])
+        steep = e["high"] - e["low"] <= slack
+        bottom = F.when(steep, least).otherwise(F.greatest(F.least(at(left), at(right)), least))
+        top = F.when(steep, most).otherwise(F.least(F.greatest(at(left), at(right)), most))
+        return F.struct(_cell(bottom - slack, s).alias("first"), _cell(top + slack, s).alias("last"))
+
+    reach = lambda a, b: F.sequence(_cell(F.col(a) - slack, s), _cell(F.col(b) + slack, s))
+    edges = bounds.select("place", "ring", F.transform(F.sequence(F.lit(0), n - 1), edge).alias("edges"), reach("x1", "x2").alias("gxs"), reach("y1", "y2").alias("gys"))
+    columns = edges.select("place", "ring", "edges", F.explode("gxs").alias("gx"), "gys")
+    met = F.filter("edges", lambda e: F.col("gx").between(_cell(e["low"] - slack, s), _cell(e["high"] + slack, s)))
+    cells = columns.select("place", "ring", "gx", F.transform(met, rows).alias("met"), "gys").select("place", "ring", "gx", "met", F.explode("gys").alias("gy"))
+    on_edge = F.coalesce(F.exists("met", lambda r: F.col("gy").between(r["first"], r["last"])), F.lit(False))
+    inside = in_ring((F.col("gy") + 0.5) * s, (F.col("gx") + 0.5) * s, F.col("ring"))
+    return cells.where(on_edge).select("place", "gx", "gy"), cells.where(~on_edge & inside).select("place", "gx", "gy")
 
 
 def ring_cells(plots: DataFrame, side: float) -> DataFrame:
@@ -65,6 +75,10 @@ def ring_cells(plots: DataFrame, side: float) -> DataFrame:
     return named.union(inner.join(own, "place").select("gx", "gy", "place", "plot", F.lit(None).cast(plots.schema["ring"].dataType)))
 
 
+#: Up to so many full cells are broadcast, some 20 MB.
+FEW_CELLS = 200_000
+
+
 def located(points: DataFrame, plots: DataFrame, none: str = "global", side: float | None = None) -> DataFrame:
     """`plot` of each point (lat, lon): the first plot (by `place`, which is unique) whose ring holds it, else `none`; any number of plots.
 
@@ -75,10 +89,11 @@ def located(points: DataFrame, plots: DataFrame, none: str = "global", side: flo
     on_edge, inner = covered_cells(plots, side)
     # Plots after the first that fills a cell are never asked there, so that they and their rings are dropped before anything is gathered.
     full = written(inner.groupBy("gx", "gy").agg(F.min("place").alias("__full")), "full")
-    asked = on_edge.join(full, ["gx", "gy"], "left").where("__full is null or place < __full").select("gx", "gy", "place")
-    asked = written(asked.union(full.select("gx", "gy", "__full")), "asked")
+    # Files are far smaller than their rows in memory, so that not their size but a count tells what may be broadcast.
+    asked = on_edge.join(full.hint("broadcast" if full.count() <= FEW_CELLS else "shuffle_merge"), ["gx", "gy"], "left").where("__full is null or place < __full")
+    asked = written(asked.select("gx", "gy", "place", "__full").union(full.select("gx", "gy", F.col("__full").alias("place"), "__full")), "asked")
     own = _bounds(plots).select("place", "plot", "ring")
-    named = asked.join(full, ["gx", "gy"], "left").join(own.hint("shuffle_merge"), "place")
+    named = asked.join(own.hint("shuffle_merge"), "place")
     ring = F.when(F.col("__full").isNull() | (F.col("place") < F.col("__full")), F.col("ring"))
     cells = named.select("gx", "gy", "place", "plot", ring.alias("ring")).groupBy("gx", "gy").agg(F.array_sort(F.collect_list(F.struct("place", "plot", "ring"))).alias("__near"))
     cells = written(cells.select(F.col("gx").alias("__gx"), F.col("gy").alias("__gy"), "__near"), "cells")
